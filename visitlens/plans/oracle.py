@@ -151,3 +151,87 @@ kept AS (SELECT s.*, u.age, u.professional, u.city, u.sex
          FROM sessions s JOIN users u USING (user_id)
          WHERE {session_conditions(p)})
 {stat_select('kept', f'CAST({task_id} AS BIGINT) AS task_id')}"""
+
+
+def tasks_cte() -> str:
+    rows = ", ".join(
+        "(" + str(tid) + ", '" + text.replace("'", "''") + "')" for tid, _n, text in SAMPLE_TASKS
+    )
+    return f"tasks AS (SELECT * FROM (VALUES {rows}) t(task_id, task_param))"
+
+
+def _param(name: str) -> str:
+    return f"nullif(json_extract_string(task_param, '$.{name}[0]'), '')"
+
+
+def _param_list(name: str) -> str:
+    return f"list_filter(string_split({_param(name)}, ','), lambda x: x <> '')"
+
+
+TP_CTE = f"""tp AS (
+  SELECT CAST(task_id AS BIGINT) AS task_id,
+         TRY_CAST({_param('startDate')} AS DATE) AS t_sd,
+         TRY_CAST({_param('endDate')} AS DATE) AS t_ed,
+         TRY_CAST({_param('startAge')} AS INTEGER) AS t_sa,
+         TRY_CAST({_param('endAge')} AS INTEGER) AS t_ea,
+         {_param_list('professionals')} AS t_profs,
+         {_param_list('cities')} AS t_cities,
+         {_param('sex')} AS t_sex,
+         {_param_list('keywords')} AS t_kws,
+         {_param_list('categoryids')} AS t_cats
+  FROM tasks
+)"""
+
+
+def _counter_cols(prefix: str = "") -> list[str]:
+    cols = ["count(*) AS n"]
+    for name, lo, hi in VISIT_BUCKETS:
+        cols.append(f"count_if({_bucket_test(prefix + 'visit_length', lo, hi)}) AS n_visit_{name}")
+    for name, lo, hi in STEP_BUCKETS:
+        cols.append(f"count_if({_bucket_test(prefix + 'step_length', lo, hi)}) AS n_step_{name}")
+    return cols
+
+
+def _ratio_cols_from_counts() -> list[str]:
+    cols = ["CAST(coalesce(agg.n, 0) AS BIGINT) AS session_count"]
+    for name, _lo, _hi in VISIT_BUCKETS:
+        cols.append(f"{ratio_sql(f'coalesce(agg.n_visit_{name}, 0)', 'coalesce(agg.n, 0)')} AS visit_{name}")
+    for name, _lo, _hi in STEP_BUCKETS:
+        cols.append(f"{ratio_sql(f'coalesce(agg.n_step_{name}, 0)', 'coalesce(agg.n, 0)')} AS step_{name}")
+    return cols
+
+
+def multi_task_stats_sql(grain: str = "g", unit: str = "dense") -> str:
+    counters = ",\n         ".join(_counter_cols())
+    ratios = ",\n       ".join(_ratio_cols_from_counts())
+    return f"""WITH {actions_cte(grain, unit)},
+{USERS_CTE},
+{tasks_cte()},
+{TP_CTE},
+tsess AS (
+  SELECT t.task_id, a.session_id, min(a.user_id) AS user_id,
+         date_diff('second', min(a.action_time), max(a.action_time)) AS visit_length,
+         count(*) AS step_length,
+         list(DISTINCT a.search_keyword) FILTER (WHERE a.search_keyword IS NOT NULL AND a.search_keyword <> '') AS kws,
+         list(DISTINCT CAST(a.click_category_id AS VARCHAR)) FILTER (WHERE a.click_category_id IS NOT NULL) AS cats
+  FROM tp t JOIN actions a ON a.action_date >= t.t_sd AND a.action_date < t.t_ed
+  GROUP BY t.task_id, a.session_id
+),
+kept AS (
+  SELECT s.task_id, s.visit_length, s.step_length
+  FROM tsess s JOIN users u USING (user_id) JOIN tp t ON t.task_id = s.task_id
+  WHERE (t.t_sa IS NULL OR t.t_ea IS NULL OR u.age BETWEEN t.t_sa AND t.t_ea)
+    AND (t.t_profs IS NULL OR list_contains(t.t_profs, u.professional))
+    AND (t.t_cities IS NULL OR list_contains(t.t_cities, u.city))
+    AND (t.t_sex IS NULL OR u.sex = t.t_sex)
+    AND (t.t_kws IS NULL OR coalesce(list_has_any(s.kws, t.t_kws), false))
+    AND (t.t_cats IS NULL OR coalesce(list_has_any(s.cats, t.t_cats), false))
+),
+agg AS (
+  SELECT task_id,
+         {counters}
+  FROM kept GROUP BY task_id
+)
+SELECT tp.task_id,
+       {ratios}
+FROM tp LEFT JOIN agg USING (task_id)"""
