@@ -235,3 +235,175 @@ agg AS (
 SELECT tp.task_id,
        {ratios}
 FROM tp LEFT JOIN agg USING (task_id)"""
+
+
+# ---------------------------------------------------------------------------
+# Twins of the session-level and table-job queries.
+
+def _with(*ctes: str) -> str:
+    return "WITH " + ",\n".join(ctes) + "\n"
+
+
+def _fmt_list(values) -> str:
+    return ", ".join("'" + v + "'" for v in values)
+
+
+def _session_sql(select: str, grain: str = "g", unit: str = "raw", where: str = "TRUE") -> str:
+    return _with(actions_cte(grain, unit), sessions_cte(where)) + select
+
+
+def _session_user_sql(select: str, grain: str = "g", unit: str = "raw") -> str:
+    return _with(actions_cte(grain, unit), USERS_CTE, sessions_cte()) + select
+
+
+def _histogram_sql(col: str, buckets, prefix: str) -> str:
+    parts = [
+        f"SELECT '{prefix}{name}' AS bucket, CAST(count_if({_bucket_test(col, lo, hi)}) AS BIGINT) AS n FROM sessions"
+        for name, lo, hi in buckets
+    ]
+    return "\nUNION ALL\n".join(parts)
+
+
+def _flagship_kept_cte() -> str:
+    p = task_param_values(1)
+    return (f"kept AS (SELECT s.*, u.age, u.professional, u.city, u.sex FROM sessions s "
+            f"JOIN users u USING (user_id) WHERE {session_conditions(p)})")
+
+
+def _ratio_long_sql(task_id: int, prefix: str, buckets) -> str:
+    inner = session_aggr_stat_sql(task_id)
+    parts = [f"SELECT '{prefix}{name}' AS bucket, {prefix}{name} AS ratio FROM stat" for name, _l, _h in buckets]
+    return f"WITH stat AS ({inner})\n" + "\nUNION ALL\n".join(parts)
+
+
+def oracle_queries() -> dict[str, str]:
+    from visitlens.plans import session_queries as sq
+    from visitlens.plans import table_jobs as tj
+
+    p1 = task_param_values(1)
+    fmt_time = "strftime(action_time, '%Y-%m-%d %H:%M:%S')"
+    q: dict[str, str] = {}
+    q["session_aggr_stat"] = session_aggr_stat_sql(1)
+    q["multi_task_stats"] = multi_task_stats_sql()
+    q["session_rollup"] = _session_sql(
+        "SELECT session_id, user_id, start_time, end_time, visit_length, step_length FROM sessions")
+    q["session_span"] = _session_sql(
+        "SELECT session_id, start_time, end_time, visit_length FROM sessions", "day", "dense")
+    q["session_steps"] = _with(actions_cte()) + (
+        "SELECT session_id, CAST(count(*) AS BIGINT) AS step_length FROM actions GROUP BY session_id")
+    q["session_keywords"] = _session_sql(
+        "SELECT session_id, coalesce(array_to_string(search_keywords, ','), '') AS keywords, "
+        "CAST(coalesce(len(search_keywords), 0) AS BIGINT) AS n FROM sessions")
+    q["session_categories"] = _session_sql(
+        "SELECT session_id, coalesce(array_to_string(click_category_ids, ','), '') AS categories, "
+        "CAST(coalesce(len(click_category_ids), 0) AS BIGINT) AS n FROM sessions")
+    q["session_user_join"] = _session_user_sql(
+        "SELECT session_id, user_id, age, professional, city, sex FROM sessions JOIN users USING (user_id)")
+    lo, hi = sq.AGE_RANGE
+    q["filter_age"] = _session_user_sql(
+        f"SELECT session_id, age FROM sessions JOIN users USING (user_id) WHERE age BETWEEN {lo} AND {hi}")
+    q["filter_profession"] = _session_user_sql(
+        "SELECT session_id, professional FROM sessions JOIN users USING (user_id) "
+        f"WHERE professional IN ({_fmt_list(sq.PROFESSIONS)})")
+    q["filter_city"] = _session_user_sql(
+        "SELECT session_id, city FROM sessions JOIN users USING (user_id) "
+        f"WHERE city IN ({_fmt_list(sq.CITIES)})")
+    q["filter_sex"] = _session_user_sql(
+        f"SELECT session_id, sex FROM sessions JOIN users USING (user_id) WHERE sex = '{sq.SEX}'")
+    q["filter_keywords"] = _session_sql(
+        "SELECT session_id, array_to_string(search_keywords, ',') AS keywords FROM sessions "
+        f"WHERE coalesce(list_has_any(search_keywords, {_sql_list(sq.KEYWORDS)}), false)")
+    q["filter_categories"] = _session_sql(
+        "SELECT session_id, array_to_string(click_category_ids, ',') AS categories FROM sessions "
+        f"WHERE coalesce(list_has_any(CAST(click_category_ids AS VARCHAR[]), {_sql_list(sq.CATEGORIES)}), false)")
+    q["filter_null_attr"] = _session_sql(
+        "SELECT session_id, CAST(len(search_keywords) AS BIGINT) AS n_keywords FROM sessions "
+        f"WHERE coalesce(list_has_any(search_keywords, {_sql_list(sq.ALL_KEYWORDS)}), false)")
+    flag = _with(actions_cte("g", "dense"), USERS_CTE, sessions_cte(date_where(p1)), _flagship_kept_cte())
+    q["filtered_sessions"] = flag + (
+        "SELECT session_id, user_id, visit_length, step_length, age, professional, city, sex FROM kept")
+    q["session_count"] = flag + "SELECT 'kept_sessions' AS stage, CAST(count(*) AS BIGINT) AS n FROM kept"
+    q["stage_counts"] = flag + (
+        "SELECT 'actions_in_range' AS stage, CAST(sum(step_length) AS BIGINT) AS n FROM sessions\n"
+        "UNION ALL SELECT 'sessions', CAST(count(*) AS BIGINT) FROM sessions\n"
+        "UNION ALL SELECT 'kept_sessions', CAST(count(*) AS BIGINT) FROM kept")
+    q["visit_length_hist"] = _with(actions_cte("day", "dense"), sessions_cte()) + _histogram_sql(
+        "visit_length", VISIT_BUCKETS, "visit_")
+    q["step_length_hist"] = _with(actions_cte("g", "raw"), sessions_cte()) + _histogram_sql(
+        "step_length", STEP_BUCKETS, "step_")
+    q["visit_length_ratio"] = _ratio_long_sql(sq.RATIO_TASK, "visit_", VISIT_BUCKETS)
+    q["step_length_ratio"] = _ratio_long_sql(sq.RATIO_TASK, "step_", STEP_BUCKETS)
+    share = ratio_sql("count_if(event_type = 'click')", "count(*)")
+    q["ratio_rounding"] = (
+        "SELECT user_id, CAST(count(*) AS BIGINT) AS n_events, "
+        "CAST(count_if(event_type = 'click') AS BIGINT) AS n_clicks, "
+        f"{share} AS click_share "
+        "FROM events GROUP BY user_id")
+    q["label_counts"] = "\nUNION ALL\n".join(
+        f"SELECT '{lab}' AS label, CAST(count_if(event_type = '{lab}') AS BIGINT) AS n FROM events"
+        for lab in sq.EVENT_LABELS)
+    q["actions_in_range"] = _with(actions_cte()) + (
+        f"SELECT event_id, session_id, user_id, action_time FROM actions WHERE {date_where(p1)}")
+    prev = sq.RUN_DATE.toordinal() - 1
+    import datetime as _dt
+    prev_day = _dt.date.fromordinal(prev).isoformat()
+    q["actions_previous_day"] = _with(actions_cte()) + (
+        "SELECT event_id, session_id, user_id, action_time, action_date FROM actions "
+        f"WHERE ts >= TIMESTAMP '{prev_day} 00:00:00' AND ts < TIMESTAMP '{sq.RUN_DATE.isoformat()} 00:00:00'")
+    q["preview_sessions"] = _session_sql(
+        "SELECT session_id, user_id, start_time, end_time, visit_length, step_length FROM sessions "
+        "ORDER BY session_id LIMIT 10")
+    # Table jobs.
+    q["actions_per_hour"] = _with(actions_cte()) + (
+        "SELECT strftime(action_time, '%Y-%m-%d_%H') AS hour_key, CAST(count(*) AS BIGINT) AS n "
+        "FROM actions GROUP BY 1")
+    q["actions_per_day"] = _with(actions_cte()) + (
+        "SELECT strftime(action_date, '%Y-%m-%d') AS day, strftime(action_date, '%Y%m%d') AS day_key, "
+        f"CAST(count(*) AS BIGINT) AS n, strftime(max(action_time), '%Y-%m-%d %H:%M:%S') AS last_action "
+        "FROM actions GROUP BY action_date")
+    q["actions_per_minute"] = _with(actions_cte()) + (
+        "SELECT strftime(action_time, '%Y%m%d%H%M') AS minute_key, CAST(count(*) AS BIGINT) AS n "
+        "FROM actions GROUP BY 1")
+    q["hour_key_rollup"] = _with(actions_cte()) + (
+        "SELECT strftime(action_time, '%Y-%m-%d %H') AS hour_key, CAST(count(*) AS BIGINT) AS n "
+        "FROM actions GROUP BY 1")
+    d = tj.SHIP_DEADLINE_DAYS
+    q["ship_delay_profile"] = (
+        "SELECT o_orderpriority, "
+        f"CAST(count_if(l_shipdate < o_orderdate + INTERVAL {d} DAY) AS BIGINT) AS n_before, "
+        f"CAST(count_if(l_shipdate > o_orderdate + INTERVAL {d} DAY) AS BIGINT) AS n_after, "
+        "CAST(sum(CASE WHEN s BETWEEN -2147483648 AND 2147483647 THEN s ELSE 0 END) AS BIGINT) AS total_seconds "
+        "FROM (SELECT o_orderpriority, l_shipdate, o_orderdate, "
+        "date_diff('second', o_orderdate, l_shipdate) AS s "
+        "FROM lineitem JOIN orders ON l_orderkey = o_orderkey) j GROUP BY o_orderpriority")
+    q["time_text_audit"] = (
+        "SELECT CAST(ts AS DATE) AS day, CAST(count_if(event_id % 17 <> 0) AS BIGINT) AS n_ok, "
+        "CAST(count_if(event_id % 17 = 0) AS BIGINT) AS n_bad, "
+        "CAST(count_if(event_id % 23 = 0) AS BIGINT) AS n_bad_key FROM events GROUP BY 1")
+    blanks = "\nUNION ALL\n".join(
+        f"SELECT '{c}' AS column, CAST(count_if({c} IS NULL) AS BIGINT) AS n_null, "
+        f"CAST(count_if({c} = '') AS BIGINT) AS n_empty, "
+        f"CAST(count_if({c} IS NOT NULL AND {c} <> '') AS BIGINT) AS n_filled FROM actions"
+        for c in tj.BLANK_PROFILE_COLUMNS)
+    q["column_blank_profile"] = _with(actions_cte()) + blanks
+    q["packed_attr_rollup"] = (
+        "SELECT event_type, CAST(CAST(json_extract(props, '$.k') AS BIGINT) % 10 AS VARCHAR) AS k_bucket, "
+        "CAST(count(*) AS BIGINT) AS n, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total_value "
+        "FROM events GROUP BY 1, 2")
+    lf = _sql_list(tj.LIST_FILTER.split(","))
+    q["list_column_rollup"] = (
+        "WITH l AS (SELECT list_filter(string_split(regexp_replace("
+        "',' || CAST(k % 7 AS VARCHAR) || ',' || CAST(k % 11 AS VARCHAR) || ',', '^,|,$', '', 'g'), ','), "
+        "lambda x: x <> '') AS ids FROM (SELECT CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events) e) "
+        f"SELECT element, CAST(count(*) AS BIGINT) AS n FROM (SELECT unnest(ids) AS element FROM l "
+        f"WHERE list_has_any(ids, {lf})) x GROUP BY element")
+    q["param_sql"] = (
+        "SELECT user_id, CAST(count(*) AS BIGINT) AS n FROM events WHERE event_type = 'purchase' GROUP BY user_id")
+    q["product_status"] = (
+        "SELECT CAST(p_partkey % 2 AS BIGINT) AS product_status, CAST(count(*) AS BIGINT) AS n "
+        "FROM part GROUP BY 1")
+    q["json_props_rollup"] = (
+        "SELECT key, CAST(count(*) AS BIGINT) AS n, "
+        "CAST(sum(CAST(json_extract_string(props, '$.' || key) AS BIGINT)) AS BIGINT) AS total "
+        "FROM (SELECT props, unnest(json_keys(props)) AS key FROM events) x GROUP BY key")
+    return q

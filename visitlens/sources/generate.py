@@ -1,0 +1,130 @@
+"""Synthetic action log, users and products, generated on executors.
+
+Every random draw is a hash of stable keys (``xxhash64``), so a partition
+recomputed after an executor loss yields the same rows, and nothing is
+built on the driver.  The generators are seeded from the rows of a given
+table (one draw per ``customer`` / ``part`` row), so output grows with it.
+
+Rules kept from the analysed application's mock data:
+- each user draw opens 10 sessions; a session's id is 32 hex characters;
+- the action loop bound is redrawn on every turn (``k < draw(100) + 2``),
+  so a session has 2..101 actions and continues past step k with
+  probability (101 - k) / 100;
+- all actions of a session share one base hour 0..22 (unpadded in the
+  text) and have distinct minute:second values, each 00..58;
+- exactly one action kind's fields are filled per row, except the click
+  category, which is drawn at the session's first click and then stays on
+  every later row of the session;
+- page 0..9, city 0..9, ids 0..99; users: age 0..59, 100 professions,
+  100 cities, two sexes; products: JSON status 0 or 1.
+"""
+
+from __future__ import annotations
+
+import datetime as dt
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from visitlens.functions.strings import zero_fill_2
+from visitlens.sources.tables import read_table
+
+# Fixed values of the mock data.
+SEARCH_KEYWORDS = ("火锅", "蛋糕", "重庆辣子鸡", "重庆小面", "呷哺呷哺",
+                   "新辣道鱼火锅", "国贸大厦", "太古商场", "日本料理", "温泉")
+ACTION_KINDS = ("search", "click", "order", "pay")
+SEXES = ("male", "female")
+SESSIONS_PER_USER = 10
+MAX_STEPS = 101
+MINUTE_SECOND_SLOTS = 59 * 59
+
+
+def _draw(n: int, *keys: Column | str) -> Column:
+    """Deterministic integer in [0, n) from the keys."""
+    return F.pmod(F.xxhash64(*[F.col(k) if isinstance(k, str) else k for k in keys]), F.lit(n))
+
+
+def gen_users(spark: SparkSession, sf_dir: str, seed: str = "users") -> DataFrame:
+    ids = read_table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("user_id"))
+    s = F.lit(seed)
+    return ids.select(
+        "user_id",
+        F.concat(F.lit("user"), F.col("user_id").cast("string")).alias("username"),
+        F.concat(F.lit("name"), F.col("user_id").cast("string")).alias("name"),
+        _draw(60, "user_id", s, F.lit("age")).cast("int").alias("age"),
+        F.concat(F.lit("professional"), _draw(100, "user_id", s, F.lit("prof")).cast("string")).alias("professional"),
+        F.concat(F.lit("city"), _draw(100, "user_id", s, F.lit("city")).cast("string")).alias("city"),
+        F.element_at(F.array(*[F.lit(x) for x in SEXES]), (_draw(2, "user_id", s, F.lit("sex")) + 1).cast("int")).alias("sex"),
+    )
+
+
+def gen_products(spark: SparkSession, sf_dir: str, seed: str = "products") -> DataFrame:
+    ids = read_table(spark, sf_dir, "part").select(F.col("p_partkey").alias("product_id"))
+    status = _draw(2, "product_id", F.lit(seed))
+    return ids.select(
+        "product_id",
+        F.concat(F.lit("product"), F.col("product_id").cast("string")).alias("product_name"),
+        F.concat(F.lit('{"product_status": '), status.cast("string"), F.lit("}")).alias("extend_info"),
+    )
+
+
+def gen_actions(spark: SparkSession, sf_dir: str, day: dt.date = dt.date(2024, 1, 15),
+                seed: str = "actions") -> DataFrame:
+    """One user draw per customer row, 10 sessions each."""
+    s = F.lit(seed)
+    draws = read_table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("draw"))
+    sessions = draws.select(
+        _draw(100, "draw", s, F.lit("user")).alias("user_id"),
+        "draw",
+        F.explode(F.sequence(F.lit(0), F.lit(SESSIONS_PER_USER - 1))).alias("j"),
+    ).select(
+        "user_id",
+        F.substring(F.sha2(F.concat_ws(":", s, F.col("draw").cast("string"), F.col("j").cast("string")), 256), 1, 32)
+        .alias("session_id"),
+    )
+    sid = F.col("session_id")
+    # Loop bound redrawn per turn: step k runs while k < draw(100) + 2.
+    runs = F.transform(
+        F.sequence(F.lit(0), F.lit(MAX_STEPS)),
+        lambda k: k < F.pmod(F.xxhash64(sid, k, s, F.lit("len")), F.lit(100)) + 2,
+    )
+    first_stop = F.array_position(runs, False)
+    kinds = F.array(*[F.lit(x) for x in ACTION_KINDS])
+    sessions = sessions.select(
+        "user_id", "session_id",
+        F.when(first_stop > 0, first_stop - 1).otherwise(F.lit(MAX_STEPS + 1)).cast("int").alias("n_steps"),
+        _draw(23, sid, s, F.lit("hour")).cast("string").alias("hour"),
+        # Distinct minute:second slots: an affine permutation of 59*59 slots.
+        (_draw(58, sid, s, F.lit("a")) + 1).alias("slot_a"),
+        _draw(MINUTE_SECOND_SLOTS, sid, s, F.lit("b")).alias("slot_b"),
+        _draw(100, sid, s, F.lit("cat")).alias("click_category"),
+    )
+    kinds_of_steps = F.transform(
+        F.sequence(F.lit(0), F.col("n_steps") - 1),
+        lambda k: F.element_at(kinds, (F.pmod(F.xxhash64(sid, k, s, F.lit("kind")), F.lit(4)) + 1).cast("int")),
+    )
+    sessions = sessions.withColumn("kinds", kinds_of_steps).withColumn(
+        "first_click", F.nullif(F.array_position("kinds", "click"), F.lit(0)) - 1)
+    steps = sessions.select("*", F.posexplode("kinds").alias("k", "kind"))
+    first_click = F.col("first_click")
+    slot = F.pmod(F.col("slot_a") * F.col("k") + F.col("slot_b"), F.lit(MINUTE_SECOND_SLOTS))
+    kind = F.col("kind")
+    rnd = lambda tag: _draw(100, sid, "k", s, F.lit(tag))
+    return steps.select(
+        F.lit(day.isoformat()).alias("date"),
+        "user_id",
+        "session_id",
+        _draw(10, sid, "k", s, F.lit("page")).alias("page_id"),
+        F.concat_ws(":", F.concat(F.lit(day.isoformat() + " "), F.col("hour")),
+                    zero_fill_2((slot / 59).cast("int").cast("string")),
+                    zero_fill_2((slot % 59).cast("string"))).alias("action_time"),
+        F.when(kind == "search", F.element_at(F.array(*[F.lit(x) for x in SEARCH_KEYWORDS]),
+                                              (_draw(10, sid, "k", s, F.lit("kw")) + 1).cast("int"))).alias("search_keyword"),
+        F.when(F.col("k") >= first_click, F.col("click_category")).alias("click_category_id"),
+        F.when(kind == "click", rnd("product")).alias("click_product_id"),
+        F.when(kind == "order", rnd("ocat").cast("string")).alias("order_category_ids"),
+        F.when(kind == "order", rnd("oprod").cast("string")).alias("order_product_ids"),
+        F.when(kind == "pay", rnd("pcat").cast("string")).alias("pay_category_ids"),
+        F.when(kind == "pay", rnd("pprod").cast("string")).alias("pay_product_ids"),
+        _draw(10, sid, "k", s, F.lit("city")).alias("city_id"),
+    )
