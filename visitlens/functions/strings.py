@@ -15,8 +15,6 @@ from pyspark.sql import functions as F
 # Fixed separators of the packed format.
 PACK_SEPARATOR = "|"
 LIST_SEPARATOR = ","
-_PIECE = r"^[^=]*=[^=]+=*$"
-_PIECE_VALUE = r"^[^=]*=([^=]+)=*$"
 
 
 def _col(c: Column | str) -> Column:
@@ -59,28 +57,28 @@ def lists_overlap(a: Column | str, b: Column | str) -> Column:
 
 
 def packed_field(s: Column | str, field: str) -> Column:
-    """Value of ``field`` in ``k=v|k=v`` text, NULL when absent."""
-    pieces = F.split(_col(s), _regex_quote(PACK_SEPARATOR))
-    hits = F.filter(
-        pieces,
-        lambda x: x.rlike(_PIECE) & (F.substring_index(x, "=", 1) == F.lit(field)),
-    )
-    return F.get(F.transform(hits, lambda x: F.regexp_extract(x, _PIECE_VALUE, 1)), 0)
+    """Value of ``field`` in ``k=v|k=v`` text, NULL when absent.
+
+    One regular expression finds the first *valid* piece named ``field``:
+    it starts the text or follows a '|', its value is non-empty and holds
+    no '=', and only '=' may trail it before the next '|' or the end.
+    """
+    pattern = "(?:^|[|])" + _regex_quote(field) + "=([^=|]+)=*(?=[|]|$)"
+    c = _col(s)
+    return F.when(c.rlike(pattern), F.regexp_extract(c, pattern, 1))
 
 
 def set_packed_field(s: Column | str, field: str, value: Column | str) -> Column:
-    """Replace the value of the first piece named ``field``; pieces are
-    joined back with '|'.  Trailing empty pieces are dropped first."""
+    """Replace the value of the first piece named ``field`` (its name is
+    the text before its first '=', or the whole piece); trailing empty
+    pieces are dropped first.  Text without such a piece is unchanged."""
     value = F.lit(value) if isinstance(value, str) else value
-    sep = _regex_quote(PACK_SEPARATOR)
-    pieces = F.split(F.regexp_replace(_col(s), sep + "+$", ""), sep)
-    names = F.transform(pieces, lambda x: F.substring_index(x, "=", 1))
-    pos = F.array_position(names, F.lit(field))
-    replaced = F.transform(
-        pieces,
-        lambda x, i: F.when(i + 1 == pos, F.concat(F.lit(field + "="), value)).otherwise(x),
-    )
-    return F.array_join(replaced, PACK_SEPARATOR)
+    stripped = F.regexp_replace(_col(s), "[|]+$", "")
+    # Lazy run of whole pieces, then the first piece named ``field``.
+    pattern = "^((?:[^|]*[|])*?)" + _regex_quote(field) + "(?:=[^|]*)?(?=[|]|$)"
+    safe_value = F.regexp_replace(value, r"([\\$])", r"\\$1")
+    replacement = F.concat(F.lit("$1" + field.replace("\\", "\\\\").replace("$", "\\$") + "="), safe_value)
+    return F.regexp_replace(stripped, F.lit(pattern), replacement)
 
 
 def pack_fields(fields: dict[str, Column | str]) -> Column:

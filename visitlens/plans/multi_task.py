@@ -36,21 +36,31 @@ from visitlens.sources.tasks import parse_tasks
 MAX_BROADCAST_ROWS = 2_000_000
 
 
-def _bounded(df: DataFrame, limit: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint only after counting the (small, task-side) frame."""
-    return F.broadcast(df) if df.count() <= limit else df
-
-
-def _ts_bound(day_col: Column) -> Column:
-    return F.concat(day_col.cast("string"), F.lit(" 00:00:00")).cast("timestamp_ntz")
-
-
-def task_sessions(action_log: DataFrame, params: DataFrame, ts_col: str = "ts") -> DataFrame:
+def _bounded(df: DataFrame, rows: int, limit: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Broadcast hint only when the counted row number is under the limit."""
+    return F.broadcast(df) if rows <= limit else df
+
+
+def task_profile(params: DataFrame):
+    """One small job over the parsed task table: date envelope, tasks
+    without valid dates, and the row counts of the task-side join inputs
+    (task days, keyword and category list entries)."""
+    days = F.greatest(F.datediff("end_date", "start_date"), F.lit(0))
+    return params.agg(
+        F.min("start_date").alias("lo"),
+        F.max("end_date").alias("hi"),
+        F.count(F.lit(1)).alias("n_tasks"),
+        F.count_if(F.col("start_date").isNull() | F.col("end_date").isNull()).alias("n_undated"),
+        F.coalesce(F.sum(days), F.lit(0)).alias("n_task_days"),
+        F.coalesce(F.sum(F.size(F.coalesce("keywords", F.array()))), F.lit(0)).alias("n_keywords"),
+        F.coalesce(F.sum(F.size(F.coalesce("category_ids", F.array()))), F.lit(0)).alias("n_categories"),
+    ).first()
+
+
+def task_sessions(action_log: DataFrame, params: DataFrame, env, ts_col: str = "ts") -> DataFrame:
     """(task_id, session_id, user_id, visit_length, step_length,
-    keyword_hit, category_hit) for every session with actions in a task's range."""
-    env = params.agg(F.min("start_date").alias("lo"), F.max("end_date").alias("hi")).first()
-    if env is None or env.lo is None:
-        return None
+    keyword_hit, category_hit) for every session with actions in a task's
+    range.  ``env`` is the task_profile() row."""
     lo = F.lit(f"{env.lo.isoformat()} 00:00:00").cast("timestamp_ntz")
     hi = F.lit(f"{env.hi.isoformat()} 00:00:00").cast("timestamp_ntz")
     log = action_log.filter((F.col(ts_col) >= lo) & (F.col(ts_col) < hi))
@@ -69,12 +79,12 @@ def task_sessions(action_log: DataFrame, params: DataFrame, ts_col: str = "ts")
             .otherwise(F.array().cast("array<date>"))
         ).alias("action_date"),
     )
-    day_rows = daily.join(_bounded(task_days), "action_date").select(
+    day_rows = daily.join(_bounded(task_days, env.n_task_days), "action_date").select(
         "task_id", "session_id", "user_id", "start_time", "end_time", "steps",
         F.lit(False).alias("kw"), F.lit(False).alias("cat"),
     )
 
-    def hit_rows(list_col: str, data_col: Column, flag: str) -> DataFrame:
+    def hit_rows(list_col: str, data_col: Column, flag: str, n_wanted: int) -> DataFrame:
         wanted = params.select(
             "task_id", "start_date", "end_date", F.explode(list_col).alias("wanted")
         )
@@ -86,7 +96,7 @@ def task_sessions(action_log: DataFrame, params: DataFrame, ts_col: str = "ts")
             & (hits.action_date >= F.col("start_date"))
             & (hits.action_date < F.col("end_date"))
         )
-        return hits.join(_bounded(wanted), cond).select(
+        return hits.join(_bounded(wanted, n_wanted), cond).select(
             "task_id", "session_id",
             F.lit(None).cast("bigint").alias("user_id"),
             F.lit(None).cast("timestamp_ntz").alias("start_time"),
@@ -95,8 +105,8 @@ def task_sessions(action_log: DataFrame, params: DataFrame, ts_col: str = "ts")
             F.lit(flag == "kw").alias("kw"), F.lit(flag == "cat").alias("cat"),
         )
 
-    kw_rows = hit_rows("keywords", F.nullif(F.col("search_keyword"), F.lit("")), "kw")
-    cat_rows = hit_rows("category_ids", F.col("click_category_id").cast("string"), "cat")
+    kw_rows = hit_rows("keywords", F.nullif(F.col("search_keyword"), F.lit("")), "kw", env.n_keywords)
+    cat_rows = hit_rows("category_ids", F.col("click_category_id").cast("string"), "cat", env.n_categories)
 
     folded = (
         day_rows.unionByName(kw_rows).unionByName(cat_rows)
@@ -136,23 +146,22 @@ def multi_task_stats(action_log: DataFrame, user_dim: DataFrame, tasks: DataFram
         "task_id", "start_date", "end_date", "start_age", "end_age",
         "professionals", "cities", "sex", "keywords", "category_ids",
     )
-    missing = params.filter(F.col("start_date").isNull() | F.col("end_date").isNull()).select("task_id").limit(5).collect()
-    if missing:
-        ids = ", ".join(str(r.task_id) for r in missing)
-        raise ValueError(f"tasks without a valid startDate / endDate: {ids}")
+    env = task_profile(params)
+    if env.n_undated:
+        raise ValueError(f"{env.n_undated} task(s) without a valid startDate / endDate")
 
     counter_names = ["session_count"] + [f"n_{c}" for c in STAT_COLUMNS[1:]]
     zero_rows = params.select("task_id", *[F.lit(0).cast("bigint").alias(n) for n in counter_names])
 
-    sessions = task_sessions(action_log, params, ts_col)
-    if sessions is None:
+    if env.lo is None:
         counts = zero_rows
     else:
+        sessions = task_sessions(action_log, params, env, ts_col)
         task_side = params.select("task_id", *[F.col(c).alias(f"p_{c}") for c in (
             "start_age", "end_age", "professionals", "cities", "sex", "keywords", "category_ids")])
         kept = (
             attach_users(sessions, user_dim)
-            .join(_bounded(task_side), "task_id")
+            .join(_bounded(task_side, env.n_tasks), "task_id")
             .filter(_task_conditions())
         )
         counts = kept.groupBy("task_id").agg(*counter_aggs()).select("task_id", *counter_names)

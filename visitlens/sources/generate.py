@@ -39,6 +39,13 @@ MAX_STEPS = 101
 MINUTE_SECOND_SLOTS = 59 * 59
 
 
+def _spread(df: DataFrame) -> DataFrame:
+    """Seed tables are narrow and may sit in a few files while the output
+    is ~130x larger: spread the seeds over the cluster before expanding."""
+    par = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(par) if df.rdd.getNumPartitions() < par else df
+
+
 def _draw(n: int, *keys: Column | str) -> Column:
     """Deterministic integer in [0, n) from the keys."""
     return F.pmod(F.xxhash64(*[F.col(k) if isinstance(k, str) else k for k in keys]), F.lit(n))
@@ -72,7 +79,7 @@ def gen_actions(spark: SparkSession, sf_dir: str, day: dt.date = dt.date(2024, 1
                 seed: str = "actions") -> DataFrame:
     """One user draw per customer row, 10 sessions each."""
     s = F.lit(seed)
-    draws = read_table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("draw"))
+    draws = _spread(read_table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("draw")))
     sessions = draws.select(
         _draw(100, "draw", s, F.lit("user")).alias("user_id"),
         "draw",
@@ -109,7 +116,10 @@ def gen_actions(spark: SparkSession, sf_dir: str, day: dt.date = dt.date(2024, 1
     first_click = F.col("first_click")
     slot = F.pmod(F.col("slot_a") * F.col("k") + F.col("slot_b"), F.lit(MINUTE_SECOND_SLOTS))
     kind = F.col("kind")
-    rnd = lambda tag: _draw(100, sid, "k", s, F.lit(tag))
+
+    def rnd(tag: str) -> Column:
+        return _draw(100, sid, "k", s, F.lit(tag))
+
     return steps.select(
         F.lit(day.isoformat()).alias("date"),
         "user_id",
