@@ -1,0 +1,135 @@
+"""Column helpers against the edge cases of the analysed application."""
+
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from visitlens.functions import dates, numbers, strings
+
+
+def one(spark, col, value, schema="s string"):
+    return spark.createDataFrame([(value,)], schema).select(col.alias("r")).first().r
+
+
+@pytest.mark.parametrize("text,expected", [
+    ("a=", None), ("a=b=c", None), ("a=b=", "b"), ("=b", None), ("a=x|a=y", "x"),
+    ("a=|a=z", "z"), ("b=1|a=2|c=3", "2"), ("ab=1", None), ("", None), ("a==b|a=c", "c"),
+])
+def test_packed_field(spark, text, expected):
+    assert one(spark, strings.packed_field("s", "a"), text) == expected
+
+
+@pytest.mark.parametrize("text,expected", [
+    ("a=1|b=2", "a=9|b=2"), ("b=2|a=1|a=3", "b=2|a=9|a=3"), ("b=2", "b=2"),
+    ("a=1|b=2||", "a=9|b=2"), ("ab=1|a", "ab=1|a=9"), ("a=x=y|b", "a=9|b"), ("", ""),
+])
+def test_set_packed_field(spark, text, expected):
+    assert one(spark, strings.set_packed_field("s", "a", "9"), text) == expected
+
+
+def test_set_packed_field_value_with_regex_specials(spark):
+    assert one(spark, strings.set_packed_field("s", "a", "$1\\x"), "a=1") == "a=$1\\x"
+
+
+def test_pack_and_read_back(spark):
+    df = spark.createDataFrame([("click", 5, None)], "t string, u int, k int")
+    packed = df.select(strings.pack_fields({"t": F.col("t"), "u": F.col("u"), "k": F.col("k")}).alias("p"))
+    assert packed.first().p == "t=click|u=5|k=null"
+    assert packed.select(strings.packed_field("p", "u").alias("r")).first().r == "5"
+
+
+@pytest.mark.parametrize("text,expected", [("", "0"), ("7", "07"), ("12", "12"), ("123", "0123")])
+def test_zero_fill(spark, text, expected):
+    assert one(spark, strings.zero_fill_2("s"), text) == expected
+
+
+@pytest.mark.parametrize("text,expected", [(",,a,,", ",a,"), (",", ""), ("a,b", "a,b"), (",a", "a")])
+def test_trim_one_comma(spark, text, expected):
+    assert one(spark, strings.trim_one_comma("s"), text) == expected
+
+
+def test_blank_checks(spark):
+    df = spark.createDataFrame([(None,), ("",), ("x",)], "s string")
+    rows = df.select(strings.is_blank("s").alias("b"), strings.is_not_blank("s").alias("nb")).collect()
+    assert [(r.b, r.nb) for r in rows] == [(True, False), (True, False), (False, True)]
+
+
+@pytest.mark.parametrize("a,b,expected", [
+    ("1,2", "2,3", True), ("1,2", "3", False), ("a,", "b,", False), (None, "1", False), ("12", "1,2", False),
+])
+def test_lists_overlap(spark, a, b, expected):
+    df = spark.createDataFrame([(a, b)], "a string, b string")
+    assert df.select(strings.lists_overlap("a", "b").alias("r")).first().r is expected
+
+
+@pytest.mark.parametrize("num,den,expected", [
+    (3, 40, 0.07), (7, 40, 0.17), (17, 40, 0.42), (19, 40, 0.47), (1, 8, 0.13), (1, 200, 0.01),
+    (0, 5, 0.0), (5, 5, 1.0), (1, 3, 0.33), (2, 3, 0.67),
+])
+def test_ratio_half_up_on_binary_value(spark, num, den, expected):
+    df = spark.createDataFrame([(num, den)], "n bigint, d bigint")
+    assert df.select(numbers.safe_ratio("n", "d").alias("r")).first().r == expected
+
+
+def test_ratio_of_zero_sessions_is_null(spark):
+    df = spark.createDataFrame([(0, 0)], "n bigint, d bigint")
+    assert df.select(numbers.safe_ratio("n", "d").alias("r")).first().r is None
+
+
+def test_ratio_matches_java_bigdecimal_rule_on_all_small_pairs(spark):
+    from decimal import ROUND_HALF_UP, Decimal
+    pairs = [(c, n) for n in range(1, 121) for c in range(0, n + 1)]
+    df = spark.createDataFrame(pairs, "c bigint, n bigint")
+    got = {(r.c, r.n): r.r for r in df.select("c", "n", numbers.safe_ratio("c", "n").alias("r")).collect()}
+    for c, n in pairs:
+        want = float(Decimal(c / n).quantize(Decimal("0.01"), rounding=ROUND_HALF_UP))
+        assert got[(c, n)] == want, (c, n)
+
+
+def test_parse_time_accepts_unpadded_hour_and_rejects_junk(spark):
+    df = spark.createDataFrame([("2018-02-07 9:05:03",), ("2018-02-07 09:05:03",), ("2018-02-07 9:05:03x",), ("junk",)], "s string")
+    got = [r.t for r in df.select(dates.parse_time("s").alias("t")).collect()]
+    assert got[0] == got[1] == dt.datetime(2018, 2, 7, 9, 5, 3)
+    assert got[2] is None and got[3] is None
+
+
+def test_text_time_comparisons(spark):
+    df = spark.createDataFrame([("2024-01-01 10:00:00", "2024-01-01 9:59:00"), ("bad", "2024-01-01 00:00:00")], "a string, b string")
+    rows = df.select(dates.is_before("a", "b").alias("lt"), dates.is_after("a", "b").alias("gt"),
+                     dates.minus_seconds("a", "b").alias("d")).collect()
+    assert [(r.lt, r.gt, r.d) for r in rows] == [(False, True, 60), (False, False, 0)]
+
+
+def test_minus_seconds_out_of_int_range_is_zero(spark):
+    df = spark.createDataFrame([("2100-01-01 00:00:00", "1990-01-01 00:00:00")], "a string, b string")
+    assert df.select(dates.minus_seconds("a", "b").alias("d")).first().d == 0
+
+
+def test_date_keys(spark):
+    ts = dt.datetime(2024, 1, 5, 7, 8, 9)
+    df = spark.createDataFrame([(ts, "2024-01-05 7:08:09", "20240105", "2024010x")],
+                               "t timestamp_ntz, txt string, k string, bad string")
+    r = df.select(
+        dates.format_date("t").alias("d"), dates.format_time("t").alias("tm"),
+        dates.format_date_key("t").alias("dk"), dates.format_minute_key("t").alias("mk"),
+        dates.date_hour_key("txt").alias("hk"), dates.parse_date_key("k").alias("pk"),
+        dates.parse_date_key("bad").alias("pb"), dates.previous_day(F.to_date("t")).alias("pd"),
+        dates.epoch_seconds("t").alias("es"),
+    ).first()
+    assert (r.d, r.tm, r.dk, r.mk, r.hk) == ("2024-01-05", "2024-01-05 07:08:09", "20240105", "202401050708", "2024-01-05_7")
+    assert r.pk == dt.date(2024, 1, 5) and r.pb is None and r.pd == dt.date(2024, 1, 4)
+    assert r.es == int((ts - dt.datetime(1970, 1, 1)).total_seconds())
+
+
+def test_json_helpers(spark):
+    from visitlens.functions import json as J
+    df = spark.createDataFrame([('{"product_status": 1}', "[{'a': '1', 'b': 'x'}, {'a': '2'}]",
+                                 '{"cities": ["c1,c2"], "sex": [], "x": [""]}')], "e string, arr string, p string")
+    r = df.select(J.json_int_field("e", "product_status").alias("st"),
+                  F.size(J.json_objects("arr")).alias("n"),
+                  J.first_param(J.param_map("p"), "cities").alias("c"),
+                  J.first_param(J.param_map("p"), "sex").alias("s"),
+                  J.first_param(J.param_map("p"), "x").alias("x"),
+                  J.first_param(J.param_map("p"), "absent").alias("a")).first()
+    assert (r.st, r.n, r.c, r.s, r.x, r.a) == (1, 2, "c1,c2", None, None, None)

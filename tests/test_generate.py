@@ -1,0 +1,43 @@
+"""Generator rules (hash-seeded, so checked by property)."""
+
+from pyspark.sql import functions as F
+
+from conftest import SF_SMALL
+from visitlens.sources.generate import SEARCH_KEYWORDS, gen_actions, gen_products, gen_users
+
+
+def test_gen_actions_rules(spark):
+    a = gen_actions(spark, SF_SMALL).cache()
+    per = a.groupBy("session_id").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.countDistinct("action_time").alias("distinct_times"),
+        F.countDistinct("user_id").alias("users"),
+        F.countDistinct("click_category_id").alias("cats"),
+    )
+    s = per.agg(F.min("n"), F.max("n"), F.avg("n"), F.count(F.lit(1)),
+                F.sum((F.col("distinct_times") != F.col("n")).cast("int")),
+                F.max("users"), F.max("cats")).first()
+    n_draws = spark.read.parquet(f"{SF_SMALL}/customer.parquet").count()
+    assert s[3] == 10 * n_draws
+    assert 2 <= s[0] and s[1] <= 101 and 10 < s[2] < 17
+    assert s[4] == 0 and s[5] == 1 and s[6] <= 1
+    kinds = a.select(
+        F.count_if(F.col("search_keyword").isNotNull() & F.col("click_product_id").isNotNull()).alias("both"),
+        F.count_if(~F.col("search_keyword").isin(list(SEARCH_KEYWORDS))).alias("bad_kw"),
+        F.count_if(~F.col("action_time").rlike(r"^\d{4}-\d{2}-\d{2} (\d|1\d|2[0-2]):[0-5]\d:[0-5]\d$")).alias("bad_time"),
+        F.max("page_id").alias("pmax"), F.max("city_id").alias("cmax"),
+    ).first()
+    assert kinds.both == 0 and kinds.bad_kw == 0 and kinds.bad_time == 0
+    assert kinds.pmax <= 9 and kinds.cmax <= 9
+    again = gen_actions(spark, SF_SMALL)
+    assert again.exceptAll(a).count() == 0
+    a.unpersist()
+
+
+def test_gen_users_and_products(spark):
+    u = gen_users(spark, SF_SMALL)
+    r = u.agg(F.min("age"), F.max("age"), F.countDistinct("sex"), F.count(F.lit(1))).first()
+    assert 0 <= r[0] and r[1] <= 59 and r[2] == 2
+    p = gen_products(spark, SF_SMALL)
+    st = p.select(F.get_json_object("extend_info", "$.product_status").alias("s")).distinct().collect()
+    assert sorted(x.s for x in st) == ["0", "1"]
