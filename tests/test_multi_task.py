@@ -48,3 +48,10 @@ def test_undated_task_is_rejected(spark):
     rows = [(1, "x", task_param_json(startDate="2024-01-01"))]
     with pytest.raises(ValueError):
         multi_task_stats(actions(spark, SF_SMALL), users(spark, SF_SMALL), task_table(spark, rows))
+
+
+def test_bitmask_and_hit_row_paths_agree(spark):
+    log, dim, tasks = actions(spark, SF_SMALL, "g", "dense"), users(spark, SF_SMALL), task_table(spark)
+    fast = sorted(multi_task_stats(log, dim, tasks).collect())
+    exact = sorted(multi_task_stats(log, dim, tasks, mask_limit=1).collect())
+    assert fast == exact

@@ -8,11 +8,13 @@ is matched against the log at once:
    combinable, and every task range is a whole number of days, so these
    partials are all a task needs.  Partial aggregation runs before the
    shuffle, so a hot session or day reaches its reducer pre-combined.
-3. Tasks are exploded to (task_id, day) rows and equi-joined with the
-   daily partials.  Keyword and category conditions become hit rows:
-   log rows joined with the exploded (task_id, keyword) list.
-4. One union + one ``groupBy(task_id, session_id)`` folds day partials
-   and hit flags into per-task sessions (no join between them).
+3. Keyword and category conditions ride along in the same aggregate as
+   bit masks over the (small, counted) vocabulary of all tasks' lists, so
+   the log is scanned once; beyond 64 values, exact hit rows from a join
+   of the log with the exploded (task_id, value) lists are used instead.
+4. Tasks are exploded to (task_id, day) rows carrying their own masks and
+   equi-joined with the daily partials; one ``groupBy(task_id,
+   session_id)`` folds days (and any hit rows) into per-task sessions.
 5. Sessions join users (size-checked broadcast, else sort-merge with AQE
    skew handling), then the task's own parameters (small, size-checked);
    every condition is ``parameter IS NULL OR test``.
@@ -34,6 +36,9 @@ from visitlens.sources.tasks import parse_tasks
 # are analyst-made (tens to thousands of rows); beyond this the joins fall
 # back to shuffled joins, which AQE splits when skewed.
 MAX_BROADCAST_ROWS = 2_000_000
+# Distinct keyword (or category) values across all tasks that still fit
+# the one-scan bit-mask path: one bigint of flags per (session, day).
+MASK_BITS = 64
 
 
 def _bounded(df: DataFrame, rows: int, limit: int = MAX_BROADCAST_ROWS) -> DataFrame:
@@ -57,20 +62,64 @@ def task_profile(params: DataFrame):
     ).first()
 
 
-def task_sessions(action_log: DataFrame, params: DataFrame, env, ts_col: str = "ts") -> DataFrame:
+def _vocabulary(params: DataFrame, list_col: str, n_entries: int, limit: int):
+    """Sorted distinct values of all tasks' ``list_col`` lists, or None
+    when there are more than ``limit`` of them (a read of at most
+    limit + 1 short strings)."""
+    if n_entries == 0:
+        return []
+    rows = (params.select(F.explode(list_col).alias("v")).distinct()
+            .orderBy("v").limit(limit + 1).collect())
+    values = [r.v for r in rows]
+    return values if len(values) <= limit else None
+
+
+def _bit_of(value: Column, vocab) -> Column:
+    """bigint with the bit of ``value``'s position in ``vocab`` set (0 if absent)."""
+    pos = F.array_position(F.array(*[F.lit(v) for v in vocab]), value)
+    bits = F.array(*[F.lit((1 << i) - (1 << 64 if i == 63 else 0)).cast("bigint") for i in range(len(vocab))])
+    return F.when(pos > 0, F.element_at(bits, pos.cast("int"))).otherwise(F.lit(0).cast("bigint"))
+
+
+def _mask_of(list_col: str, vocab) -> Column:
+    """OR of the bits of every value in a task's list."""
+    bits = F.transform(F.coalesce(F.col(list_col), F.array().cast("array<string>")), lambda v: _bit_of(v, vocab))
+    return F.aggregate(bits, F.lit(0).cast("bigint"), lambda acc, b: acc.bitwiseOR(b))
+
+
+def task_sessions(action_log: DataFrame, params: DataFrame, env, ts_col: str = "ts",
+                  mask_limit: int = MASK_BITS) -> DataFrame:
     """(task_id, session_id, user_id, visit_length, step_length,
     keyword_hit, category_hit) for every session with actions in a task's
-    range.  ``env`` is the task_profile() row."""
+    range.  ``env`` is the task_profile() row.
+
+    Keyword / category conditions: when all tasks together name at most
+    ``mask_limit`` distinct values, each action sets one bit of a bigint
+    mask that the per-(session, day) aggregate ORs together (``bit_or``
+    keeps it a plain hash aggregate), so the log is scanned once.  With
+    more values, hit rows come from a join of the log with the exploded
+    (task, value) lists instead (exact, one more scan per kind).
+    """
     lo = F.lit(f"{env.lo.isoformat()} 00:00:00").cast("timestamp_ntz")
     hi = F.lit(f"{env.hi.isoformat()} 00:00:00").cast("timestamp_ntz")
     log = action_log.filter((F.col(ts_col) >= lo) & (F.col(ts_col) < hi))
 
-    daily = log.groupBy("session_id", "action_date").agg(
+    kinds = {
+        "kw": ("keywords", F.nullif(F.col("search_keyword"), F.lit("")), env.n_keywords),
+        "cat": ("category_ids", F.col("click_category_id").cast("string"), env.n_categories),
+    }
+    vocab = {k: _vocabulary(params, lst, n, mask_limit) for k, (lst, _v, n) in kinds.items()}
+
+    aggs = [
         F.min("user_id").alias("user_id"),
         F.min("action_time").alias("start_time"),
         F.max("action_time").alias("end_time"),
         F.count(F.lit(1)).alias("steps"),
-    )
+    ]
+    masks = [k for k in kinds if vocab[k]]
+    aggs += [F.bit_or(_bit_of(kinds[k][1], vocab[k])).alias(f"{k}_mask") for k in masks]
+    daily = log.groupBy("session_id", "action_date").agg(*aggs)
+
     task_days = params.select(
         "task_id",
         F.explode(
@@ -78,13 +127,21 @@ def task_sessions(action_log: DataFrame, params: DataFrame, env, ts_col: str = "
                    F.sequence("start_date", F.date_sub("end_date", 1)))
             .otherwise(F.array().cast("array<date>"))
         ).alias("action_date"),
+        *[_mask_of(kinds[k][0], vocab[k]).alias(f"{k}_want") for k in masks],
     )
+
+    def flag(k: str) -> Column:
+        if k in masks:
+            return F.col(f"{k}_mask").bitwiseAND(F.col(f"{k}_want")) != 0
+        return F.lit(False)
+
     day_rows = daily.join(_bounded(task_days, env.n_task_days), "action_date").select(
         "task_id", "session_id", "user_id", "start_time", "end_time", "steps",
-        F.lit(False).alias("kw"), F.lit(False).alias("cat"),
+        flag("kw").alias("kw"), flag("cat").alias("cat"),
     )
 
-    def hit_rows(list_col: str, data_col: Column, flag: str, n_wanted: int) -> DataFrame:
+    def hit_rows(k: str) -> DataFrame:
+        list_col, data_col, n_wanted = kinds[k]
         wanted = params.select(
             "task_id", "start_date", "end_date", F.explode(list_col).alias("wanted")
         )
@@ -102,15 +159,16 @@ def task_sessions(action_log: DataFrame, params: DataFrame, env, ts_col: str = "
             F.lit(None).cast("timestamp_ntz").alias("start_time"),
             F.lit(None).cast("timestamp_ntz").alias("end_time"),
             F.lit(0).cast("bigint").alias("steps"),
-            F.lit(flag == "kw").alias("kw"), F.lit(flag == "cat").alias("cat"),
+            F.lit(k == "kw").alias("kw"), F.lit(k == "cat").alias("cat"),
         )
 
-    kw_rows = hit_rows("keywords", F.nullif(F.col("search_keyword"), F.lit("")), "kw", env.n_keywords)
-    cat_rows = hit_rows("category_ids", F.col("click_category_id").cast("string"), "cat", env.n_categories)
+    rows = day_rows
+    for k in kinds:
+        if vocab[k] is None:
+            rows = rows.unionByName(hit_rows(k))
 
     folded = (
-        day_rows.unionByName(kw_rows).unionByName(cat_rows)
-        .groupBy("task_id", "session_id")
+        rows.groupBy("task_id", "session_id")
         .agg(
             F.min("user_id").alias("user_id"),
             F.min("start_time").alias("start_time"),
@@ -140,7 +198,7 @@ def _task_conditions() -> Column:
 
 
 def multi_task_stats(action_log: DataFrame, user_dim: DataFrame, tasks: DataFrame,
-                     ts_col: str = "ts") -> DataFrame:
+                     ts_col: str = "ts", mask_limit: int = MASK_BITS) -> DataFrame:
     """task_id, session_count and the 15 ratios, one row per task."""
     params = parse_tasks(tasks).select(
         "task_id", "start_date", "end_date", "start_age", "end_age",
@@ -156,7 +214,7 @@ def multi_task_stats(action_log: DataFrame, user_dim: DataFrame, tasks: DataFram
     if env.lo is None:
         counts = zero_rows
     else:
-        sessions = task_sessions(action_log, params, env, ts_col)
+        sessions = task_sessions(action_log, params, env, ts_col, mask_limit)
         task_side = params.select("task_id", *[F.col(c).alias(f"p_{c}") for c in (
             "start_age", "end_age", "professionals", "cities", "sex", "keywords", "category_ids")])
         kept = (
