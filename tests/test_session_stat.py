@@ -139,3 +139,22 @@ def test_task_params_parse_lists_and_blanks(spark):
     assert p.start_age is None and p.end_age == 9
     assert p.cities == ("a", "b") and p.sex is None and p.keywords is None
     assert p.category_ids == ("3", "14")
+
+
+def test_generated_log_in_application_layout_runs_end_to_end(spark):
+    """Generated mock data (text dates and times) through the adapter."""
+    from pyspark.sql import functions as F
+
+    from conftest import SF_SMALL
+    from visitlens.sources.generate import gen_actions, gen_users
+    from visitlens.sources.tables import from_reference_layout
+
+    log = from_reference_layout(gen_actions(spark, SF_SMALL, day=dt.date(2024, 1, 15)))
+    dim = gen_users(spark, SF_SMALL)
+    p = TaskParams(dt.date(2024, 1, 15), dt.date(2024, 1, 16))
+    r = run_session_task(log, dim, p, 1, ts_col=None).first()
+    n_sessions = log.select("session_id").distinct().count()
+    assert r.session_count == n_sessions  # generated user ids all exist
+    steps = [r[f"step_{name}"] for name, _l, _h in STEP_BUCKETS]
+    assert abs(sum(steps) - 1.0) <= 0.005 * len(steps)  # every session is in one step bucket
+    assert log.filter(F.col("action_time").isNull()).count() == 0

@@ -100,9 +100,13 @@ def task_sessions(action_log: DataFrame, params: DataFrame, env, ts_col: str = "
     more values, hit rows come from a join of the log with the exploded
     (task, value) lists instead (exact, one more scan per kind).
     """
-    lo = F.lit(f"{env.lo.isoformat()} 00:00:00").cast("timestamp_ntz")
-    hi = F.lit(f"{env.hi.isoformat()} 00:00:00").cast("timestamp_ntz")
-    log = action_log.filter((F.col(ts_col) >= lo) & (F.col(ts_col) < hi))
+    if ts_col:
+        lo = F.lit(f"{env.lo.isoformat()} 00:00:00").cast("timestamp_ntz")
+        hi = F.lit(f"{env.hi.isoformat()} 00:00:00").cast("timestamp_ntz")
+        log = action_log.filter((F.col(ts_col) >= lo) & (F.col(ts_col) < hi))
+    else:
+        d = F.col("action_date")
+        log = action_log.filter((d >= F.lit(env.lo)) & (d < F.lit(env.hi)))
 
     kinds = {
         "kw": ("keywords", F.nullif(F.col("search_keyword"), F.lit("")), env.n_keywords),

@@ -24,15 +24,19 @@ def build_session(
     app_name: str = "visitlens",
     shuffle_partitions: int | None = None,
     extra_conf: dict[str, str] | None = None,
+    hive: bool = False,
 ) -> SparkSession:
     """Get or create a session with the defaults above.
 
     ``master`` and ``shuffle_partitions`` are left to the cluster when not
     given (spark-submit decides them there); tests pass ``local[*]`` / 8.
+    ``hive=True`` reads catalog tables from the Hive metastore.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
+    if hive:
+        builder = builder.enableHiveSupport()
     conf = dict(DEFAULT_CONF)
     if shuffle_partitions is not None:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)

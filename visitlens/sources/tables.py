@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from visitlens.functions.dates import epoch_minutes, from_epoch_seconds, truncate_to_second
+from visitlens.functions.dates import epoch_minutes, from_epoch_seconds, parse_time, truncate_to_second
 
 ACTION_COLUMNS = (
     "action_date", "user_id", "session_id", "page_id", "action_time",
@@ -40,6 +40,21 @@ def catalog_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(name)
 
 
+def from_reference_layout(log: DataFrame) -> DataFrame:
+    """Adapt an action log in the application's own layout (``date`` as
+    ``yyyy-MM-dd`` text, ``action_time`` as ``yyyy-MM-dd H:mm:ss`` text)
+    to the typed columns the operators use.  Unparsable times become
+    NULL: such actions still count as steps but do not move a session's
+    start or end.  Date cuts then go on ``action_date`` (pass
+    ``ts_col=None`` to the jobs)."""
+    others = [c for c in log.columns if c not in ("date", "action_time")]
+    return log.select(
+        F.to_date("date", "yyyy-MM-dd").alias("action_date"),
+        parse_time("action_time").cast("timestamp_ntz").alias("action_time"),
+        *others,
+    )
+
+
 def _grain_days(grain: str) -> Column:
     if grain == "g":
         return F.col("user_id") % 30 + 1

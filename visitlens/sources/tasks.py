@@ -130,3 +130,18 @@ def load_task(tasks: DataFrame, task_id: int) -> TaskParams:
         professionals=tup(r.professionals), cities=tup(r.cities), sex=r.sex,
         keywords=tup(r.keywords), category_ids=tup(r.category_ids),
     )
+
+
+def read_tasks(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+    """A task table stored as files (task_id, task_name, task_param, ...)."""
+    return spark.read.format(fmt).load(path).select("task_id", "task_name", "task_param")
+
+
+def read_tasks_jdbc(spark: SparkSession, url: str, table: str, properties: dict[str, str],
+                    task_ids=None) -> DataFrame:
+    """The task table of a relational database.  A filter on ``task_id``
+    is pushed into the database query by Spark's JDBC source."""
+    tasks = spark.read.jdbc(url, table, properties=properties).select("task_id", "task_name", "task_param")
+    if task_ids is not None:
+        tasks = tasks.filter(F.col("task_id").isin(list(task_ids)))
+    return tasks
