@@ -1,6 +1,6 @@
 """Command-line job: compute and store the statistics rows of tasks.
 
-    spark-submit -m visitlens.job --tasks <task table> --out <stats path> [--task-id N ...]
+    spark-submit --py-files visitlens.zip visitlens/job.py --tasks <task table> --out <stats path> [--task-id N ...]
 
 Production tables are read from the catalog (``--actions-table`` /
 ``--users-table``, Hive when ``--hive``); ``--sf-dir`` reads the test

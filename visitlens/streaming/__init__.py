@@ -1,0 +1,8 @@
+"""Streaming.
+
+The analysed application is a batch job only: it configures a message
+topic and lists streaming libraries, but no code reads a stream, keeps
+state, or uses watermarks.  Nothing is built here on purpose (see the
+README, "Not built"); every job in ``visitlens.plans`` is a batch
+DataFrame job.
+"""
