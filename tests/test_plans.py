@@ -41,3 +41,15 @@ def test_no_python_udfs_anywhere(spark):
         text = plan_text(fn(spark, SF_SMALL))
         for node in ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas", "PythonUDF"):
             assert node not in text, (name, node)
+
+
+def test_multi_task_scans_the_log_once(spark):
+    text = plan_text(QUERIES["multi_task_stats"](spark, SF_SMALL))
+    physical = text.split("\n\n")[0]
+    assert physical.count("Scan parquet") == 3  # events once, customer, nation
+    assert "SortAggregate" not in physical and "ObjectHashAggregate" not in physical
+
+
+def test_sql_entry_binds_parameters_and_pushes_them(spark):
+    text = plan_text(QUERIES["sql_action_range"](spark, SF_SMALL))
+    assert "GreaterThanOrEqual(ts,2024-01-03T00:00)" in text

@@ -158,3 +158,11 @@ def test_generated_log_in_application_layout_runs_end_to_end(spark):
     steps = [r[f"step_{name}"] for name, _l, _h in STEP_BUCKETS]
     assert abs(sum(steps) - 1.0) <= 0.005 * len(steps)  # every session is in one step bucket
     assert log.filter(F.col("action_time").isNull()).count() == 0
+
+
+def test_profession_from_city_compat_switch(spark):
+    rows = [action("a", 1), action("b", 2)]
+    users = [user(1, professional="teacher", city="paris"), user(2, professional="paris", city="rome")]
+    p = TaskParams(DAY, DAY + dt.timedelta(days=1), professionals=("paris",))
+    compat = kept_sessions(make_actions(spark, rows), make_users(spark, users), p, profession_from_city=True)
+    assert [r.session_id for r in compat.collect()] == ["a"]

@@ -77,14 +77,18 @@ def session_rollup(
     return rolled.withColumn("visit_length", seconds_between("start_time", "end_time"))
 
 
-def attach_users(sessions: DataFrame, users: DataFrame) -> DataFrame:
+def attach_users(sessions: DataFrame, users: DataFrame, profession_from_city: bool = False) -> DataFrame:
     """Inner equi-join on user_id: sessions of unknown users vanish; a
     duplicated user id would repeat the session.
 
+    ``profession_from_city=True`` reproduces the analysed application,
+    which fills the profession attribute from the city field.
+
     No broadcast hint: Catalyst broadcasts the user side only when its
     estimated size is under ``spark.sql.autoBroadcastJoinThreshold`` and
     AQE re-checks it at run time; beyond it the join is a sort-merge
     join whose skewed partitions AQE splits.
     """
-    attrs = users.select("user_id", "age", "professional", "city", "sex")
+    prof = F.col("city") if profession_from_city else F.col("professional")
+    attrs = users.select("user_id", "age", prof.alias("professional"), "city", "sex")
     return sessions.join(attrs, "user_id", "inner")

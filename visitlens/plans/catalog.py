@@ -63,6 +63,7 @@ QUERIES: dict[str, Query] = {
     "packed_attr_rollup": tj.packed_attr_rollup_q,
     "list_column_rollup": tj.list_column_rollup_q,
     "param_sql": tj.param_sql_q,
+    "sql_action_range": tj.sql_action_range_q,
     "product_status": tj.product_status_q,
     "json_props_rollup": tj.json_props_rollup_q,
     # Generators: hash-seeded, so only row counts are checked (no SQL twin).

@@ -399,6 +399,10 @@ def oracle_queries() -> dict[str, str]:
         f"WHERE list_has_any(ids, {lf})) x GROUP BY element")
     q["param_sql"] = (
         "SELECT user_id, CAST(count(*) AS BIGINT) AS n FROM events WHERE event_type = 'purchase' GROUP BY user_id")
+    q["sql_action_range"] = _with(actions_cte()) + (
+        "SELECT session_id, CAST(count(*) AS BIGINT) AS n, min(action_time) AS first_time FROM actions "
+        "WHERE ts >= TIMESTAMP '2024-01-03 00:00:00' AND ts < TIMESTAMP '2024-01-28 00:00:00' "
+        "GROUP BY session_id")
     q["product_status"] = (
         "SELECT CAST(p_partkey % 2 AS BIGINT) AS product_status, CAST(count(*) AS BIGINT) AS n "
         "FROM part GROUP BY 1")

@@ -31,18 +31,20 @@ FLAGSHIP_UNIT = "dense"
 
 
 def kept_sessions(action_log: DataFrame, user_dim: DataFrame, params: TaskParams,
-                  ts_col: str | None = "ts") -> DataFrame:
+                  ts_col: str | None = "ts", profession_from_city: bool = False) -> DataFrame:
     """Sessions of the task's date range that pass all its conditions,
     with user attributes attached."""
     in_range = action_log.filter(date_range(params.start_date, params.end_date, ts_col))
     sessions = session_rollup(in_range, keywords=params.keywords, category_ids=params.category_ids)
-    return attach_users(sessions, user_dim).filter(session_filter(params, flags=True))
+    joined = attach_users(sessions, user_dim, profession_from_city)
+    return joined.filter(session_filter(params, flags=True))
 
 
 def run_session_task(action_log: DataFrame, user_dim: DataFrame, params: TaskParams,
-                     task_id: int, ts_col: str | None = "ts") -> DataFrame:
+                     task_id: int, ts_col: str | None = "ts",
+                     profession_from_city: bool = False) -> DataFrame:
     """task_id, session_count and the 15 ratios for one task."""
-    stat = aggr_stat(kept_sessions(action_log, user_dim, params, ts_col))
+    stat = aggr_stat(kept_sessions(action_log, user_dim, params, ts_col, profession_from_city))
     return stat.select(F.lit(task_id).cast("bigint").alias("task_id"), *STAT_COLUMNS)
 
 

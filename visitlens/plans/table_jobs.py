@@ -16,7 +16,7 @@ from visitlens.functions.strings import (
     is_blank, lists_overlap, pack_fields, packed_field, set_packed_field,
     split_list, trim_one_comma, zero_fill_2,
 )
-from visitlens.sources.tables import actions, products, read_table
+from visitlens.sources.tables import actions, products, read_table, register_views
 
 # Fixed test parameters.
 SHIP_DEADLINE_DAYS = 60
@@ -154,6 +154,20 @@ def param_sql_q(spark, sf):
     )
 
 
+def sql_action_range_q(spark, sf):
+    """The application's SQL entry: the action log registered as the view
+    ``user_visit_action`` and cut to a date range by SQL text, with the
+    bounds bound as parameters (typed, so they reach the parquet scan)."""
+    register_views(spark, sf)
+    return spark.sql(
+        "SELECT session_id, count(*) AS n, min(action_time) AS first_time "
+        "FROM user_visit_action "
+        "WHERE ts >= CAST(:start AS TIMESTAMP_NTZ) AND ts < CAST(:end AS TIMESTAMP_NTZ) "
+        "GROUP BY session_id",
+        args={"start": "2024-01-03 00:00:00", "end": "2024-01-28 00:00:00"},
+    )
+
+
 def product_status_q(spark, sf):
     p = products(spark, sf).select(json_int_field("extend_info", "product_status").alias("product_status"))
     return p.groupBy("product_status").agg(F.count(F.lit(1)).alias("n"))
