@@ -53,3 +53,13 @@ def test_multi_task_scans_the_log_once(spark):
 def test_sql_entry_binds_parameters_and_pushes_them(spark):
     text = plan_text(QUERIES["sql_action_range"](spark, SF_SMALL))
     assert "GreaterThanOrEqual(ts,2024-01-03T00:00)" in text
+
+
+def test_session_aggregate_is_partial_before_its_shuffle(spark):
+    """A hot session reaches its reducer as one partial row per map task."""
+    text = plan_text(session_aggr_stat(spark, SF_SMALL))
+    nodes = text.split("\n\n")
+    partial = [n for n in nodes if n.lstrip().startswith("(") and "HashAggregate" in n.splitlines()[0]
+               and "partial_min(user_id" in n]
+    assert partial, "no partial session aggregate below the exchange"
+    assert "hashpartitioning(session_id" in text
