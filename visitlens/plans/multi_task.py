@@ -26,6 +26,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from visitlens.functions.dates import seconds_between
 from visitlens.operators.sessions import attach_users
@@ -62,16 +63,24 @@ def task_profile(params: DataFrame):
     ).first()
 
 
-def _vocabulary(params: DataFrame, list_col: str, n_entries: int, limit: int):
-    """Sorted distinct values of all tasks' ``list_col`` lists, or None
-    when there are more than ``limit`` of them (a read of at most
-    limit + 1 short strings)."""
-    if n_entries == 0:
-        return []
-    rows = (params.select(F.explode(list_col).alias("v")).distinct()
-            .orderBy("v").limit(limit + 1).collect())
-    values = [r.v for r in rows]
-    return values if len(values) <= limit else None
+def _vocabularies(params: DataFrame, kinds: dict, limit: int) -> dict:
+    """Sorted distinct values of all tasks' lists, per kind, in one small
+    job; None for a kind with more than ``limit`` values.  The driver reads
+    at most limit + 1 short strings per kind."""
+    wanted = [k for k, (_lst, _v, n) in kinds.items() if n]
+    out = {k: [] for k in kinds}
+    if not wanted:
+        return out
+    parts = [params.select(F.lit(k).alias("kind"), F.explode(kinds[k][0]).alias("v")) for k in wanted]
+    values = parts[0]
+    for part in parts[1:]:
+        values = values.unionByName(part)
+    rank = F.row_number().over(Window.partitionBy("kind").orderBy("v"))
+    rows = values.distinct().withColumn("r", rank).filter(F.col("r") <= limit + 1).collect()
+    for k in wanted:
+        vals = sorted(r.v for r in rows if r.kind == k)
+        out[k] = vals if len(vals) <= limit else None
+    return out
 
 
 def _bit_of(value: Column, vocab) -> Column:
@@ -112,7 +121,7 @@ def task_sessions(action_log: DataFrame, params: DataFrame, env, ts_col: str = "
         "kw": ("keywords", F.nullif(F.col("search_keyword"), F.lit("")), env.n_keywords),
         "cat": ("category_ids", F.col("click_category_id").cast("string"), env.n_categories),
     }
-    vocab = {k: _vocabulary(params, lst, n, mask_limit) for k, (lst, _v, n) in kinds.items()}
+    vocab = _vocabularies(params, kinds, mask_limit)
 
     aggs = [
         F.min("user_id").alias("user_id"),
