@@ -166,3 +166,13 @@ def test_profession_from_city_compat_switch(spark):
     p = TaskParams(DAY, DAY + dt.timedelta(days=1), professionals=("paris",))
     compat = kept_sessions(make_actions(spark, rows), make_users(spark, users), p, profession_from_city=True)
     assert [r.session_id for r in compat.collect()] == ["a"]
+
+
+def test_bad_time_text_counts_as_step_but_not_in_span(spark):
+    from visitlens.operators.sessions import session_rollup
+    from visitlens.sources.tables import from_reference_layout
+    rows = [("2018-02-07", 1, "s", "2018-02-07 9:05:03"), ("2018-02-07", 1, "s", "2018-02-07 9:06:03"),
+            ("2018-02-07", 1, "s", "2018-02-07 25:61:61"), ("2018-02-07", 1, "s", "junk")]
+    log = from_reference_layout(spark.createDataFrame(rows, "date string, user_id bigint, session_id string, action_time string"))
+    r = session_rollup(log, with_time_audit=True).first()
+    assert (r.step_length, r.visit_length, r.bad_time_rows) == (4, 60, 2)

@@ -46,6 +46,7 @@ def session_rollup(
     with_sets: bool = False,
     keywords=None,
     category_ids=None,
+    with_time_audit: bool = False,
     extra_aggs: tuple[Column, ...] = (),
 ) -> DataFrame:
     """One row per session: user, first / last action time, visit length
@@ -55,6 +56,8 @@ def session_rollup(
     yes/no answer against a fixed list is needed, pass ``keywords`` /
     ``category_ids`` instead: the session then carries a boolean flag and
     the aggregate stays a plain hash aggregate (no per-session sets).
+    ``with_time_audit`` adds ``bad_time_rows``, the session's actions
+    whose time is NULL (unparsable in the source text).
 
     The session's user is the smallest user id seen in it (the log is
     assumed to have one user per session).  Actions with a NULL time are
@@ -72,6 +75,8 @@ def session_rollup(
         aggs.append(keyword_hit(keywords))
     if category_ids is not None:
         aggs.append(category_hit(category_ids))
+    if with_time_audit:
+        aggs.append(F.count_if(F.col("action_time").isNull()).alias("bad_time_rows"))
     aggs += list(extra_aggs)
     rolled = actions.groupBy("session_id").agg(*aggs)
     return rolled.withColumn("visit_length", seconds_between("start_time", "end_time"))

@@ -348,7 +348,7 @@ def oracle_queries() -> dict[str, str]:
     import datetime as _dt
     prev_day = _dt.date.fromordinal(prev).isoformat()
     q["actions_previous_day"] = _with(actions_cte()) + (
-        "SELECT event_id, session_id, user_id, action_time, action_date FROM actions "
+        "SELECT event_id, session_id, user_id, action_time, strftime(action_date, '%Y-%m-%d') AS action_date FROM actions "
         f"WHERE ts >= TIMESTAMP '{prev_day} 00:00:00' AND ts < TIMESTAMP '{sq.RUN_DATE.isoformat()} 00:00:00'")
     q["preview_sessions"] = _session_sql(
         "SELECT session_id, user_id, start_time, end_time, visit_length, step_length FROM sessions "
@@ -377,7 +377,7 @@ def oracle_queries() -> dict[str, str]:
         "date_diff('second', o_orderdate, l_shipdate) AS s "
         "FROM lineitem JOIN orders ON l_orderkey = o_orderkey) j GROUP BY o_orderpriority")
     q["time_text_audit"] = (
-        "SELECT CAST(ts AS DATE) AS day, CAST(count_if(event_id % 17 <> 0) AS BIGINT) AS n_ok, "
+        "SELECT strftime(ts, '%Y-%m-%d') AS day, CAST(count_if(event_id % 17 <> 0) AS BIGINT) AS n_ok, "
         "CAST(count_if(event_id % 17 = 0) AS BIGINT) AS n_bad, "
         "CAST(count_if(event_id % 23 = 0) AS BIGINT) AS n_bad_key FROM events GROUP BY 1")
     blanks = "\nUNION ALL\n".join(

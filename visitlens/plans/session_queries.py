@@ -8,6 +8,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from visitlens.functions.dates import format_date
 from visitlens.functions.numbers import safe_ratio
 from visitlens.operators.filters import (
     age_between, all_of, any_of, date_range, equals, overlaps, user_conditions,
@@ -199,7 +200,8 @@ def actions_previous_day_q(spark, sf):
     """Actions of the day before a run date (passed in, not read from the clock)."""
     prev = RUN_DATE - dt.timedelta(days=1)
     log = actions(spark, sf).filter(date_range(prev, RUN_DATE))
-    return log.select("event_id", "session_id", "user_id", "action_time", "action_date")
+    return log.select("event_id", "session_id", "user_id", "action_time",
+                      format_date("action_date").alias("action_date"))
 
 
 def preview_sessions_q(spark, sf):

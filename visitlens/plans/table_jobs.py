@@ -88,7 +88,7 @@ def time_text_audit_q(spark, sf):
             .otherwise(format_time("ts")))
     key = F.when(eid % 23 == 0, F.concat(format_date_key("ts"), F.lit("?"))).otherwise(format_date_key("ts"))
     parsed = parse_time(text)
-    return ev.groupBy(F.to_date("ts").alias("day")).agg(
+    return ev.groupBy(format_date("ts").alias("day")).agg(
         F.count_if(parsed.isNotNull()).alias("n_ok"),
         F.count_if(parsed.isNull()).alias("n_bad"),
         F.count_if(parse_date_key(key).isNull()).alias("n_bad_key"),
