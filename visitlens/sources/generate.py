@@ -41,9 +41,9 @@ MINUTE_SECOND_SLOTS = 59 * 59
 
 def _spread(df: DataFrame) -> DataFrame:
     """Seed tables are narrow and may sit in a few files while the output
-    is ~130x larger: spread the seeds over the cluster before expanding."""
-    par = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(par) if df.rdd.getNumPartitions() < par else df
+    is ~130x larger: spread the (one-column) seeds round-robin over the
+    shuffle partitions before expanding."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
 def _draw(n: int, *keys: Column | str) -> Column:
