@@ -55,3 +55,19 @@ def test_bitmask_and_hit_row_paths_agree(spark):
     fast = sorted(multi_task_stats(log, dim, tasks).collect())
     exact = sorted(multi_task_stats(log, dim, tasks, mask_limit=1).collect())
     assert fast == exact
+
+
+def test_tasks_sharing_a_range_match_single_runs(spark):
+    rows = [
+        (1, "a", task_param_json(startDate="2024-01-02", endDate="2024-01-20")),
+        (2, "b", task_param_json(startDate="2024-01-02", endDate="2024-01-20", sex="female", keywords="kw3")),
+        (3, "c", task_param_json(startDate="2024-01-02", endDate="2024-01-20", categoryids="1,2,3,4,5")),
+        (4, "a again", task_param_json(startDate="2024-01-02", endDate="2024-01-20")),
+    ]
+    tasks = task_table(spark, rows)
+    log, dim = actions(spark, SF_SMALL, "g", "dense"), users(spark, SF_SMALL)
+    multi = {r.task_id: r for r in multi_task_stats(log, dim, tasks).collect()}
+    for tid in (1, 2, 3, 4):
+        single = session_aggr_stat(spark, SF_SMALL, task_id=tid, tasks=tasks).first()
+        assert multi[tid] == single, tid
+    assert multi[1][1:] == multi[4][1:]

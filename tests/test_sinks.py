@@ -6,7 +6,7 @@ from conftest import SF_SMALL
 from visitlens.plans.multi_task import multi_task_stats
 from visitlens.sources.sinks import to_output_layout, write_stats
 from visitlens.sources.tables import actions, users
-from visitlens.sources.tasks import read_tasks, task_table
+from visitlens.sources.tasks import SAMPLE_TASKS, read_tasks, task_table
 
 
 def test_output_layout_columns(spark):
@@ -32,4 +32,4 @@ def test_rerun_replaces_task_rows(spark):
 def test_task_table_round_trip(spark):
     path = tempfile.mkdtemp(prefix="visitlens-tasks-") + "/tasks"
     task_table(spark).write.parquet(path)
-    assert sorted(r.task_id for r in read_tasks(spark, path).collect()) == [1, 2, 3, 4, 5, 6]
+    assert sorted(r.task_id for r in read_tasks(spark, path).collect()) == [t[0] for t in SAMPLE_TASKS]

@@ -10,14 +10,16 @@ is matched against the log at once:
    shuffle, so a hot session or day reaches its reducer pre-combined.
 3. Keyword and category conditions ride along in the same aggregate as
    bit masks over the (small, counted) vocabulary of all tasks' lists, so
-   the log is scanned once; beyond 64 values, exact hit rows from a join
-   of the log with the exploded (task_id, value) lists are used instead.
-4. Tasks are exploded to (task_id, day) rows carrying their own masks and
-   equi-joined with the daily partials; one ``groupBy(task_id,
-   session_id)`` folds days (and any hit rows) into per-task sessions.
-5. Sessions join users (size-checked broadcast, else sort-merge with AQE
-   skew handling), then the task's own parameters (small, size-checked);
-   every condition is ``parameter IS NULL OR test``.
+   the log is scanned once; beyond 64 values, exact (task, session) hit
+   pairs from a join of the log with the exploded lists are used instead.
+4. Distinct task ranges are exploded to (range, day) rows and joined with
+   the daily partials; one ``groupBy(range, session)`` folds days into
+   sessions.  Sessions depend only on the range, so tasks that share a
+   range share this work.
+5. Sessions join users once per (range, session) (size-checked
+   broadcast, else sort-merge with AQE skew handling), then fan out to
+   the tasks of their range (broadcast, size-checked); every condition is
+   ``parameter IS NULL OR test``.
 6. Counters per task; a zero row per task is unioned in first, so a task
    with no session still gets its row (count 0, NULL ratios).
 """
@@ -96,107 +98,84 @@ def _mask_of(list_col: str, vocab) -> Column:
     return F.aggregate(bits, F.lit(0).cast("bigint"), lambda acc, b: acc.bitwiseOR(b))
 
 
-def task_sessions(action_log: DataFrame, params: DataFrame, env, ts_col: str = "ts",
-                  mask_limit: int = MASK_BITS) -> DataFrame:
-    """(task_id, session_id, user_id, visit_length, step_length,
-    keyword_hit, category_hit) for every session with actions in a task's
-    range.  ``env`` is the task_profile() row.
-
-    Keyword / category conditions: when all tasks together name at most
-    ``mask_limit`` distinct values, each action sets one bit of a bigint
-    mask that the per-(session, day) aggregate ORs together (``bit_or``
-    keeps it a plain hash aggregate), so the log is scanned once.  With
-    more values, hit rows come from a join of the log with the exploded
-    (task, value) lists instead (exact, one more scan per kind).
-    """
+def _cut_to_envelope(action_log: DataFrame, env, ts_col: str | None) -> DataFrame:
     if ts_col:
         lo = F.lit(f"{env.lo.isoformat()} 00:00:00").cast("timestamp_ntz")
         hi = F.lit(f"{env.hi.isoformat()} 00:00:00").cast("timestamp_ntz")
-        log = action_log.filter((F.col(ts_col) >= lo) & (F.col(ts_col) < hi))
-    else:
-        d = F.col("action_date")
-        log = action_log.filter((d >= F.lit(env.lo)) & (d < F.lit(env.hi)))
+        return action_log.filter((F.col(ts_col) >= lo) & (F.col(ts_col) < hi))
+    d = F.col("action_date")
+    return action_log.filter((d >= F.lit(env.lo)) & (d < F.lit(env.hi)))
 
-    kinds = {
+
+def _kinds(env) -> dict:
+    """Behaviour conditions: task list column, data value, list entries."""
+    return {
         "kw": ("keywords", F.nullif(F.col("search_keyword"), F.lit("")), env.n_keywords),
         "cat": ("category_ids", F.col("click_category_id").cast("string"), env.n_categories),
     }
-    vocab = _vocabularies(params, kinds, mask_limit)
 
-    aggs = [
+
+def range_sessions(log: DataFrame, params: DataFrame, env, vocab: dict) -> DataFrame:
+    """Sessions per distinct task date range: (start_date, end_date,
+    session_id, user_id, visit_length, step_length, <kind>_mask...).
+
+    Sessions depend only on the range (conditions are applied later), so
+    tasks sharing a range share this work.  Per (session, day) partials
+    are computed once (partial aggregation before the shuffle), joined
+    with the (range, day) rows and folded per (range, session).  Keyword
+    and category presence travel as ``bit_or`` masks over ``vocab``.
+    """
+    kinds = _kinds(env)
+    masks = [k for k in kinds if vocab[k]]
+    daily = log.groupBy("session_id", "action_date").agg(
         F.min("user_id").alias("user_id"),
         F.min("action_time").alias("start_time"),
         F.max("action_time").alias("end_time"),
         F.count(F.lit(1)).alias("steps"),
-    ]
-    masks = [k for k in kinds if vocab[k]]
-    aggs += [F.bit_or(_bit_of(kinds[k][1], vocab[k])).alias(f"{k}_mask") for k in masks]
-    daily = log.groupBy("session_id", "action_date").agg(*aggs)
-
-    task_days = params.select(
-        "task_id",
+        *[F.bit_or(_bit_of(kinds[k][1], vocab[k])).alias(f"{k}_mask") for k in masks],
+    )
+    range_days = params.select("start_date", "end_date").distinct().select(
+        "start_date", "end_date",
         F.explode(
             F.when(F.col("start_date") < F.col("end_date"),
                    F.sequence("start_date", F.date_sub("end_date", 1)))
             .otherwise(F.array().cast("array<date>"))
         ).alias("action_date"),
-        *[_mask_of(kinds[k][0], vocab[k]).alias(f"{k}_want") for k in masks],
-    )
-
-    def flag(k: str) -> Column:
-        if k in masks:
-            return F.col(f"{k}_mask").bitwiseAND(F.col(f"{k}_want")) != 0
-        return F.lit(False)
-
-    day_rows = daily.join(_bounded(task_days, env.n_task_days), "action_date").select(
-        "task_id", "session_id", "user_id", "start_time", "end_time", "steps",
-        flag("kw").alias("kw"), flag("cat").alias("cat"),
     )
-
-    def hit_rows(k: str) -> DataFrame:
-        list_col, data_col, n_wanted = kinds[k]
-        wanted = params.select(
-            "task_id", "start_date", "end_date", F.explode(list_col).alias("wanted")
-        )
-        hits = log.select("session_id", "action_date", data_col.alias("value")).filter(
-            F.col("value").isNotNull()
-        )
-        cond = (
-            (hits.value == F.col("wanted"))
-            & (hits.action_date >= F.col("start_date"))
-            & (hits.action_date < F.col("end_date"))
-        )
-        return hits.join(_bounded(wanted, n_wanted), cond).select(
-            "task_id", "session_id",
-            F.lit(None).cast("bigint").alias("user_id"),
-            F.lit(None).cast("timestamp_ntz").alias("start_time"),
-            F.lit(None).cast("timestamp_ntz").alias("end_time"),
-            F.lit(0).cast("bigint").alias("steps"),
-            F.lit(k == "kw").alias("kw"), F.lit(k == "cat").alias("cat"),
-        )
-
-    rows = day_rows
-    for k in kinds:
-        if vocab[k] is None:
-            rows = rows.unionByName(hit_rows(k))
-
     folded = (
-        rows.groupBy("task_id", "session_id")
+        daily.join(_bounded(range_days, env.n_task_days), "action_date")
+        .groupBy("start_date", "end_date", "session_id")
         .agg(
             F.min("user_id").alias("user_id"),
             F.min("start_time").alias("start_time"),
             F.max("end_time").alias("end_time"),
             F.sum("steps").alias("step_length"),
-            F.bool_or("kw").alias("keyword_hit"),
-            F.bool_or("cat").alias("category_hit"),
+            *[F.bit_or(f"{k}_mask").alias(f"{k}_mask") for k in masks],
         )
-        .filter(F.col("step_length") > 0)
     )
     return folded.select(
-        "task_id", "session_id", "user_id",
+        "start_date", "end_date", "session_id", "user_id",
         seconds_between("start_time", "end_time").alias("visit_length"),
-        "step_length", "keyword_hit", "category_hit",
+        "step_length", *[f"{k}_mask" for k in masks],
+    )
+
+
+def task_hits(log: DataFrame, params: DataFrame, env, kind: str) -> DataFrame:
+    """Exact (task_id, session_id) pairs whose session holds one of the
+    task's listed values inside the task's range: the log joined with the
+    exploded (task, value) lists.  Used when the vocabulary is too large
+    for a mask."""
+    list_col, data_col, n_wanted = _kinds(env)[kind]
+    wanted = params.select("task_id", "start_date", "end_date", F.explode(list_col).alias("wanted"))
+    hits = log.select("session_id", "action_date", data_col.alias("value")).filter(F.col("value").isNotNull())
+    cond = (
+        (hits.value == F.col("wanted"))
+        & (hits.action_date >= F.col("start_date"))
+        & (hits.action_date < F.col("end_date"))
     )
+    return (hits.join(_bounded(wanted, n_wanted), cond)
+            .select("task_id", "session_id").distinct()
+            .withColumn(f"{kind}_found", F.lit(True)))
 
 
 def _task_conditions() -> Column:
@@ -211,7 +190,7 @@ def _task_conditions() -> Column:
 
 
 def multi_task_stats(action_log: DataFrame, user_dim: DataFrame, tasks: DataFrame,
-                     ts_col: str = "ts", mask_limit: int = MASK_BITS) -> DataFrame:
+                     ts_col: str | None = "ts", mask_limit: int = MASK_BITS) -> DataFrame:
     """task_id, session_count and the 15 ratios, one row per task."""
     params = parse_tasks(tasks).select(
         "task_id", "start_date", "end_date", "start_age", "end_age",
@@ -227,14 +206,29 @@ def multi_task_stats(action_log: DataFrame, user_dim: DataFrame, tasks: DataFram
     if env.lo is None:
         counts = zero_rows
     else:
-        sessions = task_sessions(action_log, params, env, ts_col, mask_limit)
-        task_side = params.select("task_id", *[F.col(c).alias(f"p_{c}") for c in (
-            "start_age", "end_age", "professionals", "cities", "sex", "keywords", "category_ids")])
-        kept = (
-            attach_users(sessions, user_dim)
-            .join(_bounded(task_side, env.n_tasks), "task_id")
-            .filter(_task_conditions())
+        log = _cut_to_envelope(action_log, env, ts_col)
+        kinds = _kinds(env)
+        vocab = _vocabularies(params, kinds, mask_limit)
+        masks = [k for k in kinds if vocab[k]]
+        sessions = attach_users(range_sessions(log, params, env, vocab), user_dim)
+        task_side = params.select(
+            "task_id", "start_date", "end_date",
+            *[F.col(c).alias(f"p_{c}") for c in (
+                "start_age", "end_age", "professionals", "cities", "sex", "keywords", "category_ids")],
+            *[_mask_of(kinds[k][0], vocab[k]).alias(f"{k}_want") for k in masks],
         )
+        # Fan sessions out to the tasks of their range (map side, no shuffle).
+        per_task = sessions.join(_bounded(task_side, env.n_tasks), ["start_date", "end_date"])
+        for k, name in (("kw", "keyword_hit"), ("cat", "category_hit")):
+            if k in masks:
+                hit = F.col(f"{k}_mask").bitwiseAND(F.col(f"{k}_want")) != 0
+            elif vocab[k] is None:
+                per_task = per_task.join(task_hits(log, params, env, k), ["task_id", "session_id"], "left")
+                hit = F.coalesce(F.col(f"{k}_found"), F.lit(False))
+            else:
+                hit = F.lit(False)
+            per_task = per_task.withColumn(name, hit)
+        kept = per_task.filter(_task_conditions())
         counts = kept.groupBy("task_id").agg(*counter_aggs()).select("task_id", *counter_names)
         counts = counts.unionByName(zero_rows)
     totals = counts.groupBy("task_id").agg(*[F.sum(n).alias(n) for n in counter_names])

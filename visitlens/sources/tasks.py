@@ -79,6 +79,8 @@ SAMPLE_TASKS = (
         startDate="2024-01-05", endDate="2024-01-30",
         professionals="AUTOMOBILE,FURNITURE",
         cities="NATION_3,NATION_7,NATION_11,NATION_19,NATION_23")),
+    (7, "shares the range of task 2", task_param_json(
+        startDate="2024-01-01", endDate="2024-01-31", sex="female", keywords="kw0,kw9")),
 )
 
 
@@ -92,19 +94,19 @@ def parse_tasks(tasks: DataFrame) -> DataFrame:
     Ages that are not integers count as absent.  Lists become arrays of
     their non-empty elements.
     """
-    p = param_map("task_param")
-    return (
-        tasks.withColumn("_p", p)
-        .withColumn("start_date", F.try_to_date(first_param(F.col("_p"), "startDate"), "yyyy-MM-dd"))
-        .withColumn("end_date", F.try_to_date(first_param(F.col("_p"), "endDate"), "yyyy-MM-dd"))
-        .withColumn("start_age", first_param(F.col("_p"), "startAge").try_cast("int"))
-        .withColumn("end_age", first_param(F.col("_p"), "endAge").try_cast("int"))
-        .withColumn("professionals", split_list(first_param(F.col("_p"), "professionals")))
-        .withColumn("cities", split_list(first_param(F.col("_p"), "cities")))
-        .withColumn("sex", first_param(F.col("_p"), "sex"))
-        .withColumn("keywords", split_list(first_param(F.col("_p"), "keywords")))
-        .withColumn("category_ids", split_list(first_param(F.col("_p"), "categoryids")))
-        .drop("_p")
+    parsed = tasks.select("*", param_map("task_param").alias("_p"))
+    p = F.col("_p")
+    return parsed.select(
+        *tasks.columns,
+        F.try_to_date(first_param(p, "startDate"), "yyyy-MM-dd").alias("start_date"),
+        F.try_to_date(first_param(p, "endDate"), "yyyy-MM-dd").alias("end_date"),
+        first_param(p, "startAge").try_cast("int").alias("start_age"),
+        first_param(p, "endAge").try_cast("int").alias("end_age"),
+        split_list(first_param(p, "professionals")).alias("professionals"),
+        split_list(first_param(p, "cities")).alias("cities"),
+        first_param(p, "sex").alias("sex"),
+        split_list(first_param(p, "keywords")).alias("keywords"),
+        split_list(first_param(p, "categoryids")).alias("category_ids"),
     )
 
 
