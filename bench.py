@@ -17,8 +17,16 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from pyspark.sql import functions as F  # noqa: E402
+
+from visitlens.operators.filters import date_range, session_filter  # noqa: E402
+from visitlens.operators.sessions import attach_users  # noqa: E402
+from visitlens.operators.stats import aggr_stat  # noqa: E402
 from visitlens.plans.catalog import QUERIES  # noqa: E402
+from visitlens.plans.session_stat import FLAGSHIP_GRAIN, FLAGSHIP_TASK, FLAGSHIP_UNIT  # noqa: E402
 from visitlens.session import build_session  # noqa: E402
+from visitlens.sources.tables import actions, users  # noqa: E402
+from visitlens.sources.tasks import load_task, task_table  # noqa: E402
 
 HEADLINE = (
     "session_aggr_stat", "multi_task_stats", "stage_counts", "session_rollup",
@@ -26,6 +34,37 @@ HEADLINE = (
 )
 
 
+def application_shaped_run(spark, sf_dir: str) -> None:
+    """The flagship task computed with the analysed application's job
+    shape, for comparison only: five separate actions on an uncached
+    lineage, and whole session groups shipped before they are folded
+    (``collect_list`` of full rows, like ``groupByKey``), then the
+    statistics as one more job."""
+    params = load_task(task_table(spark), FLAGSHIP_TASK)
+    log = actions(spark, sf_dir, FLAGSHIP_GRAIN, FLAGSHIP_UNIT).filter(
+        date_range(params.start_date, params.end_date))
+    log.count()
+    rows = F.struct("user_id", "action_time", "search_keyword", "click_category_id")
+    grouped = log.groupBy("session_id").agg(F.collect_list(rows).alias("r"))
+    kws = [F.lit(k) for k in (params.keywords or ())]
+    cats = [F.lit(c) for c in (params.category_ids or ())]
+    sessions = grouped.select(
+        "session_id",
+        F.col("r")[0]["user_id"].alias("user_id"),
+        F.timestamp_diff("SECOND", F.array_min("r.action_time"), F.array_max("r.action_time")).alias("visit_length"),
+        F.size("r").cast("bigint").alias("step_length"),
+        F.coalesce(F.arrays_overlap(F.col("r.search_keyword"), F.array(*kws)), F.lit(False)).alias("keyword_hit"),
+        F.coalesce(F.arrays_overlap(F.transform("r.click_category_id", lambda x: x.cast("string")),
+                                    F.array(*cats)), F.lit(False)).alias("category_hit"),
+    )
+    sessions.count()
+    sessions.take(10)
+    kept = attach_users(sessions, users(spark, sf_dir)).filter(session_filter(params, flags=True))
+    kept.count()
+    kept.take(10)
+    aggr_stat(kept).collect()
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -48,6 +87,14 @@ def main() -> None:
             QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
             best = min(best, time.perf_counter() - t0)
         times[name] = round(best, 3)
+    shaped = None
+    if not only or os.environ.get("BENCH_COMPARE"):
+        shaped = float("inf")
+        for _ in range(repeat):
+            t0 = time.perf_counter()
+            application_shaped_run(spark, sf_dir)
+            shaped = min(shaped, time.perf_counter() - t0)
+        shaped = round(shaped, 3)
     headline = [n for n in HEADLINE if n in times]
     value = round(sum(times[n] for n in headline), 3) if headline else round(sum(times.values()), 3)
     sf = os.path.basename(sf_dir.rstrip("/")).removeprefix("sf")
@@ -58,6 +105,9 @@ def main() -> None:
         "queries": times,
         "all_sec": round(sum(times.values()), 3),
         "headline": headline,
+        # Same task as session_aggr_stat, run with the application's job
+        # shape on this session (see application_shaped_run); not a query.
+        "application_shaped_flagship_sec": shaped,
         "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,
         "cpus": int(cpus),
     }))

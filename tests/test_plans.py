@@ -63,3 +63,11 @@ def test_session_aggregate_is_partial_before_its_shuffle(spark):
                and "partial_min(user_id" in n]
     assert partial, "no partial session aggregate below the exchange"
     assert "hashpartitioning(session_id" in text
+
+
+def test_cluster_conf_scales_with_input():
+    from visitlens.session import cluster_conf
+    big, small = cluster_conf(100 * 2**40), cluster_conf(2**30)
+    assert int(big["spark.sql.shuffle.partitions"]) > 10_000
+    assert int(small["spark.sql.shuffle.partitions"]) == 200
+    assert big["spark.sql.adaptive.advisoryPartitionSizeInBytes"] == str(128 * 2**20)

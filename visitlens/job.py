@@ -14,7 +14,7 @@ import argparse
 from pyspark.sql import functions as F
 
 from visitlens.plans.multi_task import multi_task_stats
-from visitlens.session import build_session
+from visitlens.session import build_session, cluster_conf
 from visitlens.sources import tables
 from visitlens.sources.sinks import write_stats
 from visitlens.sources.tasks import read_tasks, task_table
@@ -31,10 +31,13 @@ def main(argv=None) -> None:
     ap.add_argument("--time-column", default="ts",
                     help="raw time column of the test log for pushed date bounds")
     ap.add_argument("--hive", action="store_true")
+    ap.add_argument("--input-tb", type=float, default=100.0,
+                    help="approximate action-log size, sizes shuffle and scan partitions")
     ap.add_argument("--append", action="store_true", help="append instead of replacing the tasks' rows")
     args = ap.parse_args(argv)
 
-    spark = build_session(hive=args.hive)
+    sized = None if args.sf_dir else cluster_conf(int(args.input_tb * 2**40))
+    spark = build_session(hive=args.hive, extra_conf=sized)
     tasks = read_tasks(spark, args.tasks) if args.tasks else task_table(spark)
     if args.task_id:
         tasks = tasks.filter(F.col("task_id").isin(args.task_id))

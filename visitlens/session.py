@@ -19,6 +19,30 @@ DEFAULT_CONF = {
 }
 
 
+def cluster_conf(input_bytes: int = 100 * 2**40, scan_split_bytes: int = 256 * 2**20,
+                 shuffle_partition_bytes: int = 128 * 2**20) -> dict[str, str]:
+    """SQL settings sized for a large input (default 100 TB).
+
+    Scan splits of 256 MB keep the task count of a 100 TB scan near
+    400k.  Shuffles start from enough partitions for the shuffled bytes
+    at ``shuffle_partition_bytes`` each (after partial aggregation the
+    session shuffle is a fraction of the input; 1/20 is assumed) and AQE
+    coalesces them down to the advisory size, so small stages do not pay
+    for the big ones.  Skewed partitions above 4x the median and 512 MB
+    are split by AQE in sort-merge joins.
+    """
+    shuffled = max(input_bytes // 20, shuffle_partition_bytes)
+    initial = max(200, min(200_000, shuffled // shuffle_partition_bytes))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(scan_split_bytes),
+        "spark.sql.shuffle.partitions": str(initial),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(initial),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(shuffle_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 * 2**20),
+    }
+
+
 def build_session(
     master: str | None = None,
     app_name: str = "visitlens",
