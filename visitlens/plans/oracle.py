@@ -62,7 +62,6 @@ USERS_CTE = """users AS (
          c_mktsegment AS professional, n_name AS city,
          CASE WHEN c_custkey % 2 = 0 THEN 'male' ELSE 'female' END AS sex
   FROM customer JOIN nation ON c_nationkey = n_nationkey
-  WHERE c_custkey % 10 <> 9
 )"""
 
 
