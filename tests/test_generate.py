@@ -41,3 +41,16 @@ def test_gen_users_and_products(spark):
     p = gen_products(spark, SF_SMALL)
     st = p.select(F.get_json_object("extend_info", "$.product_status").alias("s")).distinct().collect()
     assert sorted(x.s for x in st) == ["0", "1"]
+
+
+def test_session_length_follows_the_redrawn_bound_law(spark):
+    from visitlens.sources.generate import _survival
+    from conftest import SF_ORACLE
+    surv = _survival()
+    mean = sum(surv[:101])
+    per = gen_actions(spark, SF_ORACLE).groupBy("session_id").count()
+    r = per.agg(F.avg("count").alias("m"), F.avg((F.col("count") == 2).cast("double")).alias("p2"),
+                F.count(F.lit(1)).alias("n")).first()
+    assert r.n == 15000
+    assert abs(r.m - mean) < 0.25
+    assert abs(r.p2 - (1 - surv[2])) < 0.006

@@ -9,7 +9,8 @@ Rules kept from the analysed application's mock data:
 - each user draw opens 10 sessions; a session's id is 32 hex characters;
 - the action loop bound is redrawn on every turn (``k < draw(100) + 2``),
   so a session has 2..101 actions and continues past step k with
-  probability (101 - k) / 100;
+  probability (101 - k) / 100; the length is drawn once per session from
+  that law (inverse survival function) instead of step by step;
 - all actions of a session share one base hour 0..22 (unpadded in the
   text) and have distinct minute:second values, each 00..58;
 - exactly one action kind's fields are filled per row, except the click
@@ -51,6 +52,29 @@ def _draw(n: int, *keys: Column | str) -> Column:
     return F.pmod(F.xxhash64(*[F.col(k) if isinstance(k, str) else k for k in keys]), F.lit(n))
 
 
+def _survival() -> list[float]:
+    """P(length > k) for k = 0..MAX_STEPS under the redrawn loop bound:
+    step k (0-based) runs while k < draw(100) + 2, i.e. with probability
+    (101 - k) / 100 once k >= 2."""
+    surv = [1.0, 1.0]
+    for k in range(2, MAX_STEPS + 1):
+        surv.append(surv[-1] * max(0, 101 - k) / 100)
+    return surv
+
+
+def _session_length(h: Column) -> Column:
+    """Number of actions of a session from one hashed uniform draw: the
+    smallest k >= 2 with u >= P(length > k) (inverse of the survival
+    function; a CASE chain that usually stops after ~13 tests)."""
+    u = F.pmod(h, F.lit(1 << 53)).cast("double") / float(1 << 53)
+    surv = _survival()
+    expr = None
+    for k in range(2, MAX_STEPS + 1):
+        cond = u >= F.lit(surv[k])
+        expr = F.when(cond, F.lit(k)) if expr is None else expr.when(cond, F.lit(k))
+    return expr.otherwise(F.lit(MAX_STEPS)).cast("int")
+
+
 def gen_users(spark: SparkSession, sf_dir: str, seed: str = "users") -> DataFrame:
     ids = read_table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("user_id"))
     s = F.lit(seed)
@@ -90,16 +114,11 @@ def gen_actions(spark: SparkSession, sf_dir: str, day: dt.date = dt.date(2024, 1
         .alias("session_id"),
     )
     sid = F.col("session_id")
-    # Loop bound redrawn per turn: step k runs while k < draw(100) + 2.
-    runs = F.transform(
-        F.sequence(F.lit(0), F.lit(MAX_STEPS)),
-        lambda k: k < F.pmod(F.xxhash64(sid, k, s, F.lit("len")), F.lit(100)) + 2,
-    )
-    first_stop = F.array_position(runs, False)
+    n_steps = _session_length(F.xxhash64(sid, s, F.lit("len")))
     kinds = F.array(*[F.lit(x) for x in ACTION_KINDS])
     sessions = sessions.select(
         "user_id", "session_id",
-        F.when(first_stop > 0, first_stop - 1).otherwise(F.lit(MAX_STEPS + 1)).cast("int").alias("n_steps"),
+        n_steps.alias("n_steps"),
         _draw(23, sid, s, F.lit("hour")).cast("string").alias("hour"),
         # Distinct minute:second slots: an affine permutation of 59*59 slots.
         (_draw(58, sid, s, F.lit("a")) + 1).alias("slot_a"),
