@@ -16,7 +16,10 @@ SF_ORACLE = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="session")
 def spark():
-    s = build_session("local[4]", app_name="visitlens-tests", shuffle_partitions=8)
+    import tempfile
+    warehouse = tempfile.mkdtemp(prefix="visitlens-warehouse-")
+    s = build_session("local[4]", app_name="visitlens-tests", shuffle_partitions=8,
+                      extra_conf={"spark.sql.warehouse.dir": warehouse})
     s.sparkContext.setLogLevel("ERROR")
     yield s
 

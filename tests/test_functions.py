@@ -133,3 +133,18 @@ def test_json_helpers(spark):
                   J.first_param(J.param_map("p"), "x").alias("x"),
                   J.first_param(J.param_map("p"), "absent").alias("a")).first()
     assert (r.st, r.n, r.c, r.s, r.x, r.a) == (1, 2, "c1,c2", None, None, None)
+
+
+def test_ratio_half_up_on_a_double_column(spark):
+    df = spark.createDataFrame([(0.075,), (0.125,), (1.0,)], "x double")
+    got = [r.r for r in df.select(numbers.ratio_half_up("x").alias("r")).collect()]
+    assert got == [0.07, 0.13, 1.0]
+
+
+def test_view_schemas(spark):
+    from conftest import SF_SMALL
+    from visitlens.sources import tables
+    acts = tables.actions(spark, SF_SMALL)
+    assert set(tables.ACTION_COLUMNS) <= set(acts.columns)
+    assert tuple(tables.users(spark, SF_SMALL).columns) == tables.USER_COLUMNS
+    assert tables.products(spark, SF_SMALL).columns == ["product_id", "product_name", "extend_info"]

@@ -176,3 +176,18 @@ def test_bad_time_text_counts_as_step_but_not_in_span(spark):
     log = from_reference_layout(spark.createDataFrame(rows, "date string, user_id bigint, session_id string, action_time string"))
     r = session_rollup(log, with_time_audit=True).first()
     assert (r.step_length, r.visit_length, r.bad_time_rows) == (4, 60, 2)
+
+
+def test_set_based_and_flag_based_conditions_agree(spark):
+    from visitlens.operators.filters import session_filter
+    from visitlens.operators.sessions import attach_users, session_rollup
+    rows = [action("a", 1, 0, keyword="kw1", category=3), action("a", 1, 5, category=7),
+            action("b", 1, 0, keyword="kw2"), action("c", 2, 0, category=7)]
+    users = [user(1), user(2, sex="female")]
+    p = TaskParams(DAY, DAY + dt.timedelta(days=1), keywords=("kw1", "kw9"), category_ids=("7",))
+    acts, dim = make_actions(spark, rows), make_users(spark, users)
+    by_sets = attach_users(session_rollup(acts, with_sets=True), dim).filter(session_filter(p, flags=False))
+    by_flags = attach_users(session_rollup(acts, keywords=p.keywords, category_ids=p.category_ids), dim) \
+        .filter(session_filter(p, flags=True))
+    ids = lambda df: sorted(r.session_id for r in df.collect())
+    assert ids(by_sets) == ids(by_flags) == ["a"]

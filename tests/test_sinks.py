@@ -33,3 +33,11 @@ def test_task_table_round_trip(spark):
     path = tempfile.mkdtemp(prefix="visitlens-tasks-") + "/tasks"
     task_table(spark).write.parquet(path)
     assert sorted(r.task_id for r in read_tasks(spark, path).collect()) == [t[0] for t in SAMPLE_TASKS]
+
+
+def test_save_stats_table_appends(spark):
+    from visitlens.sources.sinks import save_stats_table
+    stats = multi_task_stats(actions(spark, SF_SMALL), users(spark, SF_SMALL), task_table(spark))
+    save_stats_table(stats.filter("task_id = 1"), "session_aggr_stat_test")
+    save_stats_table(stats.filter("task_id = 1"), "session_aggr_stat_test")
+    assert spark.table("session_aggr_stat_test").count() == 2

@@ -47,14 +47,6 @@ def in_bucket(col: str, lo: int, hi: int | None) -> Column:
     return c >= lo if hi is None else c.between(lo, hi)
 
 
-def bucket_label(col: str, buckets, prefix: str) -> Column:
-    """Name of the bucket holding ``col`` (NULL when in none)."""
-    expr = None
-    for name, lo, hi in buckets:
-        expr = (F.when if expr is None else expr.when)(in_bucket(col, lo, hi), F.lit(f"{prefix}{name}"))
-    return expr
-
-
 def counter_aggs() -> list[Column]:
     """session_count plus one count per bucket, named n_<ratio column>."""
     aggs = [F.count(F.lit(1)).alias("session_count")]

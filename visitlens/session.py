@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -87,7 +86,3 @@ def checkpoint_dir(spark: SparkSession) -> str:
         spark.sparkContext.setCheckpointDir(path)
     return path
 
-
-def scratch_table_path(spark: SparkSession, name: str) -> str:
-    """A folder under the shared checkpoint location for a written table."""
-    return os.path.join(checkpoint_dir(spark), "tables", name)
