@@ -127,7 +127,7 @@ def packed_attr_rollup_q(spark, sf):
     """Pack event attributes into ``k=v|k=v`` text, rewrite one field, read
     fields back and aggregate by them."""
     ev = read_table(spark, sf, "events")
-    k = F.from_json("props", "k BIGINT").getField("k")
+    k = json_int_field("props", "k")
     packed = pack_fields({"event_type": F.col("event_type"), "user": F.col("user_id"), "k": k})
     rewritten = set_packed_field(packed, "k", (k % 10).cast("string"))
     rows = ev.select(
@@ -145,7 +145,7 @@ def list_column_rollup_q(spark, sf):
     """Comma-list column: strip one comma each side, keep rows whose list
     overlaps a given list, explode, count per element."""
     ev = read_table(spark, sf, "events")
-    k = F.from_json("props", "k BIGINT").getField("k")
+    k = json_int_field("props", "k")
     raw = F.concat(F.lit(","), (k % 7).cast("string"), F.lit(","), (k % 11).cast("string"), F.lit(","))
     lists = ev.select(trim_one_comma(raw).alias("ids"))
     kept = lists.filter(lists_overlap("ids", F.lit(LIST_FILTER)))

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from visitlens.functions.dates import epoch_minutes, from_epoch_seconds, parse_time, truncate_to_second
+from visitlens.functions.json import json_int_field
 
 ACTION_COLUMNS = (
     "action_date", "user_id", "session_id", "page_id", "action_time",
@@ -79,7 +80,7 @@ def actions(spark: SparkSession, sf_dir: str, grain: str = "g", unit: str = "raw
     bounds reach the parquet reader as pushed filters.
     """
     ev = read_table(spark, sf_dir, "events")
-    k = F.from_json("props", "k BIGINT").getField("k")
+    k = json_int_field("props", "k")
     kind = F.col("event_type")
     day_no = F.unix_date(F.to_date("ts")).cast("bigint")
     keyed = ev.select(
