@@ -191,3 +191,20 @@ def test_set_based_and_flag_based_conditions_agree(spark):
         .filter(session_filter(p, flags=True))
     ids = lambda df: sorted(r.session_id for r in df.collect())
     assert ids(by_sets) == ids(by_flags) == ["a"]
+
+
+@pytest.mark.parametrize("grain,unit", [("g", "dense"), ("day", "dense"), ("day", "raw")])
+def test_bucket_counts_partition_the_sessions(spark, grain, unit):
+    from pyspark.sql import functions as F
+
+    from conftest import SF_ORACLE
+    from visitlens.operators.sessions import session_rollup
+    from visitlens.operators.stats import bucket_counts
+    from visitlens.sources.tables import actions
+    sessions = session_rollup(actions(spark, SF_ORACLE, grain, unit))
+    c = bucket_counts(sessions).first().asDict()
+    zero = sessions.filter(F.col("visit_length") == 0).count()
+    visits = sum(c[f"n_visit_{n}"] for n, _l, _h in VISIT_BUCKETS)
+    steps = sum(c[f"n_step_{n}"] for n, _l, _h in STEP_BUCKETS)
+    assert steps == c["session_count"] > 0
+    assert visits + zero == c["session_count"]
