@@ -41,3 +41,16 @@ def test_save_stats_table_appends(spark):
     save_stats_table(stats.filter("task_id = 1"), "session_aggr_stat_test")
     save_stats_table(stats.filter("task_id = 1"), "session_aggr_stat_test")
     assert spark.table("session_aggr_stat_test").count() == 2
+
+
+def test_command_line_job_writes_one_row_per_task(spark):
+    from visitlens import job
+    from visitlens.plans.session_stat import session_aggr_stat
+    out = tempfile.mkdtemp(prefix="visitlens-job-") + "/stats"
+    job.main(["--sf-dir", SF_SMALL, "--out", out, "--task-id", "1", "--task-id", "2"])
+    job.main(["--sf-dir", SF_SMALL, "--out", out, "--task-id", "2"])  # re-run replaces task 2
+    back = {r.task_id: r for r in spark.read.parquet(out).collect()}
+    assert sorted(back) == [1, 2]
+    want = session_aggr_stat(spark, SF_SMALL, task_id=2).first()
+    assert back[2].session_count == want.session_count
+    assert back[2]["1s_3s"] == want.visit_1s_3s and back[2]["60"] == want.step_60
