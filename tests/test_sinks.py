@@ -49,7 +49,9 @@ def test_command_line_job_writes_one_row_per_task(spark):
     out = tempfile.mkdtemp(prefix="visitlens-job-") + "/stats"
     job.main(["--sf-dir", SF_SMALL, "--out", out, "--task-id", "1", "--task-id", "2"])
     job.main(["--sf-dir", SF_SMALL, "--out", out, "--task-id", "2"])  # re-run replaces task 2
-    back = {r.task_id: r for r in spark.read.parquet(out).collect()}
+    rows = spark.read.parquet(out).collect()
+    assert len(rows) == 2
+    back = {r.task_id: r for r in rows}
     assert sorted(back) == [1, 2]
     want = session_aggr_stat(spark, SF_SMALL, task_id=2).first()
     assert back[2].session_count == want.session_count
