@@ -71,3 +71,41 @@ def test_tasks_sharing_a_range_match_single_runs(spark):
         single = session_aggr_stat(spark, SF_SMALL, task_id=tid, tasks=tasks).first()
         assert multi[tid] == single, tid
     assert multi[1][1:] == multi[4][1:]
+
+
+FAR_APART = [
+    (1, "early", task_param_json(startDate="2024-01-02", endDate="2024-01-04", sex="male")),
+    (2, "late", task_param_json(startDate="2024-01-27", endDate="2024-01-29", keywords="kw1,kw4")),
+    (3, "overlaps late", task_param_json(startDate="2024-01-28", endDate="2024-01-30")),
+]
+
+
+def test_log_is_cut_to_the_union_of_task_ranges(spark):
+    import contextlib
+    import io
+    df = multi_task_stats(actions(spark, SF_SMALL), users(spark, SF_SMALL), task_table(spark, FAR_APART))
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain(mode="formatted")
+    text = buf.getvalue()
+    assert "2024-01-02T00:00" in text and "2024-01-04T00:00" in text and "2024-01-27T00:00" in text
+    assert "2024-01-30T00:00" in text and "Or(" in text
+
+
+def test_fallback_paths_agree(spark, monkeypatch):
+    from visitlens.plans import multi_task as mt
+    log, dim = actions(spark, SF_SMALL, "g", "dense"), users(spark, SF_SMALL)
+    rows = list(SAMPLE_TASKS) + [(10 + i, "far", text) for i, (_t, _n, text) in enumerate(FAR_APART)]
+    tasks = task_table(spark, rows)
+    fast = sorted(multi_task_stats(log, dim, tasks).collect())
+    monkeypatch.setattr(mt, "MAX_BROADCAST_ROWS", 0)   # salted day join, shuffled fan-out
+    monkeypatch.setattr(mt, "MAX_CUT_RANGES", 0)       # envelope cut
+    slow = sorted(multi_task_stats(log, dim, tasks, mask_limit=1).collect())  # hit-row joins
+    assert fast == slow
+
+
+def test_duplicate_task_ids_are_rejected(spark):
+    rows = [(1, "a", task_param_json(startDate="2024-01-01", endDate="2024-01-05")),
+            (1, "b", task_param_json(startDate="2024-01-01", endDate="2024-01-09"))]
+    with pytest.raises(LookupError):
+        multi_task_stats(actions(spark, SF_SMALL), users(spark, SF_SMALL), task_table(spark, rows))

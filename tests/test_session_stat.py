@@ -152,7 +152,7 @@ def test_generated_log_in_application_layout_runs_end_to_end(spark):
     log = from_reference_layout(gen_actions(spark, SF_SMALL, day=dt.date(2024, 1, 15)))
     dim = gen_users(spark, SF_SMALL)
     p = TaskParams(dt.date(2024, 1, 15), dt.date(2024, 1, 16))
-    r = run_session_task(log, dim, p, 1, ts_col=None).first()
+    r = run_session_task(log, dim, p, 1).first()
     n_sessions = log.select("session_id").distinct().count()
     assert r.session_count == n_sessions  # generated user ids all exist
     steps = [r[f"step_{name}"] for name, _l, _h in STEP_BUCKETS]
@@ -208,3 +208,37 @@ def test_bucket_counts_partition_the_sessions(spark, grain, unit):
     steps = sum(c[f"n_step_{n}"] for n, _l, _h in STEP_BUCKETS)
     assert steps == c["session_count"] > 0
     assert visits + zero == c["session_count"]
+
+
+def test_application_layout_cuts_on_date_text_at_the_scan(spark):
+    import contextlib
+    import io
+
+    from conftest import SF_SMALL
+    from visitlens.sources.generate import gen_actions, gen_users
+    from visitlens.sources.tables import from_reference_layout
+    import tempfile
+    path = tempfile.mkdtemp(prefix="visitlens-app-log-") + "/log"
+    gen_actions(spark, SF_SMALL, day=dt.date(2024, 1, 15)).write.parquet(path)
+    log = from_reference_layout(spark.read.parquet(path))
+    p = TaskParams(dt.date(2024, 1, 15), dt.date(2024, 1, 16))
+    stat = run_session_task(log, gen_users(spark, SF_SMALL), p, 1)
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        stat.explain(mode="formatted")
+    assert "GreaterThanOrEqual(date,2024-01-15)" in buf.getvalue()
+    assert stat.first().session_count == log.select("session_id").distinct().count()
+    empty = run_session_task(log, gen_users(spark, SF_SMALL), TaskParams(dt.date(2024, 1, 16), dt.date(2024, 1, 17)), 1)
+    assert empty.first().session_count == 0
+
+
+def test_stage_counts_style_left_join_ignores_duplicated_users(spark):
+    from pyspark.sql import functions as F
+
+    from visitlens.operators.sessions import session_rollup
+    rows = [action("a", 1), action("a", 1, 5), action("b", 2)]
+    dim = make_users(spark, [user(1), user(1), user(2)])
+    wanted = dim.select("user_id").distinct().withColumn("ok", F.lit(True))
+    joined = session_rollup(make_actions(spark, rows)).join(wanted, "user_id", "left")
+    r = joined.agg(F.sum("step_length").alias("a"), F.count(F.lit(1)).alias("s")).first()
+    assert (r.a, r.s) == (3, 2)

@@ -56,3 +56,14 @@ def test_command_line_job_writes_one_row_per_task(spark):
     want = session_aggr_stat(spark, SF_SMALL, task_id=2).first()
     assert back[2].session_count == want.session_count
     assert back[2]["1s_3s"] == want.visit_1s_3s and back[2]["60"] == want.step_60
+
+
+def test_command_line_job_rejects_unknown_ids_and_missing_task_table(spark):
+    import pytest as _pytest
+
+    from visitlens import job
+    out = tempfile.mkdtemp(prefix="visitlens-job-") + "/stats"
+    with _pytest.raises(LookupError):
+        job.main(["--sf-dir", SF_SMALL, "--out", out, "--task-id", "999"])
+    with _pytest.raises(SystemExit):
+        job.main(["--out", out, "--task-id", "1"])

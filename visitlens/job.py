@@ -23,13 +23,11 @@ from visitlens.sources.tasks import read_tasks, task_table
 def main(argv=None) -> None:
     ap = argparse.ArgumentParser(description=__doc__)
     ap.add_argument("--task-id", type=int, action="append", help="task to run (repeatable); default all")
-    ap.add_argument("--tasks", help="task table path (Parquet); default: the sample tasks")
+    ap.add_argument("--tasks", help="task table path (Parquet); required unless --sf-dir")
     ap.add_argument("--out", required=True, help="statistics output path (Parquet, partitioned by task_id)")
     ap.add_argument("--sf-dir", help="read the test tables of this directory")
     ap.add_argument("--actions-table", default="user_visit_action")
     ap.add_argument("--users-table", default="user_info")
-    ap.add_argument("--time-column", default="ts",
-                    help="raw time column of the test log for pushed date bounds")
     ap.add_argument("--hive", action="store_true")
     ap.add_argument("--input-tb", type=float, default=100.0,
                     help="approximate action-log size, sizes shuffle and scan partitions")
@@ -37,18 +35,23 @@ def main(argv=None) -> None:
     args = ap.parse_args(argv)
 
     sized = None if args.sf_dir else cluster_conf(int(args.input_tb * 2**40))
+    if not args.tasks and not args.sf_dir:
+        ap.error("--tasks is required with catalog tables (the sample tasks only fit --sf-dir)")
     spark = build_session(hive=args.hive, extra_conf=sized)
     tasks = read_tasks(spark, args.tasks) if args.tasks else task_table(spark)
     if args.task_id:
         tasks = tasks.filter(F.col("task_id").isin(args.task_id))
+        found = {r.task_id for r in tasks.select("task_id").distinct().collect()}  # <= len(ids) rows
+        missing = sorted(set(args.task_id) - found)
+        if missing:
+            raise LookupError(f"unknown task id(s): {missing}")
     if args.sf_dir:
         log = tables.actions(spark, args.sf_dir, "g", "dense")
         dim = tables.users(spark, args.sf_dir)
     else:
         log = tables.from_reference_layout(tables.catalog_table(spark, args.actions_table))
         dim = tables.catalog_table(spark, args.users_table)
-    ts_col = (args.time_column or None) if args.sf_dir else None
-    stats = multi_task_stats(log, dim, tasks, ts_col=ts_col)
+    stats = multi_task_stats(log, dim, tasks)
     write_stats(stats, args.out, mode="append" if args.append else "replace_tasks")
 
 

@@ -12,8 +12,9 @@ import datetime as dt
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from visitlens.sources.tasks import TaskParams
 
@@ -34,6 +35,39 @@ def date_range(start: dt.date, end: dt.date, ts_col: str | None = "ts",
     return (d >= F.lit(start)) & (d < F.lit(end))
 
 
+def raw_cut_column(df: DataFrame) -> str:
+    """The column a date cut should be stated on so that it reaches the
+    scan: the raw event time ``ts`` of the test log, else the raw ``date``
+    text of the application's layout, else the typed ``action_date``."""
+    for name in ("ts", "date", "action_date"):
+        if name in df.columns:
+            return name
+    raise ValueError("the action log has no ts, date or action_date column")
+
+
+def day_range_on(df: DataFrame, col: str, start: dt.date, end: dt.date) -> Column:
+    """[start, end) on ``col`` in its own type: timestamp bounds at
+    midnight, date bounds, or ``yyyy-MM-dd`` text bounds (fixed-width text
+    orders like the date; this is also how the application compares)."""
+    kind = df.schema[col].dataType
+    c = F.col(col)
+    if isinstance(kind, (T.TimestampNTZType, T.TimestampType)):
+        lo, hi = _ts_literal(start), _ts_literal(end)
+        if isinstance(kind, T.TimestampType):
+            lo, hi = lo.cast("timestamp"), hi.cast("timestamp")
+        return (c >= lo) & (c < hi)
+    if isinstance(kind, T.StringType):
+        return (c >= F.lit(start.isoformat())) & (c < F.lit(end.isoformat()))
+    return (c >= F.lit(start)) & (c < F.lit(end))
+
+
+def cut_to_days(df: DataFrame, start: dt.date, end: dt.date, col: str | None = None) -> DataFrame:
+    """Rows of ``df`` whose day is in [start, end), stated on the raw column
+    (see raw_cut_column) so the bounds are pushed to the scan."""
+    col = col or raw_cut_column(df)
+    return df.filter(day_range_on(df, col, start, end))
+
+
 def age_between(start_age: int | None, end_age: int | None, col: str = "age") -> Column | None:
     """Both ends inclusive; ignored unless both ends are given."""
     if start_age is None or end_age is None:

@@ -3,7 +3,7 @@
 The analysed application runs one job per task.  Here a whole task table
 is matched against the log at once:
 
-1. The log is cut to the envelope of all task ranges (pushed to the scan).
+1. The log is cut to the union of all task ranges (pushed to the scan).
 2. Actions are pre-aggregated per (session, day): min / max / count are
    combinable, and every task range is a whole number of days, so these
    partials are all a task needs.  Partial aggregation runs before the
@@ -26,65 +26,101 @@ is matched against the log at once:
 
 from __future__ import annotations
 
+import datetime as dt
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from visitlens.functions.dates import seconds_between
+from visitlens.operators.filters import day_range_on, raw_cut_column
 from visitlens.operators.sessions import attach_users
 from visitlens.operators.stats import STAT_COLUMNS, counter_aggs, ratio_columns
 from visitlens.sources.tasks import parse_tasks
 
-# Largest row count of a task-side table that is broadcast.  Task tables
-# are analyst-made (tens to thousands of rows); beyond this the joins fall
-# back to shuffled joins, which AQE splits when skewed.
-MAX_BROADCAST_ROWS = 2_000_000
+# Largest task-side table that is broadcast, by counted rows and by
+# estimated bytes.  Task tables are analyst-made (tens to thousands of
+# rows); beyond these bounds the joins are shuffled (AQE splits skew).
+MAX_BROADCAST_ROWS = 5_000_000
+MAX_BROADCAST_BYTES = 256 * 2**20
+# Salts for the (day)-keyed shuffle join used when the range-day table is
+# too big to broadcast: spreads every day over this many partitions.
+JOIN_SALTS = 64
+# Distinct task ranges read to the driver to cut the log to their union;
+# with more, the log is cut to the envelope and the join does the rest.
+MAX_CUT_RANGES = 256
 # Distinct keyword (or category) values across all tasks that still fit
 # the one-scan bit-mask path: one bigint of flags per (session, day).
 MASK_BITS = 64
 
 
-def _bounded(df: DataFrame, rows: int, limit: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint only when the counted row number is under the limit."""
-    return F.broadcast(df) if rows <= limit else df
+def _fits(rows: int, est_bytes: int) -> bool:
+    return rows <= MAX_BROADCAST_ROWS and est_bytes <= MAX_BROADCAST_BYTES
+
 
+def _bounded(df: DataFrame, rows: int, est_bytes: int) -> DataFrame:
+    """Broadcast hint only when the counted rows and estimated bytes fit."""
+    return F.broadcast(df) if _fits(rows, est_bytes) else df
 
-def task_profile(params: DataFrame):
+
+def task_profile(parsed: DataFrame):
     """One small job over the parsed task table: date envelope, tasks
-    without valid dates, and the row counts of the task-side join inputs
-    (task days, keyword and category list entries)."""
+    without valid dates, duplicate ids, parameter text size and the row
+    counts of the task-side join inputs (task days, list entries)."""
     days = F.greatest(F.datediff("end_date", "start_date"), F.lit(0))
-    return params.agg(
+    return parsed.agg(
         F.min("start_date").alias("lo"),
         F.max("end_date").alias("hi"),
         F.count(F.lit(1)).alias("n_tasks"),
+        F.count_distinct("task_id").alias("n_ids"),
         F.count_if(F.col("start_date").isNull() | F.col("end_date").isNull()).alias("n_undated"),
+        F.coalesce(F.sum(F.length("task_param")), F.lit(0)).alias("param_bytes"),
         F.coalesce(F.sum(days), F.lit(0)).alias("n_task_days"),
         F.coalesce(F.sum(F.size(F.coalesce("keywords", F.array()))), F.lit(0)).alias("n_keywords"),
         F.coalesce(F.sum(F.size(F.coalesce("category_ids", F.array()))), F.lit(0)).alias("n_categories"),
     ).first()
 
 
-def _vocabularies(params: DataFrame, kinds: dict, limit: int) -> dict:
-    """Sorted distinct values of all tasks' lists, per kind, in one small
-    job; None for a kind with more than ``limit`` values.  The driver reads
-    at most limit + 1 short strings per kind."""
-    wanted = [k for k, (_lst, _v, n) in kinds.items() if n]
-    out = {k: [] for k in kinds}
-    if not wanted:
-        return out
-    parts = [params.select(F.lit(k).alias("kind"), F.explode(kinds[k][0]).alias("v")) for k in wanted]
+def _small_lists(params: DataFrame, kinds: dict, mask_limit: int) -> dict:
+    """One small job returning bounded lists to the driver: per behaviour
+    kind the sorted distinct values of all tasks' lists (None when more
+    than ``mask_limit``), and under "ranges" the distinct non-empty task
+    date ranges (None when more than MAX_CUT_RANGES)."""
+    limits = {k: mask_limit for k, (_l, _v, n) in kinds.items() if n}
+    limits["ranges"] = MAX_CUT_RANGES
+    parts = [params.select(F.lit(k).alias("kind"), F.explode(kinds[k][0]).alias("v"))
+             for k in limits if k != "ranges"]
+    parts.append(params.filter(F.col("start_date") < F.col("end_date")).select(
+        F.lit("ranges").alias("kind"),
+        F.concat_ws("|", F.col("start_date").cast("string"), F.col("end_date").cast("string")).alias("v")))
     values = parts[0]
     for part in parts[1:]:
         values = values.unionByName(part)
+    cap = F.when(F.col("kind") == "ranges", F.lit(MAX_CUT_RANGES + 1)).otherwise(F.lit(mask_limit + 1))
     rank = F.row_number().over(Window.partitionBy("kind").orderBy("v"))
-    rows = values.distinct().withColumn("r", rank).filter(F.col("r") <= limit + 1).collect()
-    for k in wanted:
+    rows = values.distinct().withColumn("r", rank).filter(F.col("r") <= cap).collect()
+    out = {k: [] for k in kinds}
+    for k, limit in limits.items():
         vals = sorted(r.v for r in rows if r.kind == k)
         out[k] = vals if len(vals) <= limit else None
+    if out["ranges"] is not None:
+        out["ranges"] = [tuple(dt.date.fromisoformat(x) for x in v.split("|")) for v in out["ranges"]]
     return out
 
 
+def _merge(ranges) -> list:
+    """Union of [start, end) day ranges as sorted disjoint ranges."""
+    merged: list[list] = []
+    for lo, hi in sorted(ranges):
+        if merged and lo <= merged[-1][1]:
+            merged[-1][1] = max(merged[-1][1], hi)
+        else:
+            merged.append([lo, hi])
+    return [tuple(m) for m in merged]
+
+
 def _bit_of(value: Column, vocab) -> Column:
     """bigint with the bit of ``value``'s position in ``vocab`` set (0 if absent)."""
     pos = F.array_position(F.array(*[F.lit(v) for v in vocab]), value)
@@ -98,13 +134,16 @@ def _mask_of(list_col: str, vocab) -> Column:
     return F.aggregate(bits, F.lit(0).cast("bigint"), lambda acc, b: acc.bitwiseOR(b))
 
 
-def _cut_to_envelope(action_log: DataFrame, env, ts_col: str | None) -> DataFrame:
-    if ts_col:
-        lo = F.lit(f"{env.lo.isoformat()} 00:00:00").cast("timestamp_ntz")
-        hi = F.lit(f"{env.hi.isoformat()} 00:00:00").cast("timestamp_ntz")
-        return action_log.filter((F.col(ts_col) >= lo) & (F.col(ts_col) < hi))
-    d = F.col("action_date")
-    return action_log.filter((d >= F.lit(env.lo)) & (d < F.lit(env.hi)))
+def _cut_log(action_log: DataFrame, env, ranges, cut_col: str | None) -> DataFrame:
+    """Cut the log to the union of the task ranges (an OR of day ranges on
+    the raw column, pushed to the scan), or to their envelope when there
+    are too many distinct ranges to list (the range join is exact anyway)."""
+    col = cut_col or raw_cut_column(action_log)
+    spans = _merge(ranges) if ranges is not None else [(env.lo, env.hi)]
+    if not spans:
+        return action_log.filter(F.lit(False))
+    conds = [day_range_on(action_log, col, lo, hi) for lo, hi in spans]
+    return action_log.filter(reduce(or_, conds))
 
 
 def _kinds(env) -> dict:
@@ -142,8 +181,17 @@ def range_sessions(log: DataFrame, params: DataFrame, env, vocab: dict) -> DataF
             .otherwise(F.array().cast("array<date>"))
         ).alias("action_date"),
     )
+    if _fits(env.n_task_days, env.n_task_days * 32):
+        joined = daily.join(F.broadcast(range_days), "action_date")
+    else:
+        # Every day is a join key here, so salt it: each (session, day)
+        # partial goes to one of JOIN_SALTS partitions of its day, and the
+        # range-day rows are repeated for every salt (explode, no cross join).
+        salted = daily.withColumn("salt", F.pmod(F.xxhash64("session_id"), F.lit(JOIN_SALTS)))
+        salts = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(JOIN_SALTS - 1).cast("bigint")))
+        joined = salted.join(range_days.select("*", salts.alias("salt")), ["action_date", "salt"])
     folded = (
-        daily.join(_bounded(range_days, env.n_task_days), "action_date")
+        joined
         .groupBy("start_date", "end_date", "session_id")
         .agg(
             F.min("user_id").alias("user_id"),
@@ -167,13 +215,16 @@ def task_hits(log: DataFrame, params: DataFrame, env, kind: str) -> DataFrame:
     for a mask."""
     list_col, data_col, n_wanted = _kinds(env)[kind]
     wanted = params.select("task_id", "start_date", "end_date", F.explode(list_col).alias("wanted"))
-    hits = log.select("session_id", "action_date", data_col.alias("value")).filter(F.col("value").isNotNull())
+    # One row per (session, day, value) before meeting the task lists, so a
+    # hot value listed by many tasks does not multiply raw action rows.
+    hits = (log.select("session_id", "action_date", data_col.alias("value"))
+            .filter(F.col("value").isNotNull()).distinct())
     cond = (
         (hits.value == F.col("wanted"))
         & (hits.action_date >= F.col("start_date"))
         & (hits.action_date < F.col("end_date"))
     )
-    return (hits.join(_bounded(wanted, n_wanted), cond)
+    return (hits.join(_bounded(wanted, n_wanted, env.param_bytes + 32 * n_wanted), cond)
             .select("task_id", "session_id").distinct()
             .withColumn(f"{kind}_found", F.lit(True)))
 
@@ -190,15 +241,21 @@ def _task_conditions() -> Column:
 
 
 def multi_task_stats(action_log: DataFrame, user_dim: DataFrame, tasks: DataFrame,
-                     ts_col: str | None = "ts", mask_limit: int = MASK_BITS) -> DataFrame:
-    """task_id, session_count and the 15 ratios, one row per task."""
-    params = parse_tasks(tasks).select(
+                     cut_col: str | None = None, mask_limit: int = MASK_BITS) -> DataFrame:
+    """task_id, session_count and the 15 ratios, one row per task.
+
+    ``cut_col`` names the raw column the date cut is stated on (default:
+    ``ts``, else ``date``, else ``action_date``; see raw_cut_column)."""
+    parsed = parse_tasks(tasks)
+    env = task_profile(parsed)
+    if env.n_undated:
+        raise ValueError(f"{env.n_undated} task(s) without a valid startDate / endDate")
+    if env.n_ids != env.n_tasks:
+        raise LookupError(f"task ids are not unique ({env.n_tasks} rows, {env.n_ids} ids)")
+    params = parsed.select(
         "task_id", "start_date", "end_date", "start_age", "end_age",
         "professionals", "cities", "sex", "keywords", "category_ids",
     )
-    env = task_profile(params)
-    if env.n_undated:
-        raise ValueError(f"{env.n_undated} task(s) without a valid startDate / endDate")
 
     counter_names = ["session_count"] + [f"n_{c}" for c in STAT_COLUMNS[1:]]
     zero_rows = params.select("task_id", *[F.lit(0).cast("bigint").alias(n) for n in counter_names])
@@ -206,9 +263,10 @@ def multi_task_stats(action_log: DataFrame, user_dim: DataFrame, tasks: DataFram
     if env.lo is None:
         counts = zero_rows
     else:
-        log = _cut_to_envelope(action_log, env, ts_col)
         kinds = _kinds(env)
-        vocab = _vocabularies(params, kinds, mask_limit)
+        lists = _small_lists(params, kinds, mask_limit)
+        vocab = {k: lists[k] for k in kinds}
+        log = _cut_log(action_log, env, lists["ranges"], cut_col)
         masks = [k for k in kinds if vocab[k]]
         sessions = attach_users(range_sessions(log, params, env, vocab), user_dim)
         task_side = params.select(
@@ -218,7 +276,8 @@ def multi_task_stats(action_log: DataFrame, user_dim: DataFrame, tasks: DataFram
             *[_mask_of(kinds[k][0], vocab[k]).alias(f"{k}_want") for k in masks],
         )
         # Fan sessions out to the tasks of their range (map side, no shuffle).
-        per_task = sessions.join(_bounded(task_side, env.n_tasks), ["start_date", "end_date"])
+        side = _bounded(task_side, env.n_tasks, env.param_bytes + 64 * env.n_tasks)
+        per_task = sessions.join(side, ["start_date", "end_date"])
         for k, name in (("kw", "keyword_hit"), ("cat", "category_hit")):
             if k in masks:
                 hit = F.col(f"{k}_mask").bitwiseAND(F.col(f"{k}_want")) != 0

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from visitlens.functions.dates import format_date
 from visitlens.functions.numbers import safe_ratio
 from visitlens.operators.filters import (
-    age_between, all_of, any_of, date_range, equals, overlaps, user_conditions,
+    age_between, all_of, any_of, cut_to_days, equals, overlaps, user_conditions,
 )
 from visitlens.operators.sessions import (
     SESSION_COLUMNS, attach_users, category_set, keyword_set, session_rollup,
@@ -140,10 +140,11 @@ def stage_counts_q(spark, sf):
     """Actions in range, sessions, kept sessions of the flagship task, from
     one pass over the sessions (the action count is the sum of steps)."""
     params, log, user_dim = _flagship_inputs(spark, sf)
-    in_range = log.filter(date_range(params.start_date, params.end_date))
+    in_range = cut_to_days(log, params.start_date, params.end_date)
     sessions = session_rollup(in_range, keywords=params.keywords, category_ids=params.category_ids)
-    wanted_users = user_dim.filter(all_of(user_conditions(params))).select(
-        "user_id", F.lit(True).alias("user_ok"))
+    # distinct: a user id listed twice must not double the first two stages
+    wanted_users = user_dim.filter(all_of(user_conditions(params))).select("user_id").distinct() \
+        .withColumn("user_ok", F.lit(True))
     flags = [F.col("user_ok").isNotNull()]
     if params.keywords is not None:
         flags.append(F.col("keyword_hit"))
@@ -192,14 +193,14 @@ def label_counts_q(spark, sf):
 
 def actions_in_range_q(spark, sf):
     params = load_task(task_table(spark), FLAGSHIP_TASK)
-    log = actions(spark, sf).filter(date_range(params.start_date, params.end_date))
+    log = cut_to_days(actions(spark, sf), params.start_date, params.end_date)
     return log.select("event_id", "session_id", "user_id", "action_time")
 
 
 def actions_previous_day_q(spark, sf):
     """Actions of the day before a run date (passed in, not read from the clock)."""
     prev = RUN_DATE - dt.timedelta(days=1)
-    log = actions(spark, sf).filter(date_range(prev, RUN_DATE))
+    log = cut_to_days(actions(spark, sf), prev, RUN_DATE)
     return log.select("event_id", "session_id", "user_id", "action_time",
                       format_date("action_date").alias("action_date"))
 

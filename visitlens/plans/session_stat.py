@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from visitlens.operators.filters import date_range, session_filter
+from visitlens.operators.filters import cut_to_days, session_filter
 from visitlens.operators.sessions import attach_users, session_rollup
 from visitlens.operators.stats import STAT_COLUMNS, aggr_stat
 from visitlens.sources.tables import actions, users
@@ -31,20 +31,21 @@ FLAGSHIP_UNIT = "dense"
 
 
 def kept_sessions(action_log: DataFrame, user_dim: DataFrame, params: TaskParams,
-                  ts_col: str | None = "ts", profession_from_city: bool = False) -> DataFrame:
+                  cut_col: str | None = None, profession_from_city: bool = False) -> DataFrame:
     """Sessions of the task's date range that pass all its conditions,
-    with user attributes attached."""
-    in_range = action_log.filter(date_range(params.start_date, params.end_date, ts_col))
+    with user attributes attached.  The date cut is stated on ``cut_col``
+    (default: the raw ``ts`` / ``date`` column, see raw_cut_column)."""
+    in_range = cut_to_days(action_log, params.start_date, params.end_date, cut_col)
     sessions = session_rollup(in_range, keywords=params.keywords, category_ids=params.category_ids)
     joined = attach_users(sessions, user_dim, profession_from_city)
     return joined.filter(session_filter(params, flags=True))
 
 
 def run_session_task(action_log: DataFrame, user_dim: DataFrame, params: TaskParams,
-                     task_id: int, ts_col: str | None = "ts",
+                     task_id: int, cut_col: str | None = None,
                      profession_from_city: bool = False) -> DataFrame:
     """task_id, session_count and the 15 ratios for one task."""
-    stat = aggr_stat(kept_sessions(action_log, user_dim, params, ts_col, profession_from_city))
+    stat = aggr_stat(kept_sessions(action_log, user_dim, params, cut_col, profession_from_city))
     return stat.select(F.lit(task_id).cast("bigint").alias("task_id"), *STAT_COLUMNS)
 
 

@@ -67,22 +67,24 @@ def build_session(
     for key, value in conf.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
-    checkpoint_dir(spark)
+    if master and master.startswith("local"):
+        checkpoint_dir(spark, create_if_unset=True)
     return spark
 
 
-def checkpoint_dir(spark: SparkSession) -> str:
+def checkpoint_dir(spark: SparkSession, create_if_unset: bool = False) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this setting points at shared storage and is only read.
-    When it is unset (a bare local test session) a private folder is made
-    so that ``DataFrame.checkpoint()`` still works.
+    On a cluster this setting points at shared storage and is only read;
+    a missing setting is an error there.  ``create_if_unset`` (used for
+    local sessions only, as in tests) makes a private folder instead.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not create_if_unset:
+            raise RuntimeError("spark.checkpoint.dir is not set; point it at shared storage")
         path = tempfile.mkdtemp(prefix="visitlens-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(path)
     return path
-

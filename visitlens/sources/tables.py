@@ -44,13 +44,14 @@ def catalog_table(spark: SparkSession, name: str) -> DataFrame:
 def from_reference_layout(log: DataFrame) -> DataFrame:
     """Adapt an action log in the application's own layout (``date`` as
     ``yyyy-MM-dd`` text, ``action_time`` as ``yyyy-MM-dd H:mm:ss`` text)
-    to the typed columns the operators use.  Unparsable times become
-    NULL: such actions still count as steps but do not move a session's
-    start or end.  Date cuts then go on ``action_date`` (pass
-    ``ts_col=None`` to the jobs)."""
+    to the typed columns the operators use.  The raw ``date`` text is kept:
+    date cuts are stated on it (text bounds reach the scan and partition
+    pruning).  Unparsable times and dates become NULL: such actions still
+    count as steps but do not move a session's start or end."""
     others = [c for c in log.columns if c not in ("date", "action_time")]
     return log.select(
-        F.to_date("date", "yyyy-MM-dd").alias("action_date"),
+        "date",
+        F.try_to_date("date", "yyyy-MM-dd").alias("action_date"),
         parse_time("action_time").cast("timestamp_ntz").alias("action_time"),
         *others,
     )
