@@ -242,3 +242,19 @@ def test_stage_counts_style_left_join_ignores_duplicated_users(spark):
     joined = session_rollup(make_actions(spark, rows)).join(wanted, "user_id", "left")
     r = joined.agg(F.sum("step_length").alias("a"), F.count(F.lit(1)).alias("s")).first()
     assert (r.a, r.s) == (3, 2)
+
+
+def test_application_layout_day_from_date_text_prefix(spark):
+    from visitlens.plans.multi_task import multi_task_stats
+    from visitlens.sources.tables import from_reference_layout
+    from visitlens.sources.tasks import task_table
+    rows = [("2024-01-15", 1, "s", "2024-01-15 9:00:00"), ("2024-01-15T00:00", 1, "s", "2024-01-15 9:00:30"),
+            ("2024-01-15 ", 1, "t", "2024-01-15 10:00:00")]
+    log = from_reference_layout(spark.createDataFrame(rows, "date string, user_id bigint, session_id string, action_time string"))
+    assert log.filter("action_date is null").count() == 0
+    p = TaskParams(dt.date(2024, 1, 15), dt.date(2024, 1, 16))
+    dim = make_users(spark, [user(1)])
+    single = run_session_task(log, dim, p, 1).first()
+    tasks = task_table(spark, [(1, "t", task_param_json(startDate="2024-01-15", endDate="2024-01-16"))])
+    multi = multi_task_stats(log, dim, tasks).first()
+    assert single == multi and single.session_count == 2

@@ -215,10 +215,14 @@ def task_hits(log: DataFrame, params: DataFrame, env, kind: str) -> DataFrame:
     for a mask."""
     list_col, data_col, n_wanted = _kinds(env)[kind]
     wanted = params.select("task_id", "start_date", "end_date", F.explode(list_col).alias("wanted"))
-    # One row per (session, day, value) before meeting the task lists, so a
-    # hot value listed by many tasks does not multiply raw action rows.
+    # Keep only rows whose value some task lists (semi-join with the
+    # distinct listed values, broadcast when it fits), then one row per
+    # (session, day, value), so a hot value listed by many tasks does not
+    # multiply raw action rows and unlisted values are never shuffled.
+    listed = params.select(F.explode(list_col).alias("value")).distinct()
     hits = (log.select("session_id", "action_date", data_col.alias("value"))
-            .filter(F.col("value").isNotNull()).distinct())
+            .join(_bounded(listed, n_wanted, env.param_bytes + 32 * n_wanted), "value", "left_semi")
+            .distinct())
     cond = (
         (hits.value == F.col("wanted"))
         & (hits.action_date >= F.col("start_date"))

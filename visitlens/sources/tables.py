@@ -46,12 +46,18 @@ def from_reference_layout(log: DataFrame) -> DataFrame:
     ``yyyy-MM-dd`` text, ``action_time`` as ``yyyy-MM-dd H:mm:ss`` text)
     to the typed columns the operators use.  The raw ``date`` text is kept:
     date cuts are stated on it (text bounds reach the scan and partition
-    pruning).  Unparsable times and dates become NULL: such actions still
-    count as steps but do not move a session's start or end."""
+    pruning).  Unparsable times become NULL: such actions still count as
+    steps but do not move a session's start or end.  A ``date`` text whose
+    first 10 characters are no date gets a NULL ``action_date``; the
+    single-task job still counts it when its text passes the cut (as the
+    application's text comparison does), the many-task job cannot place
+    it on a day and leaves it out."""
     others = [c for c in log.columns if c not in ("date", "action_time")]
     return log.select(
         "date",
-        F.try_to_date("date", "yyyy-MM-dd").alias("action_date"),
+        # the day of the first 10 characters: every text that passes a
+        # yyyy-MM-dd text cut of one day starts with that day
+        F.try_to_date(F.substring("date", 1, 10), "yyyy-MM-dd").alias("action_date"),
         parse_time("action_time").cast("timestamp_ntz").alias("action_time"),
         *others,
     )
