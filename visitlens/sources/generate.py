@@ -40,11 +40,12 @@ MAX_STEPS = 101
 MINUTE_SECOND_SLOTS = 59 * 59
 
 
-def _spread(df: DataFrame) -> DataFrame:
+def _spread(df: DataFrame, key: str) -> DataFrame:
     """Seed tables are narrow and may sit in a few files while the output
-    is ~130x larger: spread the (one-column) seeds round-robin over the
-    shuffle partitions before expanding."""
-    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    is ~130x larger: hash-spread the (one-column) seeds over the shuffle
+    partitions before expanding (placement by key, so a recomputed
+    partition gets the same seeds)."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
 
 
 def _draw(n: int, *keys: Column | str) -> Column:
@@ -103,7 +104,7 @@ def gen_actions(spark: SparkSession, sf_dir: str, day: dt.date = dt.date(2024, 1
                 seed: str = "actions") -> DataFrame:
     """One user draw per customer row, 10 sessions each."""
     s = F.lit(seed)
-    draws = _spread(read_table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("draw")))
+    draws = _spread(read_table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("draw")), "draw")
     sessions = draws.select(
         _draw(100, "draw", s, F.lit("user")).alias("user_id"),
         "draw",
