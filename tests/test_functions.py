@@ -148,3 +148,36 @@ def test_view_schemas(spark):
     assert set(tables.ACTION_COLUMNS) <= set(acts.columns)
     assert tuple(tables.users(spark, SF_SMALL).columns) == tables.USER_COLUMNS
     assert tables.products(spark, SF_SMALL).columns == ["product_id", "product_name", "extend_info"]
+
+
+@pytest.mark.parametrize("text,expected", [("a,\n", "a,\n"), (",a,", "a"), ("\n,", "\n")])
+def test_trim_one_comma_end_is_end_of_text(spark, text, expected):
+    assert one(spark, strings.trim_one_comma("s"), text) == expected
+
+
+def test_packed_field_end_is_end_of_text(spark):
+    assert one(spark, strings.packed_field("s", "k"), "k=v=\n") is None
+    assert one(spark, strings.packed_field("s", "k"), "k=v=") == "v"
+
+
+def test_set_packed_field_null_value_is_written_as_null(spark):
+    df = spark.createDataFrame([("a=1|b=2",)], "s string")
+    r = df.select(strings.set_packed_field("s", "a", F.lit(None).cast("string")).alias("r")).first().r
+    assert r == "a=null|b=2"
+
+
+def test_zero_fill_counts_utf16_units(spark):
+    assert one(spark, strings.zero_fill_2("s"), "\U0001F600") == "\U0001F600"
+    assert one(spark, strings.zero_fill_2("s"), "é") == "0é"
+
+
+@pytest.mark.parametrize("text,expected", [
+    ("a,,b", ["a", "", "b"]), (",x", ["", "x"]), ("a,b,,", ["a", "b"]), ("", [""]), (",,", []),
+])
+def test_java_split(spark, text, expected):
+    assert one(spark, strings.java_split("s"), text) == expected
+
+
+def test_lists_overlap_with_inner_empty_pieces(spark):
+    df = spark.createDataFrame([("a,,b", ",x")], "a string, b string")
+    assert df.select(strings.lists_overlap("a", "b").alias("r")).first().r is True

@@ -32,16 +32,22 @@ def is_not_blank(c: Column | str) -> Column:
     return c.isNotNull() & (c != F.lit(""))
 
 
+# Regular expressions run on Java's engine, where "$" also matches before a
+# final line break; "\z" is the true end of the text.
+
+
 def trim_one_comma(c: Column | str) -> Column:
     """Drop one leading and one trailing comma (not all of them)."""
-    return F.regexp_replace(_col(c), r"^,|,$", "")
+    return F.regexp_replace(_col(c), r"^,|,\z", "")
 
 
 def zero_fill_2(c: Column | str) -> Column:
-    """Two-character text is kept; anything else gets one '0' in front
-    (so '7' -> '07' but '123' -> '0123', unlike lpad)."""
+    """Text of length 2 is kept; anything else gets one '0' in front
+    (so '7' -> '07' but '123' -> '0123', unlike lpad).  Length counts
+    UTF-16 units, as Java strings do (an emoji has length 2)."""
     c = _col(c)
-    return F.when(F.length(c) == 2, c).otherwise(F.concat(F.lit("0"), c))
+    utf16_len = F.octet_length(F.encode(c, "UTF-16BE")) / 2
+    return F.when(utf16_len == 2, c).otherwise(F.concat(F.lit("0"), c))
 
 
 def split_list(c: Column | str, sep: str = LIST_SEPARATOR) -> Column:
@@ -50,10 +56,22 @@ def split_list(c: Column | str, sep: str = LIST_SEPARATOR) -> Column:
     return F.filter(parts, lambda x: x != F.lit(""))
 
 
+def java_split(c: Column | str, sep: str = LIST_SEPARATOR) -> Column:
+    """Split like Java's ``String.split``: inner and leading empty pieces
+    are kept, trailing ones dropped; "" gives [""] and ",," gives []."""
+    c = _col(c)
+    q = _regex_quote(sep)
+    stripped = F.regexp_replace(c, f"(?:{q})+\\z", "")
+    return (F.when(c == F.lit(""), F.array(F.lit("")))
+            .when(stripped == F.lit(""), F.array().cast("array<string>"))
+            .otherwise(F.split(stripped, q)))
+
+
 def lists_overlap(a: Column | str, b: Column | str) -> Column:
-    """Any element of comma list ``a`` equals one of comma list ``b``;
-    false (not NULL) when either side is NULL."""
-    return F.coalesce(F.arrays_overlap(split_list(a), split_list(b)), F.lit(False))
+    """Any piece of comma list ``a`` equals a piece of comma list ``b``
+    (pieces as Java's split makes them); false, not NULL, when either side
+    is NULL."""
+    return F.coalesce(F.arrays_overlap(java_split(a), java_split(b)), F.lit(False))
 
 
 def packed_field(s: Column | str, field: str) -> Column:
@@ -63,7 +81,7 @@ def packed_field(s: Column | str, field: str) -> Column:
     it starts the text or follows a '|', its value is non-empty and holds
     no '=', and only '=' may trail it before the next '|' or the end.
     """
-    pattern = "(?:^|[|])" + _regex_quote(field) + "=([^=|]+)=*(?=[|]|$)"
+    pattern = "(?:^|[|])" + _regex_quote(field) + "=([^=|]+)=*(?=[|]|\\z)"
     c = _col(s)
     return F.when(c.rlike(pattern), F.regexp_extract(c, pattern, 1))
 
@@ -73,9 +91,10 @@ def set_packed_field(s: Column | str, field: str, value: Column | str) -> Column
     the text before its first '=', or the whole piece); trailing empty
     pieces are dropped first.  Text without such a piece is unchanged."""
     value = F.lit(value) if isinstance(value, str) else value
-    stripped = F.regexp_replace(_col(s), "[|]+$", "")
+    value = F.coalesce(value, F.lit("null"))  # Java's "k=" + null
+    stripped = F.regexp_replace(_col(s), "[|]+\\z", "")
     # Lazy run of whole pieces, then the first piece named ``field``.
-    pattern = "^((?:[^|]*[|])*?)" + _regex_quote(field) + "(?:=[^|]*)?(?=[|]|$)"
+    pattern = "^((?:[^|]*[|])*?)" + _regex_quote(field) + "(?:=[^|]*)?(?=[|]|\\z)"
     safe_value = F.regexp_replace(value, r"([\\$])", r"\\$1")
     replacement = F.concat(F.lit("$1" + field.replace("\\", "\\\\").replace("$", "\\$") + "="), safe_value)
     return F.regexp_replace(stripped, F.lit(pattern), replacement)
