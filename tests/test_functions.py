@@ -90,8 +90,8 @@ def test_ratio_matches_java_bigdecimal_rule_on_all_small_pairs(spark):
 def test_parse_time_accepts_unpadded_hour_and_rejects_junk(spark):
     df = spark.createDataFrame([("2018-02-07 9:05:03",), ("2018-02-07 09:05:03",), ("2018-02-07 9:05:03x",), ("junk",)], "s string")
     got = [r.t for r in df.select(dates.parse_time("s").alias("t")).collect()]
-    assert got[0] == got[1] == dt.datetime(2018, 2, 7, 9, 5, 3)
-    assert got[2] is None and got[3] is None
+    assert got[0] == got[1] == got[2] == dt.datetime(2018, 2, 7, 9, 5, 3)  # trailing text ignored
+    assert got[3] is None
 
 
 def test_text_time_comparisons(spark):
@@ -181,3 +181,31 @@ def test_java_split(spark, text, expected):
 def test_lists_overlap_with_inner_empty_pieces(spark):
     df = spark.createDataFrame([("a,,b", ",x")], "a string, b string")
     assert df.select(strings.lists_overlap("a", "b").alias("r")).first().r is True
+
+
+@pytest.mark.parametrize("text,expected", [
+    ("2024-1-3 9:5:3", dt.datetime(2024, 1, 3, 9, 5, 3)),
+    ("2024-01-03 09:05:03x", dt.datetime(2024, 1, 3, 9, 5, 3)),
+    ("2024-01-03 09:05:03.250 extra", dt.datetime(2024, 1, 3, 9, 5, 3)),
+    ("2024/01/03 09:05:03", None), ("2024-01-03 25:61:61", None), ("x2024-01-03 09:05:03", None),
+    ("99999999999-01-03 09:05:03", None),
+])
+def test_parse_time_is_lenient_like_the_application(spark, text, expected):
+    assert one(spark, dates.parse_time("s"), text) == expected
+
+
+@pytest.mark.parametrize("text,expected", [
+    ("20240103", dt.date(2024, 1, 3)), ("20240103?", dt.date(2024, 1, 3)),
+    ("?20240103", None), ("2024013", None), ("20241303", None),
+])
+def test_parse_date_key_reads_the_first_8_digits(spark, text, expected):
+    assert one(spark, dates.parse_date_key("s"), text) == expected
+
+
+def test_epoch_seconds_round_down_before_1970(spark):
+    df = spark.createDataFrame([(dt.datetime(1969, 12, 31, 23, 59, 59, 500000),),
+                                (dt.datetime(1969, 12, 31, 23, 59, 30),)], "t timestamp_ntz")
+    rows = df.select(dates.epoch_seconds("t").alias("s"), dates.epoch_minutes("t").alias("m"),
+                     dates.truncate_to_second("t").alias("tr")).collect()
+    assert [(r.s, r.m) for r in rows] == [(-1, -1), (-30, -1)]
+    assert rows[0].tr == dt.datetime(1969, 12, 31, 23, 59, 59)

@@ -15,9 +15,6 @@ DATE_FORMAT = "yyyy-MM-dd"
 TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
 DATE_KEY_FORMAT = "yyyyMMdd"
 MINUTE_KEY_FORMAT = "yyyyMMddHHmm"
-# Hours are written without a leading zero ("2018-02-07 9:05:03"); a
-# single-letter hour pattern accepts both "9" and "09".
-TIME_PARSE_FORMAT = "yyyy-MM-dd H:mm:ss"
 
 
 def _col(c: Column | str) -> Column:
@@ -28,13 +25,19 @@ def _epoch() -> Column:
     return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
 
 
+def _floor_div(x: Column, n: int) -> Column:
+    """Integer division rounding toward minus infinity (exact on bigint)."""
+    return ((x - F.pmod(x, F.lit(n))) / F.lit(n)).cast("bigint")
+
+
 def epoch_seconds(ts: Column | str) -> Column:
-    """Whole seconds since 1970-01-01 of a timestamp_ntz (no time zone)."""
-    return F.timestamp_diff("SECOND", _epoch(), _col(ts))
+    """Whole seconds since 1970-01-01 of a timestamp_ntz (no time zone),
+    rounded down (also before 1970)."""
+    return _floor_div(F.timestamp_diff("MICROSECOND", _epoch(), _col(ts)), 1_000_000)
 
 
 def epoch_minutes(ts: Column | str) -> Column:
-    return F.timestamp_diff("MINUTE", _epoch(), _col(ts))
+    return _floor_div(F.timestamp_diff("MICROSECOND", _epoch(), _col(ts)), 60_000_000)
 
 
 def from_epoch_seconds(seconds: Column | str) -> Column:
@@ -53,14 +56,31 @@ def seconds_between(start: Column | str, end: Column | str) -> Column:
     return F.timestamp_diff("SECOND", _col(start), _col(end))
 
 
+# Leading "y-M-d H:m:s" with any number of digits per field; what follows
+# is ignored, as Java's DateFormat.parse(String) ignores trailing text.
+_TIME_PREFIX = r"^(\d+)-(\d+)-(\d+) (\d+):(\d+):(\d+)"
+
+
 def parse_time(text: Column | str) -> Column:
-    """``yyyy-MM-dd H:mm:ss`` text -> timestamp; NULL on bad text."""
-    return F.try_to_timestamp(_col(text), F.lit(TIME_PARSE_FORMAT))
+    """Time text -> timestamp; NULL on bad text.
+
+    Reads like the application's ``yyyy-MM-dd HH:mm:ss`` parser: fields
+    may be unpadded ("2018-02-07 9:05:03") and trailing text is ignored.
+    Out-of-range fields ("25:61:61") give NULL instead of rolling over.
+    """
+    t = _col(text)
+    parts = [F.regexp_extract(t, _TIME_PREFIX, i).try_cast("int") for i in range(1, 7)]
+    padded = F.format_string("%04d-%02d-%02d %02d:%02d:%02d", *parts)
+    ok = t.rlike(_TIME_PREFIX)
+    return F.when(ok, F.try_to_timestamp(padded, F.lit(TIME_FORMAT)))
 
 
 def parse_date_key(text: Column | str) -> Column:
-    """``yyyyMMdd`` text -> date; NULL on bad text."""
-    return F.try_to_date(_col(text), DATE_KEY_FORMAT)
+    """``yyyyMMdd`` text -> date from its first 8 digits (trailing text is
+    ignored, as by the application's parser); NULL on bad text."""
+    t = _col(text)
+    head = F.regexp_extract(t, r"^(\d{8})", 1)
+    return F.when(t.rlike(r"^\d{8}"), F.try_to_date(head, DATE_KEY_FORMAT))
 
 
 def is_before(t1: Column | str, t2: Column | str) -> Column:
