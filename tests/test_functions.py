@@ -128,10 +128,10 @@ def test_json_helpers(spark):
                                  '{"cities": ["c1,c2"], "sex": [], "x": [""]}')], "e string, arr string, p string")
     r = df.select(J.json_int_field("e", "product_status").alias("st"),
                   F.size(J.json_objects("arr")).alias("n"),
-                  J.first_param(J.param_map("p"), "cities").alias("c"),
-                  J.first_param(J.param_map("p"), "sex").alias("s"),
-                  J.first_param(J.param_map("p"), "x").alias("x"),
-                  J.first_param(J.param_map("p"), "absent").alias("a")).first()
+                  J.first_param("p", "cities").alias("c"),
+                  J.first_param("p", "sex").alias("s"),
+                  J.first_param("p", "x").alias("x"),
+                  J.first_param("p", "absent").alias("a")).first()
     assert (r.st, r.n, r.c, r.s, r.x, r.a) == (1, 2, "c1,c2", None, None, None)
 
 
@@ -209,3 +209,10 @@ def test_epoch_seconds_round_down_before_1970(spark):
                      dates.truncate_to_second("t").alias("tr")).collect()
     assert [(r.s, r.m) for r in rows] == [(-1, -1), (-30, -1)]
     assert rows[0].tr == dt.datetime(1969, 12, 31, 23, 59, 59)
+
+
+def test_one_malformed_parameter_does_not_hide_the_others(spark):
+    from visitlens.sources.tasks import load_task, task_table
+    text = '{"startDate":["2024-01-01"],"endDate":["2024-01-09"],"taskName":"x","startAge":["30.5"],"endAge":[40]}'
+    p = load_task(task_table(spark, [(1, "t", text)]), 1)
+    assert p.start_date == dt.date(2024, 1, 1) and p.start_age is None and p.end_age == 40

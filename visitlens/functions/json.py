@@ -7,26 +7,25 @@ from pyspark.sql import functions as F
 
 # Task parameters: every value is a JSON array and its first element is
 # used; a multi-value parameter is comma text inside that one element.
-PARAM_MAP_SCHEMA = "map<string,array<string>>"
 
 
 def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def param_map(task_param: Column | str) -> Column:
-    return F.from_json(_col(task_param), PARAM_MAP_SCHEMA)
-
-
-def first_param(params: Column, name: str) -> Column:
-    """First element of the array under ``name``; NULL when the name is
-    absent, the array is empty, or the element is the empty string."""
-    return F.nullif(F.get(params[name], 0), F.lit(""))
+def first_param(task_param: Column | str, name: str) -> Column:
+    """First element of the JSON array under ``name`` as text (numbers as
+    their text); NULL when the name is absent, the array is empty, or the
+    element is the empty string.  Read per field, so one malformed field
+    does not hide the others."""
+    return F.nullif(F.get_json_object(_col(task_param), f"$.{name}[0]"), F.lit(""))
 
 
 def json_int_field(text: Column | str, field: str) -> Column:
-    """Integer field of a JSON object text (NULL when absent or bad)."""
-    return F.get_json_object(_col(text), f"$.{field}").try_cast("bigint")
+    """Whole-number field of a JSON object text (a number or a numeric
+    string); NULL when absent or not a whole number (1.5 is NULL)."""
+    v = F.get_json_object(_col(text), f"$.{field}")
+    return F.when(v.rlike(r"^-?\d+$"), v.try_cast("bigint"))
 
 
 def json_objects(text: Column | str) -> Column:

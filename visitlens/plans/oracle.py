@@ -37,6 +37,11 @@ def _action_time(unit: str) -> str:
             "date_diff('minute', TIMESTAMP '1970-01-01 00:00:00', ts))")
 
 
+# props.k as a whole number (NULL otherwise), as functions.json.json_int_field
+K_SQL = ("CASE WHEN regexp_full_match(json_extract_string(props, '$.k'), '-?\\d+') "
+         "THEN TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) END")
+
+
 def actions_cte(grain: str = "g", unit: str = "raw") -> str:
     return f"""actions AS (
   SELECT event_id, ts, CAST(ts AS DATE) AS action_date, user_id,
@@ -52,7 +57,7 @@ def actions_cte(grain: str = "g", unit: str = "raw") -> str:
          CASE WHEN event_type = 'purchase' THEN CAST(k AS VARCHAR) END AS pay_category_ids,
          CASE WHEN event_type = 'purchase' THEN CAST(event_id % 100 AS VARCHAR) END AS pay_product_ids,
          user_id % 10 AS city_id
-  FROM (SELECT *, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events) e
+  FROM (SELECT *, {K_SQL} AS k FROM events) e
 )"""
 
 
@@ -132,10 +137,10 @@ def stat_select(source: str, task_expr: str = "", group_by: str = "") -> str:
     cols = ["CAST(count(*) AS BIGINT) AS session_count"]
     for name, lo, hi in VISIT_BUCKETS:
         test = _bucket_test("visit_length", lo, hi)
-        cols.append(f"{ratio_sql(f'count_if({test})', 'count(*)')} AS visit_{name}")
+        cols.append(f"{ratio_sql(f'count(*) FILTER (WHERE {test})', 'count(*)')} AS visit_{name}")
     for name, lo, hi in STEP_BUCKETS:
         test = _bucket_test("step_length", lo, hi)
-        cols.append(f"{ratio_sql(f'count_if({test})', 'count(*)')} AS step_{name}")
+        cols.append(f"{ratio_sql(f'count(*) FILTER (WHERE {test})', 'count(*)')} AS step_{name}")
     head = f"{task_expr}, " if task_expr else ""
     tail = f" GROUP BY {group_by}" if group_by else ""
     return f"SELECT {head}" + ",\n       ".join(cols) + f"\nFROM {source}{tail}"
@@ -163,16 +168,26 @@ def _param(name: str) -> str:
     return f"nullif(json_extract_string(task_param, '$.{name}[0]'), '')"
 
 
+def _param_day(name: str) -> str:
+    v = _param(name)
+    return f"CASE WHEN regexp_full_match({v}, '\\d{{4}}-\\d{{2}}-\\d{{2}}') THEN TRY_CAST({v} AS DATE) END"
+
+
+def _param_int(name: str) -> str:
+    v = _param(name)
+    return f"CASE WHEN regexp_full_match({v}, '-?\\d+') THEN TRY_CAST({v} AS INTEGER) END"
+
+
 def _param_list(name: str) -> str:
     return f"list_filter(string_split({_param(name)}, ','), lambda x: x <> '')"
 
 
 TP_CTE = f"""tp AS (
   SELECT CAST(task_id AS BIGINT) AS task_id,
-         TRY_CAST({_param('startDate')} AS DATE) AS t_sd,
-         TRY_CAST({_param('endDate')} AS DATE) AS t_ed,
-         TRY_CAST({_param('startAge')} AS INTEGER) AS t_sa,
-         TRY_CAST({_param('endAge')} AS INTEGER) AS t_ea,
+         {_param_day('startDate')} AS t_sd,
+         {_param_day('endDate')} AS t_ed,
+         {_param_int('startAge')} AS t_sa,
+         {_param_int('endAge')} AS t_ea,
          {_param_list('professionals')} AS t_profs,
          {_param_list('cities')} AS t_cities,
          {_param('sex')} AS t_sex,
@@ -185,9 +200,9 @@ TP_CTE = f"""tp AS (
 def _counter_cols(prefix: str = "") -> list[str]:
     cols = ["count(*) AS n"]
     for name, lo, hi in VISIT_BUCKETS:
-        cols.append(f"count_if({_bucket_test(prefix + 'visit_length', lo, hi)}) AS n_visit_{name}")
+        cols.append(f"count(*) FILTER (WHERE {_bucket_test(prefix + 'visit_length', lo, hi)}) AS n_visit_{name}")
     for name, lo, hi in STEP_BUCKETS:
-        cols.append(f"count_if({_bucket_test(prefix + 'step_length', lo, hi)}) AS n_step_{name}")
+        cols.append(f"count(*) FILTER (WHERE {_bucket_test(prefix + 'step_length', lo, hi)}) AS n_step_{name}")
     return cols
 
 
@@ -257,7 +272,7 @@ def _session_user_sql(select: str, grain: str = "g", unit: str = "raw") -> str:
 
 def _histogram_sql(col: str, buckets, prefix: str) -> str:
     parts = [
-        f"SELECT '{prefix}{name}' AS bucket, CAST(count_if({_bucket_test(col, lo, hi)}) AS BIGINT) AS n FROM sessions"
+        f"SELECT '{prefix}{name}' AS bucket, CAST(count(*) FILTER (WHERE {_bucket_test(col, lo, hi)}) AS BIGINT) AS n FROM sessions"
         for name, lo, hi in buckets
     ]
     return "\nUNION ALL\n".join(parts)
@@ -332,14 +347,14 @@ def oracle_queries() -> dict[str, str]:
         "step_length", STEP_BUCKETS, "step_")
     q["visit_length_ratio"] = _ratio_long_sql(sq.RATIO_TASK, "visit_", VISIT_BUCKETS)
     q["step_length_ratio"] = _ratio_long_sql(sq.RATIO_TASK, "step_", STEP_BUCKETS)
-    share = ratio_sql("count_if(event_type = 'click')", "count(*)")
+    share = ratio_sql("count(*) FILTER (WHERE event_type = 'click')", "count(*)")
     q["ratio_rounding"] = (
         "SELECT user_id, CAST(count(*) AS BIGINT) AS n_events, "
-        "CAST(count_if(event_type = 'click') AS BIGINT) AS n_clicks, "
+        "CAST(count(*) FILTER (WHERE event_type = 'click') AS BIGINT) AS n_clicks, "
         f"{share} AS click_share "
         "FROM events GROUP BY user_id")
     q["label_counts"] = "\nUNION ALL\n".join(
-        f"SELECT '{lab}' AS label, CAST(count_if(event_type = '{lab}') AS BIGINT) AS n FROM events"
+        f"SELECT '{lab}' AS label, CAST(count(*) FILTER (WHERE event_type = '{lab}') AS BIGINT) AS n FROM events"
         for lab in sq.EVENT_LABELS)
     q["actions_in_range"] = _with(actions_cte()) + (
         f"SELECT event_id, session_id, user_id, action_time FROM actions WHERE {date_where(p1)}")
@@ -369,31 +384,56 @@ def oracle_queries() -> dict[str, str]:
     d = tj.SHIP_DEADLINE_DAYS
     q["ship_delay_profile"] = (
         "SELECT o_orderpriority, "
-        f"CAST(count_if(l_shipdate < o_orderdate + INTERVAL {d} DAY) AS BIGINT) AS n_before, "
-        f"CAST(count_if(l_shipdate > o_orderdate + INTERVAL {d} DAY) AS BIGINT) AS n_after, "
+        f"CAST(count(*) FILTER (WHERE ship < placed + INTERVAL {d} DAY) AS BIGINT) AS n_before, "
+        f"CAST(count(*) FILTER (WHERE ship > placed + INTERVAL {d} DAY) AS BIGINT) AS n_after, "
         "CAST(sum(CASE WHEN s BETWEEN -2147483648 AND 2147483647 THEN s ELSE 0 END) AS BIGINT) AS total_seconds "
-        "FROM (SELECT o_orderpriority, l_shipdate, o_orderdate, "
-        "date_diff('second', o_orderdate, l_shipdate) AS s "
+        "FROM (SELECT o_orderpriority, date_trunc('second', l_shipdate) AS ship, "
+        "date_trunc('second', o_orderdate) AS placed, "
+        "date_diff('second', date_trunc('second', o_orderdate), date_trunc('second', l_shipdate)) AS s "
         "FROM lineitem JOIN orders ON l_orderkey = o_orderkey) j GROUP BY o_orderpriority")
+    fmt = "strftime(ts, '%Y-%m-%d %H:%M:%S')"
+    key = "strftime(ts, '%Y%m%d')"
+    pat = "'^(\\d+)-(\\d+)-(\\d+) (\\d+):(\\d+):(\\d+)'"
+    fields = ", ".join(f"TRY_CAST(regexp_extract(txt, {pat}, {i}) AS INTEGER)" for i in range(1, 7))
     q["time_text_audit"] = (
-        "SELECT strftime(ts, '%Y-%m-%d') AS day, CAST(count_if(event_id % 17 <> 0) AS BIGINT) AS n_ok, "
-        "CAST(count_if(event_id % 17 = 0) AS BIGINT) AS n_bad, "
-        "CAST(count_if(event_id % 23 = 0) AS BIGINT) AS n_bad_key FROM events GROUP BY 1")
+        "WITH t AS (SELECT ts, "
+        f"CASE WHEN event_id % 17 = 0 THEN replace({fmt}, '-', '/') "
+        f"WHEN event_id % 13 = 0 THEN {fmt} || ' UTC' "
+        "WHEN event_id % 5 = 0 THEN strftime(ts, '%Y-%m-%d') || ' ' || CAST(hour(ts) AS VARCHAR) || ':' || strftime(ts, '%M:%S') "
+        f"ELSE {fmt} END AS txt, "
+        f"CASE WHEN event_id % 23 = 0 THEN '?' || {key} WHEN event_id % 19 = 0 THEN {key} || '?' ELSE {key} END AS k "
+        "FROM events), "
+        "p AS (SELECT ts, "
+        f"CASE WHEN regexp_matches(txt, {pat}) THEN try_strptime(printf('%04d-%02d-%02d %02d:%02d:%02d', {fields}), '%Y-%m-%d %H:%M:%S') END AS parsed, "
+        "CASE WHEN regexp_matches(k, '^\\d{8}') THEN try_strptime(substr(k, 1, 8), '%Y%m%d') END AS pk FROM t) "
+        "SELECT strftime(ts, '%Y-%m-%d') AS day, CAST(count(*) FILTER (WHERE parsed IS NOT NULL) AS BIGINT) AS n_ok, "
+        "CAST(count(*) FILTER (WHERE parsed IS NULL) AS BIGINT) AS n_bad, CAST(count(*) FILTER (WHERE pk IS NULL) AS BIGINT) AS n_bad_key "
+        "FROM p GROUP BY 1")
     blanks = "\nUNION ALL\n".join(
-        f"SELECT '{c}' AS column, CAST(count_if({c} IS NULL) AS BIGINT) AS n_null, "
-        f"CAST(count_if({c} = '') AS BIGINT) AS n_empty, "
-        f"CAST(count_if({c} IS NOT NULL AND {c} <> '') AS BIGINT) AS n_filled FROM actions"
+        f"SELECT '{c}' AS column, CAST(count(*) FILTER (WHERE {c} IS NULL) AS BIGINT) AS n_null, "
+        f"CAST(count(*) FILTER (WHERE {c} = '') AS BIGINT) AS n_empty, "
+        f"CAST(count(*) FILTER (WHERE {c} IS NOT NULL AND {c} <> '') AS BIGINT) AS n_filled FROM actions"
         for c in tj.BLANK_PROFILE_COLUMNS)
     q["column_blank_profile"] = _with(actions_cte()) + blanks
+    k_of = f"({K_SQL})"
+    packed = ("'event_type=' || coalesce(event_type, 'null') || '|user=' || coalesce(CAST(user_id AS VARCHAR), 'null')"
+              f" || '|k=' || coalesce(CAST({k_of} AS VARCHAR), 'null')")
+    rewrite = (f"regexp_replace(regexp_replace({packed}, '[|]+$', ''), '^((?:[^|]*[|])*?)k(=[^|]*)?([|]|$)', "
+               f"'\\1k=' || coalesce(CAST({k_of} % 10 AS VARCHAR), 'null') || '\\3')")
+
+    def read(field: str) -> str:
+        rx = f"'(^|[|]){field}=([^=|]+)=*([|]|$)'"
+        return f"CASE WHEN regexp_matches(r, {rx}) THEN regexp_extract(r, {rx}, 2) END"
+
     q["packed_attr_rollup"] = (
-        "SELECT event_type, CAST(CAST(json_extract(props, '$.k') AS BIGINT) % 10 AS VARCHAR) AS k_bucket, "
-        "CAST(count(*) AS BIGINT) AS n, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total_value "
-        "FROM events GROUP BY 1, 2")
+        f"SELECT {read('event_type')} AS event_type, {read('k')} AS k_bucket, CAST(count(*) AS BIGINT) AS n, "
+        "CAST(sum(CAST(floor(value * 100 + 0.5) AS BIGINT)) AS DOUBLE) / 100 AS total_value "
+        f"FROM (SELECT {rewrite} AS r, value FROM events) x GROUP BY 1, 2")
     lf = _sql_list(tj.LIST_FILTER.split(","))
     q["list_column_rollup"] = (
         "WITH l AS (SELECT list_filter(string_split(regexp_replace("
         "',' || CAST(k % 7 AS VARCHAR) || ',' || CAST(k % 11 AS VARCHAR) || ',', '^,|,$', '', 'g'), ','), "
-        "lambda x: x <> '') AS ids FROM (SELECT CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events) e) "
+        f"lambda x: x <> '') AS ids FROM (SELECT {K_SQL} AS k FROM events) e) "
         f"SELECT element, CAST(count(*) AS BIGINT) AS n FROM (SELECT unnest(ids) AS element FROM l "
         f"WHERE list_has_any(ids, {lf})) x GROUP BY element")
     q["param_sql"] = (
@@ -407,6 +447,7 @@ def oracle_queries() -> dict[str, str]:
         "FROM part GROUP BY 1")
     q["json_props_rollup"] = (
         "SELECT key, CAST(count(*) AS BIGINT) AS n, "
-        "CAST(sum(CAST(json_extract_string(props, '$.' || key) AS BIGINT)) AS BIGINT) AS total "
-        "FROM (SELECT props, unnest(json_keys(props)) AS key FROM events) x GROUP BY key")
+        "CAST(sum(CASE WHEN regexp_full_match(v, '-?\\d+') THEN CAST(v AS BIGINT) END) AS BIGINT) AS total "
+        "FROM (SELECT j.key AS key, json_extract_string(j.value, '$') AS v FROM events, json_each(events.props) j) x "
+        "GROUP BY key")
     return q

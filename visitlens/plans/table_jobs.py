@@ -85,16 +85,22 @@ def ship_delay_profile_q(spark, sf):
 
 
 def time_text_audit_q(spark, sf):
-    """Parse a text time column with unpadded hours and broken rows
-    (made from events.ts by rule) and count parsed / rejected rows per day."""
+    """Parse a text time column with unpadded hours, trailing text and
+    broken rows (made from events.ts by rule) and count parsed / rejected
+    rows per day."""
     ev = read_table(spark, sf, "events").select("event_id", "ts")
     eid = F.col("event_id")
     unpadded = F.concat(format_date("ts"), F.lit(" "), F.hour("ts").cast("string"),
                         F.lit(":"), F.date_format("ts", "mm:ss"))
-    text = (F.when(eid % 17 == 0, F.concat(format_time("ts"), F.lit("x")))
+    # Broken rows: '/' instead of '-' (rejected).  Trailing text and
+    # unpadded hours are accepted, as by the application's parser.
+    text = (F.when(eid % 17 == 0, F.translate(format_time("ts"), "-", "/"))
+            .when(eid % 13 == 0, F.concat(format_time("ts"), F.lit(" UTC")))
             .when(eid % 5 == 0, unpadded)
             .otherwise(format_time("ts")))
-    key = F.when(eid % 23 == 0, F.concat(format_date_key("ts"), F.lit("?"))).otherwise(format_date_key("ts"))
+    key = (F.when(eid % 23 == 0, F.concat(F.lit("?"), format_date_key("ts")))
+           .when(eid % 19 == 0, F.concat(format_date_key("ts"), F.lit("?")))
+           .otherwise(format_date_key("ts")))
     parsed = parse_time(text)
     return ev.groupBy(format_date("ts").alias("day")).agg(
         F.count_if(parsed.isNotNull()).alias("n_ok"),
@@ -133,11 +139,12 @@ def packed_attr_rollup_q(spark, sf):
     rows = ev.select(
         packed_field(rewritten, "event_type").alias("event_type"),
         packed_field(rewritten, "k").alias("k_bucket"),
-        F.col("value").cast("decimal(18,2)").alias("value"),
+        # whole cents by double arithmetic (same in every engine), summed exactly
+        F.floor(F.col("value") * 100 + 0.5).cast("bigint").alias("cents"),
     )
     return rows.groupBy("event_type", "k_bucket").agg(
         F.count(F.lit(1)).alias("n"),
-        F.sum("value").cast("double").alias("total_value"),
+        (F.sum("cents").cast("double") / 100).alias("total_value"),
     )
 
 
@@ -182,12 +189,14 @@ def product_status_q(spark, sf):
 
 
 def json_props_rollup_q(spark, sf):
-    """JSON array of objects (single-quoted) -> one row per key/value."""
+    """JSON array of objects -> one row per key / value; integer values
+    are summed (other values counted only)."""
     ev = read_table(spark, sf, "events")
-    text = F.concat(F.lit("["), F.translate("props", '"', "'"), F.lit("]"))
+    text = F.concat(F.lit("["), F.col("props"), F.lit("]"))
     objs = ev.select(F.explode(json_objects(text)).alias("obj"))
     kv = objs.select(F.explode("obj").alias("key", "value"))
+    whole = F.when(F.col("value").rlike(r"^-?\d+$"), F.col("value").try_cast("bigint"))
     return kv.groupBy("key").agg(
         F.count(F.lit(1)).alias("n"),
-        F.sum(F.col("value").cast("bigint")).alias("total"),
+        F.sum(whole).alias("total"),
     )

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from visitlens.functions.json import first_param, param_map
+from visitlens.functions.json import first_param
 from visitlens.functions.strings import split_list
 
 TASK_SCHEMA = T.StructType([
@@ -91,22 +91,31 @@ def task_table(spark: SparkSession, rows=SAMPLE_TASKS) -> DataFrame:
 def parse_tasks(tasks: DataFrame) -> DataFrame:
     """Add one typed column per parameter (names in PARAM_COLUMNS).
 
-    Ages that are not integers count as absent.  Lists become arrays of
-    their non-empty elements.
+    Dates must be ``yyyy-MM-dd`` and ages whole numbers, else they count
+    as absent.  Lists become arrays of their non-empty elements.
     """
-    parsed = tasks.select("*", param_map("task_param").alias("_p"))
-    p = F.col("_p")
-    return parsed.select(
+    def text(name: str):
+        return first_param("task_param", name)
+
+    def day(name: str):
+        v = text(name)
+        return F.when(v.rlike(r"^\d{4}-\d{2}-\d{2}$"), F.try_to_date(v, "yyyy-MM-dd"))
+
+    def whole(name: str):
+        v = text(name)
+        return F.when(v.rlike(r"^-?\d+$"), v.try_cast("int"))
+
+    return tasks.select(
         *tasks.columns,
-        F.try_to_date(first_param(p, "startDate"), "yyyy-MM-dd").alias("start_date"),
-        F.try_to_date(first_param(p, "endDate"), "yyyy-MM-dd").alias("end_date"),
-        first_param(p, "startAge").try_cast("int").alias("start_age"),
-        first_param(p, "endAge").try_cast("int").alias("end_age"),
-        split_list(first_param(p, "professionals")).alias("professionals"),
-        split_list(first_param(p, "cities")).alias("cities"),
-        first_param(p, "sex").alias("sex"),
-        split_list(first_param(p, "keywords")).alias("keywords"),
-        split_list(first_param(p, "categoryids")).alias("category_ids"),
+        day("startDate").alias("start_date"),
+        day("endDate").alias("end_date"),
+        whole("startAge").alias("start_age"),
+        whole("endAge").alias("end_age"),
+        split_list(text("professionals")).alias("professionals"),
+        split_list(text("cities")).alias("cities"),
+        text("sex").alias("sex"),
+        split_list(text("keywords")).alias("keywords"),
+        split_list(text("categoryids")).alias("category_ids"),
     )
 
 
