@@ -71,3 +71,13 @@ def test_cluster_conf_scales_with_input():
     assert int(big["spark.sql.shuffle.partitions"]) > 10_000
     assert int(small["spark.sql.shuffle.partitions"]) == 200
     assert big["spark.sql.adaptive.advisoryPartitionSizeInBytes"] == str(128 * 2**20)
+
+
+def test_register_views_serves_sql_text(spark):
+    from visitlens.sources.tables import register_views
+    register_views(spark, SF_SMALL)
+    n = spark.sql(
+        "SELECT count(*) AS n FROM user_visit_action a JOIN user_info u ON a.user_id = u.user_id "
+        "WHERE get_json_object((SELECT first(extend_info) FROM product_info), '$.product_status') IS NOT NULL"
+    ).first().n
+    assert n > 0

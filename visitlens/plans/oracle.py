@@ -366,7 +366,7 @@ def oracle_queries() -> dict[str, str]:
         f"WHERE ts >= TIMESTAMP '{prev_day} 00:00:00' AND ts < TIMESTAMP '{sq.RUN_DATE.isoformat()} 00:00:00'")
     q["preview_sessions"] = _session_sql(
         "SELECT session_id, user_id, start_time, end_time, visit_length, step_length FROM sessions "
-        "ORDER BY session_id LIMIT 10")
+        "ORDER BY session_id NULLS FIRST LIMIT 10")  # Spark's ascending order puts NULL first
     # Table jobs.
     q["actions_per_hour"] = _with(actions_cte()) + (
         "SELECT strftime(action_time, '%Y-%m-%d_%H') AS hour_key, CAST(count(*) AS BIGINT) AS n "

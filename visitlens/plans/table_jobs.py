@@ -16,7 +16,7 @@ from visitlens.functions.strings import (
     is_blank, lists_overlap, pack_fields, packed_field, set_packed_field,
     split_list, trim_one_comma, zero_fill_2,
 )
-from visitlens.sources.tables import actions, products, read_table, register_views
+from visitlens.sources.tables import actions, products, read_table
 
 # Fixed test parameters.
 SHIP_DEADLINE_DAYS = 60
@@ -173,7 +173,7 @@ def sql_action_range_q(spark, sf):
     """The application's SQL entry: the action log registered as the view
     ``user_visit_action`` and cut to a date range by SQL text, with the
     bounds bound as parameters (typed, so they reach the parquet scan)."""
-    register_views(spark, sf)
+    actions(spark, sf).createOrReplaceTempView("user_visit_action")
     return spark.sql(
         "SELECT session_id, count(*) AS n, min(action_time) AS first_time "
         "FROM user_visit_action "
