@@ -82,8 +82,8 @@ def packed_field(s: Column | str, field: str) -> Column:
     no '=', and only '=' may trail it before the next '|' or the end.
     """
     pattern = "(?:^|[|])" + _regex_quote(field) + "=([^=|]+)=*(?=[|]|\\z)"
-    c = _col(s)
-    return F.when(c.rlike(pattern), F.regexp_extract(c, pattern, 1))
+    # The value group is never empty, so "" means "no valid piece".
+    return F.nullif(F.regexp_extract(_col(s), pattern, 1), F.lit(""))
 
 
 def set_packed_field(s: Column | str, field: str, value: Column | str) -> Column:

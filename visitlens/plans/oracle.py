@@ -11,11 +11,10 @@ from __future__ import annotations
 
 import json
 
+from visitlens.functions.numbers import _TWO_61, _TWO_62
 from visitlens.operators.stats import STEP_BUCKETS, VISIT_BUCKETS
 from visitlens.sources.tasks import SAMPLE_TASKS
 
-_TWO_62 = 4611686018427387904
-_TWO_61 = 2305843009213693952
 
 
 def ratio_sql(num: str, den: str) -> str:
