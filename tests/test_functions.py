@@ -216,3 +216,9 @@ def test_one_malformed_parameter_does_not_hide_the_others(spark):
     text = '{"startDate":["2024-01-01"],"endDate":["2024-01-09"],"taskName":"x","startAge":["30.5"],"endAge":[40]}'
     p = load_task(task_table(spark, [(1, "t", text)]), 1)
     assert p.start_date == dt.date(2024, 1, 1) and p.start_age is None and p.end_age == 40
+
+
+def test_whole_number_guards(spark):
+    from visitlens.functions import json as J
+    df = spark.createDataFrame([('{"k": "5\\n"}',), ('{"k": "+1"}',), ('{"k": -2}',)], "e string")
+    assert [r.k for r in df.select(J.json_int_field("e", "k").alias("k")).collect()] == [None, 1, -2]

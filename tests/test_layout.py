@@ -33,3 +33,20 @@ def test_bucketed_log_skips_the_session_shuffle(spark):
     text = plan_text(kept_sessions(bucketed, dim, p))
     assert "hashpartitioning(session_id" not in text      # no shuffle for the roll-up
     assert "PartitionFilters: [isnotnull(date" in text and "2024-01-16" in text  # pruning
+
+
+def test_refresh_days_replaces_only_written_dates(spark):
+    from visitlens.sources.layout import refresh_days
+    d1 = gen_actions(spark, SF_SMALL, day=dt.date(2024, 2, 1), seed="a")
+    d2 = gen_actions(spark, SF_SMALL, day=dt.date(2024, 2, 2), seed="b")
+    save_action_log(d1.unionByName(d2), "action_log_refresh", buckets=4)
+    again = gen_actions(spark, SF_SMALL, day=dt.date(2024, 2, 2), seed="c")
+    refresh_days(again, "action_log_refresh", buckets=4)
+    t = spark.table("action_log_refresh")
+    assert t.filter("date = '2024-02-01'").count() == d1.count()
+    assert t.filter("date = '2024-02-02'").exceptAll(again.select(*t.columns)).count() == 0
+    per_date_files = {}
+    for f in t.inputFiles():
+        day = f.split("date=")[1].split("/")[0]
+        per_date_files[day] = per_date_files.get(day, 0) + 1
+    assert all(n <= 4 for n in per_date_files.values()), per_date_files

@@ -258,3 +258,9 @@ def test_application_layout_day_from_date_text_prefix(spark):
     tasks = task_table(spark, [(1, "t", task_param_json(startDate="2024-01-15", endDate="2024-01-16"))])
     multi = multi_task_stats(log, dim, tasks).first()
     assert single == multi and single.session_count == 2
+
+
+def test_signed_age_parameter_like_integer_valueof(spark):
+    text = '{"startDate":["2024-01-01"],"endDate":["2024-01-09"],"startAge":["+18"],"endAge":["40\\n"]}'
+    p = load_task(task_table(spark, [(1, "t", text)]), 1)
+    assert p.start_age == 18 and p.end_age is None

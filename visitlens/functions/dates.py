@@ -58,7 +58,9 @@ def seconds_between(start: Column | str, end: Column | str) -> Column:
 
 # Leading "y-M-d H:m:s" with any number of digits per field; what follows
 # is ignored, as Java's DateFormat.parse(String) ignores trailing text.
-_TIME_PREFIX = r"^(\d+)-(\d+)-(\d+) (\d+):(\d+):(\d+)"
+_TIME_PREFIX = r"^\d+-\d+-\d+ \d+:\d+:\d+"
+# Single-letter fields read any number of digits ("9", "09", "009").
+_LENIENT_TIME_FORMAT = "y-M-d H:m:s"
 
 
 def parse_time(text: Column | str) -> Column:
@@ -67,20 +69,17 @@ def parse_time(text: Column | str) -> Column:
     Reads like the application's ``yyyy-MM-dd HH:mm:ss`` parser: fields
     may be unpadded ("2018-02-07 9:05:03") and trailing text is ignored.
     Out-of-range fields ("25:61:61") give NULL instead of rolling over.
+    One regex pass cuts the leading time, one parse reads it.
     """
-    t = _col(text)
-    parts = [F.regexp_extract(t, _TIME_PREFIX, i).try_cast("int") for i in range(1, 7)]
-    padded = F.format_string("%04d-%02d-%02d %02d:%02d:%02d", *parts)
-    ok = t.rlike(_TIME_PREFIX)
-    return F.when(ok, F.try_to_timestamp(padded, F.lit(TIME_FORMAT)))
+    head = F.nullif(F.regexp_extract(_col(text), _TIME_PREFIX, 0), F.lit(""))
+    return F.try_to_timestamp(head, F.lit(_LENIENT_TIME_FORMAT))
 
 
 def parse_date_key(text: Column | str) -> Column:
     """``yyyyMMdd`` text -> date from its first 8 digits (trailing text is
     ignored, as by the application's parser); NULL on bad text."""
-    t = _col(text)
-    head = F.regexp_extract(t, r"^(\d{8})", 1)
-    return F.when(t.rlike(r"^\d{8}"), F.try_to_date(head, DATE_KEY_FORMAT))
+    head = F.nullif(F.regexp_extract(_col(text), r"^\d{8}", 0), F.lit(""))
+    return F.try_to_date(head, DATE_KEY_FORMAT)
 
 
 def is_before(t1: Column | str, t2: Column | str) -> Column:

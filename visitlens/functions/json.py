@@ -25,7 +25,7 @@ def json_int_field(text: Column | str, field: str) -> Column:
     """Whole-number field of a JSON object text (a number or a numeric
     string); NULL when absent or not a whole number (1.5 is NULL)."""
     v = F.get_json_object(_col(text), f"$.{field}")
-    return F.when(v.rlike(r"^-?\d+$"), v.try_cast("bigint"))
+    return F.when(v.rlike(r"^[+-]?\d+\z"), v.try_cast("bigint"))
 
 
 def json_objects(text: Column | str) -> Column:

@@ -216,13 +216,18 @@ def task_hits(log: DataFrame, params: DataFrame, env, kind: str) -> DataFrame:
     list_col, data_col, n_wanted = _kinds(env)[kind]
     wanted = params.select("task_id", "start_date", "end_date", F.explode(list_col).alias("wanted"))
     # Keep only rows whose value some task lists (semi-join with the
-    # distinct listed values, broadcast when it fits), then one row per
-    # (session, day, value), so a hot value listed by many tasks does not
-    # multiply raw action rows and unlisted values are never shuffled.
+    # distinct listed values) and one row per (session, day, value), so a
+    # hot value listed by many tasks does not multiply raw action rows.
+    # With a broadcastable list, unlisted values are never shuffled.
     listed = params.select(F.explode(list_col).alias("value")).distinct()
-    hits = (log.select("session_id", "action_date", data_col.alias("value"))
-            .join(_bounded(listed, n_wanted, env.param_bytes + 32 * n_wanted), "value", "left_semi")
-            .distinct())
+    values = log.select("session_id", "action_date", data_col.alias("value")).filter(F.col("value").isNotNull())
+    if _fits(n_wanted, env.param_bytes + 32 * n_wanted):
+        hits = values.join(F.broadcast(listed), "value", "left_semi").distinct()
+    else:
+        # Listed values too many to broadcast: de-duplicate first (partial
+        # aggregation, shuffled on all three columns, so a hot value is
+        # spread by session), then semi-join.
+        hits = values.distinct().join(listed, "value", "left_semi")
     cond = (
         (hits.value == F.col("wanted"))
         & (hits.action_date >= F.col("start_date"))

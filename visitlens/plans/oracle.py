@@ -37,7 +37,7 @@ def _action_time(unit: str) -> str:
 
 
 # props.k as a whole number (NULL otherwise), as functions.json.json_int_field
-K_SQL = ("CASE WHEN regexp_full_match(json_extract_string(props, '$.k'), '-?\\d+') "
+K_SQL = ("CASE WHEN regexp_full_match(json_extract_string(props, '$.k'), '[+-]?\\d+') "
          "THEN TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) END")
 
 
@@ -174,7 +174,7 @@ def _param_day(name: str) -> str:
 
 def _param_int(name: str) -> str:
     v = _param(name)
-    return f"CASE WHEN regexp_full_match({v}, '-?\\d+') THEN TRY_CAST({v} AS INTEGER) END"
+    return f"CASE WHEN regexp_full_match({v}, '[+-]?\\d+') THEN TRY_CAST({v} AS INTEGER) END"
 
 
 def _param_list(name: str) -> str:
@@ -446,7 +446,7 @@ def oracle_queries() -> dict[str, str]:
         "FROM part GROUP BY 1")
     q["json_props_rollup"] = (
         "SELECT key, CAST(count(*) AS BIGINT) AS n, "
-        "CAST(sum(CASE WHEN regexp_full_match(v, '-?\\d+') THEN CAST(v AS BIGINT) END) AS BIGINT) AS total "
+        "CAST(sum(CASE WHEN regexp_full_match(v, '[+-]?\\d+') THEN CAST(v AS BIGINT) END) AS BIGINT) AS total "
         "FROM (SELECT j.key AS key, json_extract_string(j.value, '$') AS v FROM events, json_each(events.props) j) x "
         "GROUP BY key")
     return q

@@ -195,7 +195,7 @@ def json_props_rollup_q(spark, sf):
     text = F.concat(F.lit("["), F.col("props"), F.lit("]"))
     objs = ev.select(F.explode(json_objects(text)).alias("obj"))
     kv = objs.select(F.explode("obj").alias("key", "value"))
-    whole = F.when(F.col("value").rlike(r"^-?\d+$"), F.col("value").try_cast("bigint"))
+    whole = F.when(F.col("value").rlike(r"^[+-]?\d+\z"), F.col("value").try_cast("bigint"))
     return kv.groupBy("key").agg(
         F.count(F.lit(1)).alias("n"),
         F.sum(whole).alias("total"),

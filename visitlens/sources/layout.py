@@ -9,22 +9,52 @@ the largest shuffle into that one write:
   of the session roll-up (and of the many-task job's per (session, day)
   partials), so those aggregates run without an exchange.
 
-Rows are hash-partitioned on ``session_id`` into the bucket count before
-the write (Spark's bucketing uses the same hash), so every write task
-holds exactly one bucket and each date directory gets one file per
-bucket instead of one per task and bucket.
+Rows are shuffled by (date, bucket number) before the write (the bucket
+number computed with Spark's own bucketing hash), so each date directory
+gets one file per bucket and write tasks are sized by the data, not by
+the bucket count.  ``refresh_days`` replaces only the dates it writes.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def _bucket_id(buckets: int):
+    """Spark's bucket number of a row: Murmur3 hash (seed 42) of session_id,
+    modulo the bucket count."""
+    return F.pmod(F.hash("session_id"), F.lit(buckets))
+
+
+def _layout(log: DataFrame, buckets: int, partition_col: str | None) -> DataFrame:
+    if partition_col:
+        # One shuffle group per (date, bucket): with the default (large)
+        # shuffle partition count every group lands in one task, so each
+        # date directory gets one file per bucket and task sizes follow the
+        # data, not the bucket count.
+        return log.repartition(partition_col, _bucket_id(buckets))
+    return log.repartition(buckets, "session_id")
 
 
 def save_action_log(log: DataFrame, table: str, buckets: int,
-                    partition_col: str | None = "date", mode: str = "overwrite") -> None:
-    """Write ``log`` as catalog table ``table`` (Parquet), partitioned by
-    ``partition_col`` and bucketed / sorted by ``session_id``."""
-    writer = log.repartition(buckets, "session_id").write.mode(mode).format("parquet")
+                    partition_col: str | None = "date") -> None:
+    """Create (or replace) catalog table ``table`` (Parquet), partitioned
+    by ``partition_col`` and bucketed / sorted by ``session_id``."""
+    writer = _layout(log, buckets, partition_col).write.mode("overwrite").format("parquet")
     if partition_col:
         writer = writer.partitionBy(partition_col)
     writer.bucketBy(buckets, "session_id").sortBy("session_id").saveAsTable(table)
+
+
+def refresh_days(log: DataFrame, table: str, buckets: int, partition_col: str = "date") -> None:
+    """Replace only the dates present in ``log`` in an existing table made
+    by save_action_log (dynamic partition overwrite); other dates stay."""
+    spark = log.sparkSession
+    previous = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        cols = spark.table(table).columns
+        _layout(log, buckets, partition_col).select(*cols).write.insertInto(table, overwrite=True)
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", previous)

@@ -99,11 +99,11 @@ def parse_tasks(tasks: DataFrame) -> DataFrame:
 
     def day(name: str):
         v = text(name)
-        return F.when(v.rlike(r"^\d{4}-\d{2}-\d{2}$"), F.try_to_date(v, "yyyy-MM-dd"))
+        return F.when(v.rlike(r"^\d{4}-\d{2}-\d{2}\z"), F.try_to_date(v, "yyyy-MM-dd"))
 
     def whole(name: str):
         v = text(name)
-        return F.when(v.rlike(r"^-?\d+$"), v.try_cast("int"))
+        return F.when(v.rlike(r"^[+-]?\d+\z"), v.try_cast("int"))  # Integer.valueOf accepts "+18"
 
     return tasks.select(
         *tasks.columns,
