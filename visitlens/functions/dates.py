@@ -71,15 +71,16 @@ def parse_time(text: Column | str) -> Column:
     Out-of-range fields ("25:61:61") give NULL instead of rolling over.
     One regex pass cuts the leading time, one parse reads it.
     """
-    head = F.nullif(F.regexp_extract(_col(text), _TIME_PREFIX, 0), F.lit(""))
+    # No nullif here: it would bind a per-call common expression and stop
+    # Spark from sharing one parse between helpers; "" parses to NULL.
+    head = F.regexp_extract(_col(text), _TIME_PREFIX, 0)
     return F.try_to_timestamp(head, F.lit(_LENIENT_TIME_FORMAT))
 
 
 def parse_date_key(text: Column | str) -> Column:
     """``yyyyMMdd`` text -> date from its first 8 digits (trailing text is
     ignored, as by the application's parser); NULL on bad text."""
-    head = F.nullif(F.regexp_extract(_col(text), r"^\d{8}", 0), F.lit(""))
-    return F.try_to_date(head, DATE_KEY_FORMAT)
+    return F.try_to_date(F.regexp_extract(_col(text), r"^\d{8}", 0), DATE_KEY_FORMAT)
 
 
 def is_before(t1: Column | str, t2: Column | str) -> Column:

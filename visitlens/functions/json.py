@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from visitlens.functions.strings import empty_to_null
+
 # Task parameters: every value is a JSON array and its first element is
 # used; a multi-value parameter is comma text inside that one element.
 
@@ -18,7 +20,7 @@ def first_param(task_param: Column | str, name: str) -> Column:
     their text); NULL when the name is absent, the array is empty, or the
     element is the empty string.  Read per field, so one malformed field
     does not hide the others."""
-    return F.nullif(F.get_json_object(_col(task_param), f"$.{name}[0]"), F.lit(""))
+    return empty_to_null(F.get_json_object(_col(task_param), f"$.{name}[0]"))
 
 
 def json_int_field(text: Column | str, field: str) -> Column:

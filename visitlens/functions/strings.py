@@ -21,6 +21,14 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def empty_to_null(c: Column | str) -> Column:
+    """NULL for the empty string.  A plain CASE rather than nullif: Spark
+    rewrites nullif into a per-call common-expression binding, which stops
+    identical subexpressions from being computed once."""
+    c = _col(c)
+    return F.when(c != F.lit(""), c)
+
+
 def is_blank(c: Column | str) -> Column:
     """NULL or empty string."""
     c = _col(c)
@@ -83,7 +91,7 @@ def packed_field(s: Column | str, field: str) -> Column:
     """
     pattern = "(?:^|[|])" + _regex_quote(field) + "=([^=|]+)=*(?=[|]|\\z)"
     # The value group is never empty, so "" means "no valid piece".
-    return F.nullif(F.regexp_extract(_col(s), pattern, 1), F.lit(""))
+    return empty_to_null(F.regexp_extract(_col(s), pattern, 1))
 
 
 def set_packed_field(s: Column | str, field: str, value: Column | str) -> Column:

@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from visitlens.functions.dates import seconds_between
+from visitlens.functions.strings import empty_to_null
 from visitlens.operators.filters import day_range_on, raw_cut_column
 from visitlens.operators.sessions import attach_users
 from visitlens.operators.stats import STAT_COLUMNS, counter_aggs, ratio_columns
@@ -149,7 +150,7 @@ def _cut_log(action_log: DataFrame, env, ranges, cut_col: str | None) -> DataFra
 def _kinds(env) -> dict:
     """Behaviour conditions: task list column, data value, list entries."""
     return {
-        "kw": ("keywords", F.nullif(F.col("search_keyword"), F.lit("")), env.n_keywords),
+        "kw": ("keywords", empty_to_null("search_keyword"), env.n_keywords),
         "cat": ("category_ids", F.col("click_category_id").cast("string"), env.n_categories),
     }
 

@@ -131,7 +131,7 @@ def gen_actions(spark: SparkSession, sf_dir: str, day: dt.date = dt.date(2024, 1
         lambda k: F.element_at(kinds, (F.pmod(F.xxhash64(sid, k, s, F.lit("kind")), F.lit(4)) + 1).cast("int")),
     )
     sessions = sessions.withColumn("kinds", kinds_of_steps).withColumn(
-        "first_click", F.nullif(F.array_position("kinds", "click"), F.lit(0)) - 1)
+        "first_click", F.when(F.array_position("kinds", "click") > 0, F.array_position("kinds", "click") - 1))
     steps = sessions.select("*", F.posexplode("kinds").alias("k", "kind"))
     first_click = F.col("first_click")
     slot = F.pmod(F.col("slot_a") * F.col("k") + F.col("slot_b"), F.lit(MINUTE_SECOND_SLOTS))
