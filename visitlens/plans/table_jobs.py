@@ -155,8 +155,11 @@ def list_column_rollup_q(spark, sf):
     k = json_int_field("props", "k")
     raw = F.concat(F.lit(","), (k % 7).cast("string"), F.lit(","), (k % 11).cast("string"), F.lit(","))
     lists = ev.select(trim_one_comma(raw).alias("ids"))
-    kept = lists.filter(lists_overlap("ids", F.lit(LIST_FILTER)))
-    return (kept.select(F.explode(split_list("ids")).alias("element"))
+    # The condition sits inside the explode (a NULL array yields no rows)
+    # rather than in a filter: Catalyst would push a filter below the
+    # projection and re-derive the list there for every reference.
+    kept = F.when(lists_overlap("ids", F.lit(LIST_FILTER)), split_list("ids"))
+    return (lists.select(F.explode(kept).alias("element"))
             .groupBy("element").agg(F.count(F.lit(1)).alias("n")))
 
 
