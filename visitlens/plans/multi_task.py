@@ -27,12 +27,13 @@ is matched against the log at once:
 from __future__ import annotations
 
 import datetime as dt
+import json
 from functools import reduce
 from operator import or_
+from types import SimpleNamespace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from visitlens.functions.dates import seconds_between
 from visitlens.functions.strings import empty_to_null
@@ -66,14 +67,26 @@ def _bounded(df: DataFrame, rows: int, est_bytes: int) -> DataFrame:
     return F.broadcast(df) if _fits(rows, est_bytes) else df
 
 
-def task_profile(parsed: DataFrame):
-    """One small job over the parsed task table: date envelope, tasks
-    without valid dates, duplicate ids, parameter text size and the row
-    counts of the task-side join inputs (task days, list entries)."""
+_PROFILE = ("lo", "hi", "n_tasks", "n_ids", "n_undated", "param_bytes",
+            "n_task_days", "n_keywords", "n_categories")
+
+
+def task_facts(parsed: DataFrame, mask_limit: int):
+    """One small job over the parsed task table.
+
+    Returns ``(env, lists)``: ``env`` holds the date envelope, undated
+    tasks, duplicate ids, parameter text size and the row counts of the
+    task-side join inputs; ``lists`` holds, per behaviour kind, the sorted
+    distinct values of all tasks' lists (None when more than
+    ``mask_limit``) and under "ranges" the distinct non-empty date ranges
+    (None when more than MAX_CUT_RANGES).  Every list branch is a
+    distinct with a limit, so the driver reads at most limit + 1 short
+    strings per kind and no task holds a whole group.
+    """
     days = F.greatest(F.datediff("end_date", "start_date"), F.lit(0))
-    return parsed.agg(
-        F.min("start_date").alias("lo"),
-        F.max("end_date").alias("hi"),
+    profile = parsed.agg(
+        F.min("start_date").cast("string").alias("lo"),
+        F.max("end_date").cast("string").alias("hi"),
         F.count(F.lit(1)).alias("n_tasks"),
         F.count_distinct("task_id").alias("n_ids"),
         F.count_if(F.col("start_date").isNull() | F.col("end_date").isNull()).alias("n_undated"),
@@ -81,34 +94,37 @@ def task_profile(parsed: DataFrame):
         F.coalesce(F.sum(days), F.lit(0)).alias("n_task_days"),
         F.coalesce(F.sum(F.size(F.coalesce("keywords", F.array()))), F.lit(0)).alias("n_keywords"),
         F.coalesce(F.sum(F.size(F.coalesce("category_ids", F.array()))), F.lit(0)).alias("n_categories"),
-    ).first()
-
-
-def _small_lists(params: DataFrame, kinds: dict, mask_limit: int) -> dict:
-    """One small job returning bounded lists to the driver: per behaviour
-    kind the sorted distinct values of all tasks' lists (None when more
-    than ``mask_limit``), and under "ranges" the distinct non-empty task
-    date ranges (None when more than MAX_CUT_RANGES)."""
-    limits = {k: mask_limit for k, (_l, _v, n) in kinds.items() if n}
-    limits["ranges"] = MAX_CUT_RANGES
-    parts = [params.select(F.lit(k).alias("kind"), F.explode(kinds[k][0]).alias("v"))
-             for k in limits if k != "ranges"]
-    parts.append(params.filter(F.col("start_date") < F.col("end_date")).select(
-        F.lit("ranges").alias("kind"),
-        F.concat_ws("|", F.col("start_date").cast("string"), F.col("end_date").cast("string")).alias("v")))
-    values = parts[0]
+    ).select(F.lit("profile").alias("kind"), F.to_json(F.struct(*_PROFILE)).alias("v"))
+
+    def branch(kind: str, values: Column, limit: int, rows: DataFrame) -> DataFrame:
+        return (rows.select(values.alias("v")).filter(F.col("v").isNotNull()).distinct()
+                .limit(limit + 1).select(F.lit(kind).alias("kind"), "v"))
+
+    limits = {"kw": mask_limit, "cat": mask_limit, "ranges": MAX_CUT_RANGES}
+    parts = [
+        profile,
+        branch("kw", F.explode("keywords"), mask_limit, parsed),
+        branch("cat", F.explode("category_ids"), mask_limit, parsed),
+        branch("ranges", F.concat_ws("|", F.col("start_date").cast("string"), F.col("end_date").cast("string")),
+               MAX_CUT_RANGES, parsed.filter(F.col("start_date") < F.col("end_date"))),
+    ]
+    union = parts[0]
     for part in parts[1:]:
-        values = values.unionByName(part)
-    cap = F.when(F.col("kind") == "ranges", F.lit(MAX_CUT_RANGES + 1)).otherwise(F.lit(mask_limit + 1))
-    rank = F.row_number().over(Window.partitionBy("kind").orderBy("v"))
-    rows = values.distinct().withColumn("r", rank).filter(F.col("r") <= cap).collect()
-    out = {k: [] for k in kinds}
-    for k, limit in limits.items():
-        vals = sorted(r.v for r in rows if r.kind == k)
-        out[k] = vals if len(vals) <= limit else None
-    if out["ranges"] is not None:
-        out["ranges"] = [tuple(dt.date.fromisoformat(x) for x in v.split("|")) for v in out["ranges"]]
-    return out
+        union = union.unionByName(part)
+    rows = union.collect()
+
+    raw = json.loads(next(r.v for r in rows if r.kind == "profile"))
+    raw = {k: raw.get(k) for k in _PROFILE}
+    for k in ("lo", "hi"):
+        raw[k] = dt.date.fromisoformat(raw[k]) if raw[k] else None
+    env = SimpleNamespace(**raw)
+    lists = {}
+    for kind, limit in limits.items():
+        vals = sorted(r.v for r in rows if r.kind == kind)
+        lists[kind] = vals if len(vals) <= limit else None
+    if lists["ranges"] is not None:
+        lists["ranges"] = [tuple(dt.date.fromisoformat(x) for x in v.split("|")) for v in lists["ranges"]]
+    return env, lists
 
 
 def _merge(ranges) -> list:
@@ -257,7 +273,7 @@ def multi_task_stats(action_log: DataFrame, user_dim: DataFrame, tasks: DataFram
     ``cut_col`` names the raw column the date cut is stated on (default:
     ``ts``, else ``date``, else ``action_date``; see raw_cut_column)."""
     parsed = parse_tasks(tasks)
-    env = task_profile(parsed)
+    env, lists = task_facts(parsed, mask_limit)
     if env.n_undated:
         raise ValueError(f"{env.n_undated} task(s) without a valid startDate / endDate")
     if env.n_ids != env.n_tasks:
@@ -274,8 +290,7 @@ def multi_task_stats(action_log: DataFrame, user_dim: DataFrame, tasks: DataFram
         counts = zero_rows
     else:
         kinds = _kinds(env)
-        lists = _small_lists(params, kinds, mask_limit)
-        vocab = {k: lists[k] for k in kinds}
+        vocab = {k: lists[k] if kinds[k][2] else [] for k in kinds}
         log = _cut_log(action_log, env, lists["ranges"], cut_col)
         masks = [k for k in kinds if vocab[k]]
         sessions = attach_users(range_sessions(log, params, env, vocab), user_dim)
