@@ -188,7 +188,7 @@ def test_lists_overlap_with_inner_empty_pieces(spark):
     ("2024-01-03 09:05:03x", dt.datetime(2024, 1, 3, 9, 5, 3)),
     ("2024-01-03 09:05:03.250 extra", dt.datetime(2024, 1, 3, 9, 5, 3)),
     ("2024/01/03 09:05:03", None), ("2024-01-03 25:61:61", None), ("x2024-01-03 09:05:03", None),
-    ("99999999999-01-03 09:05:03", None),
+    ("99999999999-01-03 09:05:03", None), ("12345-01-01 00:00:00", None),
 ])
 def test_parse_time_is_lenient_like_the_application(spark, text, expected):
     assert one(spark, dates.parse_time("s"), text) == expected

@@ -58,7 +58,7 @@ def seconds_between(start: Column | str, end: Column | str) -> Column:
 
 # Leading "y-M-d H:m:s" with any number of digits per field; what follows
 # is ignored, as Java's DateFormat.parse(String) ignores trailing text.
-_TIME_PREFIX = r"^\d+-\d+-\d+ \d+:\d+:\d+"
+_TIME_PREFIX = r"^\d{1,4}-\d+-\d+ \d+:\d+:\d+"  # years 0..9999
 # Single-letter fields read any number of digits ("9", "09", "009").
 _LENIENT_TIME_FORMAT = "y-M-d H:m:s"
 
