@@ -3,7 +3,8 @@
 The analysed application runs one job per task.  Here a whole task table
 is matched against the log at once:
 
-1. The log is cut to the union of all task ranges (pushed to the scan).
+1. The log is cut to the union of all task ranges (pushed to the scan; the
+   envelope of the ranges when there are too many distinct ones to list).
 2. Actions are pre-aggregated per (session, day): min / max / count are
    combinable, and every task range is a whole number of days, so these
    partials are all a task needs.  Partial aggregation runs before the
