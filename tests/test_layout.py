@@ -50,3 +50,25 @@ def test_refresh_days_replaces_only_written_dates(spark):
         day = f.split("date=")[1].split("/")[0]
         per_date_files[day] = per_date_files.get(day, 0) + 1
     assert all(n <= 4 for n in per_date_files.values()), per_date_files
+
+
+def test_user_bucketed_log_and_users_need_no_shuffle(spark):
+    from visitlens.sources.layout import save_users
+    raw = gen_actions(spark, SF_SMALL, day=dt.date(2024, 3, 1), seed="u")
+    save_action_log(raw, "action_log_by_user", buckets=8, bucket_col="user_id")
+    save_users(gen_users(spark, SF_SMALL), "users_by_user", buckets=8)
+    log = from_reference_layout(spark.table("action_log_by_user"))
+    dim = spark.table("users_by_user")
+    p = TaskParams(dt.date(2024, 3, 1), dt.date(2024, 3, 2), keywords=("火锅",), sex="female")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # show the bucketed sort-merge join
+    try:
+        fast = run_session_task(log, dim, p, 1, by_user=True)
+        text = plan_text(fast)
+        got = fast.first()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    want = run_session_task(from_reference_layout(raw), gen_users(spark, SF_SMALL), p, 1).first()
+    assert got == want and got.session_count > 0
+    assert "SortMergeJoin" in text
+    assert "hashpartitioning(" not in text  # neither the roll-up nor the join shuffles

@@ -47,6 +47,7 @@ def session_rollup(
     keywords=None,
     category_ids=None,
     with_time_audit: bool = False,
+    by_user: bool = False,
     extra_aggs: tuple[Column, ...] = (),
 ) -> DataFrame:
     """One row per session: user, first / last action time, visit length
@@ -59,12 +60,18 @@ def session_rollup(
     ``with_time_audit`` adds ``bad_time_rows``, the session's actions
     whose time is NULL (unparsable in the source text).
 
+    ``by_user=True`` groups by (user_id, session_id) instead.  The result
+    is the same when every session has one user (the application's own
+    assumption); a session seen with two users becomes two sessions.  On
+    a log bucketed by ``user_id`` (sources.layout) this grouping and the
+    user join then need no shuffle.
+
     The session's user is the smallest user id seen in it (the log is
     assumed to have one user per session).  Actions with a NULL time are
     still steps but do not move the start or end.
     """
-    aggs = [
-        F.min("user_id").alias("user_id"),
+    aggs = [] if by_user else [F.min("user_id").alias("user_id")]
+    aggs += [
         F.min("action_time").alias("start_time"),
         F.max("action_time").alias("end_time"),
         F.count(F.lit(1)).alias("step_length"),
@@ -78,7 +85,8 @@ def session_rollup(
     if with_time_audit:
         aggs.append(F.count_if(F.col("action_time").isNull()).alias("bad_time_rows"))
     aggs += list(extra_aggs)
-    rolled = actions.groupBy("session_id").agg(*aggs)
+    keys = ("user_id", "session_id") if by_user else ("session_id",)
+    rolled = actions.groupBy(*keys).agg(*aggs)
     return rolled.withColumn("visit_length", seconds_between("start_time", "end_time"))
 
 

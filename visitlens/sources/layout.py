@@ -21,33 +21,44 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def _bucket_id(buckets: int):
-    """Spark's bucket number of a row: Murmur3 hash (seed 42) of session_id,
+def _bucket_id(buckets: int, col: str):
+    """Spark's bucket number of a row: Murmur3 hash (seed 42) of ``col``,
     modulo the bucket count."""
-    return F.pmod(F.hash("session_id"), F.lit(buckets))
+    return F.pmod(F.hash(col), F.lit(buckets))
 
 
-def _layout(log: DataFrame, buckets: int, partition_col: str | None) -> DataFrame:
+def _layout(log: DataFrame, buckets: int, partition_col: str | None, bucket_col: str) -> DataFrame:
     if partition_col:
         # One shuffle group per (date, bucket): with the default (large)
         # shuffle partition count every group lands in one task, so each
         # date directory gets one file per bucket and task sizes follow the
         # data, not the bucket count.
-        return log.repartition(partition_col, _bucket_id(buckets))
-    return log.repartition(buckets, "session_id")
+        return log.repartition(partition_col, _bucket_id(buckets, bucket_col))
+    return log.repartition(buckets, bucket_col)
 
 
 def save_action_log(log: DataFrame, table: str, buckets: int,
-                    partition_col: str | None = "date") -> None:
+                    partition_col: str | None = "date", bucket_col: str = "session_id") -> None:
     """Create (or replace) catalog table ``table`` (Parquet), partitioned
-    by ``partition_col`` and bucketed / sorted by ``session_id``."""
-    writer = _layout(log, buckets, partition_col).write.mode("overwrite").format("parquet")
+    by ``partition_col`` and bucketed / sorted by ``bucket_col``:
+    ``session_id`` (no shuffle for the session roll-up) or ``user_id``
+    (with save_users and ``by_user=True``, neither the roll-up nor the
+    user join shuffles)."""
+    writer = _layout(log, buckets, partition_col, bucket_col).write.mode("overwrite").format("parquet")
     if partition_col:
         writer = writer.partitionBy(partition_col)
-    writer.bucketBy(buckets, "session_id").sortBy("session_id").saveAsTable(table)
+    writer.bucketBy(buckets, bucket_col).sortBy(bucket_col).saveAsTable(table)
 
 
-def refresh_days(log: DataFrame, table: str, buckets: int, partition_col: str = "date") -> None:
+def save_users(users: DataFrame, table: str, buckets: int) -> None:
+    """User dimension bucketed by ``user_id`` with the log's bucket count,
+    so the session-user join is a bucketed sort-merge join."""
+    (users.repartition(buckets, "user_id").write.mode("overwrite").format("parquet")
+     .bucketBy(buckets, "user_id").sortBy("user_id").saveAsTable(table))
+
+
+def refresh_days(log: DataFrame, table: str, buckets: int, partition_col: str = "date",
+                 bucket_col: str = "session_id") -> None:
     """Replace only the dates present in ``log`` in an existing table made
     by save_action_log (dynamic partition overwrite); other dates stay."""
     spark = log.sparkSession
@@ -55,6 +66,6 @@ def refresh_days(log: DataFrame, table: str, buckets: int, partition_col: str =
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     try:
         cols = spark.table(table).columns
-        _layout(log, buckets, partition_col).select(*cols).write.insertInto(table, overwrite=True)
+        _layout(log, buckets, partition_col, bucket_col).select(*cols).write.insertInto(table, overwrite=True)
     finally:
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", previous)
