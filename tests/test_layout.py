@@ -72,3 +72,29 @@ def test_user_bucketed_log_and_users_need_no_shuffle(spark):
     assert got == want and got.session_count > 0
     assert "SortMergeJoin" in text
     assert "hashpartitioning(" not in text  # neither the roll-up nor the join shuffles
+
+
+def test_many_tasks_on_user_bucketed_tables(spark):
+    from visitlens.plans.multi_task import multi_task_stats
+    from visitlens.sources.layout import save_users
+    from visitlens.sources.tasks import task_param_json, task_table
+    raw = gen_actions(spark, SF_SMALL, day=dt.date(2024, 3, 5), seed="m").unionByName(
+        gen_actions(spark, SF_SMALL, day=dt.date(2024, 3, 6), seed="n"))
+    save_action_log(raw, "action_log_by_user_2", buckets=8, bucket_col="user_id")
+    save_users(gen_users(spark, SF_SMALL), "users_by_user_2", buckets=8)
+    tasks = task_table(spark, [
+        (1, "a", task_param_json(startDate="2024-03-05", endDate="2024-03-07", keywords="温泉")),
+        (2, "b", task_param_json(startDate="2024-03-06", endDate="2024-03-07", sex="male")),
+    ])
+    log = from_reference_layout(spark.table("action_log_by_user_2"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        fast = multi_task_stats(log, spark.table("users_by_user_2"), tasks, by_user=True)
+        text = plan_text(fast)
+        got = sorted(fast.collect())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    want = sorted(multi_task_stats(from_reference_layout(raw), gen_users(spark, SF_SMALL), tasks).collect())
+    assert got == want and got[0].session_count > 0
+    assert "hashpartitioning(user_id" not in text and "hashpartitioning(session_id" not in text

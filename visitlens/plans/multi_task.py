@@ -172,7 +172,8 @@ def _kinds(env) -> dict:
     }
 
 
-def range_sessions(log: DataFrame, params: DataFrame, env, vocab: dict) -> DataFrame:
+def range_sessions(log: DataFrame, params: DataFrame, env, vocab: dict,
+                   by_user: bool = False) -> DataFrame:
     """Sessions per distinct task date range: (start_date, end_date,
     session_id, user_id, visit_length, step_length, <kind>_mask...).
 
@@ -184,8 +185,11 @@ def range_sessions(log: DataFrame, params: DataFrame, env, vocab: dict) -> DataF
     """
     kinds = _kinds(env)
     masks = [k for k in kinds if vocab[k]]
-    daily = log.groupBy("session_id", "action_date").agg(
-        F.min("user_id").alias("user_id"),
+    # by_user: key sessions by (user, session), see session_rollup
+    user_agg = [] if by_user else [F.min("user_id").alias("user_id")]
+    user_key = ["user_id"] if by_user else []
+    daily = log.groupBy(*user_key, "session_id", "action_date").agg(
+        *user_agg,
         F.min("action_time").alias("start_time"),
         F.max("action_time").alias("end_time"),
         F.count(F.lit(1)).alias("steps"),
@@ -210,9 +214,9 @@ def range_sessions(log: DataFrame, params: DataFrame, env, vocab: dict) -> DataF
         joined = salted.join(range_days.select("*", salts.alias("salt")), ["action_date", "salt"])
     folded = (
         joined
-        .groupBy("start_date", "end_date", "session_id")
+        .groupBy("start_date", "end_date", *user_key, "session_id")
         .agg(
-            F.min("user_id").alias("user_id"),
+            *user_agg,
             F.min("start_time").alias("start_time"),
             F.max("end_time").alias("end_time"),
             F.sum("steps").alias("step_length"),
@@ -268,11 +272,15 @@ def _task_conditions() -> Column:
 
 
 def multi_task_stats(action_log: DataFrame, user_dim: DataFrame, tasks: DataFrame,
-                     cut_col: str | None = None, mask_limit: int = MASK_BITS) -> DataFrame:
+                     cut_col: str | None = None, mask_limit: int = MASK_BITS,
+                     by_user: bool = False) -> DataFrame:
     """task_id, session_count and the 15 ratios, one row per task.
 
     ``cut_col`` names the raw column the date cut is stated on (default:
-    ``ts``, else ``date``, else ``action_date``; see raw_cut_column)."""
+    ``ts``, else ``date``, else ``action_date``; see raw_cut_column).
+    ``by_user`` keys sessions by (user, session) (see session_rollup); on
+    a log and user table bucketed by ``user_id`` only the per-task
+    counters are then shuffled."""
     parsed = parse_tasks(tasks)
     env, lists = task_facts(parsed, mask_limit)
     if env.n_undated:
@@ -294,7 +302,7 @@ def multi_task_stats(action_log: DataFrame, user_dim: DataFrame, tasks: DataFram
         vocab = {k: lists[k] if kinds[k][2] else [] for k in kinds}
         log = _cut_log(action_log, env, lists["ranges"], cut_col)
         masks = [k for k in kinds if vocab[k]]
-        sessions = attach_users(range_sessions(log, params, env, vocab), user_dim)
+        sessions = attach_users(range_sessions(log, params, env, vocab, by_user), user_dim)
         task_side = params.select(
             "task_id", "start_date", "end_date",
             *[F.col(c).alias(f"p_{c}") for c in (
