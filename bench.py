@@ -19,7 +19,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from pyspark.sql import functions as F  # noqa: E402
 
-from visitlens.operators.filters import date_range, session_filter  # noqa: E402
+from visitlens.operators.filters import cut_to_days, session_filter  # noqa: E402
 from visitlens.operators.sessions import attach_users  # noqa: E402
 from visitlens.operators.stats import aggr_stat  # noqa: E402
 from visitlens.plans.catalog import QUERIES  # noqa: E402
@@ -41,8 +41,8 @@ def application_shaped_run(spark, sf_dir: str) -> None:
     (``collect_list`` of full rows, like ``groupByKey``), then the
     statistics as one more job."""
     params = load_task(task_table(spark), FLAGSHIP_TASK)
-    log = actions(spark, sf_dir, FLAGSHIP_GRAIN, FLAGSHIP_UNIT).filter(
-        date_range(params.start_date, params.end_date))
+    log = cut_to_days(actions(spark, sf_dir, FLAGSHIP_GRAIN, FLAGSHIP_UNIT),
+                      params.start_date, params.end_date)
     log.count()
     rows = F.struct("user_id", "action_time", "search_keyword", "click_category_id")
     grouped = log.groupBy("session_id").agg(F.collect_list(rows).alias("r"))

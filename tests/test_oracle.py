@@ -53,3 +53,17 @@ def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.count() == 1
     assert df.columns[:2] == ["task_id", "session_count"]
+
+
+def test_queries_restore_the_callers_time_zone(spark):
+    key = "spark.sql.session.timeZone"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "America/Los_Angeles")
+    try:
+        df = entry.queries()["actions_per_hour"](spark, SF_SMALL)
+        assert spark.conf.get(key) == "America/Los_Angeles"
+        got = sorted(tuple(r) for r in df.collect())
+    finally:
+        spark.conf.set(key, before)
+    want = sorted(tuple(r) for r in entry.queries()["actions_per_hour"](spark, SF_SMALL).collect())
+    assert got == want

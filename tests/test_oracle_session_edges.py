@@ -34,6 +34,8 @@ EVENTS = [
     (17, D(2024, 1, 15, 12, 2, 0), 3, "view", 1.0, '{"k": 21}'),
     (18, D(2024, 1, 16, 0, 0, 0), 3, "click", 1.0, '{"k": 15}'),
     (19, D(2024, 1, 15, 6, 0, 0), 0, "click", 1.0, '{"k": 92}'),
+    (20, D(2024, 1, 15, 6, 0, 0), -31, "view", 1.0, '{"k": 3}'),   # negative id: grain by pmod
+    (21, D(2024, 1, 16, 6, 0, 0), -1, "click", 1.0, '{"k": 3}'),
 ]
 CUSTOMERS = [
     (0, "Customer#0", 1, 15.5, "BUILDING"),

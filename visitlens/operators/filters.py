@@ -23,18 +23,6 @@ def _ts_literal(day: dt.date) -> Column:
     return F.lit(f"{day.isoformat()} 00:00:00").cast("timestamp_ntz")
 
 
-def date_range(start: dt.date, end: dt.date, ts_col: str | None = "ts",
-               date_col: str = "action_date") -> Column:
-    """Start inclusive, end exclusive.  Stated on the raw timestamp column
-    when there is one (both bounds then reach the parquet reader), else
-    on the date column."""
-    if ts_col is not None:
-        ts = F.col(ts_col)
-        return (ts >= _ts_literal(start)) & (ts < _ts_literal(end))
-    d = F.col(date_col)
-    return (d >= F.lit(start)) & (d < F.lit(end))
-
-
 def raw_cut_column(df: DataFrame) -> str:
     """The column a date cut should be stated on so that it reaches the
     scan: the raw event time ``ts`` of the test log, else the raw ``date``

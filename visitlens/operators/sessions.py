@@ -1,9 +1,11 @@
 """Roll actions up to sessions and attach user attributes.
 
-Every aggregate here is algebraic (min, max, count, bool_or) or a
-bounded set (distinct keywords / categories of one session), so Spark
-runs a partial aggregate before the shuffle: a session holding a third of
-all actions reaches its reducer as one partial row per map task.
+The statistics path uses only algebraic aggregates (min, max, count,
+bool_or), so Spark runs a partial aggregate before the shuffle: a session
+holding a third of all actions reaches its reducer as one partial row per
+map task.  The optional keyword / category sets (``with_sets``) are only
+for queries whose output *is* the set; their size is that of the
+session's distinct values, which the output row has to hold anyway.
 """
 
 from __future__ import annotations

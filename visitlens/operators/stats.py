@@ -82,20 +82,15 @@ def _long_form(wide: DataFrame, cols, value_name: str) -> DataFrame:
 
 
 def visit_histogram(sessions: DataFrame) -> DataFrame:
-    """(bucket, n) for the 9 visit buckets, zero-filled."""
-    wide = sessions.agg(*[
-        F.count_if(in_bucket("visit_length", lo, hi)).alias(f"visit_{name}")
-        for name, lo, hi in VISIT_BUCKETS
-    ])
+    """(bucket, n) for the 9 visit buckets, zero-filled (one aggregate,
+    the same counters as the statistics row)."""
+    wide = bucket_counts(sessions).select(*[F.col(f"n_{c}").alias(c) for c in VISIT_COLUMNS])
     return _long_form(wide, VISIT_COLUMNS, "n")
 
 
 def step_histogram(sessions: DataFrame) -> DataFrame:
     """(bucket, n) for the 6 step buckets, zero-filled."""
-    wide = sessions.agg(*[
-        F.count_if(in_bucket("step_length", lo, hi)).alias(f"step_{name}")
-        for name, lo, hi in STEP_BUCKETS
-    ])
+    wide = bucket_counts(sessions).select(*[F.col(f"n_{c}").alias(c) for c in STEP_COLUMNS])
     return _long_form(wide, STEP_COLUMNS, "n")
 
 

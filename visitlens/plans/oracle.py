@@ -26,7 +26,7 @@ def ratio_sql(num: str, den: str) -> str:
 
 
 def _grain(grain: str) -> str:
-    return "(user_id % 30 + 1)" if grain == "g" else "1"
+    return "(((user_id % 30) + 30) % 30 + 1)" if grain == "g" else "1"
 
 
 def _action_time(unit: str) -> str:
@@ -337,8 +337,8 @@ def oracle_queries() -> dict[str, str]:
         "SELECT session_id, user_id, visit_length, step_length, age, professional, city, sex FROM kept")
     q["session_count"] = flag + "SELECT 'kept_sessions' AS stage, CAST(count(*) AS BIGINT) AS n FROM kept"
     q["stage_counts"] = flag + (
-        "SELECT 'actions_in_range' AS stage, CAST(sum(step_length) AS BIGINT) AS n FROM sessions\n"
-        "UNION ALL SELECT 'sessions', CAST(count(*) AS BIGINT) FROM sessions\n"
+        "SELECT 'actions_in_range' AS stage, CAST(coalesce(sum(step_length), 0) AS BIGINT) AS n FROM sessions\n"
+        "UNION ALL SELECT 'sessions', CAST(count(*) AS BIGINT) FROM sessions JOIN users USING (user_id)\n"
         "UNION ALL SELECT 'kept_sessions', CAST(count(*) AS BIGINT) FROM kept")
     q["visit_length_hist"] = _with(actions_cte("day", "dense"), sessions_cte()) + _histogram_sql(
         "visit_length", VISIT_BUCKETS, "visit_")

@@ -4,6 +4,7 @@ histograms and ratios.  Each takes (spark, sf_dir) and reads the whole log."""
 from __future__ import annotations
 
 import datetime as dt
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,7 +12,8 @@ from pyspark.sql import functions as F
 from visitlens.functions.dates import format_date
 from visitlens.functions.numbers import safe_ratio
 from visitlens.operators.filters import (
-    age_between, all_of, any_of, cut_to_days, equals, overlaps, user_conditions,
+    age_between, all_of, any_of, behaviour_conditions_on_sets, cut_to_days, equals, overlaps,
+    user_conditions,
 )
 from visitlens.operators.sessions import (
     SESSION_COLUMNS, attach_users, category_set, keyword_set, session_rollup,
@@ -23,7 +25,7 @@ from visitlens.plans.session_stat import (
     FLAGSHIP_GRAIN, FLAGSHIP_TASK, FLAGSHIP_UNIT, kept_sessions, session_aggr_stat,
 )
 from visitlens.sources.tables import actions, read_table, users
-from visitlens.sources.tasks import load_task, task_table
+from visitlens.sources.tasks import TaskParams, load_task, task_table
 
 # Parameters of the single-condition queries (fixed test parameters).
 AGE_RANGE = (20, 40)
@@ -105,20 +107,35 @@ def filter_keywords_q(spark, sf):
 
 def filter_categories_q(spark, sf):
     s = _sessions(spark, sf, with_sets=True)
+    cond = TaskParams(dt.date.min, dt.date.max, category_ids=CATEGORIES)
     as_text = F.transform("click_category_ids", lambda x: x.cast("string"))
-    hit = F.coalesce(F.arrays_overlap(as_text, F.array(*[F.lit(c) for c in CATEGORIES])), F.lit(False))
-    return s.filter(hit).select("session_id", F.array_join(as_text, ",").alias("categories"))
+    return s.filter(all_of(behaviour_conditions_on_sets(cond))).select(
+        "session_id", F.array_join(as_text, ",").alias("categories"))
 
 
 def filter_null_attr_q(spark, sf):
-    """A given keyword condition drops sessions that never searched (their
-    keyword set is empty), even though the list holds every keyword."""
-    s = _sessions(spark, sf, with_sets=True).filter(overlaps("search_keywords", ALL_KEYWORDS))
-    return s.select("session_id", F.size("search_keywords").cast("bigint").alias("n_keywords"))
+    """A given keyword condition drops sessions that never searched (no
+    keyword to match), even though the list holds every keyword.  Counted
+    in two levels, (session, keyword) then session, so no session's
+    keywords are collected into one value."""
+    kw = F.col("search_keyword")
+    pairs = (actions(spark, sf).filter(kw.isNotNull() & (kw != ""))
+             .select("session_id", "search_keyword").distinct())
+    per_session = pairs.groupBy("session_id").agg(
+        F.count(F.lit(1)).alias("n_keywords"),
+        F.bool_or(kw.isin(list(ALL_KEYWORDS))).alias("hit"),
+    )
+    return per_session.filter("hit").select("session_id", "n_keywords")
+
+
+@lru_cache(maxsize=None)
+def sample_params(spark: SparkSession, task_id: int):
+    """Parameters of a sample task, read through Spark once per session."""
+    return load_task(task_table(spark), task_id)
 
 
 def _flagship_inputs(spark, sf):
-    params = load_task(task_table(spark), FLAGSHIP_TASK)
+    params = sample_params(spark, FLAGSHIP_TASK)
     log = actions(spark, sf, FLAGSHIP_GRAIN, FLAGSHIP_UNIT)
     return params, log, users(spark, sf)
 
@@ -137,24 +154,26 @@ def session_count_q(spark, sf):
 
 
 def stage_counts_q(spark, sf):
-    """Actions in range, sessions, kept sessions of the flagship task, from
-    one pass over the sessions (the action count is the sum of steps)."""
+    """Actions in range, sessions, kept sessions of the flagship task, as
+    the application counts them: sessions after the inner join with the
+    users (a user id listed twice repeats its sessions), kept sessions
+    after the conditions.  One pass: users are first reduced to one row
+    per id with its row count and the count of rows passing the user
+    conditions, so the sessions join them without being multiplied."""
     params, log, user_dim = _flagship_inputs(spark, sf)
     in_range = cut_to_days(log, params.start_date, params.end_date)
     sessions = session_rollup(in_range, keywords=params.keywords, category_ids=params.category_ids)
-    # distinct: a user id listed twice must not double the first two stages
-    wanted_users = user_dim.filter(all_of(user_conditions(params))).select("user_id").distinct() \
-        .withColumn("user_ok", F.lit(True))
-    flags = [F.col("user_ok").isNotNull()]
-    if params.keywords is not None:
-        flags.append(F.col("keyword_hit"))
-    if params.category_ids is not None:
-        flags.append(F.col("category_hit"))
-    joined = sessions.join(wanted_users, "user_id", "left")
+    per_user = user_dim.groupBy("user_id").agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_if(all_of(user_conditions(params))).alias("n_pass"),
+    )
+    flags = [c for c in (F.col("keyword_hit") if params.keywords is not None else None,
+                         F.col("category_hit") if params.category_ids is not None else None) if c is not None]
+    joined = sessions.join(per_user, "user_id", "left")
     counts = joined.agg(
-        F.sum("step_length").alias("actions_in_range"),
-        F.count(F.lit(1)).alias("sessions"),
-        F.count_if(all_of(flags)).alias("kept_sessions"),
+        F.coalesce(F.sum("step_length"), F.lit(0)).alias("actions_in_range"),
+        F.coalesce(F.sum("n_rows"), F.lit(0)).alias("sessions"),
+        F.coalesce(F.sum(F.when(all_of(flags), F.col("n_pass"))), F.lit(0)).alias("kept_sessions"),
     )
     return counts.unpivot([], ["actions_in_range", "sessions", "kept_sessions"], "stage", "n")
 
@@ -192,7 +211,7 @@ def label_counts_q(spark, sf):
 
 
 def actions_in_range_q(spark, sf):
-    params = load_task(task_table(spark), FLAGSHIP_TASK)
+    params = sample_params(spark, FLAGSHIP_TASK)
     log = cut_to_days(actions(spark, sf), params.start_date, params.end_date)
     return log.select("event_id", "session_id", "user_id", "action_time")
 

@@ -77,14 +77,15 @@ def checkpoint_dir(spark: SparkSession, create_if_unset: bool = False) -> str:
 
     On a cluster this setting points at shared storage and is only read;
     a missing setting is an error there.  ``create_if_unset`` (used for
-    local sessions only, as in tests) makes a private folder instead.
+    local sessions only, as in tests) makes a private folder instead and
+    registers it with the context (the setting itself cannot be changed
+    once the session runs).
     """
-    path = spark.conf.get("spark.checkpoint.dir", None)
+    path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not path:
         if not create_if_unset:
             raise RuntimeError("spark.checkpoint.dir is not set; point it at shared storage")
         path = tempfile.mkdtemp(prefix="visitlens-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(path)
     return path

@@ -65,7 +65,7 @@ def from_reference_layout(log: DataFrame) -> DataFrame:
 
 def _grain_days(grain: str) -> Column:
     if grain == "g":
-        return F.col("user_id") % 30 + 1
+        return F.pmod(F.col("user_id"), F.lit(30)) + 1  # >= 1 also for negative ids
     if grain == "day":
         return F.lit(1).cast("bigint")
     raise ValueError(f"unknown session grain {grain!r}; use one of {SESSION_GRAINS}")
