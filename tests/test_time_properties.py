@@ -42,3 +42,16 @@ def test_parse_time_matches_model(spark, batch):
     df = spark.createDataFrame([(t,) for t in batch], "s string")
     for r in df.select("s", parse_time("s").alias("t")).collect():
         assert r.t == model(r.s), r.s
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.tuples(st.integers(1, 10**12), st.floats(0, 1)), min_size=1, max_size=200))
+def test_ratio_rounding_on_large_counts(spark, pairs):
+    from decimal import ROUND_HALF_UP, Decimal
+
+    from visitlens.functions.numbers import safe_ratio
+    rows = [(int(n * f), n) for n, f in pairs]
+    df = spark.createDataFrame(rows, "c bigint, n bigint")
+    for r in df.select("c", "n", safe_ratio("c", "n").alias("x")).collect():
+        want = float(Decimal(r.c / r.n).quantize(Decimal("0.01"), rounding=ROUND_HALF_UP))
+        assert r.x == want, (r.c, r.n)
