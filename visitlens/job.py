@@ -34,6 +34,8 @@ def main(argv=None) -> None:
     ap.add_argument("--append", action="store_true", help="append instead of replacing the tasks' rows")
     ap.add_argument("--by-user", action="store_true",
                     help="key sessions by (user, session): no shuffle on user-bucketed tables")
+    ap.add_argument("--explain", action="store_true",
+                    help="print the formatted physical plan and exit without writing")
     args = ap.parse_args(argv)
 
     sized = None if args.sf_dir else cluster_conf(int(args.input_tb * 2**40))
@@ -54,6 +56,9 @@ def main(argv=None) -> None:
         log = tables.from_reference_layout(tables.catalog_table(spark, args.actions_table))
         dim = tables.catalog_table(spark, args.users_table)
     stats = multi_task_stats(log, dim, tasks, by_user=args.by_user)
+    if args.explain:
+        stats.explain(mode="formatted")
+        return
     write_stats(stats, args.out, mode="append" if args.append else "replace_tasks")
 
 
