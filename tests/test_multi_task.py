@@ -109,3 +109,39 @@ def test_duplicate_task_ids_are_rejected(spark):
             (1, "b", task_param_json(startDate="2024-01-01", endDate="2024-01-09"))]
     with pytest.raises(LookupError):
         multi_task_stats(actions(spark, SF_SMALL), users(spark, SF_SMALL), task_table(spark, rows))
+
+
+def test_many_random_tasks_match_the_duckdb_twin(spark, monkeypatch):
+    """A table of 120 random tasks (category vocabulary above 64, so the
+    exact hit-row path runs; many shared and overlapping ranges) against
+    the brute-force DuckDB query over the same task rows."""
+    import random
+
+    import duckdb
+
+    from conftest import SF_ORACLE
+    from visitlens.plans import oracle
+    rnd = random.Random(11)
+    rows = []
+    for tid in range(1, 121):
+        s = rnd.randint(1, 28)
+        p = {"startDate": f"2024-01-{s:02d}", "endDate": f"2024-01-{min(31, s + rnd.randint(0, 9)):02d}"}
+        if rnd.random() < 0.3:
+            p["startAge"], p["endAge"] = str(rnd.randint(0, 30)), str(rnd.randint(30, 59))
+        if rnd.random() < 0.3:
+            p["sex"] = rnd.choice(["male", "female"])
+        if rnd.random() < 0.3:
+            p["cities"] = ",".join(f"NATION_{i}" for i in rnd.sample(range(25), 6))
+        if rnd.random() < 0.4:
+            p["keywords"] = ",".join(f"kw{i}" for i in rnd.sample(range(10), 3))
+        if rnd.random() < 0.5:
+            p["categoryids"] = ",".join(str(i) for i in rnd.sample(range(100), 8))
+        rows.append((tid, f"t{tid}", task_param_json(**p)))
+    got = sorted(tuple(r) for r in multi_task_stats(
+        actions(spark, SF_ORACLE, "g", "dense"), users(spark, SF_ORACLE), task_table(spark, rows)).collect())
+    monkeypatch.setattr(oracle, "SAMPLE_TASKS", tuple(rows))
+    con = duckdb.connect()
+    for t in ("events", "customer", "nation"):
+        con.sql(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_ORACLE}/{t}.parquet')")
+    want = sorted(tuple(r) for r in con.sql(oracle.multi_task_stats_sql()).fetchall())
+    assert got == want and len(got) == 120
