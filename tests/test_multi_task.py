@@ -145,3 +145,16 @@ def test_many_random_tasks_match_the_duckdb_twin(spark, monkeypatch):
         con.sql(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_ORACLE}/{t}.parquet')")
     want = sorted(tuple(r) for r in con.sql(oracle.multi_task_stats_sql()).fetchall())
     assert got == want and len(got) == 120
+
+
+def test_profession_from_city_switch_in_many_task_job(spark):
+    from visitlens.plans.session_stat import run_session_task
+    from visitlens.sources.tasks import load_task
+    rows = [(1, "p", task_param_json(startDate="2024-01-01", endDate="2024-01-31",
+                                     professionals="NATION_1,NATION_2,NATION_3"))]
+    tasks = task_table(spark, rows)
+    log, dim = actions(spark, SF_SMALL), users(spark, SF_SMALL)
+    multi = multi_task_stats(log, dim, tasks, profession_from_city=True).first()
+    single = run_session_task(log, dim, load_task(tasks, 1), 1, profession_from_city=True).first()
+    plain = multi_task_stats(log, dim, tasks).first()
+    assert multi == single and multi.session_count > 0 and plain.session_count == 0

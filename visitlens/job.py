@@ -34,6 +34,8 @@ def main(argv=None) -> None:
     ap.add_argument("--append", action="store_true", help="append instead of replacing the tasks' rows")
     ap.add_argument("--by-user", action="store_true",
                     help="key sessions by (user, session): no shuffle on user-bucketed tables")
+    ap.add_argument("--profession-from-city", action="store_true",
+                    help="compatibility: take the profession attribute from the city field")
     ap.add_argument("--explain", action="store_true",
                     help="print the formatted physical plan and exit without writing")
     args = ap.parse_args(argv)
@@ -55,7 +57,8 @@ def main(argv=None) -> None:
     else:
         log = tables.from_reference_layout(tables.catalog_table(spark, args.actions_table))
         dim = tables.catalog_table(spark, args.users_table)
-    stats = multi_task_stats(log, dim, tasks, by_user=args.by_user)
+    stats = multi_task_stats(log, dim, tasks, by_user=args.by_user,
+                             profession_from_city=args.profession_from_city)
     if args.explain:
         stats.explain(mode="formatted")
         return

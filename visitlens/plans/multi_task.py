@@ -273,14 +273,15 @@ def _task_conditions() -> Column:
 
 def multi_task_stats(action_log: DataFrame, user_dim: DataFrame, tasks: DataFrame,
                      cut_col: str | None = None, mask_limit: int = MASK_BITS,
-                     by_user: bool = False) -> DataFrame:
+                     by_user: bool = False, profession_from_city: bool = False) -> DataFrame:
     """task_id, session_count and the 15 ratios, one row per task.
 
     ``cut_col`` names the raw column the date cut is stated on (default:
     ``ts``, else ``date``, else ``action_date``; see raw_cut_column).
     ``by_user`` keys sessions by (user, session) (see session_rollup); on
     a log and user table bucketed by ``user_id`` only the per-task
-    counters are then shuffled."""
+    counters are then shuffled.  ``profession_from_city`` reproduces the
+    application's profession attribute (see attach_users)."""
     parsed = parse_tasks(tasks)
     env, lists = task_facts(parsed, mask_limit)
     if env.n_undated:
@@ -302,7 +303,8 @@ def multi_task_stats(action_log: DataFrame, user_dim: DataFrame, tasks: DataFram
         vocab = {k: lists[k] if kinds[k][2] else [] for k in kinds}
         log = _cut_log(action_log, env, lists["ranges"], cut_col)
         masks = [k for k in kinds if vocab[k]]
-        sessions = attach_users(range_sessions(log, params, env, vocab, by_user), user_dim)
+        sessions = attach_users(range_sessions(log, params, env, vocab, by_user), user_dim,
+                                profession_from_city)
         task_side = params.select(
             "task_id", "start_date", "end_date",
             *[F.col(c).alias(f"p_{c}") for c in (
