@@ -98,3 +98,14 @@ def test_many_tasks_on_user_bucketed_tables(spark):
     want = sorted(multi_task_stats(from_reference_layout(raw), gen_users(spark, SF_SMALL), tasks).collect())
     assert got == want and got[0].session_count > 0
     assert "hashpartitioning(user_id" not in text and "hashpartitioning(session_id" not in text
+
+
+def test_refresh_days_on_a_user_bucketed_log(spark):
+    from visitlens.sources.layout import refresh_days
+    d1 = gen_actions(spark, SF_SMALL, day=dt.date(2024, 4, 1), seed="p")
+    save_action_log(d1, "action_log_user_refresh", buckets=4, bucket_col="user_id")
+    d2 = gen_actions(spark, SF_SMALL, day=dt.date(2024, 4, 2), seed="q")
+    refresh_days(d2, "action_log_user_refresh", buckets=4, bucket_col="user_id")
+    t = spark.table("action_log_user_refresh")
+    assert t.count() == d1.count() + d2.count()
+    assert "Bucketed: true" in plan_text(t.groupBy("user_id").count())
