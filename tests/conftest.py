@@ -18,7 +18,7 @@ SF_ORACLE = "/root/testdata/sf0.01"
 def spark():
     import tempfile
     warehouse = tempfile.mkdtemp(prefix="visitlens-warehouse-")
-    s = build_session("local[4]", app_name="visitlens-tests", shuffle_partitions=8,
+    s = build_session("local[*]", app_name="visitlens-tests", shuffle_partitions=8,
                       extra_conf={"spark.sql.warehouse.dir": warehouse})
     s.sparkContext.setLogLevel("ERROR")
     yield s
