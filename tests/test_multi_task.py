@@ -102,9 +102,6 @@ def test_fallback_paths_agree(spark, monkeypatch):
     monkeypatch.setattr(mt, "MAX_CUT_RANGES", 0)       # envelope cut
     slow = sorted(multi_task_stats(log, dim, tasks, mask_limit=1).collect())  # hit-row joins
     assert fast == slow
-    monkeypatch.setattr(mt, "MAX_CUT_RANGES", 256)
-    monkeypatch.setattr(mt, "MAX_OR_SPANS", 1)         # envelope + day set
-    assert sorted(multi_task_stats(log, dim, tasks).collect()) == fast
 
 
 def test_duplicate_task_ids_are_rejected(spark):

@@ -49,18 +49,6 @@ def day_range_on(df: DataFrame, col: str, start: dt.date, end: dt.date) -> Colum
     return (c >= F.lit(start)) & (c < F.lit(end))
 
 
-def day_in(df: DataFrame, col: str, days) -> Column:
-    """The row's day (of ``col`` in its own type) is one of ``days``; a
-    hash-set test (InSet) whatever the number of days."""
-    kind = df.schema[col].dataType
-    c = F.col(col)
-    if isinstance(kind, (T.TimestampNTZType, T.TimestampType)):
-        return F.to_date(c).isin(list(days))
-    if isinstance(kind, T.StringType):
-        return F.substring(c, 1, 10).isin([d.isoformat() for d in days])
-    return c.isin(list(days))
-
-
 def cut_to_days(df: DataFrame, start: dt.date, end: dt.date, col: str | None = None) -> DataFrame:
     """Rows of ``df`` whose day is in [start, end), stated on the raw column
     (see raw_cut_column) so the bounds are pushed to the scan."""

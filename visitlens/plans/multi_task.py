@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 from visitlens.functions.dates import seconds_between
 from visitlens.functions.strings import empty_to_null
-from visitlens.operators.filters import day_in, day_range_on, raw_cut_column
+from visitlens.operators.filters import day_range_on, raw_cut_column
 from visitlens.operators.sessions import attach_users
 from visitlens.operators.stats import STAT_COLUMNS, counter_aggs, ratio_columns
 from visitlens.sources.tasks import parse_tasks
@@ -54,9 +54,6 @@ JOIN_SALTS = 64
 # Distinct task ranges read to the driver to cut the log to their union;
 # with more, the log is cut to the envelope and the join does the rest.
 MAX_CUT_RANGES = 256
-# Up to this many merged day ranges the cut is an OR of ranges; beyond it
-# the envelope plus a hash-set test on the day (cheaper per row).
-MAX_OR_SPANS = 16
 # Distinct keyword (or category) values across all tasks that still fit
 # the one-scan bit-mask path: one bigint of flags per (session, day).
 MASK_BITS = 64
@@ -156,23 +153,16 @@ def _mask_of(list_col: str, vocab) -> Column:
 
 
 def _cut_log(action_log: DataFrame, env, ranges, cut_col: str | None) -> DataFrame:
-    """Cut the log to the union of the task ranges, stated on the raw
-    column so it reaches the scan: an OR of the merged day ranges when
-    there are few of them, else the envelope plus a hash-set test on the
-    row's day; only the envelope when the ranges were too many to list
-    (the range join is exact anyway)."""
+    """Cut the log to the union of the task ranges: an OR of the merged
+    day ranges (at most MAX_CUT_RANGES of them) on the raw column, pushed
+    to the scan so row groups between the ranges are skipped; the envelope
+    when the ranges were too many to list (the range join is exact)."""
     col = cut_col or raw_cut_column(action_log)
-    if ranges is None:
-        return action_log.filter(day_range_on(action_log, col, env.lo, env.hi))
-    spans = _merge(ranges)
+    spans = _merge(ranges) if ranges is not None else [(env.lo, env.hi)]
     if not spans:
         return action_log.filter(F.lit(False))
-    if len(spans) <= MAX_OR_SPANS:
-        conds = [day_range_on(action_log, col, lo, hi) for lo, hi in spans]
-        return action_log.filter(reduce(or_, conds))
-    days = [lo + dt.timedelta(days=i) for lo, hi in spans for i in range((hi - lo).days)]
-    envelope = day_range_on(action_log, col, spans[0][0], spans[-1][1])
-    return action_log.filter(envelope & day_in(action_log, col, days))
+    conds = [day_range_on(action_log, col, lo, hi) for lo, hi in spans]
+    return action_log.filter(reduce(or_, conds))
 
 
 def _kinds(env) -> dict:
