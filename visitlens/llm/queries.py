@@ -4,10 +4,32 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from visitlens.llm import mixing
+from visitlens.llm import bpe, mixing, token_files
 from visitlens.llm.common import cut, table
 
 
+def tokenizer_file(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    coded = bpe.encode_texts(docs, tokenizer_file("word_bpe_49k.json"))
+    ids = F.concat_ws(" ", F.col("token_ids").cast("array<string>"))
+    return coded.select("doc_id", F.size("token_ids").cast("long").alias("n_tokens"),
+                        F.sha2(ids, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    target = token_files.new_target(spark, "tokens")
+    token_files.write_files(docs, target, tokenizer_file("byte_bpe_50k.json"), end_id=2)
+    read = token_files.read_files(spark, target)
+    return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     rows = cut(docs.select(F.struct("doc_id").alias("row"), "source", mixing.word_count(F.col("text")).alias("size")))
@@ -16,6 +38,10 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
                         (F.col("copies") * F.col("size")).alias("taken"), "copies")
 
 
-QUERIES = {"op9_mixing": op9_mixing}
+QUERIES = {
+    "op5_bpe": op5_bpe,
+    "op6_token_files": op6_token_files,
+    "op9_mixing": op9_mixing,
+}
 
 ORACLES: dict[str, str] = {}
