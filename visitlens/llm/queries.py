@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from visitlens.llm import bpe, mixing, token_files
+from visitlens.llm import bpe, mixing, substring, token_files
 from visitlens.llm.common import cut, table
 
 
@@ -38,10 +38,28 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
                         (F.col("copies") * F.col("size")).alias("taken"), "copies")
 
 
+def op10_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    done = substring.remove_repeats(docs)
+    return done.select("row.doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 QUERIES = {
     "op5_bpe": op5_bpe,
     "op6_token_files": op6_token_files,
     "op9_mixing": op9_mixing,
+    "op10_substring": op10_substring,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op10_substring": r"""
+        WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+        s AS (SELECT doc_id, len(w) AS n, unnest(generate_series(1, len(w) - 34)) AS i FROM d WHERE len(w) >= 35),
+        h AS (SELECT s.doc_id, i, array_to_string(w[i:i + 34], ' ') AS win FROM s JOIN d USING (doc_id)),
+        r AS (SELECT doc_id, i FROM h WHERE win IN (SELECT win FROM h GROUP BY win HAVING count(*) > 1)),
+        g AS (SELECT doc_id, list_distinct(flatten(list(generate_series(i, i + 34)))) AS gone FROM r GROUP BY doc_id),
+        k AS (SELECT d.doc_id, w, coalesce(gone, []) AS gone FROM d LEFT JOIN g USING (doc_id))
+        SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(gone) AS BIGINT) AS n_removed,
+            sha256(array_to_string(list_filter(w, lambda x, i: NOT list_contains(gone, i)), ' ')) AS kept_sha256
+        FROM k""",
+}
