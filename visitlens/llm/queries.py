@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from visitlens.llm import bpe, mixing, substring, token_files
+from visitlens.llm import bpe, mixing, substring, suffix, token_files
 from visitlens.llm.common import cut, table
 
 
@@ -30,6 +30,12 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op8_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    done = suffix.remove_earlier(docs)
+    return done.select("row.doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     rows = cut(docs.select(F.struct("doc_id").alias("row"), "source", mixing.word_count(F.col("text")).alias("size")))
@@ -47,11 +53,30 @@ def op10_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op5_bpe": op5_bpe,
     "op6_token_files": op6_token_files,
+    "op8_suffix": op8_suffix,
     "op9_mixing": op9_mixing,
     "op10_substring": op10_substring,
 }
 
 ORACLES: dict[str, str] = {
+    "op8_suffix": r"""
+        WITH d AS (SELECT doc_id, lower(hex(encode(coalesce(text, '')))) AS x FROM documents),
+        s AS (SELECT doc_id, unnest(generate_series(1, len(x) // 2 - 49)) AS i FROM d WHERE len(x) >= 100),
+        h AS (SELECT s.doc_id, i, substr(x, 2 * i - 1, 100) AS win FROM s JOIN d USING (doc_id)),
+        r AS (SELECT h.doc_id, i FROM h JOIN (SELECT win, min(doc_id) AS first_doc FROM h GROUP BY win) m USING (win)
+            WHERE first_doc < h.doc_id),
+        o AS (SELECT doc_id, i, CASE WHEN i <= 50 + lag(i) OVER (PARTITION BY doc_id ORDER BY i) THEN 0 ELSE 1 END AS fresh
+            FROM r),
+        g AS (SELECT doc_id, i, sum(fresh) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM o),
+        p AS (SELECT doc_id, run, min(i) AS a, max(i) + 49 AS z FROM g GROUP BY doc_id, run),
+        q AS (SELECT doc_id, a, z, coalesce(lag(z) OVER (PARTITION BY doc_id ORDER BY a), 0) AS before FROM p),
+        k AS (SELECT doc_id, count(*) AS n_spans, CAST(sum(z - a + 1) AS BIGINT) AS n_removed, max(z) AS last_z,
+            string_agg(substr(x, 2 * before + 1, 2 * (a - 1 - before)), '' ORDER BY a) AS front
+            FROM q JOIN d USING (doc_id) GROUP BY doc_id)
+        SELECT doc_id, CAST(len(x) // 2 AS BIGINT) AS n_bytes, coalesce(n_removed, 0) AS n_removed,
+            coalesce(n_spans, 0) AS n_spans,
+            sha256(unhex(coalesce(front, '') || substr(x, 2 * coalesce(last_z, 0) + 1))) AS kept_sha256
+        FROM d LEFT JOIN k USING (doc_id)""",
     "op10_substring": r"""
         WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
         s AS (SELECT doc_id, len(w) AS n, unnest(generate_series(1, len(w) - 34)) AS i FROM d WHERE len(w) >= 35),
