@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from visitlens.llm import bpe, mixing, substring, suffix, token_files
+from visitlens.llm import bpe, minmax, mixing, substring, suffix, token_files
 from visitlens.llm.common import cut, table
 
 
@@ -30,6 +30,10 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op7_minmax(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minmax.near_duplicates(table(spark, sf_dir, "documents"), percent=85)
+
+
 def op8_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     done = suffix.remove_earlier(docs)
@@ -53,12 +57,28 @@ def op10_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op5_bpe": op5_bpe,
     "op6_token_files": op6_token_files,
+    "op7_minmax": op7_minmax,
     "op8_suffix": op8_suffix,
     "op9_mixing": op9_mixing,
     "op10_substring": op10_substring,
 }
 
 ORACLES: dict[str, str] = {
+    "op7_minmax": r"""
+        WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x20\x09-\x0D]+') AS w FROM documents),
+        s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS h FROM
+            (SELECT doc_id, w, unnest(generate_series(1, greatest(1, len(w) - 4))) AS i FROM d WHERE len(w) > 0)),
+        n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+        c AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS i FROM s a JOIN s b ON a.h = b.h AND a.doc_id <> b.doc_id
+            GROUP BY ALL),
+        l AS (SELECT x, y FROM c JOIN n p ON p.doc_id = x JOIN n q ON q.doc_id = y
+            WHERE 100 * i >= 85 * (p.n + q.n - i)),
+        r AS (SELECT doc_id AS x, doc_id AS y FROM d UNION SELECT r.x, l.y FROM r JOIN l ON r.y = l.x),
+        k AS (SELECT x, min(y) AS component_id FROM r GROUP BY x)
+        SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, component_id, d.doc_id = component_id AS kept
+        FROM d JOIN k ON k.x = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id""",
     "op8_suffix": r"""
         WITH d AS (SELECT doc_id, lower(hex(encode(coalesce(text, '')))) AS x FROM documents),
         s AS (SELECT doc_id, unnest(generate_series(1, len(x) // 2 - 49)) AS i FROM d WHERE len(x) >= 100),
