@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from visitlens.llm import bpe, minmax, mixing, substring, suffix, token_files
+from visitlens.llm import bpe, cross_polytope, minmax, mixing, multi_index, substring, suffix, token_files
 from visitlens.llm.common import cut, table
 
 
@@ -14,6 +14,15 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op2_cross_polytope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cross_polytope.near_duplicates(table(spark, sf_dir, "embeddings"), least=0.95)
+
+
+def op4_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return multi_index.nearest_neighbours(vectors, F.col("vec_id") % 20 == 0, k=20)
+
+
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     coded = bpe.encode_texts(docs, tokenizer_file("word_bpe_49k.json"))
@@ -55,6 +64,8 @@ def op10_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_cross_polytope": op2_cross_polytope,
+    "op4_multi_index": op4_multi_index,
     "op5_bpe": op5_bpe,
     "op6_token_files": op6_token_files,
     "op7_minmax": op7_minmax,
@@ -64,6 +75,15 @@ QUERIES = {
 }
 
 ORACLES: dict[str, str] = {
+    "op2_cross_polytope": """
+        WITH RECURSIVE e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+        l AS (SELECT a.vec_id AS x, b.vec_id AS y FROM e a JOIN e b ON a.vec_id <> b.vec_id
+            AND list_cosine_similarity(a.v, b.v) >= 0.95),
+        r AS (SELECT vec_id AS x, vec_id AS y FROM e UNION SELECT r.x, l.y FROM r JOIN l ON r.y = l.x),
+        k AS (SELECT x, min(y) AS component_id FROM r GROUP BY x),
+        n AS (SELECT x, count(*) AS n FROM l GROUP BY x)
+        SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept
+        FROM e JOIN k ON k.x = vec_id LEFT JOIN n ON n.x = vec_id""",
     "op7_minmax": r"""
         WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(
             translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
