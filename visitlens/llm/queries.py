@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from visitlens.llm import bpe, cross_polytope, minmax, mixing, multi_index, substring, suffix, token_files
+from visitlens.llm import bpe, cross_polytope, language, minmax, mixing, multi_index, substring, suffix, token_files
 from visitlens.llm.common import cut, table
 
 
@@ -18,6 +18,22 @@ def op2_cross_polytope(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cross_polytope.near_duplicates(table(spark, sf_dir, "embeddings"), least=0.95)
 
 
+def held_out(key: str = "doc_id") -> Column:
+    """Documents that no language model learns from."""
+    return F.coalesce(F.crc32(F.col(key).cast("string").cast("binary")) % 4 == 2, F.lit(False))
+
+
+def language_network(docs: DataFrame) -> language.Network | None:
+    return language.fit(docs.where(~held_out()).select(
+        F.col("doc_id").alias("key"), "text", F.col("lang").alias("label")))
+
+
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    told = language.identify(docs.select("doc_id", "text"), language_network(docs))
+    return told.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+
+
 def op4_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
     return multi_index.nearest_neighbours(vectors, F.col("vec_id") % 20 == 0, k=20)
@@ -65,6 +81,7 @@ def op10_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_cross_polytope": op2_cross_polytope,
+    "op3_language": op3_language,
     "op4_multi_index": op4_multi_index,
     "op5_bpe": op5_bpe,
     "op6_token_files": op6_token_files,
