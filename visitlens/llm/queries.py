@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from visitlens.llm import bpe, cross_polytope, language, minmax, mixing, multi_index, substring, suffix, token_files
+from visitlens.llm import bpe, cross_polytope, html_text, language, minmax, mixing, multi_index, substring, suffix, token_files
 from visitlens.llm.common import cut, table
 
 
@@ -14,6 +14,12 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    texts = html_text.extract(pages.select("page_id", "url", "html"), html_text.fit(pages))
+    return texts.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
 def op2_cross_polytope(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cross_polytope.near_duplicates(table(spark, sf_dir, "embeddings"), least=0.95)
 
@@ -80,6 +86,7 @@ def op10_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_html": op1_html,
     "op2_cross_polytope": op2_cross_polytope,
     "op3_language": op3_language,
     "op4_multi_index": op4_multi_index,
