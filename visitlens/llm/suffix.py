@@ -426,9 +426,10 @@ def _kept(t: pa.Table, r: pa.Table, length: int, buckets: int):
 
 
 def remove_earlier(df: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH,
-                   block_bytes: int = BLOCK_BYTES) -> DataFrame:
+                   block_bytes: int = BLOCK_BYTES, as_text: bool = False) -> DataFrame:
     """row (all columns but the text), n_bytes, n_removed, n_spans, spans
-    (from and to of the removed runs, one after another) and kept (bytes)."""
+    (from and to of the removed runs, one after another) and kept (bytes, or
+    with ``as_text`` a string without the characters that a cut parts)."""
     blocks = pieces(text_bytes(df, text), block_bytes)
     docs, names = fp.dealt(df, text, key, blocks)
 
@@ -451,7 +452,8 @@ def remove_earlier(df: DataFrame, key: str = "doc_id", text: str = "text", lengt
         out = t.select(carried)
         for name, values in (("n_bytes", n_bytes), ("n_removed", n_removed), ("n_spans", n_spans),
                              ("spans", pa.array([s.tolist() for s in spans], pa.list_(pa.int64()))),
-                             ("kept", pa.array(kept, pa.binary()))):
+                             ("kept", pa.array([x.decode(errors="ignore") for x in kept], pa.string()) if as_text
+                              else pa.array(kept, pa.binary()))):
             out = out.append_column(name, values)
         return out
 
@@ -461,7 +463,7 @@ def remove_earlier(df: DataFrame, key: str = "doc_id", text: str = "text", lengt
     replies = first.unionByName(second)
     kinds = dict(docs.dtypes)
     schema = ", ".join([f"{c} {kinds[c]}" for c in carried]
-                       + ["n_bytes long, n_removed long, n_spans long, spans array<long>, kept binary"])
+                       + ["n_bytes long, n_removed long, n_spans long, spans array<long>, kept " + ("string" if as_text else "binary")])
     done = docs.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(finish, schema)
     fields = [F.col(f"c{i}").alias(c) for i, c in enumerate(names) if c != text] or [F.lit(None).alias("none")]
     return done.select(F.struct(*fields).alias("row"), "n_bytes", "n_removed", "n_spans", "spans", "kept")
