@@ -35,7 +35,10 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     found = minmax.near_duplicates(docs, percent=SIMILAR_PERCENT)
     kept = found.where("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
     one = Window.partitionBy("doc_id").orderBy(F.col("text").asc_nulls_last(), "lang", "source")
-    first = docs.join(kept, "doc_id", "left_semi").withColumn("_nth", F.row_number().over(one)).where("_nth = 1")
+    nth = "_nth"
+    while nth in docs.columns:
+        nth += "_"
+    first = docs.join(kept, "doc_id", "left_semi").withColumn(nth, F.row_number().over(one)).where(F.col(nth) == 1)
     return first.select(docs.columns).unionByName(docs.where("doc_id IS NULL"))
 
 

@@ -76,14 +76,17 @@ def starts_with_room(offsets: np.ndarray, window: int) -> np.ndarray:
     return mask
 
 
-def minimizers(gram: np.ndarray, windows: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+def minimizers(gram: np.ndarray, windows: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Of every window in the mask, the least of its ``width`` gram hashes
-    (0 outside the mask); and the places that hold one of these minima."""
+    (0 outside the mask); the places that hold one of these minima, and
+    their values.  Minima are small numbers: values are mixed once more, so
+    that buckets by value are even."""
     least = sliding(np.minimum, gram, width)
     least = np.where(windows, least, np.uint64(0))
     pad = np.zeros(width - 1, np.uint64)
     most = sliding(np.maximum, np.concatenate([pad, least, pad]), width)
-    return least, np.flatnonzero(most == gram)
+    places = np.flatnonzero(most == gram)
+    return mix64(least), places, mix64(gram[places])
 
 
 def among(values: np.ndarray, known: np.ndarray) -> np.ndarray:

@@ -88,8 +88,8 @@ class _Block:
                 least.append(np.zeros(len(alive), np.uint64))
                 continue
             gram = fp.window_hash(chunk[6], k)
-            low, places = fp.minimizers(gram, alive, self.window - k + 1)
-            found.append(gram[places])
+            low, _, values = fp.minimizers(gram, alive, self.window - k + 1)
+            found.append(values)
             least.append(low)
         values, counts = np.unique(np.concatenate([*found, np.zeros(0, np.uint64)]), return_counts=True)
         return values, counts > 1, least

@@ -164,9 +164,8 @@ class _Block:
             if not alive.any():
                 self.least.append(np.zeros(len(alive), np.uint64))
                 continue
-            low, places = fp.minimizers(fp.window_hash(units, gram), alive, length - gram + 1)
+            low, places, value = fp.minimizers(fp.window_hash(units, gram), alive, length - gram + 1)
             self.least.append(low)
-            value = fp.window_hash(units, gram)[places]
             doc = np.searchsorted(off, places, "right")
             order = np.argsort(value, kind="stable")  # documents ascend within a value
             value, doc = value[order], doc[order]
@@ -290,7 +289,7 @@ class _Block:
         told = np.zeros(len(one), bool)
         for k, a, b in fp.bucket_cuts(one, self.buckets):
             told[a:b] = fp.unbits(hot_bits[k], b - a)
-        gone = (told | False)[self.hot_number] | (self.hot_key > self.hot_key[self.hot_first][self.hot_number]) \
+        gone = told[self.hot_number] | (self.hot_key > self.hot_key[self.hot_first][self.hot_number]) \
             if len(one) else np.zeros(0, bool)
         at = 0
         for i, places, *_ in self.hot:
@@ -300,7 +299,7 @@ class _Block:
                 for x, c in zip(hits, self.chunks, strict=True)]
 
 
-def _answer_hashes(t: pa.Table) -> pa.Table:
+def _answer_hashes(t: pa.Table, hot: int) -> pa.Table:
     bodies = t["body"].to_pylist()
     sizes = [len(x) // 9 for x in bodies]
     value = np.concatenate([np.frombuffer(x, np.uint64, n) for x, n in zip(bodies, sizes, strict=True)])
@@ -308,7 +307,7 @@ def _answer_hashes(t: pa.Table) -> pa.Table:
     _, inverse = np.unique(value, return_inverse=True)
     total = np.bincount(inverse, count)[inverse]
     ends = np.cumsum(sizes)
-    rows = [(b, fp.bits(np.concatenate([total[e - n:e] > 1, total[e - n:e] > HOT])))
+    rows = [(b, fp.bits(np.concatenate([total[e - n:e] > 1, total[e - n:e] > hot])))
             for b, e, n in zip(t["block"].to_pylist(), ends, sizes, strict=True)]
     return fp.answers(0, t["bucket"][0].as_py(), rows)
 
@@ -426,7 +425,7 @@ def _kept(t: pa.Table, r: pa.Table, length: int, buckets: int):
 
 
 def remove_earlier(df: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH,
-                   block_bytes: int = BLOCK_BYTES, as_text: bool = False) -> DataFrame:
+                   block_bytes: int = BLOCK_BYTES, as_text: bool = False, hot: int = HOT) -> DataFrame:
     """row (all columns but the text), n_bytes, n_removed, n_spans, spans
     (from and to of the removed runs, one after another) and kept (bytes, or
     with ``as_text`` a string without the characters that a cut parts)."""
@@ -442,6 +441,9 @@ def remove_earlier(df: DataFrame, key: str = "doc_id", text: str = "text", lengt
         number = k[0].as_py()
         return pa.concat_tables([fp.sent(number, 1, block.send_pieces()), fp.sent(number, 2, block.send_hot())])
 
+    def answer_hashes(t):
+        return _answer_hashes(t, hot)
+
     def answer(k, t):
         return _answer_pieces(t, length) if k[0].as_py() == 1 else _answer_hot(t)
 
@@ -457,7 +459,8 @@ def remove_earlier(df: DataFrame, key: str = "doc_id", text: str = "text", lengt
             out = out.append_column(name, values)
         return out
 
-    first = docs.groupBy("block").applyInArrow(hashes, fp.SENT).groupBy("bucket").applyInArrow(_answer_hashes, fp.ANSWER)
+    first = docs.groupBy("block").applyInArrow(hashes, fp.SENT).groupBy("bucket").applyInArrow(
+        answer_hashes, fp.ANSWER)
     second = docs.groupBy("block").cogroup(first.groupBy("block")).applyInArrow(windows, fp.SENT)
     second = second.groupBy("level", "bucket").applyInArrow(answer, fp.ANSWER)
     replies = first.unionByName(second)
