@@ -46,6 +46,7 @@ LOW = np.uint64(1 << 31)
 FILE_TEXT_BYTES = 8 << 20
 FILE_IDS = 4 << 20
 WORD_MEMORY = 400_000
+BROADCAST_FILES = 500_000
 _HEAD = struct.Struct("<4sIIIQ")
 
 
@@ -179,38 +180,65 @@ class Words:
     """Ids of whole texts by the tokenizers library, word by word.
 
     The byte-level pattern always ends a match before a space that stands
-    between two other characters than white space, or before the last one
-    of a run, so a text cut before such spaces has the ids of its parts.
-    Texts with double spaces or with the special tokens' strings go whole
-    to the library.  What a part gives is kept, up to a limit."""
+    between two other characters than white space, so a text cut there has
+    the ids of its parts.  Texts where white space meets the cut, or with
+    the special tokens' strings, go whole to the library.  New parts go to
+    it joined, and its ids are parted again by the bytes that they stand
+    for.  What a part gives is kept, in two generations of bounded size."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.own = Tokenizer.from_file(path)
         self.special = [t.content for t in self.own.get_added_tokens_decoder().values()]
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+        vocab = self.own.get_vocab()
+        self.size = np.zeros(max(vocab.values()) + 1, np.int64)
+        for token, i in vocab.items():
+            self.size[i] = len(token)  # one symbol per byte
+        self.young: dict[str, bytes | None] = {}
+        self.old: dict[str, bytes | None] = {}
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.own.encode(text, add_special_tokens=False).ids, np.uint32).tobytes()
 
+    def _learn(self, words: list[str]) -> None:
+        """Ids of words with a space in front; None for those that don't
+        stand alone."""
+        plain = []
+        for w in words:
+            if not w or w[0].isspace() or w[-1].isspace():
+                self.young[w] = None
+            else:
+                plain.append(w)
+        for a in range(0, len(plain), 1000):
+            some = plain[a:a + 1000]
+            found = self.own.encode_batch_fast([" " + " ".join(some)], add_special_tokens=False)[0].ids
+            ids = np.array(found, np.uint32)
+            ends = np.cumsum([1 + len(w.encode()) for w in some])
+            cuts = (4 * np.searchsorted(np.cumsum(self.size[ids]), ends, "left") + 4).tolist()
+            data, at = ids.tobytes(), 0
+            for w, to in zip(some, cuts, strict=True):
+                self.young[w] = data[at:to]
+                at = to
+
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
-        cut = [None if "  " in t or any(s in t for s in self.special) else
-               [p if i == 0 else " " + p for i, p in enumerate(t.split(" "))] for t in texts]
-        fresh = {w for parts in cut if parts for w in parts} - self.young.keys()
-        moved = {w: self.old[w] for w in fresh if w in self.old}
-        fresh = [w for w in fresh if w not in moved]
         if len(self.young) >= WORD_MEMORY:
-            # Entries of this call are looked up in both generations.
             self.old, self.young = self.young, {}
-        found = self.own.encode_batch(fresh, add_special_tokens=False)
-        self.young.update(moved)
-        self.young.update((w, np.array(e.ids, np.uint32).tobytes()) for w, e in zip(fresh, found, strict=True))
-        get = self.young.get
-        old = self.old
-        return [np.frombuffer(self._whole(t) if parts is None else b"".join([get(w) or old.get(w, b"") for w in parts]),
-                              np.uint32) for t, parts in zip(texts, cut, strict=True)]
+        cut = [None if any(s in t for s in self.special) else t.split(" ") for t in texts]
+        fresh = set().union(*(p[1:] for p in cut if p)) - self.young.keys()
+        known = fresh & self.old.keys()
+        self.young.update((w, self.old[w]) for w in known)
+        self._learn(sorted(fresh - known))
+        get, out = self.young.__getitem__, []
+        for text, parts in zip(texts, cut, strict=True):
+            try:
+                if parts is None or parts[0][-1:].isspace():
+                    raise TypeError
+                data = self._whole(parts[0]) + b"".join(map(get, parts[1:]))
+            except TypeError:  # a part that does not stand alone
+                data = self._whole(text)
+            out.append(np.frombuffer(data, np.uint32))
+        return out
 
 
 @functools.lru_cache(2)
@@ -286,6 +314,10 @@ def read_files(spark: SparkSession, target: str) -> DataFrame:
 
     docs = files.select("part", "seq", "image").mapInArrow(
         run, "part int, seq int, doc_id long, place long, n_tokens long, ids binary")
+    # 16 bytes a file: sent to all executors where that is little, else
+    # joined by shuffle.
+    if files.count() <= BROADCAST_FILES:
+        base = F.broadcast(base)
     return docs.join(base, ["part", "seq"]).select(
         "doc_id", (F.col("base") + F.col("place")).alias("start"), "n_tokens", "ids")
 
