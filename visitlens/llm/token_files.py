@@ -82,7 +82,7 @@ def encode_block(index: np.ndarray, freq: np.ndarray, first: np.ndarray) -> tupl
         q, m = np.divmod(state, f)
         state = (q << np.uint64(BITS)) + m + c
         if r % CHECK_ROWS == 0:
-            marks.append((len(words), state))
+            marks.append((len(words), state.copy()))
     sizes = np.cumsum([len(w) for w in words]) if words else np.zeros(1, np.int64)
     total = int(sizes[-1])
     # Decoding reads the last written row first.
