@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
-from visitlens.sources.generate import SEARCH_KEYWORDS, gen_actions, gen_products, gen_users
+from generate import SEARCH_KEYWORDS, gen_actions, gen_products, gen_users
 
 
 def test_gen_actions_rules(spark):
@@ -44,7 +44,7 @@ def test_gen_users_and_products(spark):
 
 
 def test_session_length_follows_the_redrawn_bound_law(spark):
-    from visitlens.sources.generate import _survival
+    from generate import _survival
     from conftest import SF_ORACLE
     surv = _survival()
     mean = sum(surv[:101])

@@ -6,7 +6,7 @@ import io
 
 from conftest import SF_SMALL
 from visitlens.plans.session_stat import kept_sessions, run_session_task
-from visitlens.sources.generate import gen_actions, gen_users
+from generate import gen_actions, gen_users
 from visitlens.sources.layout import save_action_log
 from visitlens.sources.tables import from_reference_layout
 from visitlens.sources.tasks import TaskParams

@@ -50,13 +50,6 @@ def test_undated_task_is_rejected(spark):
         multi_task_stats(actions(spark, SF_SMALL), users(spark, SF_SMALL), task_table(spark, rows))
 
 
-def test_bitmask_and_hit_row_paths_agree(spark):
-    log, dim, tasks = actions(spark, SF_SMALL, "g", "dense"), users(spark, SF_SMALL), task_table(spark)
-    fast = sorted(multi_task_stats(log, dim, tasks).collect())
-    exact = sorted(multi_task_stats(log, dim, tasks, mask_limit=1).collect())
-    assert fast == exact
-
-
 def test_tasks_sharing_a_range_match_single_runs(spark):
     rows = [
         (1, "a", task_param_json(startDate="2024-01-02", endDate="2024-01-20")),
@@ -92,18 +85,6 @@ def test_log_is_cut_to_the_union_of_task_ranges(spark):
     assert "2024-01-30T00:00" in text and "Or(" in text
 
 
-def test_fallback_paths_agree(spark, monkeypatch):
-    from visitlens.plans import multi_task as mt
-    log, dim = actions(spark, SF_SMALL, "g", "dense"), users(spark, SF_SMALL)
-    rows = list(SAMPLE_TASKS) + [(10 + i, "far", text) for i, (_t, _n, text) in enumerate(FAR_APART)]
-    tasks = task_table(spark, rows)
-    fast = sorted(multi_task_stats(log, dim, tasks).collect())
-    monkeypatch.setattr(mt, "MAX_BROADCAST_ROWS", 0)   # salted day join, shuffled fan-out
-    monkeypatch.setattr(mt, "MAX_CUT_RANGES", 0)       # envelope cut
-    slow = sorted(multi_task_stats(log, dim, tasks, mask_limit=1).collect())  # hit-row joins
-    assert fast == slow
-
-
 def test_duplicate_task_ids_are_rejected(spark):
     rows = [(1, "a", task_param_json(startDate="2024-01-01", endDate="2024-01-05")),
             (1, "b", task_param_json(startDate="2024-01-01", endDate="2024-01-09"))]
@@ -112,8 +93,8 @@ def test_duplicate_task_ids_are_rejected(spark):
 
 
 def test_many_random_tasks_match_the_duckdb_twin(spark, monkeypatch):
-    """A table of 120 random tasks (category vocabulary above 64, so the
-    exact hit-row path runs; many shared and overlapping ranges) against
+    """A table of 120 random tasks (category vocabulary above 64; many
+    shared and overlapping ranges) against
     the brute-force DuckDB query over the same task rows."""
     import random
 
@@ -158,3 +139,112 @@ def test_profession_from_city_switch_in_many_task_job(spark):
     single = run_session_task(log, dim, load_task(tasks, 1), 1, profession_from_city=True).first()
     plain = multi_task_stats(log, dim, tasks).first()
     assert multi == single and multi.session_count > 0 and plain.session_count == 0
+
+
+def plain_stats(rows, dim, tasks, by_user):
+    """session_count per task, by loops over the rows."""
+    import datetime as dt
+    import json
+
+    out = {}
+    for tid, _n, text in tasks:
+        p = {k: v[0] for k, v in json.loads(text).items()}
+        lo, hi = dt.date.fromisoformat(p["startDate"]), dt.date.fromisoformat(p["endDate"])
+        kept = [r for r in rows if lo <= r[1] < hi]
+        sessions = {}
+        for r in kept:
+            sessions.setdefault((r[2], r[3]) if by_user else r[3], []).append(r)
+        n = 0
+        for rs in sessions.values():
+            uid = min(r[2] for r in rs)
+            if uid not in dim:
+                continue
+            if "keywords" in p and not {r[5] for r in rs} & set(p["keywords"].split(",")):
+                continue
+            if "categoryids" in p and not {str(r[6]) for r in rs} & set(p["categoryids"].split(",")):
+                continue
+            n += 1
+        out[tid] = n
+    return out
+
+
+@pytest.mark.parametrize("by_user", [False, True])
+@pytest.mark.parametrize("size", [1, 64, 65, 500])
+def test_vocabularies_of_any_size_with_shared_session_ids(spark, by_user, size):
+    import datetime as dt
+    import random
+
+    from conftest import action, make_actions, make_users, user
+    rnd = random.Random(size)
+    words = [f"w{i}" for i in range(size + 5)]
+    rows = [action(f"s{rnd.randrange(12)}", rnd.randrange(1, 6), rnd.randrange(9000), keyword=rnd.choice(words + [None]),
+                   category=rnd.choice([None, *range(size + 5)]),
+                   when=dt.datetime(2024, 1, rnd.randrange(1, 15), 9)) for _ in range(250)]
+    tasks = [(t, "t", task_param_json(
+        startDate=f"2024-01-{a:02d}", endDate=f"2024-01-{a + rnd.randrange(0, 8):02d}",
+        **({"keywords": ",".join(rnd.sample(words[:size], min(size, 1 + size // 3)))} if t % 2 else {}),
+        **({"categoryids": ",".join(map(str, rnd.sample(range(size), min(size, 1 + size // 4))))} if t % 3 else {})))
+        for t, a in ((t, rnd.randrange(1, 14)) for t in range(1, 9))]
+    tasks.append((9, "all values", task_param_json(startDate="2024-01-01", endDate="2024-01-15",
+                                                   keywords=",".join(words[:size]),
+                                                   categoryids=",".join(map(str, range(size))))))
+    got = multi_task_stats(make_actions(spark, rows), make_users(spark, [user(i) for i in range(1, 5)]),
+                           task_table(spark, tasks), by_user=by_user)
+    assert {r.task_id: r.session_count for r in got.collect()} == plain_stats(rows, set(range(1, 5)), tasks, by_user)
+
+
+def test_one_scan_whatever_the_vocabulary(spark):
+    for n in (3, 100):
+        rows = [(1, "a", task_param_json(startDate="2024-01-01", endDate="2024-01-20",
+                                         categoryids=",".join(map(str, range(n))), keywords="kw1"))]
+        df = multi_task_stats(actions(spark, SF_SMALL), users(spark, SF_SMALL), task_table(spark, rows))
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("event_type") and df._jdf.queryExecution().executedPlan().toString().count("events.parquet") == 1
+
+
+@pytest.mark.parametrize("n", [1, 300, 3000])
+def test_many_ranges_give_the_rows_of_single_runs(spark, n):
+    import datetime as dt
+    import random
+
+    from conftest import action, make_actions, make_users, user
+    rnd = random.Random(n)
+    first = dt.date(2020, 1, 1)
+    rows = [action(f"s{rnd.randrange(30)}", rnd.randrange(1, 5), rnd.randrange(9000),
+                   when=dt.datetime(2020, 1, 1, 9) + dt.timedelta(days=rnd.randrange(2000))) for _ in range(300)]
+    tasks = []
+    for t in range(n):
+        a = first + dt.timedelta(days=rnd.randrange(1990))
+        tasks.append((t, "t", task_param_json(startDate=str(a), endDate=str(a + dt.timedelta(days=rnd.randrange(1, 6))))))
+    got = multi_task_stats(make_actions(spark, rows), make_users(spark, [user(i) for i in range(1, 5)]), task_table(spark, tasks))
+    assert {r.task_id: r.session_count for r in got.collect()} == plain_stats(rows, {1, 2, 3, 4}, tasks, False)
+
+
+def test_broken_dates_are_rejected_by_both_forms(spark):
+    import datetime as dt
+
+    from conftest import make_users, user
+    from visitlens.plans.session_stat import run_session_task
+    from visitlens.sources.tables import from_reference_layout, layout_audit
+    from visitlens.sources.tasks import load_task
+    raw = spark.createDataFrame(
+        [("2024-01-0x", 1, "a", "2024-01-01 09:00:00", None, None), ("2024-01-05", 1, "b", "junk", "k", 3),
+         ("2024-01-05", 1, "b", "2024-01-05 9:00:07", None, None), (None, 1, "c", None, None, None)],
+        "date string, user_id bigint, session_id string, action_time string, search_keyword string, click_category_id bigint")
+    log, dim = from_reference_layout(raw), make_users(spark, [user(1)])
+    tasks = task_table(spark, [(1, "t", task_param_json(startDate="2024-01-01", endDate="2024-01-31"))])
+    single = run_session_task(log, dim, load_task(tasks, 1), 1).first()
+    assert multi_task_stats(log, dim, tasks).first() == single and single.session_count == 1
+    assert {r.reason: r.n for r in layout_audit(raw).collect()} == {
+        "kept_rows": 2, "sessions": 1, "bad_date": 2, "bad_time": 1}
+    assert dt.date(2024, 1, 5) in {r.action_date for r in log.collect()}
+
+
+def test_shuffle_does_not_grow_with_the_ranges(spark):
+    """Sessions are dealt by session and day only; pairs of a session and a
+    range are never exchanged."""
+    df = multi_task_stats(actions(spark, SF_SMALL), users(spark, SF_SMALL), task_table(spark))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    dealt = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert any("session_id" in line for line in dealt) and any("task_id" in line for line in dealt)
+    assert not any("session_id" in line and "start_date" in line for line in dealt)

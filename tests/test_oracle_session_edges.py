@@ -49,7 +49,7 @@ CUSTOMERS = [
     (9, "Customer#9", 99, 10.0, "BUILDING"),
 ]
 NATIONS = [(i, f"NATION_{i}", i % 5) for i in range(5)]
-SKIP = {"product_status", "ship_delay_profile", "gen_actions", "gen_users", "gen_products",
+SKIP = {"product_status", "ship_delay_profile", 
         "time_text_audit", "packed_attr_rollup", "json_props_rollup", "list_column_rollup",
         "label_counts", "ratio_rounding", "param_sql", "column_blank_profile"}
 

@@ -146,7 +146,7 @@ def test_generated_log_in_application_layout_runs_end_to_end(spark):
     from pyspark.sql import functions as F
 
     from conftest import SF_SMALL
-    from visitlens.sources.generate import gen_actions, gen_users
+    from generate import gen_actions, gen_users
     from visitlens.sources.tables import from_reference_layout
 
     log = from_reference_layout(gen_actions(spark, SF_SMALL, day=dt.date(2024, 1, 15)))
@@ -178,19 +178,22 @@ def test_bad_time_text_counts_as_step_but_not_in_span(spark):
     assert (r.step_length, r.visit_length, r.bad_time_rows) == (4, 60, 2)
 
 
-def test_set_based_and_flag_based_conditions_agree(spark):
+def test_long_form_and_flag_based_conditions_agree(spark):
     from visitlens.operators.filters import session_filter
-    from visitlens.operators.sessions import attach_users, session_rollup
+    from visitlens.operators.sessions import (
+        attach_users, session_categories, session_keywords, session_rollup, sessions_with,
+    )
     rows = [action("a", 1, 0, keyword="kw1", category=3), action("a", 1, 5, category=7),
-            action("b", 1, 0, keyword="kw2"), action("c", 2, 0, category=7)]
+            action("b", 1, 0, keyword="kw2"), action("c", 2, 0, category=7), action(None, 2, 0, keyword="kw9", category=7)]
     users = [user(1), user(2, sex="female")]
     p = TaskParams(DAY, DAY + dt.timedelta(days=1), keywords=("kw1", "kw9"), category_ids=("7",))
     acts, dim = make_actions(spark, rows), make_users(spark, users)
-    by_sets = attach_users(session_rollup(acts, with_sets=True), dim).filter(session_filter(p, flags=False))
+    ids = lambda df: {r.session_id for r in df.collect()}
+    by_pairs = ids(sessions_with(session_keywords(acts), "keyword", p.keywords)) & ids(
+        sessions_with(session_categories(acts), "category_id", p.category_ids))
     by_flags = attach_users(session_rollup(acts, keywords=p.keywords, category_ids=p.category_ids), dim) \
-        .filter(session_filter(p, flags=True))
-    ids = lambda df: sorted(r.session_id for r in df.collect())
-    assert ids(by_sets) == ids(by_flags) == ["a"]
+        .filter(session_filter(p))
+    assert by_pairs == ids(by_flags) == {"a", None}
 
 
 @pytest.mark.parametrize("grain,unit", [("g", "dense"), ("day", "dense"), ("day", "raw")])
@@ -215,7 +218,7 @@ def test_application_layout_cuts_on_date_text_at_the_scan(spark):
     import io
 
     from conftest import SF_SMALL
-    from visitlens.sources.generate import gen_actions, gen_users
+    from generate import gen_actions, gen_users
     from visitlens.sources.tables import from_reference_layout
     import tempfile
     path = tempfile.mkdtemp(prefix="visitlens-app-log-") + "/log"

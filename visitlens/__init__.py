@@ -9,13 +9,13 @@ in each visit-length and step-length bucket).
 Sub-packages:
 
 - ``sources``   readers for the action log, user and product dimensions,
-                task tables, generators and sinks
+                task tables and sinks
 - ``functions`` Column-building helpers (strings, dates, rounding, JSON)
 - ``operators`` filters, session roll-up, statistics
 - ``plans``     complete jobs, one per registered query
-- ``streaming`` (the analysed application has no streaming part)
+- ``llm``       operators of a training-data pipeline (optional)
 """
 
-from visitlens.session import build_session, checkpoint_dir
+from visitlens.session import build_session
 
-__all__ = ["build_session", "checkpoint_dir"]
+__all__ = ["build_session"]

@@ -27,7 +27,7 @@ def _epoch() -> Column:
 
 def _floor_div(x: Column, n: int) -> Column:
     """Integer division rounding toward minus infinity (exact on bigint)."""
-    return ((x - F.pmod(x, F.lit(n))) / F.lit(n)).cast("bigint")
+    return F.call_function("div", x - F.pmod(x, F.lit(n)), F.lit(n))
 
 
 def epoch_seconds(ts: Column | str) -> Column:
@@ -95,7 +95,11 @@ def is_after(t1: Column | str, t2: Column | str) -> Column:
 def minus_seconds(t1: Column | str, t2: Column | str) -> Column:
     """Seconds of t1 - t2 for time text; 0 on bad text or when the
     difference does not fit in a 32-bit int."""
-    diff = F.unix_seconds(parse_time(t1)) - F.unix_seconds(parse_time(t2))
+    return int_or_zero(F.unix_seconds(parse_time(t1)) - F.unix_seconds(parse_time(t2)))
+
+
+def int_or_zero(diff: Column) -> Column:
+    """A number that fits in a 32-bit int, else 0 (as NULL does)."""
     fits = diff.between(-(2**31), 2**31 - 1)
     return F.when(fits, diff).otherwise(F.lit(0).cast("bigint"))
 

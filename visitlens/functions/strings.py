@@ -101,11 +101,11 @@ def set_packed_field(s: Column | str, field: str, value: Column | str) -> Column
     value = F.lit(value) if isinstance(value, str) else value
     value = F.coalesce(value, F.lit("null"))  # Java's "k=" + null
     stripped = F.regexp_replace(_col(s), "[|]+\\z", "")
-    # Lazy run of whole pieces, then the first piece named ``field``.
-    pattern = "^((?:[^|]*[|])*?)" + _regex_quote(field) + "(?:=[^|]*)?(?=[|]|\\z)"
-    safe_value = F.regexp_replace(value, r"([\\$])", r"\\$1")
-    replacement = F.concat(F.lit("$1" + field.replace("\\", "\\\\").replace("$", "\\$") + "="), safe_value)
-    return F.regexp_replace(stripped, F.lit(pattern), replacement)
+    pieces = F.split(stripped, "[|]")
+    at = F.array_position(F.transform(pieces, lambda p: F.substring_index(p, "=", 1)), F.lit(field)).cast("int")
+    changed = F.concat(F.slice(pieces, F.lit(1), at - 1), F.array(F.concat(F.lit(field + "="), value)),
+                       F.slice(pieces, at + 1, F.size(pieces)))
+    return F.when(at > 0, F.array_join(changed, "|")).otherwise(stripped)
 
 
 def pack_fields(fields: dict[str, Column | str]) -> Column:

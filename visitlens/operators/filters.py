@@ -53,7 +53,15 @@ def cut_to_days(df: DataFrame, start: dt.date, end: dt.date, col: str | None = N
     """Rows of ``df`` whose day is in [start, end), stated on the raw column
     (see raw_cut_column) so the bounds are pushed to the scan."""
     col = col or raw_cut_column(df)
-    return df.filter(day_range_on(df, col, start, end))
+    return df.filter(day_range_on(df, col, start, end) & placed_on_a_day(df))
+
+
+def placed_on_a_day(df: DataFrame) -> Column:
+    """Of a log with date text, rows whose text is a date; every other log
+    is typed and needs no test."""
+    if {"date", "action_date"} <= set(df.columns):
+        return F.col("action_date").isNotNull()
+    return F.lit(True)
 
 
 def age_between(start_age: int | None, end_age: int | None, col: str = "age") -> Column | None:
@@ -76,16 +84,6 @@ def equals(col: str, value: str | None) -> Column | None:
     return F.col(col) == F.lit(value)
 
 
-def overlaps(array_col: str, values: tuple[str, ...] | None) -> Column | None:
-    """Array column shares an element with the list (false, not NULL,
-    when the array is empty)."""
-    if values is None:
-        return None
-    return F.coalesce(
-        F.arrays_overlap(F.col(array_col), F.array(*[F.lit(v) for v in values])), F.lit(False)
-    )
-
-
 def all_of(preds) -> Column:
     """Conjunction of the given predicates; None entries are skipped."""
     return reduce(and_, [p for p in preds if p is not None], F.lit(True))
@@ -100,29 +98,15 @@ def user_conditions(p: TaskParams) -> list[Column]:
     ]
 
 
-def behaviour_conditions_on_sets(p: TaskParams) -> list[Column]:
-    """Keyword / category conditions on a session row holding the sets."""
-    cats = None
-    if p.category_ids is not None:
-        cats = F.coalesce(
-            F.arrays_overlap(
-                F.transform(F.col("click_category_ids"), lambda x: x.cast("string")),
-                F.array(*[F.lit(v) for v in p.category_ids]),
-            ),
-            F.lit(False),
-        )
-    return [overlaps("search_keywords", p.keywords), cats]
-
-
 def behaviour_conditions_on_flags(p: TaskParams) -> list[Column]:
-    """Same conditions on the per-session flags made by session_rollup()."""
+    """Keyword / category conditions on the per-session flags made by
+    session_rollup()."""
     return [
         F.col("keyword_hit") if p.keywords is not None else None,
         F.col("category_hit") if p.category_ids is not None else None,
     ]
 
 
-def session_filter(p: TaskParams, flags: bool = True) -> Column:
+def session_filter(p: TaskParams) -> Column:
     """All task conditions of a session joined with its user."""
-    behaviour = behaviour_conditions_on_flags(p) if flags else behaviour_conditions_on_sets(p)
-    return all_of(user_conditions(p) + behaviour)
+    return all_of(user_conditions(p) + behaviour_conditions_on_flags(p))

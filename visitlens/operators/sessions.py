@@ -3,9 +3,8 @@
 The statistics path uses only algebraic aggregates (min, max, count,
 bool_or), so Spark runs a partial aggregate before the shuffle: a session
 holding a third of all actions reaches its reducer as one partial row per
-map task.  The optional keyword / category sets (``with_sets``) are only
-for queries whose output *is* the set; their size is that of the
-session's distinct values, which the output row has to hold anyway.
+map task.  Distinct keywords and categories are kept in long form, one row
+per (session, value): no session's values are collected into one row.
 """
 
 from __future__ import annotations
@@ -20,15 +19,23 @@ SESSION_COLUMNS = (
 )
 
 
-def keyword_set() -> Column:
-    """Distinct non-empty searched keywords, sorted."""
-    kw = F.col("search_keyword")
-    return F.sort_array(F.collect_set(F.when(F.length(kw) > 0, kw))).alias("search_keywords")
+def session_keywords(actions: DataFrame) -> DataFrame:
+    """Distinct (session_id, keyword) of non-empty searched keywords."""
+    return actions.where("length(search_keyword) > 0").select(
+        "session_id", F.col("search_keyword").alias("keyword")).distinct()
 
 
-def category_set() -> Column:
-    """Distinct clicked category ids, sorted (NULLs skipped)."""
-    return F.sort_array(F.collect_set("click_category_id")).alias("click_category_ids")
+def session_categories(actions: DataFrame) -> DataFrame:
+    """Distinct (session_id, category_id) of clicked categories."""
+    return actions.where("click_category_id IS NOT NULL").select(
+        "session_id", F.col("click_category_id").alias("category_id")).distinct()
+
+
+def sessions_with(pairs: DataFrame, column: str, values) -> DataFrame:
+    """The pairs of sessions that have one of ``values`` (compared as
+    text) among theirs.  A NULL session id is a session like any other."""
+    hits = pairs.where(F.col(column).cast("string").isin(list(values))).select("session_id").distinct()
+    return pairs.alias("p").join(hits.alias("h"), F.expr("p.session_id <=> h.session_id"), "left_semi")
 
 
 def keyword_hit(keywords) -> Column:
@@ -45,7 +52,6 @@ def category_hit(category_ids) -> Column:
 def session_rollup(
     actions: DataFrame,
     *,
-    with_sets: bool = False,
     keywords=None,
     category_ids=None,
     with_time_audit: bool = False,
@@ -55,10 +61,8 @@ def session_rollup(
     """One row per session: user, first / last action time, visit length
     in whole seconds, step length (number of actions).
 
-    ``with_sets`` adds the sorted keyword and category sets.  When only a
-    yes/no answer against a fixed list is needed, pass ``keywords`` /
-    ``category_ids`` instead: the session then carries a boolean flag and
-    the aggregate stays a plain hash aggregate (no per-session sets).
+    With ``keywords`` / ``category_ids`` the session carries a boolean flag
+    per list; the aggregate stays a plain hash aggregate.
     ``with_time_audit`` adds ``bad_time_rows``, the session's actions
     whose time is NULL (unparsable in the source text).
 
@@ -78,8 +82,6 @@ def session_rollup(
         F.max("action_time").alias("end_time"),
         F.count(F.lit(1)).alias("step_length"),
     ]
-    if with_sets:
-        aggs += [keyword_set(), category_set()]
     if keywords is not None:
         aggs.append(keyword_hit(keywords))
     if category_ids is not None:
@@ -92,7 +94,8 @@ def session_rollup(
     return rolled.withColumn("visit_length", seconds_between("start_time", "end_time"))
 
 
-def attach_users(sessions: DataFrame, users: DataFrame, profession_from_city: bool = False) -> DataFrame:
+def attach_users(sessions: DataFrame, users: DataFrame, profession_from_city: bool = False,
+                 keep: list[str] | None = None) -> DataFrame:
     """Inner equi-join on user_id: sessions of unknown users vanish; a
     duplicated user id would repeat the session.
 
@@ -102,8 +105,11 @@ def attach_users(sessions: DataFrame, users: DataFrame, profession_from_city: bo
     No broadcast hint: Catalyst broadcasts the user side only when its
     estimated size is under ``spark.sql.autoBroadcastJoinThreshold`` and
     AQE re-checks it at run time; beyond it the join is a sort-merge
-    join whose skewed partitions AQE splits.
+    join whose skewed partitions AQE splits.  ``keep`` names the session
+    columns that go along (all by default).
     """
     prof = F.col("city") if profession_from_city else F.col("professional")
     attrs = users.select("user_id", "age", prof.alias("professional"), "city", "sex")
+    if keep is not None:
+        sessions = sessions.select("user_id", *keep)
     return sessions.join(attrs, "user_id", "inner")

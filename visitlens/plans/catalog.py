@@ -10,7 +10,6 @@ from visitlens.plans import session_queries as sq
 from visitlens.plans import table_jobs as tj
 from visitlens.plans.multi_task import multi_task_stats
 from visitlens.plans.session_stat import session_aggr_stat
-from visitlens.sources import generate
 from visitlens.sources.tables import actions, users
 from visitlens.sources.tasks import task_table
 
@@ -66,8 +65,5 @@ QUERIES: dict[str, Query] = {
     "sql_action_range": tj.sql_action_range_q,
     "product_status": tj.product_status_q,
     "json_props_rollup": tj.json_props_rollup_q,
-    # Generators: hash-seeded, so only row counts are checked (no SQL twin).
-    "gen_actions": generate.gen_actions,
-    "gen_users": generate.gen_users,
-    "gen_products": generate.gen_products,
+    "text_layout_audit": tj.text_layout_audit_q,
 }

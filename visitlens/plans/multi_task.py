@@ -1,331 +1,238 @@
 """Many tasks in one job: one statistics row per task.
 
 The analysed application runs one job per task.  Here a whole task table
-is matched against the log at once:
+is matched against the log at once, on one path for every size:
 
-1. The log is cut to the union of all task ranges (pushed to the scan; the
-   envelope of the ranges when there are too many distinct ones to list).
+1. The log is cut to the union of all task ranges: ranges are merged to
+   disjoint spans first, and the scan gets exactly these (no envelope).
 2. Actions are pre-aggregated per (session, day): min / max / count are
    combinable, and every task range is a whole number of days, so these
-   partials are all a task needs.  Partial aggregation runs before the
-   shuffle, so a hot session or day reaches its reducer pre-combined.
-3. Keyword and category conditions ride along in the same aggregate as
-   bit masks over the (small, counted) vocabulary of all tasks' lists, so
-   the log is scanned once; beyond 64 values, exact (task, session) hit
-   pairs from a join of the log with the exploded lists are used instead.
-4. Distinct task ranges are exploded to (range, day) rows and joined with
-   the daily partials; one ``groupBy(range, session)`` folds days into
-   sessions.  Sessions depend only on the range, so tasks that share a
-   range share this work.
-5. Sessions join users once per (range, session) (size-checked
-   broadcast, else sort-merge with AQE skew handling), then fan out to
-   the tasks of their range (broadcast, size-checked); every condition is
-   ``parameter IS NULL OR test``.
-6. Counters per task; a zero row per task is unioned in first, so a task
+   partials are all a task needs.  A hot session or day reaches its reducer
+   pre-combined.  Listed keywords and categories get numbers by a join with
+   the tasks' own (short) lists and ride along in the same aggregate as
+   bits, 64 to a column, however many there are.
+3. A second roll-up gives one row per session with its totals and its day
+   partials (at most one per day that a task asks for), and users are
+   joined once per session.
+4. Only then sessions meet the ranges, by day: a session goes to a range at
+   its first day in it, so each pair arises once.  A range that holds all of
+   a session's days takes its totals; one that cuts it folds the partials.
+   From here on rows are only counted: the shuffle carries sessions, not
+   sessions x ranges.
+5. Counters per task; a zero row per task is unioned in first, so a task
    with no session still gets its row (count 0, NULL ratios).
+
+Rows whose date text is no date are rejected here as in the single-task job
+(see sources.tables.layout_audit for their count).
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import json
-from functools import reduce
 from operator import or_
 from types import SimpleNamespace
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from visitlens.functions.dates import seconds_between
 from visitlens.functions.strings import empty_to_null
-from visitlens.operators.filters import day_range_on, raw_cut_column
+from visitlens.operators.filters import day_range_on, placed_on_a_day, raw_cut_column
 from visitlens.operators.sessions import attach_users
 from visitlens.operators.stats import STAT_COLUMNS, counter_aggs, ratio_columns
 from visitlens.sources.tasks import parse_tasks
 
-# Largest task-side table that is broadcast, by counted rows and by
-# estimated bytes.  Task tables are analyst-made (tens to thousands of
-# rows); beyond these bounds the joins are shuffled (AQE splits skew).
-MAX_BROADCAST_ROWS = 5_000_000
-MAX_BROADCAST_BYTES = 256 * 2**20
-# Salts for the (day)-keyed shuffle join used when the range-day table is
-# too big to broadcast: spreads every day over this many partitions.
-JOIN_SALTS = 64
-# Distinct task ranges read to the driver to cut the log to their union;
-# with more, the log is cut to the envelope and the join does the rest.
-MAX_CUT_RANGES = 256
-# Distinct keyword (or category) values across all tasks that still fit
-# the one-scan bit-mask path: one bigint of flags per (session, day).
-MASK_BITS = 64
-
+# Bits of one bigint.
+WORD = 64
+
+
+def task_facts(parsed: DataFrame) -> SimpleNamespace:
+    """What the plan is built from, read in one small job over the task
+    table: counts, the disjoint spans of days that any task asks for, and
+    the listed keywords and categories.  All of it is what analysts wrote
+    into tasks; none grows with the log."""
+    ranges = parsed.select("start_date", "end_date").where("start_date < end_date").distinct()
+    before = Window.orderBy("start_date", "end_date").rowsBetween(Window.unboundedPreceding, -1)
+    reach = F.max("end_date").over(before)
+    fresh = ranges.withColumn("fresh", F.when(F.col("start_date") <= reach, 0).otherwise(1))
+    upto = Window.orderBy("start_date", "end_date").rowsBetween(Window.unboundedPreceding, 0)
+    spans = fresh.withColumn("span", F.sum("fresh").over(upto)).groupBy("span").agg(
+        F.min("start_date").alias("lo"), F.max("end_date").alias("hi"))
+    profile = parsed.agg(
+        F.count(F.lit(1)).alias("n_tasks"), F.count_distinct("task_id").alias("n_ids"),
+        F.count_if(F.col("start_date").isNull() | F.col("end_date").isNull()).alias("n_undated"))
+    rows = (
+        profile.select(F.lit("profile").alias("kind"), F.to_json(F.struct("*")).alias("v"))
+        .unionByName(spans.select(F.lit("span").alias("kind"),
+                                  F.concat_ws("|", F.col("lo").cast("string"), F.col("hi").cast("string")).alias("v")))
+        .unionByName(parsed.select(F.lit("kw").alias("kind"), F.explode("keywords").alias("v")).distinct())
+        .unionByName(parsed.select(F.lit("cat").alias("kind"), F.explode("category_ids").alias("v")).distinct())
+    ).collect()
+    of = lambda kind: sorted(r.v for r in rows if r.kind == kind)
+    return SimpleNamespace(
+        **json.loads(of("profile")[0]), vocab={k: of(k) for k in ("kw", "cat")},
+        spans=[tuple(dt.date.fromisoformat(x) for x in v.split("|")) for v in of("span")])
+
+
+def _balanced(conds: list[Column]) -> Column:
+    """OR of many conditions without a deep tree."""
+    while len(conds) > 1:
+        conds = [or_(*pair) if len(pair) == 2 else pair[0] for pair in
+                 (conds[i:i + 2] for i in range(0, len(conds), 2))]
+    return conds[0]
+
+
+def _cut_log(action_log: DataFrame, spans, cut_col: str | None) -> DataFrame:
+    """The log cut to the spans on the raw column, pushed to the scan, so
+    row groups and partitions between them are skipped."""
+    if not spans:
+        return action_log.filter(F.lit(False))
+    col = cut_col or raw_cut_column(action_log)
+    return action_log.filter(_balanced([day_range_on(action_log, col, lo, hi) for lo, hi in spans])
+                             & placed_on_a_day(action_log))
 
-def _fits(rows: int, est_bytes: int) -> bool:
-    return rows <= MAX_BROADCAST_ROWS and est_bytes <= MAX_BROADCAST_BYTES
 
+def _words(kind: str, vocab: dict) -> list[str]:
+    return [f"{kind}_{w}" for w in range(-(-len(vocab[kind]) // WORD))]
 
-def _bounded(df: DataFrame, rows: int, est_bytes: int) -> DataFrame:
-    """Broadcast hint only when the counted rows and estimated bytes fit."""
-    return F.broadcast(df) if _fits(rows, est_bytes) else df
 
+def _bit(number: Column, word: int) -> Column:
+    """The bit of a listed value's number within one word, else 0."""
+    one = F.expr("shiftleft(1L, 0)")
+    own = (number >= word * WORD) & (number < (word + 1) * WORD)
+    return F.when(own, F.call_function("shiftleft", one, (number % WORD).cast("int"))).otherwise(F.lit(0).cast("bigint"))
 
-_PROFILE = ("lo", "hi", "n_tasks", "n_ids", "n_undated", "param_bytes",
-            "n_task_days", "n_keywords", "n_categories")
 
+def _numbered(log: DataFrame, kind: str, value: Column, vocab: dict) -> DataFrame:
+    """The log with the number of its listed value (NULL for others)."""
+    if not vocab[kind]:
+        return log
+    listed = log.sparkSession.createDataFrame(
+        list(enumerate(vocab[kind])), f"{kind}_no int, {kind}_listed string")
+    keyed = log.withColumn(f"{kind}_value", value)
+    return keyed.join(listed, F.col(f"{kind}_value") == F.col(f"{kind}_listed"), "left")
 
-def task_facts(parsed: DataFrame, mask_limit: int):
-    """One small job over the parsed task table.
 
-    Returns ``(env, lists)``: ``env`` holds the date envelope, undated
-    tasks, duplicate ids, parameter text size and the row counts of the
-    task-side join inputs; ``lists`` holds, per behaviour kind, the sorted
-    distinct values of all tasks' lists (None when more than
-    ``mask_limit``) and under "ranges" the distinct non-empty date ranges
-    (None when more than MAX_CUT_RANGES).  Every list branch is a
-    distinct with a limit, so the driver reads at most limit + 1 short
-    strings per kind and no task holds a whole group.
-    """
-    days = F.greatest(F.datediff("end_date", "start_date"), F.lit(0))
-    profile = parsed.agg(
-        F.min("start_date").cast("string").alias("lo"),
-        F.max("end_date").cast("string").alias("hi"),
-        F.count(F.lit(1)).alias("n_tasks"),
-        F.count_distinct("task_id").alias("n_ids"),
-        F.count_if(F.col("start_date").isNull() | F.col("end_date").isNull()).alias("n_undated"),
-        F.coalesce(F.sum(F.length("task_param")), F.lit(0)).alias("param_bytes"),
-        F.coalesce(F.sum(days), F.lit(0)).alias("n_task_days"),
-        F.coalesce(F.sum(F.size(F.coalesce("keywords", F.array()))), F.lit(0)).alias("n_keywords"),
-        F.coalesce(F.sum(F.size(F.coalesce("category_ids", F.array()))), F.lit(0)).alias("n_categories"),
-    ).select(F.lit("profile").alias("kind"), F.to_json(F.struct(*_PROFILE)).alias("v"))
-
-    def branch(kind: str, values: Column, limit: int, rows: DataFrame) -> DataFrame:
-        return (rows.select(values.alias("v")).filter(F.col("v").isNotNull()).distinct()
-                .limit(limit + 1).select(F.lit(kind).alias("kind"), "v"))
-
-    limits = {"kw": mask_limit, "cat": mask_limit, "ranges": MAX_CUT_RANGES}
-    parts = [
-        profile,
-        branch("kw", F.explode("keywords"), mask_limit, parsed),
-        branch("cat", F.explode("category_ids"), mask_limit, parsed),
-        branch("ranges", F.concat_ws("|", F.col("start_date").cast("string"), F.col("end_date").cast("string")),
-               MAX_CUT_RANGES, parsed.filter(F.col("start_date") < F.col("end_date"))),
-    ]
-    union = parts[0]
-    for part in parts[1:]:
-        union = union.unionByName(part)
-    rows = union.collect()
-
-    raw = json.loads(next(r.v for r in rows if r.kind == "profile"))
-    raw = {k: raw.get(k) for k in _PROFILE}
-    for k in ("lo", "hi"):
-        raw[k] = dt.date.fromisoformat(raw[k]) if raw[k] else None
-    env = SimpleNamespace(**raw)
-    lists = {}
-    for kind, limit in limits.items():
-        vals = sorted(r.v for r in rows if r.kind == kind)
-        lists[kind] = vals if len(vals) <= limit else None
-    if lists["ranges"] is not None:
-        lists["ranges"] = [tuple(dt.date.fromisoformat(x) for x in v.split("|")) for v in lists["ranges"]]
-    return env, lists
-
-
-def _merge(ranges) -> list:
-    """Union of [start, end) day ranges as sorted disjoint ranges."""
-    merged: list[list] = []
-    for lo, hi in sorted(ranges):
-        if merged and lo <= merged[-1][1]:
-            merged[-1][1] = max(merged[-1][1], hi)
-        else:
-            merged.append([lo, hi])
-    return [tuple(m) for m in merged]
-
-
-def _bit_of(value: Column, vocab) -> Column:
-    """bigint with the bit of ``value``'s position in ``vocab`` set (0 if absent)."""
-    pos = F.array_position(F.array(*[F.lit(v) for v in vocab]), value)
-    bits = F.array(*[F.lit((1 << i) - (1 << 64 if i == 63 else 0)).cast("bigint") for i in range(len(vocab))])
-    return F.when(pos > 0, F.element_at(bits, pos.cast("int"))).otherwise(F.lit(0).cast("bigint"))
-
-
-def _mask_of(list_col: str, vocab) -> Column:
-    """OR of the bits of every value in a task's list."""
-    bits = F.transform(F.coalesce(F.col(list_col), F.array().cast("array<string>")), lambda v: _bit_of(v, vocab))
-    return F.aggregate(bits, F.lit(0).cast("bigint"), lambda acc, b: acc.bitwiseOR(b))
-
-
-def _cut_log(action_log: DataFrame, env, ranges, cut_col: str | None) -> DataFrame:
-    """Cut the log to the union of the task ranges: an OR of the merged
-    day ranges (at most MAX_CUT_RANGES of them) on the raw column, pushed
-    to the scan so row groups between the ranges are skipped; the envelope
-    when the ranges were too many to list (the range join is exact)."""
-    col = cut_col or raw_cut_column(action_log)
-    spans = _merge(ranges) if ranges is not None else [(env.lo, env.hi)]
-    if not spans:
-        return action_log.filter(F.lit(False))
-    conds = [day_range_on(action_log, col, lo, hi) for lo, hi in spans]
-    return action_log.filter(reduce(or_, conds))
-
-
-def _kinds(env) -> dict:
-    """Behaviour conditions: task list column, data value, list entries."""
-    return {
-        "kw": ("keywords", empty_to_null("search_keyword"), env.n_keywords),
-        "cat": ("category_ids", F.col("click_category_id").cast("string"), env.n_categories),
-    }
-
-
-def range_sessions(log: DataFrame, params: DataFrame, env, vocab: dict,
-                   by_user: bool = False) -> DataFrame:
-    """Sessions per distinct task date range: (start_date, end_date,
-    session_id, user_id, visit_length, step_length, <kind>_mask...).
-
-    Sessions depend only on the range (conditions are applied later), so
-    tasks sharing a range share this work.  Per (session, day) partials
-    are computed once (partial aggregation before the shuffle), joined
-    with the (range, day) rows and folded per (range, session).  Keyword
-    and category presence travel as ``bit_or`` masks over ``vocab``.
-    """
-    kinds = _kinds(env)
-    masks = [k for k in kinds if vocab[k]]
+def session_days(log: DataFrame, vocab: dict, by_user: bool = False) -> DataFrame:
+    """One row per session: user, totals, first and last day, the words of
+    listed values that it used, and ``days``, its partials by day."""
+    log = _numbered(log, "kw", empty_to_null("search_keyword"), vocab)
+    log = _numbered(log, "cat", F.col("click_category_id").cast("string"), vocab)
+    words = _words("kw", vocab) + _words("cat", vocab)
     # by_user: key sessions by (user, session), see session_rollup
-    user_agg = [] if by_user else [F.min("user_id").alias("user_id")]
-    user_key = ["user_id"] if by_user else []
-    daily = log.groupBy(*user_key, "session_id", "action_date").agg(
-        *user_agg,
-        F.min("action_time").alias("start_time"),
-        F.max("action_time").alias("end_time"),
-        F.count(F.lit(1)).alias("steps"),
-        *[F.bit_or(_bit_of(kinds[k][1], vocab[k])).alias(f"{k}_mask") for k in masks],
-    )
-    range_days = params.select("start_date", "end_date").distinct().select(
-        "start_date", "end_date",
-        F.explode(
-            F.when(F.col("start_date") < F.col("end_date"),
-                   F.sequence("start_date", F.date_sub("end_date", 1)))
-            .otherwise(F.array().cast("array<date>"))
-        ).alias("action_date"),
-    )
-    if _fits(env.n_task_days, env.n_task_days * 32):
-        joined = daily.join(F.broadcast(range_days), "action_date")
-    else:
-        # Every day is a join key here, so salt it: each (session, day)
-        # partial goes to one of JOIN_SALTS partitions of its day, and the
-        # range-day rows are repeated for every salt (explode, no cross join).
-        salted = daily.withColumn("salt", F.pmod(F.xxhash64("session_id"), F.lit(JOIN_SALTS)))
-        salts = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(JOIN_SALTS - 1).cast("bigint")))
-        joined = salted.join(range_days.select("*", salts.alias("salt")), ["action_date", "salt"])
-    folded = (
-        joined
-        .groupBy("start_date", "end_date", *user_key, "session_id")
-        .agg(
-            *user_agg,
-            F.min("start_time").alias("start_time"),
-            F.max("end_time").alias("end_time"),
-            F.sum("steps").alias("step_length"),
-            *[F.bit_or(f"{k}_mask").alias(f"{k}_mask") for k in masks],
-        )
-    )
-    return folded.select(
-        "start_date", "end_date", "session_id", "user_id",
-        seconds_between("start_time", "end_time").alias("visit_length"),
-        "step_length", *[f"{k}_mask" for k in masks],
-    )
-
-
-def task_hits(log: DataFrame, params: DataFrame, env, kind: str) -> DataFrame:
-    """Exact (task_id, session_id) pairs whose session holds one of the
-    task's listed values inside the task's range: the log joined with the
-    exploded (task, value) lists.  Used when the vocabulary is too large
-    for a mask."""
-    list_col, data_col, n_wanted = _kinds(env)[kind]
-    wanted = params.select("task_id", "start_date", "end_date", F.explode(list_col).alias("wanted"))
-    # Keep only rows whose value some task lists (semi-join with the
-    # distinct listed values) and one row per (session, day, value), so a
-    # hot value listed by many tasks does not multiply raw action rows.
-    # With a broadcastable list, unlisted values are never shuffled.
-    listed = params.select(F.explode(list_col).alias("value")).distinct()
-    values = log.select("session_id", "action_date", data_col.alias("value")).filter(F.col("value").isNotNull())
-    if _fits(n_wanted, env.param_bytes + 32 * n_wanted):
-        hits = values.join(F.broadcast(listed), "value", "left_semi").distinct()
-    else:
-        # Listed values too many to broadcast: de-duplicate first (partial
-        # aggregation, shuffled on all three columns, so a hot value is
-        # spread by session), then semi-join.
-        hits = values.distinct().join(listed, "value", "left_semi")
-    cond = (
-        (hits.value == F.col("wanted"))
-        & (hits.action_date >= F.col("start_date"))
-        & (hits.action_date < F.col("end_date"))
-    )
-    return (hits.join(_bounded(wanted, n_wanted, env.param_bytes + 32 * n_wanted), cond)
-            .select("task_id", "session_id").distinct()
-            .withColumn(f"{kind}_found", F.lit(True)))
-
-
-def _task_conditions() -> Column:
+    user_agg = [] if by_user else [F.min("user_id").alias("uid")]
+    key = ["user_id", "session_id"] if by_user else ["session_id"]
+    bits = [F.bit_or(_bit(F.col(f"{k}_no"), w)).alias(f"{k}_{w}")
+            for k in ("kw", "cat") for w in range(len(_words(k, vocab)))]
+    daily = log.groupBy(*key, "action_date").agg(
+        *user_agg, F.min("action_time").alias("lo"), F.max("action_time").alias("hi"),
+        F.count(F.lit(1)).alias("steps"), *bits)
+    uid = [] if by_user else ["uid"]
+    part = F.struct(F.col("action_date").alias("day"), "lo", "hi", "steps", *uid, *words)
+    sessions = daily.groupBy(*key).agg(
+        *[F.min("uid").alias("uid") for _ in uid], F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.sum("steps").alias("steps"),
+        F.min("action_date").alias("first_day"), F.max("action_date").alias("last_day"),
+        *[F.bit_or(w).alias(w) for w in words],
+        F.sort_array(F.collect_list(part)).alias("days"))
+    if by_user:
+        return sessions
+    # A session that several users share belongs, in each range, to the
+    # smallest of them there: one row for each that can be.
+    own = F.array_distinct(F.transform("days", lambda d: d["uid"]))
+    return sessions.withColumn("user_id", F.explode(own))
+
+
+def sessions_in_ranges(sessions: DataFrame, ranges: DataFrame, words: list[str], by_user: bool) -> DataFrame:
+    """Every session in every range that holds one of its days: range, user
+    attributes, visit_length, step_length and words, without a shuffle of
+    the pairs."""
+    days = ranges.select("start_date", "end_date", F.explode(
+        F.sequence("start_date", F.date_sub("end_date", 1))).alias("day"))
+    entries = F.transform("days", lambda d, i: F.struct(
+        d["day"].alias("day"), F.when(i > 0, F.get(F.col("days"), i - 1)["day"]).alias("before")))
+    met = sessions.withColumn("entry", F.explode(entries)).select("*", "entry.day", "entry.before").drop("entry")
+    pairs = met.join(days, "day").where(F.col("before").isNull() | (F.col("before") < F.col("start_date")))
+    whole = (F.col("start_date") <= F.col("first_day")) & (F.col("last_day") < F.col("end_date"))
+    inside = F.filter("days", lambda d: (d["day"] >= F.col("start_date")) & (d["day"] < F.col("end_date")))
+    field = lambda name: F.transform(inside, lambda d: d[name])
+    zero = F.lit(0).cast("bigint")
+    folded = {"lo": F.array_min(field("lo")), "hi": F.array_max(field("hi")),
+              "steps": F.aggregate(field("steps"), zero, lambda a, x: a + x)}
+    if not by_user:
+        folded["uid"] = F.array_min(field("uid"))
+    folded |= {w: F.aggregate(field(w), zero, lambda a, x: a.bitwiseOR(x)) for w in words}
+    got = pairs.select("start_date", "end_date", "user_id", "age", "professional", "city", "sex",
+                       *[F.when(whole, F.col(n)).otherwise(x).alias(n) for n, x in folded.items()])
+    if not by_user:
+        got = got.where("uid = user_id")
+    return got.withColumn("visit_length", seconds_between("lo", "hi")).withColumnRenamed("steps", "step_length")
+
+
+def _wanted(column: str, kind: str, vocab: dict) -> list[Column]:
+    """Words of a task's list."""
+    if not vocab[kind]:
+        return []
+    known = F.array(*[F.lit(v) for v in vocab[kind]])
+    numbers = F.transform(F.coalesce(F.col(column), F.array().cast("array<string>")),
+                          lambda v: (F.array_position(known, v) - 1).cast("int"))
+
+    def bits(word: int):
+        return lambda n: _bit(n, word)
+
+    return [F.aggregate(F.transform(numbers, bits(w)), F.lit(0).cast("bigint"),
+                        lambda a, x: a.bitwiseOR(x)).alias(f"p_{kind}_{w}") for w in range(len(_words(kind, vocab)))]
+
+
+def _hit(kind: str, vocab: dict) -> Column:
+    hits = [F.col(w).bitwiseAND(F.col(f"p_{w}")) != 0 for w in _words(kind, vocab)]
+    return _balanced(hits) if hits else F.lit(False)
+
+
+def _task_conditions(vocab: dict) -> Column:
     p = F.col
     age = p("p_start_age").isNull() | p("p_end_age").isNull() | p("age").between(p("p_start_age"), p("p_end_age"))
     prof = p("p_professionals").isNull() | F.array_contains(p("p_professionals"), p("professional"))
     city = p("p_cities").isNull() | F.array_contains(p("p_cities"), p("city"))
     sex = p("p_sex").isNull() | (p("sex") == p("p_sex"))
-    kw = p("p_keywords").isNull() | p("keyword_hit")
-    cat = p("p_category_ids").isNull() | p("category_hit")
+    kw = p("p_keywords").isNull() | _hit("kw", vocab)
+    cat = p("p_category_ids").isNull() | _hit("cat", vocab)
     return age & prof & city & sex & kw & cat
 
 
 def multi_task_stats(action_log: DataFrame, user_dim: DataFrame, tasks: DataFrame,
-                     cut_col: str | None = None, mask_limit: int = MASK_BITS,
-                     by_user: bool = False, profession_from_city: bool = False) -> DataFrame:
+                     cut_col: str | None = None, by_user: bool = False,
+                     profession_from_city: bool = False) -> DataFrame:
     """task_id, session_count and the 15 ratios, one row per task.
 
     ``cut_col`` names the raw column the date cut is stated on (default:
     ``ts``, else ``date``, else ``action_date``; see raw_cut_column).
-    ``by_user`` keys sessions by (user, session) (see session_rollup); on
-    a log and user table bucketed by ``user_id`` only the per-task
-    counters are then shuffled.  ``profession_from_city`` reproduces the
-    application's profession attribute (see attach_users)."""
+    ``by_user`` keys sessions by (user, session) (see session_rollup).
+    ``profession_from_city`` reproduces the application's profession
+    attribute (see attach_users)."""
     parsed = parse_tasks(tasks)
-    env, lists = task_facts(parsed, mask_limit)
-    if env.n_undated:
-        raise ValueError(f"{env.n_undated} task(s) without a valid startDate / endDate")
-    if env.n_ids != env.n_tasks:
-        raise LookupError(f"task ids are not unique ({env.n_tasks} rows, {env.n_ids} ids)")
-    params = parsed.select(
-        "task_id", "start_date", "end_date", "start_age", "end_age",
-        "professionals", "cities", "sex", "keywords", "category_ids",
-    )
-
+    facts = task_facts(parsed)
+    if facts.n_undated:
+        raise ValueError(f"{facts.n_undated} task(s) without a valid startDate / endDate")
+    if facts.n_ids != facts.n_tasks:
+        raise LookupError(f"task ids are not unique ({facts.n_tasks} rows, {facts.n_ids} ids)")
+    vocab = facts.vocab
+    words = _words("kw", vocab) + _words("cat", vocab)
     counter_names = ["session_count"] + [f"n_{c}" for c in STAT_COLUMNS[1:]]
-    zero_rows = params.select("task_id", *[F.lit(0).cast("bigint").alias(n) for n in counter_names])
-
-    if env.lo is None:
-        counts = zero_rows
-    else:
-        kinds = _kinds(env)
-        vocab = {k: lists[k] if kinds[k][2] else [] for k in kinds}
-        log = _cut_log(action_log, env, lists["ranges"], cut_col)
-        masks = [k for k in kinds if vocab[k]]
-        sessions = attach_users(range_sessions(log, params, env, vocab, by_user), user_dim,
-                                profession_from_city)
-        task_side = params.select(
-            "task_id", "start_date", "end_date",
-            *[F.col(c).alias(f"p_{c}") for c in (
-                "start_age", "end_age", "professionals", "cities", "sex", "keywords", "category_ids")],
-            *[_mask_of(kinds[k][0], vocab[k]).alias(f"{k}_want") for k in masks],
-        )
-        # Fan sessions out to the tasks of their range (map side, no shuffle).
-        side = _bounded(task_side, env.n_tasks, env.param_bytes + 64 * env.n_tasks)
-        per_task = sessions.join(side, ["start_date", "end_date"])
-        for k, name in (("kw", "keyword_hit"), ("cat", "category_hit")):
-            if k in masks:
-                hit = F.col(f"{k}_mask").bitwiseAND(F.col(f"{k}_want")) != 0
-            elif vocab[k] is None:
-                per_task = per_task.join(task_hits(log, params, env, k), ["task_id", "session_id"], "left")
-                hit = F.coalesce(F.col(f"{k}_found"), F.lit(False))
-            else:
-                hit = F.lit(False)
-            per_task = per_task.withColumn(name, hit)
-        kept = per_task.filter(_task_conditions())
-        counts = kept.groupBy("task_id").agg(*counter_aggs()).select("task_id", *counter_names)
-        counts = counts.unionByName(zero_rows)
+    zero_rows = parsed.select("task_id", *[F.lit(0).cast("bigint").alias(n) for n in counter_names])
+
+    log = _cut_log(action_log, facts.spans, cut_col)
+    sessions = attach_users(session_days(log, vocab, by_user), user_dim, profession_from_city,
+                            keep=[*([] if by_user else ["uid"]), "lo", "hi", "steps", "first_day", "last_day", "days",
+                                  *words])
+    task_side = parsed.where("start_date < end_date").select(
+        "task_id", "start_date", "end_date",
+        *[F.col(c).alias(f"p_{c}") for c in (
+            "start_age", "end_age", "professionals", "cities", "sex", "keywords", "category_ids")],
+        *_wanted("keywords", "kw", vocab), *_wanted("category_ids", "cat", vocab))
+    ranges = parsed.select("start_date", "end_date").where("start_date < end_date").distinct()
+    per_task = sessions_in_ranges(sessions, ranges, words, by_user).join(task_side, ["start_date", "end_date"])
+    kept = per_task.filter(_task_conditions(vocab))
+    counts = kept.groupBy("task_id").agg(*counter_aggs()).select("task_id", *counter_names).unionByName(zero_rows)
     totals = counts.groupBy("task_id").agg(*[F.sum(n).alias(n) for n in counter_names])
     return totals.select("task_id", "session_count", *ratio_columns())

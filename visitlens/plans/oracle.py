@@ -304,12 +304,8 @@ def oracle_queries() -> dict[str, str]:
         "SELECT session_id, start_time, end_time, visit_length FROM sessions", "day", "dense")
     q["session_steps"] = _with(actions_cte()) + (
         "SELECT session_id, CAST(count(*) AS BIGINT) AS step_length FROM actions GROUP BY session_id")
-    q["session_keywords"] = _session_sql(
-        "SELECT session_id, coalesce(array_to_string(search_keywords, ','), '') AS keywords, "
-        "CAST(coalesce(len(search_keywords), 0) AS BIGINT) AS n FROM sessions")
-    q["session_categories"] = _session_sql(
-        "SELECT session_id, coalesce(array_to_string(click_category_ids, ','), '') AS categories, "
-        "CAST(coalesce(len(click_category_ids), 0) AS BIGINT) AS n FROM sessions")
+    q["session_keywords"] = _session_sql("SELECT session_id, unnest(search_keywords) AS keyword FROM sessions")
+    q["session_categories"] = _session_sql("SELECT session_id, unnest(click_category_ids) AS category_id FROM sessions")
     q["session_user_join"] = _session_user_sql(
         "SELECT session_id, user_id, age, professional, city, sex FROM sessions JOIN users USING (user_id)")
     lo, hi = sq.AGE_RANGE
@@ -324,10 +320,10 @@ def oracle_queries() -> dict[str, str]:
     q["filter_sex"] = _session_user_sql(
         f"SELECT session_id, sex FROM sessions JOIN users USING (user_id) WHERE sex = '{sq.SEX}'")
     q["filter_keywords"] = _session_sql(
-        "SELECT session_id, array_to_string(search_keywords, ',') AS keywords FROM sessions "
+        "SELECT session_id, unnest(search_keywords) AS keyword FROM sessions "
         f"WHERE coalesce(list_has_any(search_keywords, {_sql_list(sq.KEYWORDS)}), false)")
     q["filter_categories"] = _session_sql(
-        "SELECT session_id, array_to_string(click_category_ids, ',') AS categories FROM sessions "
+        "SELECT session_id, unnest(click_category_ids) AS category_id FROM sessions "
         f"WHERE coalesce(list_has_any(CAST(click_category_ids AS VARCHAR[]), {_sql_list(sq.CATEGORIES)}), false)")
     q["filter_null_attr"] = _session_sql(
         "SELECT session_id, CAST(len(search_keywords) AS BIGINT) AS n_keywords FROM sessions "
@@ -363,6 +359,13 @@ def oracle_queries() -> dict[str, str]:
     q["actions_previous_day"] = _with(actions_cte()) + (
         "SELECT event_id, session_id, user_id, action_time, strftime(action_date, '%Y-%m-%d') AS action_date FROM actions "
         f"WHERE ts >= TIMESTAMP '{prev_day} 00:00:00' AND ts < TIMESTAMP '{sq.RUN_DATE.isoformat()} 00:00:00'")
+    lost = "event_id % 101 = 0 OR event_id % 97 = 0 OR event_id % 103 = 0"
+    audit = {"kept_rows": f"count(*) FILTER (WHERE NOT ({lost}))",
+             "sessions": f"count(DISTINCT session_id) FILTER (WHERE NOT ({lost}))",
+             "bad_date": f"count(*) FILTER (WHERE {lost})",
+             "bad_time": f"count(*) FILTER (WHERE NOT ({lost}) AND (event_id % 89 = 0 OR event_id % 83 = 0))"}
+    q["text_layout_audit"] = _with(actions_cte()) + " UNION ALL ".join(
+        f"SELECT '{name}' AS reason, CAST({count} AS BIGINT) AS n FROM actions" for name, count in audit.items())
     q["preview_sessions"] = _session_sql(
         "SELECT session_id, user_id, start_time, end_time, visit_length, step_length FROM sessions "
         "ORDER BY session_id NULLS FIRST LIMIT 10")  # Spark's ascending order puts NULL first

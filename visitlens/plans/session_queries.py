@@ -4,7 +4,6 @@ histograms and ratios.  Each takes (spark, sf_dir) and reads the whole log."""
 from __future__ import annotations
 
 import datetime as dt
-from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,11 +11,10 @@ from pyspark.sql import functions as F
 from visitlens.functions.dates import format_date
 from visitlens.functions.numbers import safe_ratio
 from visitlens.operators.filters import (
-    age_between, all_of, any_of, behaviour_conditions_on_sets, cut_to_days, equals, overlaps,
-    user_conditions,
+    age_between, all_of, any_of, cut_to_days, equals, user_conditions,
 )
 from visitlens.operators.sessions import (
-    SESSION_COLUMNS, attach_users, category_set, keyword_set, session_rollup,
+    SESSION_COLUMNS, attach_users, session_categories, session_keywords, session_rollup, sessions_with,
 )
 from visitlens.operators.stats import (
     STEP_COLUMNS, VISIT_COLUMNS, label_counts, ratio_long_form, step_histogram, visit_histogram,
@@ -25,7 +23,7 @@ from visitlens.plans.session_stat import (
     FLAGSHIP_GRAIN, FLAGSHIP_TASK, FLAGSHIP_UNIT, kept_sessions, session_aggr_stat,
 )
 from visitlens.sources.tables import actions, read_table, users
-from visitlens.sources.tasks import TaskParams, load_task, task_table
+from visitlens.sources.tasks import load_task, task_table
 
 # Parameters of the single-condition queries (fixed test parameters).
 AGE_RANGE = (20, 40)
@@ -58,21 +56,11 @@ def session_steps_q(spark, sf):
 
 
 def session_keywords_q(spark, sf):
-    s = actions(spark, sf).groupBy("session_id").agg(keyword_set())
-    return s.select(
-        "session_id",
-        F.array_join("search_keywords", ",").alias("keywords"),
-        F.size("search_keywords").cast("bigint").alias("n"),
-    )
+    return session_keywords(actions(spark, sf))
 
 
 def session_categories_q(spark, sf):
-    s = actions(spark, sf).groupBy("session_id").agg(category_set())
-    return s.select(
-        "session_id",
-        F.array_join(F.transform("click_category_ids", lambda x: x.cast("string")), ",").alias("categories"),
-        F.size("click_category_ids").cast("bigint").alias("n"),
-    )
+    return session_categories(actions(spark, sf))
 
 
 def session_user_join_q(spark, sf):
@@ -101,16 +89,11 @@ def filter_sex_q(spark, sf):
 
 
 def filter_keywords_q(spark, sf):
-    s = _sessions(spark, sf, with_sets=True).filter(overlaps("search_keywords", KEYWORDS))
-    return s.select("session_id", F.array_join("search_keywords", ",").alias("keywords"))
+    return sessions_with(session_keywords(actions(spark, sf)), "keyword", KEYWORDS)
 
 
 def filter_categories_q(spark, sf):
-    s = _sessions(spark, sf, with_sets=True)
-    cond = TaskParams(dt.date.min, dt.date.max, category_ids=CATEGORIES)
-    as_text = F.transform("click_category_ids", lambda x: x.cast("string"))
-    return s.filter(all_of(behaviour_conditions_on_sets(cond))).select(
-        "session_id", F.array_join(as_text, ",").alias("categories"))
+    return sessions_with(session_categories(actions(spark, sf)), "category_id", CATEGORIES)
 
 
 def filter_null_attr_q(spark, sf):
@@ -128,9 +111,8 @@ def filter_null_attr_q(spark, sf):
     return per_session.filter("hit").select("session_id", "n_keywords")
 
 
-@lru_cache(maxsize=None)
 def sample_params(spark: SparkSession, task_id: int):
-    """Parameters of a sample task, read through Spark once per session."""
+    """Parameters of a sample task, read through Spark."""
     return load_task(task_table(spark), task_id)
 
 

@@ -41,7 +41,7 @@ def kept_sessions(action_log: DataFrame, user_dim: DataFrame, params: TaskParams
     sessions = session_rollup(in_range, keywords=params.keywords, category_ids=params.category_ids,
                               by_user=by_user)
     joined = attach_users(sessions, user_dim, profession_from_city)
-    return joined.filter(session_filter(params, flags=True))
+    return joined.filter(session_filter(params))
 
 
 def run_session_task(action_log: DataFrame, user_dim: DataFrame, params: TaskParams,

@@ -9,14 +9,14 @@ from pyspark.sql import functions as F
 
 from visitlens.functions.dates import (
     date_hour_key, format_date, format_date_key, format_minute_key, format_time,
-    is_after, is_before, minus_seconds, parse_date_key, parse_time,
+    int_or_zero, is_after, is_before, minus_seconds, parse_date_key, parse_time, seconds_between,
 )
 from visitlens.functions.json import json_int_field, json_objects
 from visitlens.functions.strings import (
     is_blank, lists_overlap, pack_fields, packed_field, set_packed_field,
     split_list, trim_one_comma, zero_fill_2,
 )
-from visitlens.sources.tables import actions, products, read_table
+from visitlens.sources.tables import actions, layout_audit, products, read_table
 
 # Fixed test parameters.
 SHIP_DEADLINE_DAYS = 60
@@ -63,19 +63,20 @@ def ship_delay_profile_q(spark, sf):
     """Per order priority: line items shipped before / after a deadline
     (order date + 60 days) and total seconds from order to shipment, all
     through the text-time helpers."""
-    li = read_table(spark, sf, "lineitem").select("l_orderkey", "l_shipdate")
-    od = read_table(spark, sf, "orders").select("o_orderkey", "o_orderdate", "o_orderpriority")
+    # Each text is written and read once per row of the table that owns it,
+    # below the join; above it only typed times are compared.
+    through_text = lambda c: parse_time(format_time(c)).cast("timestamp_ntz")
+    ship = through_text("l_shipdate").alias("ship")
+    placed = through_text("o_orderdate").alias("placed")
+    deadline = through_text(F.timestamp_add("DAY", F.lit(SHIP_DEADLINE_DAYS), F.col("o_orderdate"))).alias("deadline")
+    li = read_table(spark, sf, "lineitem").select("l_orderkey", ship)
+    od = read_table(spark, sf, "orders").select("o_orderkey", "o_orderpriority", placed, deadline)
     j = li.join(od, li.l_orderkey == od.o_orderkey, "inner")
-    ship = format_time("l_shipdate")
-    placed = format_time("o_orderdate")
-    deadline = format_time(F.timestamp_add("DAY", F.lit(SHIP_DEADLINE_DAYS), F.col("o_orderdate")))
-    # One projection, so each text is formatted and parsed once
-    # (subexpression elimination), then a plain aggregate.
     flags = j.select(
         "o_orderpriority",
-        is_before(ship, deadline).alias("early"),
-        is_after(ship, deadline).alias("late"),
-        minus_seconds(ship, placed).alias("secs"),
+        (F.col("ship") < F.col("deadline")).alias("early"),
+        (F.col("ship") > F.col("deadline")).alias("late"),
+        int_or_zero(seconds_between("placed", "ship")).alias("secs"),
     )
     return flags.groupBy("o_orderpriority").agg(
         F.count_if("early").alias("n_before"),
@@ -173,16 +174,16 @@ def param_sql_q(spark, sf):
 
 
 def sql_action_range_q(spark, sf):
-    """The application's SQL entry: the action log registered as the view
-    ``user_visit_action`` and cut to a date range by SQL text, with the
-    bounds bound as parameters (typed, so they reach the parquet scan)."""
-    actions(spark, sf).createOrReplaceTempView("user_visit_action")
+    """The application's SQL entry: the action log cut to a date range by
+    SQL text, with the bounds bound as parameters (typed, so they reach the
+    parquet scan).  The log is passed to the text as a frame; nothing is
+    registered in the session."""
     return spark.sql(
         "SELECT session_id, count(*) AS n, min(action_time) AS first_time "
-        "FROM user_visit_action "
+        "FROM {log} "
         "WHERE ts >= CAST(:start AS TIMESTAMP_NTZ) AND ts < CAST(:end AS TIMESTAMP_NTZ) "
         "GROUP BY session_id",
-        args={"start": "2024-01-03 00:00:00", "end": "2024-01-28 00:00:00"},
+        args={"start": "2024-01-03 00:00:00", "end": "2024-01-28 00:00:00"}, log=actions(spark, sf),
     )
 
 
@@ -203,3 +204,19 @@ def json_props_rollup_q(spark, sf):
         F.count(F.lit(1)).alias("n"),
         F.sum(whole).alias("total"),
     )
+
+
+def text_layout_audit_q(spark, sf):
+    """The whole log as text in the application's layout, some of it broken
+    by rule, read back and rolled up: kept rows, sessions, and rejects per
+    reason."""
+    log = actions(spark, sf)
+    day = format_date("action_date")
+    broken = F.col("event_id")
+    text = log.select(
+        F.when(broken % 101 == 0, None).when(broken % 97 == 0, F.concat(F.substring(day, 1, 9), F.lit("x")))
+        .when(broken % 103 == 0, F.concat(F.substring(day, 1, 5), F.lit("13-01"))).otherwise(day).alias("date"),
+        F.when(broken % 89 == 0, F.lit("junk")).when(broken % 83 == 0, None)
+        .otherwise(format_time("action_time")).alias("action_time"),
+        "user_id", "session_id")
+    return layout_audit(text)

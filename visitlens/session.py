@@ -1,9 +1,7 @@
-"""SparkSession construction and shared-storage settings."""
+"""SparkSession construction."""
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import SparkSession
 
 # Settings every job relies on. Session time zone is pinned so that
@@ -66,26 +64,4 @@ def build_session(
     conf.update(extra_conf or {})
     for key, value in conf.items():
         builder = builder.config(key, value)
-    spark = builder.getOrCreate()
-    if master and master.startswith("local"):
-        checkpoint_dir(spark, create_if_unset=True)
-    return spark
-
-
-def checkpoint_dir(spark: SparkSession, create_if_unset: bool = False) -> str:
-    """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
-
-    On a cluster this setting points at shared storage and is only read;
-    a missing setting is an error there.  ``create_if_unset`` (used for
-    local sessions only, as in tests) makes a private folder instead and
-    registers it with the context (the setting itself cannot be changed
-    once the session runs).
-    """
-    path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not path:
-        if not create_if_unset:
-            raise RuntimeError("spark.checkpoint.dir is not set; point it at shared storage")
-        path = tempfile.mkdtemp(prefix="visitlens-ckpt-")
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(path)
-    return path
+    return builder.getOrCreate()

@@ -48,10 +48,9 @@ def from_reference_layout(log: DataFrame) -> DataFrame:
     date cuts are stated on it (text bounds reach the scan and partition
     pruning).  Unparsable times become NULL: such actions still count as
     steps but do not move a session's start or end.  A ``date`` text whose
-    first 10 characters are no date gets a NULL ``action_date``; the
-    single-task job still counts it when its text passes the cut (as the
-    application's text comparison does), the many-task job cannot place
-    it on a day and leaves it out."""
+    first 10 characters are no date gets a NULL ``action_date``; such rows
+    are rejected by the date cut of the single-task and the many-task job
+    alike.  :func:`layout_audit` counts both."""
     others = [c for c in log.columns if c not in ("date", "action_time")]
     return log.select(
         "date",
@@ -63,6 +62,22 @@ def from_reference_layout(log: DataFrame) -> DataFrame:
     )
 
 
+def layout_audit(log: DataFrame) -> DataFrame:
+    """What reading a log in the application's layout keeps and rejects:
+    reason, n.  ``kept_rows`` stand on a day, in ``sessions``; ``bad_date``
+    rows are rejected; ``bad_time`` rows are kept as steps without a time.
+    One pass; the counts of a session are combined before the shuffle."""
+    read = from_reference_layout(log)
+    placed = F.col("action_date").isNotNull()
+    per = read.groupBy("session_id").agg(
+        F.count_if(placed).alias("kept"), F.count_if(~placed).alias("bad_date"),
+        F.count_if(placed & F.col("action_time").isNull()).alias("bad_time"))
+    total = per.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(n) for c, n in (
+        ("kept", "kept_rows"), ("bad_date", "bad_date"), ("bad_time", "bad_time"))],
+        F.count_if(F.col("kept") > 0).alias("sessions"))
+    return total.unpivot([], ["kept_rows", "sessions", "bad_date", "bad_time"], "reason", "n")
+
+
 def _grain_days(grain: str) -> Column:
     if grain == "g":
         return F.pmod(F.col("user_id"), F.lit(30)) + 1  # >= 1 also for negative ids
