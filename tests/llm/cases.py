@@ -1,0 +1,66 @@
+"""Fixtures and odd rows for the tests of this folder."""
+
+import random
+
+import pytest
+
+from visitlens.llm.queries import tokenizer_file
+
+SF_SMALL = "/root/testdata/sf0.001"
+SF_ORACLE = "/root/testdata/sf0.01"
+
+# Extra columns whose names the operators use inside.
+CLASH = ["row", "key", "txt", "num", "block", "id", "c0", "n", "v", "found", "level", "_nth"]
+LANGS = {
+    "en": "the and of that with from this have which there people would about time only some more then".split(),
+    "de": "der die und das mit von nicht auch sich werden einem haben zwischen jedoch ueber wird oder noch".split(),
+}
+
+
+def sentence(rng, n, lang="en"):
+    return " ".join(rng.choice(LANGS[lang]) + rng.choice(["", "", str(rng.randrange(999))]) for _ in range(n))
+
+
+def odd_texts(seed=1):
+    """Whole texts with every case that the operators define."""
+    rng = random.Random(seed)
+    base = [sentence(rng, 120) for _ in range(4)]
+    out = [None, "", "   \n\t ", "!?! 123", "one", "two words", "TWO words", "a b c d", "A b c D"]
+    for b in base:
+        out += [b, b, b.upper(), " ".join(b.split()[:60]) + " " + sentence(rng, 60),
+                sentence(rng, 30) + "\n" + " ".join(b.split()[20:100]) + "\té " + sentence(rng, 20)]
+        words = b.split()
+        words[50] = "changed"
+        out.append(" ".join(words))
+    out += [sentence(rng, 4000, "de"), "ab " * 700, "x" * 3000, "日本語 " * 60, "naïve café ☕ " * 40,
+            sentence(rng, 40) + " " + base[0], "tail <|endoftext|> of  double  spaces " + base[1]]
+    out += [sentence(rng, 70, "de") for _ in range(6)]
+    return out
+
+
+@pytest.fixture(scope="session")
+def odd(spark):
+    """documents with odd texts, repeated rows, null ids and clashing
+    columns."""
+    rows = [(i, t, ["en", "de", None][i % 3] if i % 5 else None, [None, "b", "a", "é", "B"][i % 5], 1)
+            for i, t in enumerate(odd_texts())]
+    rows += [rows[9], rows[9], (None, rows[10][1], None, None, None), (None, None, "en", "a", 3)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    from pyspark.sql import functions as F
+
+    return df.select("*", *[F.lit(k).alias(c) for k, c in enumerate(CLASH)]).repartition(3).cache()
+
+
+@pytest.fixture(scope="session")
+def empty(odd):
+    return odd.where("1 = 0")
+
+
+@pytest.fixture(scope="session")
+def word_tokenizer():
+    return tokenizer_file("word_bpe_49k.json")
+
+
+@pytest.fixture(scope="session")
+def byte_tokenizer():
+    return tokenizer_file("byte_bpe_50k.json")
