@@ -13,6 +13,11 @@ Rows are shuffled by (date, bucket number) before the write (the bucket
 number computed with Spark's own bucketing hash), so each date directory
 gets one file per bucket and write tasks are sized by the data, not by
 the bucket count.  ``refresh_days`` replaces only the dates it writes.
+
+One bucket of one task's range is read as one task, with no exchange that
+AQE could split: a hot session or user stays whole.  The default for logs
+with hot users is the plain layout, partitioned by date; size buckets with
+``buckets_for``.
 """
 
 from __future__ import annotations
@@ -21,6 +26,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def buckets_for(range_bytes: int, bucket_bytes: int = 2**30) -> int:
+    """Buckets so that each holds about ``bucket_bytes`` of the longest
+    range of days that one job reads."""
+    return max(1, -(-range_bytes // bucket_bytes))
+
+
 def _bucket_id(buckets: int, col: str):
     """Spark's bucket number of a row: Murmur3 hash (seed 42) of ``col``,
     modulo the bucket count."""
