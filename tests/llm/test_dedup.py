@@ -110,8 +110,7 @@ def test_chain_of_near_copies(spark):
         words[rng.randrange(300)] = f"n{i}"
     rng.shuffle(rows)
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    for rounds in (0, 2):
-        assert {r.component_id for r in minmax.near_duplicates(df, star_rounds=rounds).collect()} == {0}
+    assert {r.component_id for r in minmax.near_duplicates(df).collect()} == {0}
 
 
 def test_signatures_estimate_similarity():

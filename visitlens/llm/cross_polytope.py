@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from visitlens.llm.common import cut
-from visitlens.llm.graph import components
+from visitlens.llm.graph import components, labels
 from visitlens.llm.vectors import by_length, lists
 
 TABLES = 10
@@ -87,20 +87,6 @@ def _coded(tables: int):
     return run
 
 
-def _labels(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Smallest place that each of n places reaches over the pairs."""
-    label = np.arange(n)
-    while True:
-        low = np.minimum(label[a], label[b])
-        new = label.copy()
-        np.minimum.at(new, a, low)
-        np.minimum.at(new, b, low)
-        new = new[new]
-        if (new == label).all():
-            return label
-        label = new
-
-
 def _block(least: float):
     def run(key, t):
         bucket, ci, cj = (k.as_py() for k in key)
@@ -138,7 +124,7 @@ def _block(least: float):
             x, y = x[here == bucket], y[here == bucket]
             np.add.at(links, x, sizes[y])
             np.add.at(links, y, sizes[x])
-        label = _labels(len(ids), a, b)
+        label = labels(len(ids), a, b)
         keep = np.flatnonzero((links > 0) | (label != np.arange(len(ids))))
         return pa.table({"id": ids[keep], "links": links[keep], "low": ids[label[keep]]})
     return run

@@ -8,11 +8,13 @@ link counts only if the full sets confirm it.  At 0.85 a pair agrees in none
 of the 24 bands of 4 with probability 2e-8, at 0.8 with 3e-6.
 
 Documents with equal sets form one class and go on as one.  No group is
-expanded into all pairs: in each bucket every class is compared with one
-leader, then with another; links found so far make components, and only
-classes of one bucket that are still in different components are compared
-with each other.  A component needs no more links inside it, so none between
-different components is missed among the candidates.
+expanded into all pairs.  In each bucket every class is compared with one
+leader; confirmed links make components, and all pairs of at least FAMILY
+percent make families.  A family whose classes are not one component yet is
+compared in blocks of CHUNK x CHUNK classes, which give component labels and
+never their pairs, so a large family is many tasks.  What is left are
+classes that meet in a bucket but are of different families; these few
+pairs are confirmed one by one.  So no link among the candidates is missed.
 
 Defined cases: texts without words have an empty set and link with nothing;
 fewer words than a shingle are one shingle; rows that share a key are one
@@ -30,12 +32,15 @@ from pyspark.sql import DataFrame, functions as F
 
 from visitlens.llm import fingerprints as fp
 from visitlens.llm.common import cut
-from visitlens.llm.graph import components
+from visitlens.llm.graph import components, labels
 from visitlens.llm.substring import word_units
 
 SHINGLE = 5
 PERMUTATIONS = 48
 BAND = 4
+FAMILY = 40
+CHUNK = 256
+COLUMNS = 8192
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[0x41:0x5B] += 32
 
@@ -120,18 +125,49 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             at += len(off) - 1
 
 
-def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets are similar enough."""
+def _similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a, b) with the sizes of what their full sets share and of
+    what either holds."""
     left = sets.select(F.col("key").alias("a"), F.col("s").alias("sa"))
     right = sets.select(F.col("key").alias("b"), F.col("s").alias("sb"))
     both = pairs.join(left, "a").join(right, "b")
     shared = F.size(F.array_intersect("sa", "sb"))
-    either = F.size("sa") + F.size("sb") - shared
-    return both.where(shared * 100 >= either * percent).select("a", "b")
+    return both.select("a", "b", shared.alias("shared"), (F.size("sa") + F.size("sb") - shared).alias("either"))
+
+
+def _block(percent: int):
+    """Labels of the classes of one block of a family."""
+    def run(key, t):
+        ci, cj = key[1].as_py(), key[2].as_py()
+        t = t.sort_by("rep")
+        ids, chunk = t["rep"].to_pylist(), t["chunk"].to_numpy()
+        lists = t["s"].combine_chunks()
+        off = lists.offsets.to_numpy().astype(np.int64)
+        off -= off[0]
+        sizes = np.diff(off)
+        _, column = np.unique(lists.flatten().to_numpy(), return_inverse=True)
+        owner = np.repeat(np.arange(len(ids)), sizes)
+        left, right = np.flatnonzero(chunk == ci), np.flatnonzero(chunk == cj)
+        shared = np.zeros((len(left), len(right)), np.float32)
+        # Incidence matrices, some columns (shingles) at a time.
+        order = np.argsort(column, kind="stable")
+        column, owner = column[order], owner[order]
+        for a in range(0, int(column[-1]) + 1, COLUMNS):
+            x, y = np.searchsorted(column, [a, a + COLUMNS])
+            holds = np.zeros((len(ids), COLUMNS), np.float32)
+            holds[owner[x:y], column[x:y] - a] = 1
+            shared += holds[left] @ holds[right].T
+        either = sizes[left][:, None] + sizes[right][None, :] - shared
+        i, j = np.nonzero(shared.astype(np.int64) * 100 >= either.astype(np.int64) * percent)
+        label = labels(len(ids), left[i], right[j])
+        moved = np.flatnonzero(label != np.arange(len(ids)))
+        kind = t.schema.field("rep").type
+        return pa.table({"a": pa.array([ids[k] for k in moved], kind), "b": pa.array([ids[label[k]] for k in moved], kind)})
+    return run
 
 
 def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", percent: int = 85,
-                    permutations: int = PERMUTATIONS, band: int = BAND, star_rounds: int = 2) -> DataFrame:
+                    permutations: int = PERMUTATIONS, band: int = BAND) -> DataFrame:
     """key, n_shingles, component_id and kept of every row; documents are
     linked if their shingle sets share ``percent`` of a hundred or more."""
     kind = dict(df.dtypes)[key]
@@ -147,44 +183,54 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", perc
     wanted = in_band.select(F.col("rep").alias("key")).distinct()
     sets = cut(narrow.where("key IS NOT NULL").join(wanted, "key", "left_semi").mapInArrow(
         _sets, f"key {kind}, s array<long>"))
-    close = F.least("n", "m") * 100 >= F.greatest("n", "m") * percent
-    links = classes.sparkSession.createDataFrame([], f"a {kind}, b {kind}")
-    found = components(links)
-    tested = links
-    for turn in range(star_rounds + 1):
-        label = found.select(F.col("id").alias("rep"), "component")
-        member = in_band.join(label, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-        if turn < star_rounds:
-            first = F.min_by(F.struct(F.col("rep").alias("b"), F.col("n").alias("m"), F.col("component").alias("cb")),
-                             F.struct(F.xxhash64("rep", F.lit(turn)) if turn else F.col("rep"), "rep"))
-            lead = member.groupBy("band", "bucket").agg(first.alias("x")).select("band", "bucket", "x.*")
-            pairs = member.join(lead, ["band", "bucket"]).where("component <> cb").where(close)
-            pairs = pairs.select(F.col("rep").alias("a"), "b")
-        else:
-            # What is still apart: components that meet in a bucket, then
-            # their classes there.
-            here = member.select("band", "bucket", "component").distinct()
-            apart = here.groupBy("band", "bucket").agg(F.count("*").alias("c")).where("c > 1").drop("c")
-            here = here.join(apart, ["band", "bucket"])
-            meet = here.join(here.select("band", "bucket", F.col("component").alias("cb")), ["band", "bucket"]).where(
-                "component < cb")
-            other = member.select("band", "bucket", F.col("component").alias("cb"), F.col("rep").alias("b"),
-                                  F.col("n").alias("m"))
-            pairs = meet.join(member, ["band", "bucket", "component"]).join(other, ["band", "bucket", "cb"]).where(
-                close).select(F.col("rep").alias("a"), "b")
-        pairs = pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-        pairs = cut(pairs.join(tested, ["a", "b"], "left_anti"))
-        if pairs.isEmpty():
-            break
-        tested = tested.unionByName(pairs)
-        links = found.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(
-            _confirmed(pairs, sets, percent))
-        found = components(links)
-    rep = full.join(classes.drop("bands"), ["p1", "p2", "n"]).select("key", "rep").distinct()
+    rep = cut(full.join(classes.drop("bands"), ["p1", "p2", "n"]).select("key", "rep").distinct())
     # A key with several texts is one node: its classes meet in it.
-    ties = rep.where("key <> rep").select(F.col("key").alias("a"), F.col("rep").alias("b"))
-    whole = components(ties.unionByName(found.select(F.col("id").alias("a"), F.col("component").alias("b"))))
-    out = told.join(whole.select(F.col("id").alias("key"), "component"), "key", "left")
+    several = rep.groupBy("key").agg(F.min("rep").alias("b"), F.max("rep").alias("x")).where("b <> x")
+    ties = cut(rep.join(several, "key").select(F.col("rep").alias("a"), "b"))
+
+    # Every class against the leader of each of its buckets.
+    close = F.least("n", "m") * 100 >= F.greatest("n", "m") * FAMILY
+    first = F.min(F.struct(F.col("rep").alias("b"), F.col("n").alias("m")))
+    lead = in_band.groupBy("band", "bucket").agg(first.alias("x")).select("band", "bucket", "x.*")
+    stars = in_band.join(lead, ["band", "bucket"]).where("rep <> b").where(close)
+    told_pairs = cut(_similar(stars.select(F.col("rep").alias("a"), "b").distinct(), sets))
+    links = told_pairs.where(F.col("shared") * 100 >= F.col("either") * percent).select("a", "b").unionByName(ties)
+    kin = told_pairs.where(F.col("shared") * 100 >= F.col("either") * FAMILY).select("a", "b").unionByName(ties)
+    linked, families = components(links), components(kin)
+
+    # Families of several components, block by block.
+    everyone = sets.select(F.col("key").alias("rep"))
+    member = everyone.join(families.toDF("rep", "family"), "rep", "left").join(
+        linked.toDF("rep", "component"), "rep", "left")
+    member = cut(member.select("rep", F.coalesce("family", "rep").alias("family"),
+                               F.coalesce("component", "rep").alias("component")))
+    parts = member.groupBy("family").agg(F.count("*").alias("c"), F.min("component").alias("x"), F.max("component").alias("y"))
+    parts = parts.where("x <> y").select("family", F.ceil(F.col("c") / CHUNK).cast("int").alias("chunks"))
+    inner = member.join(parts, "family").withColumn("chunk", F.pmod(F.xxhash64("rep"), F.col("chunks")).cast("int"))
+    pairs = F.transform(F.sequence(F.lit(0), F.col("chunks") - 1), lambda j: F.struct(
+        F.least(j, F.col("chunk")).alias("ci"), F.greatest(j, F.col("chunk")).alias("cj")))
+    blocks = inner.select("rep", "family", "chunk", F.explode(pairs).alias("ij")).select("rep", "family", "chunk", "ij.*")
+    inside = blocks.join(sets.toDF("rep", "s"), "rep").groupBy("family", "ci", "cj").applyInArrow(
+        _block(percent), f"a {kind}, b {kind}")
+
+    # Classes of different families that meet in a bucket.
+    near = F.least("n", "m") * 100 >= F.greatest("n", "m") * percent
+    here = cut(in_band.join(member.select("rep", "family"), "rep"))
+    apart = here.groupBy("band", "bucket").agg(F.min("family").alias("x"), F.max("family").alias("y")).where(
+        "x <> y").select("band", "bucket")
+    here = here.join(apart, ["band", "bucket"])
+    other = here.select("band", "bucket", F.col("family").alias("g"), F.col("rep").alias("b"), F.col("n").alias("m"))
+    family = here.select("band", "bucket", "family").distinct()
+    meet = family.join(family.withColumnRenamed("family", "g"), ["band", "bucket"]).where("family < g")
+    across = meet.join(here, ["band", "bucket", "family"]).join(other, ["band", "bucket", "g"]).where(near).select(
+        F.greatest("rep", "b").alias("a"), F.least("rep", "b").alias("b")).distinct()
+    across = _similar(across, sets).where(F.col("shared") * 100 >= F.col("either") * percent).select("a", "b")
+    found = components(linked.toDF("a", "b").unionByName(inside).unionByName(across))
+    # Every class of a key is in one component by now.
+    own = rep.groupBy("key").agg(F.min("rep").alias("rep"))
+    known = own.join(found.select(F.col("id").alias("rep"), "component"), "rep", "left").select(
+        "key", F.coalesce("component", "rep").alias("component"))
+    out = told.select("key", "n").join(known, "key", "left")
     component = F.coalesce("component", "key")
     return out.select(F.col("key").alias(key), F.col("n").alias("n_shingles"), component.alias("component_id"),
                       F.coalesce(F.col("key") == component, F.lit(True)).alias("kept"))
