@@ -47,6 +47,15 @@ def pieces(total: int, each: int) -> int:
     return max(1, -(-total // each))
 
 
+def sample(df: DataFrame, key: str, rows: int, total: int) -> DataFrame:
+    """At most ``rows`` rows, chosen by a hash of ``key``: of ``total`` rows
+    first the share that holds about twice as many, so that this, and not
+    ``rows`` from each partition, is what a sorted limit brings together."""
+    share = min(1.0, 2 * rows / total) if total else 1.0
+    some = df.where(F.pmod(F.xxhash64(F.col(key), F.lit(3)), F.lit(1 << 20)) < int(share * (1 << 20)) + 1)
+    return some.orderBy(F.xxhash64(F.col(key)), F.col(key)).limit(rows)
+
+
 def utf8(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     """Bytes and row offsets of a string column; null counts as empty."""
     if isinstance(column, pa.ChunkedArray):

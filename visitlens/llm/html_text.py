@@ -32,6 +32,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from visitlens.llm.common import sample
+
 FIT_PAGES = 400
 FIT_CHARS = 100_000
 SMOOTH = 1.0
@@ -355,9 +357,10 @@ def main_text(page: str | None, weights: np.ndarray) -> str:
 
 def fit(pages: DataFrame, key: str = "page_id", column: str = "html", rows: int = FIT_PAGES) -> np.ndarray:
     """Classifier weights; only ``rows`` pages reach the driver."""
-    some = pages.select(F.xxhash64(F.col(key)).alias("h"), F.substring(F.col(column), 1, FIT_CHARS).alias("html"))
+    some = sample(pages.select(F.col(key), F.col(column).alias("html")).where("html IS NOT NULL"), key, rows,
+                  pages.count())
     x, y = [np.zeros((0, len(START)))], []
-    for row in some.where("html IS NOT NULL").orderBy("h", "html").limit(rows).collect():
+    for row in some.select(F.substring("html", 1, FIT_CHARS).alias("html")).collect():
         found = blocks(row["html"])
         if found:
             own = [i for i, b in enumerate(found) if b.state]

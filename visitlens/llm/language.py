@@ -25,7 +25,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F
 
-from visitlens.llm.common import utf8
+from visitlens.llm.common import sample, utf8
 
 STEPS = 64
 HIDDEN = 8
@@ -190,9 +190,9 @@ def fit(labelled: DataFrame, rows: int = FIT_ROWS) -> Network | None:
     """Train on columns key, text and label; null labels, texts and keys
     are left out.  Only ``rows`` pieces of text reach the driver."""
     at = F.pmod(F.xxhash64("key", F.lit(1)), F.greatest(F.lit(1), F.length("text") - FIT_CHARS)).cast("int") + 1
-    some = labelled.where("label IS NOT NULL AND key IS NOT NULL").where(F.col("text").rlike(r"\p{L}")).select(
-        F.xxhash64("key").alias("h"), "key", "label", F.substring(F.col("text"), at, F.lit(FIT_CHARS)).alias("text"))
-    got = some.orderBy("h", "key", "label", "text").limit(rows).collect()
+    fine = labelled.where("label IS NOT NULL AND key IS NOT NULL")
+    pieces = sample(fine.where("text IS NOT NULL"), "key", rows, fine.count()).select("label", F.substring(F.col("text"), at, F.lit(FIT_CHARS)).alias("text"))
+    got = [r for r in pieces.collect() if _LETTER.search(r["text"])]
     if not got:
         return None
     labels = sorted({r["label"] for r in got})

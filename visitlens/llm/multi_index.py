@@ -31,7 +31,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from visitlens.llm.common import cut
+from visitlens.llm.common import cut, sample
 from visitlens.llm.vectors import by_length, lists
 
 CENTROIDS = 64
@@ -154,8 +154,8 @@ def nearest_neighbours(df: DataFrame, asks: Column, key: str = "vec_id", vector:
         return spark.createDataFrame([], result)
     dim = common["n"]
     half = dim // 2
-    sample = fine.where(F.size("v") == dim).orderBy(F.xxhash64("id"), "id").limit(fit_rows).select("v").toArrow()
-    (_, _, x), = by_length(sample["v"])
+    fitted = sample(fine.where(F.size("v") == dim), "id", fit_rows, common["count"]).select("v").toArrow()
+    (_, _, x), = by_length(fitted["v"])
     books = [k_means(x[:, :half], centroids, 1), k_means(x[:, half:], centroids, 2)]
     index = cut(rows.mapInArrow(_assign(dim, books), "id long, asks boolean, v array<double>, u int, w int"))
     # One count per cell: at most CENTROIDS^2 numbers.
