@@ -45,6 +45,9 @@ from visitlens.sources.tasks import parse_tasks
 
 # Bits of one bigint.
 WORD = 64
+# Listed values of so many bytes are sent to all executors; longer lists
+# are joined by shuffle.  Either way the rows are the same.
+LISTED_BYTES = 32 * 2**20
 
 
 def task_facts(parsed: DataFrame) -> SimpleNamespace:
@@ -110,6 +113,9 @@ def _numbered(log: DataFrame, kind: str, value: Column, vocab: dict) -> DataFram
         return log
     listed = log.sparkSession.createDataFrame(
         list(enumerate(vocab[kind])), f"{kind}_no int, {kind}_listed string")
+    # The list is here already, so its size is known, not estimated.
+    if sum(len(v.encode()) for v in vocab[kind]) <= LISTED_BYTES:
+        listed = F.broadcast(listed)
     keyed = log.withColumn(f"{kind}_value", value)
     return keyed.join(listed, F.col(f"{kind}_value") == F.col(f"{kind}_listed"), "left")
 

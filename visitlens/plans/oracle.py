@@ -359,9 +359,11 @@ def oracle_queries() -> dict[str, str]:
     q["actions_previous_day"] = _with(actions_cte()) + (
         "SELECT event_id, session_id, user_id, action_time, strftime(action_date, '%Y-%m-%d') AS action_date FROM actions "
         f"WHERE ts >= TIMESTAMP '{prev_day} 00:00:00' AND ts < TIMESTAMP '{sq.RUN_DATE.isoformat()} 00:00:00'")
-    lost = "event_id % 101 = 0 OR event_id % 97 = 0 OR event_id % 103 = 0"
+    lost = "ts IS NULL OR event_id % 101 = 0 OR event_id % 97 = 0 OR event_id % 103 = 0"
     audit = {"kept_rows": f"count(*) FILTER (WHERE NOT ({lost}))",
-             "sessions": f"count(DISTINCT session_id) FILTER (WHERE NOT ({lost}))",
+             # a NULL session id is a session like any other
+             "sessions": f"count(DISTINCT session_id) FILTER (WHERE NOT ({lost})) + "
+                         f"least(1, count(*) FILTER (WHERE NOT ({lost}) AND session_id IS NULL))",
              "bad_date": f"count(*) FILTER (WHERE {lost})",
              "bad_time": f"count(*) FILTER (WHERE NOT ({lost}) AND (event_id % 89 = 0 OR event_id % 83 = 0))"}
     q["text_layout_audit"] = _with(actions_cte()) + " UNION ALL ".join(
