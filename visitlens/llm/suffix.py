@@ -25,6 +25,7 @@ through.
 from __future__ import annotations
 
 import struct
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -257,7 +258,7 @@ class _Block:
             texts = [self.chunks[i][2][s:s + w + self.length - 1].tobytes()
                      for (i, s), w in zip(self.place[own].tolist(), self.size[own].tolist(), strict=True)]
             out.append((k, struct.pack("<I", len(own)) + values[a:b].tobytes() + self.owner[own].tobytes()
-                        + self.size[own].astype(np.uint8).tobytes() + b"".join(texts)))
+                        + self.size[own].astype(np.uint8).tobytes() + zlib.compress(b"".join(texts), 1)))
         return out
 
     def send_hot(self) -> list[tuple[int, bytes]]:
@@ -357,9 +358,9 @@ def _answer_pieces(t: pa.Table, length: int) -> pa.Table:
         v.append(np.frombuffer(body, np.uint64, n, 4))
         owner.append(np.frombuffer(body, np.int64, n, 4 + 8 * n))
         size.append(np.frombuffer(body, np.uint8, n, 4 + 16 * n).astype(np.int64))
-        at = 4 + 17 * n
+        joined, at = zlib.decompress(body[4 + 17 * n:]), 0
         for w in size[-1].tolist():
-            texts.append(body[at:at + w + length - 1])
+            texts.append(joined[at:at + w + length - 1])
             at += w + length - 1
         counts.append(n)
     v, owner, size = np.concatenate(v), np.concatenate(owner), np.concatenate(size)
