@@ -205,6 +205,30 @@ def test_remove_repeats_against_plain(spark, odd, empty, window, block):
     assert substring.remove_repeats(empty).count() == 0
 
 
+def test_copies_are_dealt_to_many_blocks(spark, monkeypatch):
+    """A third of the rows is one text, with keys of their own, one key or
+    none, or another third has no text at all: no block holds a group."""
+    most, dealt = 4000, fp.dealt
+    rng = random.Random(8)
+    one = " ".join(f"w{rng.randrange(99)}" for _ in range(40))
+    other = [" ".join(f"w{rng.randrange(999)}" for _ in range(40)) for _ in range(200)]
+    for keys, blank in ((range(200), 0), ([7] * 200, 0), ([None] * 200, 0), ([None] * 200, 200)):
+        rows = ([(k, one) for k in keys] + [(1000 + i, t) for i, t in enumerate(other)]
+                + [(None, None if i % 2 else "") for i in range(blank)] + [(2000 + i, f"x {one} y{i}") for i in range(200)])
+        df = spark.createDataFrame(rows, "doc_id long, text string")
+        seen = []
+        monkeypatch.setattr(fp, "dealt", lambda *a: seen.append(dealt(*a)) or seen[-1])
+        got = substring.remove_repeats(df, block_bytes=most, key="doc_id").collect()
+        held = [0] * 999
+        for r in seen[0][0].collect():
+            held[r.block] += len((r.txt or "").encode()) + 32
+        assert max(held) < 3 * most, (keys[:1], blank, max(held))
+        expected = sorted((r[0] is not None, r[0] or 0, *x) for r, x in zip(
+            rows, plain_windows(df.collect(), 35), strict=True))
+        assert sorted((r["row"].doc_id is not None, r["row"].doc_id or 0, r.n_words, r.n_removed, r.kept_text)
+                      for r in got) == expected
+
+
 def test_digest(spark, odd):
     from pyspark.sql import functions as F
 

@@ -6,10 +6,11 @@ import tempfile
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 # Words are runs of anything but the six ASCII white-space bytes.
 WORD = r"[^\x20\x09-\x0D]+"
+ROW_BYTES = 32
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -43,6 +44,12 @@ def text_bytes(df: DataFrame, column: str = "text") -> int:
     return df.agg(F.sum(F.octet_length(F.col(column).cast("string")))).first()[0] or 0
 
 
+def row_bytes(column: str) -> Column:
+    """Bytes that a row with this text takes in a block: also rows without
+    text fill it."""
+    return F.coalesce(F.octet_length(F.col(column).cast("string")), F.lit(0)) + F.lit(ROW_BYTES)
+
+
 def pieces(total: int, each: int) -> int:
     return max(1, -(-total // each))
 

@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from visitlens.llm.common import utf8
+from visitlens.llm.common import cut, row_bytes, utf8
 
 CHUNK_BYTES = 1 << 20
 _BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
@@ -166,12 +166,28 @@ def unbits(body: bytes, n: int) -> np.ndarray:
     return np.unpackbits(np.frombuffer(body, np.uint8), count=n).astype(bool)
 
 
-def dealt(df: DataFrame, text: str, key: str | None, blocks: int) -> tuple[DataFrame, list[str]]:
+def dealt(df: DataFrame, text: str, key: str | None, blocks: int,
+          most: int | None = None) -> tuple[DataFrame, list[str]]:
     """All columns under names of their own (c0, c1, ...), text as txt, key
-    as num, and block: rows are dealt by a hash of key and text, so neither
-    a repeated key nor a repeated text alone fills a block."""
+    as num, and block: rows are dealt by a hash of key and text.  Rows that
+    agree in both go to one block, unless ``most`` is given and they hold
+    more than that many bytes together: then each of them is dealt by a
+    number of its own, which a checkpoint of these rows fixes."""
     columns = [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(df.columns) if c != text]
     txt = F.col(f"`{text}`").cast("string")
     num = F.col(f"`{key}`").cast("long") if key else F.lit(None).cast("long")
-    place = F.pmod(F.xxhash64(num, txt), F.lit(blocks)).cast("int")
-    return df.select(*columns, txt.alias("txt"), num.alias("num"), place.alias("block")), df.columns
+    place = lambda *more: F.pmod(F.xxhash64("num", "txt", *more), F.lit(blocks)).cast("int")
+    docs = df.select(*columns, txt.alias("txt"), num.alias("num"))
+    whole = docs.withColumn("block", place())
+    if most is None:
+        return whole, df.columns
+    same = F.xxhash64("num", "txt")
+    held = docs.groupBy(same.alias("same")).agg(F.sum(row_bytes("txt")).alias("held"))
+    # Fewer rows than blocks.
+    hot = cut(held.where(F.col("held") > most).select("same"))
+    if hot.isEmpty():
+        return whole, df.columns
+    numbered = docs.withColumn("nth", F.monotonically_increasing_id()).withColumn("same", same)
+    spread = cut(numbered.join(F.broadcast(hot), "same", "left_semi").withColumn("block", place("nth")))
+    rest = whole.withColumn("same", same).join(F.broadcast(hot), "same", "left_anti")
+    return rest.select(whole.columns).unionByName(spread.select(whole.columns)), df.columns

@@ -81,7 +81,7 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    done = substring.remove_repeats(docs)
+    done = substring.remove_repeats(docs, key="doc_id")
     return done.select("row.doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 

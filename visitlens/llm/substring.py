@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from visitlens.llm import fingerprints as fp
-from visitlens.llm.common import pieces, text_bytes
+from visitlens.llm.common import pieces, row_bytes
 
 WINDOW = 35
 BLOCK_BYTES = 4 << 20
@@ -222,11 +222,14 @@ def _answerer(level: int, words: int):
 
 
 def remove_repeats(df: DataFrame, text: str = "text", window: int = WINDOW,
-                   block_bytes: int = BLOCK_BYTES) -> DataFrame:
+                   block_bytes: int = BLOCK_BYTES, key: str | None = None) -> DataFrame:
     """All columns of ``df`` but the text, then n_words, n_removed and
-    kept_text, in fields ``row`` (struct) and beside it."""
-    blocks = pieces(text_bytes(df, text), block_bytes)
-    docs, names = fp.dealt(df, text, None, blocks)
+    kept_text, in fields ``row`` (struct) and beside it.  ``key`` names a
+    number that tells copies of a text apart, so that these are dealt to
+    blocks without being counted out."""
+    total = df.agg(F.sum(row_bytes(text))).first()[0] or 0
+    blocks = pieces(total, block_bytes)
+    docs, names = fp.dealt(df, text, key, blocks, block_bytes)
     lengths = gram_lengths(window)
     replies = None
     for level in range(len(lengths) + 1):
