@@ -48,6 +48,41 @@ def test_page_without_article():
                     "Another long one stands here, and it goes on.")
 
 
+LONG = "This is a long paragraph of the text, with many words, and it goes on."
+
+
+def test_unmarked_article_beside_a_marked_teaser():
+    for word in ("text", "body", "post", "entry", "page", "story", "content"):
+        page = (f"<div><h2>Head</h2><p>{LONG}</p><p>Short.</p><p>{LONG}</p></div>"
+                f"<div><span class={word}>More</span><div class={word}>Read this next.</div></div>"
+                "<div><a href=x>Home</a> <a href=y>News</a></div>")
+        text = H.main_text(page, H.START)
+        assert text.startswith(f"Head\n{LONG}\nShort.\n{LONG}"), word
+        assert "Home" not in text
+
+
+def test_ids_made_from_headings():
+    for name in ("related-work", "comments", "search", "legal-notice", "share-and-reply"):
+        for a, z in (("<article>", "</article>"), ("<div>", "</div>")):
+            page = (f"{a}<p>{LONG}</p><h2 id={name}>What others did</h2><p>{LONG}</p>"
+                    f"<section id={name}><h2>More of it</h2><p>{LONG}</p></section>{z}")
+            assert H.main_text(page, H.START) == f"{LONG}\nWhat others did\n{LONG}\nMore of it\n{LONG}", (name, a)
+
+
+def test_classifier_and_cut_decide_on_marked_pages():
+    page = H.blocks(f"<article><p>{LONG}</p></article><div class=promo><p>{LONG}</p></div><div><p>{LONG}</p></div>")
+    assert [b.state for b in page] == [1, -1, 0]
+    for score, kept in ((-11, [False] * 3), (-4, [True, False, False]), (4, [True, False, True]), (11, [True] * 3)):
+        weights = np.zeros(len(H.START))
+        weights[0] = score
+        assert H.label(page, weights) == kept, score
+    # A block that the classifier leaves open goes with its neighbours.
+    row = H.blocks(f"<article><p>{LONG}</p></article><div class=x>Aye</div><article><p>{LONG}</p></article>")
+    weights = np.zeros(len(H.START))
+    weights[0] = -0.2
+    assert H.label(row, weights) == [True] * 3
+
+
 def test_broken_pages():
     for page, text in ((None, ""), ("", ""), ("<article><", "<"), ("<article><p>cut &am", "cut &am"),
                        ("<article><p>cut <b", "cut"), ("<article><p>x<!-- open", "x"), ("<script>never", ""),
