@@ -107,6 +107,31 @@ def test_draws_are_unbiased(spark):
     assert abs(total / 12 - expected) < 3
 
 
+def test_repeated_keys_are_units_of_their_own(spark):
+    """A third of the rows shares a key or has none: chunks stay small,
+    blank rows draw alone, targets are met and reruns agree."""
+    for key in (7, None):
+        rows = ([(1000 + i, "a b c"[:1 + 2 * (i % 3)], "ab"[i % 2]) for i in range(200)]
+                + [(key, "a b c d", "a")] * 200 + [(key, "", "a")] * 100 + [(900, "a b", "b")])
+        df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+        units = mixing.numbered(df, [F.col("doc_id")])
+        assert units.where("nth IS NULL").select("doc_id").distinct().count() == 201
+        assert units.where("nth IS NOT NULL").select("nth").distinct().count() == 300
+        placed = units.select("source", F.xxhash64("doc_id", "nth").alias("place"))
+        held = placed.groupBy("source", mixing.chunk(0, 63)).count().agg(F.max("count")).first()[0]
+        assert held < 30, held
+        got = [tuple(r) for r in mixed(df, fan_in=8).select(
+            "row.doc_id", "row.source", "size", "copies", "target").collect()]
+        assert len(got) == len(rows)
+        assert len({c for k, s, n, c, t in got if not n}) == 2
+        for s in "ab":
+            taken, target = sum(n * c for _, x, n, c, _ in got if x == s), [t for _, x, _, _, t in got if x == s][0]
+            assert abs(taken - target) <= 2 + 1e-6
+        again = [tuple(r) for r in mixed(df, fan_in=8).select(
+            "row.doc_id", "row.source", "size", "copies", "target").collect()]
+        assert sorted(map(str, got)) == sorted(map(str, again))
+
+
 def test_native_plan(odd):
     plan = mixed(odd)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan

@@ -15,16 +15,18 @@ Everything is DataFrame and SQL expressions.
 
 Defined cases: a null source is a source of its own and comes last; a
 null or blank text has size 0, takes no words and is copied by an
-independent draw; repeated rows are units of their own; an empty table
-gives an empty result; reruns agree as every draw is a hash of the row's
-key, level and seed.
+independent draw; rows that share a key, or have none, are units of their
+own, told apart by a number that a checkpoint of these rows fixes; an empty
+table gives an empty result; reruns agree as every draw is a hash of the
+row's key, level and seed, for repeated keys also of that number, which
+follows the order in which the rows are read.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from visitlens.llm.common import WORD
+from visitlens.llm.common import WORD, cut
 
 FAN_IN = 96
 WEIGHTS = (5, 2, 1)
@@ -96,6 +98,24 @@ def _uniform(*parts):
     return F.shiftrightunsigned(F.xxhash64(*parts), 11) / F.lit(float(2 ** 53))
 
 
+def numbered(rows: DataFrame, ids: list[Column]) -> DataFrame:
+    """All columns and nth: null where a key stands once, else a number of
+    the row's own.  The hash functions pass over nulls."""
+    same = F.xxhash64(*ids)
+    again = cut(rows.groupBy(same.alias("same")).agg(F.count("*").alias("c")).where("c > 1").select("same"))
+    none = F.lit(None).cast("long").alias("nth")
+    if again.isEmpty():
+        return rows.select("*", none)
+    each = rows.withColumn("nth", F.monotonically_increasing_id()).withColumn("same", same)
+    several = cut(each.join(again, "same", "left_semi").drop("same"))
+    once = rows.withColumn("same", same).join(again, "same", "left_anti").drop("same")
+    return once.select("*", none).unionByName(several)
+
+
+def chunk(level: int, chunks: int) -> Column:
+    return F.pmod(F.xxhash64("place", F.lit(level)), F.lit(max(1, chunks))).alias("chunk")
+
+
 def mix(rows: DataFrame, targets: DataFrame, key: list[str], seed: int = 7, fan_in: int = FAN_IN,
         total: int | None = None) -> DataFrame:
     """Whole copies for every row.
@@ -103,20 +123,19 @@ def mix(rows: DataFrame, targets: DataFrame, key: list[str], seed: int = 7, fan_
     ``rows`` has columns source, size and row (a struct that is carried
     along, with the fields of ``key``); ``targets`` is what
     ``source_targets`` gives.  Returns row, size, source_size, target and
-    copies.  ``key`` names fields of row that tell documents apart; rows
-    that agree in all of them are units with the same draws.
+    copies.  ``key`` names fields of row that tell documents apart.
     """
     total = rows.count() if total is None else total
     ids = [F.col(f"row.{k}") for k in key]
-    joined = rows.alias("r").join(targets.alias("t"), F.col("r.source").eqNullSafe(F.col("t.source"))).select(
-        "r.row", "r.source", "r.size", "t.source_size", "t.target")
+    joined = numbered(rows, ids).alias("r").join(targets.alias("t"), F.col("r.source").eqNullSafe(F.col("t.source"))).select(
+        "r.row", "r.source", "r.size", "r.nth", "t.source_size", "t.target")
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     joined = joined.withColumn("ratio", ratio)
     part = F.col("ratio") - F.floor("ratio")
     ready = joined.select(
         F.struct("row", "size", "source_size", "target", F.floor("ratio").cast("int").alias("base")).alias("row"),
         "source", part.alias("x"), F.col("size").cast("double").alias("w"),
-        _uniform(*ids, F.lit(seed)).alias("draw"), F.xxhash64(*ids, F.lit(seed + 1)).alias("place"))
+        _uniform(*ids, "nth", F.lit(seed)).alias("draw"), F.xxhash64(*ids, "nth", F.lit(seed + 1)).alias("place"))
     out = lambda got: [F.col("row.row").alias("row"), F.col("row.size").alias("size"),
                        F.col("row.source_size").alias("source_size"), F.col("row.target").alias("target"),
                        (F.col("row.base") + got).cast("int").alias("copies")]
@@ -129,8 +148,7 @@ def mix(rows: DataFrame, targets: DataFrame, key: list[str], seed: int = 7, fan_
         chunks = -(-chunks // fan_in)
         unit = F.struct(F.col("place").alias("ord"), "x", "w",
                         _uniform(F.col("place"), F.lit(seed + 2 + level)).alias("u"), "row")
-        folded = cur.groupBy("source", F.pmod(F.xxhash64("place", F.lit(level)), F.lit(max(1, chunks))).alias("chunk")
-                             ).agg(F.sort_array(F.collect_list(unit)).alias("units"))
+        folded = cur.groupBy("source", chunk(level, chunks)).agg(F.sort_array(F.collect_list(unit)).alias("units"))
         folded = folded.select("source", F.expr(
             "aggregate(slice(units, 2, size(units)), named_struct('cur', units[0], 'done', "
             "filter(array(named_struct('row', units[0].row, 'got', 0)), z -> false)), (s, n) -> " + _fold() + ")"
