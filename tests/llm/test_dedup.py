@@ -113,6 +113,26 @@ def test_chain_of_near_copies(spark):
     assert {r.component_id for r in minmax.near_duplicates(df).collect()} == {0}
 
 
+def test_common_passage_makes_no_pairs(spark, monkeypatch):
+    """Texts that share a passage only meet in buckets; their pairs are not
+    made, and near copies among them are found."""
+    rng = random.Random(4)
+    passage = " ".join(f"p{i}" for i in range(50))
+    rows = []
+    for i in range(120):
+        own = [f"w{rng.randrange(10**9)}" for _ in range(60)]
+        rows.append((2 * i, f"{passage} {' '.join(own)}"))
+        if i % 3 == 0:
+            rows.append((2 * i + 1, f"{passage} {' '.join(own[:-2])}"))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    made, similar = [], minmax._similar
+    monkeypatch.setattr(minmax, "_similar", lambda pairs, sets: made.append(pairs.count()) or similar(pairs, sets))
+    monkeypatch.setattr(minmax, "CHUNK", 32)
+    got = {r.doc_id: r.component_id for r in minmax.near_duplicates(df, permutations=4, band=1).collect()}
+    assert got == {i: i - i % 2 for i, _ in rows}
+    assert sum(made) < 8 * len(rows), made
+
+
 def test_signatures_estimate_similarity():
     rng = np.random.default_rng(5)
     a = rng.integers(0, 1 << 62, 1000).astype(np.uint64)

@@ -5,8 +5,7 @@ largest value are kept, so PERMUTATIONS evaluations give twice as many
 signature values, each an unbiased witness of the Jaccard similarity.  BAND
 values make a band; documents that agree in a band are candidates, and a
 link counts only if the full sets confirm it.  At 0.85 a pair agrees in none
-of the 32 bands of 6 with probability 3e-7, at 0.8 with 6e-5; texts that
-share a common passage only (0.25) agree in one with probability 0.008.
+of the 24 bands of 4 with probability 2e-8, at 0.8 with 3e-6.
 
 Documents with equal sets form one class and go on as one.  No group is
 expanded into all pairs.  In each bucket every class is compared with one
@@ -14,8 +13,9 @@ leader; confirmed links make components, and all pairs of at least FAMILY
 percent make families.  A family whose classes are not one component yet is
 compared in blocks of CHUNK x CHUNK classes, which give component labels and
 never their pairs, so a large family is many tasks.  What is left are
-classes that meet in a bucket but are of different families; these few
-pairs are confirmed one by one.  So no link among the candidates is missed.
+classes that meet in a bucket but are of different families, as texts with
+a common passage do: such a bucket is compared in the same blocks.  So no
+link among the candidates is missed.
 
 Defined cases: texts without words have an empty set and link with nothing;
 fewer words than a shingle are one shingle; rows that share a key are one
@@ -37,8 +37,8 @@ from visitlens.llm.graph import components, labels
 from visitlens.llm.substring import word_units
 
 SHINGLE = 5
-PERMUTATIONS = 96
-BAND = 6
+PERMUTATIONS = 48
+BAND = 4
 FAMILY = 40
 CHUNK = 256
 COLUMNS = 8192
@@ -137,9 +137,9 @@ def _similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def _block(percent: int):
-    """Labels of the classes of one block of a family."""
+    """Labels of the classes of one block of a family or bucket."""
     def run(key, t):
-        ci, cj = key[1].as_py(), key[2].as_py()
+        ci, cj = key[-2].as_py(), key[-1].as_py()
         t = t.sort_by("rep")
         ids, chunk = t["rep"].to_pylist(), t["chunk"].to_numpy()
         lists = t["s"].combine_chunks()
@@ -167,6 +167,18 @@ def _block(percent: int):
     return run
 
 
+def _blocks(classes: DataFrame, by: list[str], sets: DataFrame, percent: int) -> DataFrame:
+    """Labels (a, b) of classes (rep) that are compared with all others of
+    their group, which is dealt into ``chunks`` parts."""
+    inner = classes.withColumn("chunk", F.pmod(F.xxhash64("rep"), F.col("chunks")).cast("int"))
+    pairs = F.transform(F.sequence(F.lit(0), F.col("chunks") - 1), lambda j: F.struct(
+        F.least(j, F.col("chunk")).alias("ci"), F.greatest(j, F.col("chunk")).alias("cj")))
+    blocks = inner.select("rep", *by, "chunk", F.explode(pairs).alias("ij")).select("rep", *by, "chunk", "ij.*")
+    kind = dict(classes.dtypes)["rep"]
+    return blocks.join(sets.toDF("rep", "s"), "rep").groupBy(*by, "ci", "cj").applyInArrow(
+        _block(percent), f"a {kind}, b {kind}")
+
+
 def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", percent: int = 85,
                     permutations: int = PERMUTATIONS, band: int = BAND) -> DataFrame:
     """key, n_shingles, component_id and kept of every row; documents are
@@ -207,25 +219,20 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", perc
                                F.coalesce("component", "rep").alias("component")))
     parts = member.groupBy("family").agg(F.count("*").alias("c"), F.min("component").alias("x"), F.max("component").alias("y"))
     parts = parts.where("x <> y").select("family", F.ceil(F.col("c") / CHUNK).cast("int").alias("chunks"))
-    inner = member.join(parts, "family").withColumn("chunk", F.pmod(F.xxhash64("rep"), F.col("chunks")).cast("int"))
-    pairs = F.transform(F.sequence(F.lit(0), F.col("chunks") - 1), lambda j: F.struct(
-        F.least(j, F.col("chunk")).alias("ci"), F.greatest(j, F.col("chunk")).alias("cj")))
-    blocks = inner.select("rep", "family", "chunk", F.explode(pairs).alias("ij")).select("rep", "family", "chunk", "ij.*")
-    inside = blocks.join(sets.toDF("rep", "s"), "rep").groupBy("family", "ci", "cj").applyInArrow(
-        _block(percent), f"a {kind}, b {kind}")
+    inside = _blocks(member.join(parts, "family"), ["family"], sets, percent)
 
     # Classes of different families that meet in a bucket.
-    near = F.least("n", "m") * 100 >= F.greatest("n", "m") * percent
     here = cut(in_band.join(member.select("rep", "family"), "rep"))
-    apart = here.groupBy("band", "bucket").agg(F.min("family").alias("x"), F.max("family").alias("y")).where(
-        "x <> y").select("band", "bucket")
-    here = here.join(apart, ["band", "bucket"])
-    other = here.select("band", "bucket", F.col("family").alias("g"), F.col("rep").alias("b"), F.col("n").alias("m"))
-    family = here.select("band", "bucket", "family").distinct()
-    meet = family.join(family.withColumnRenamed("family", "g"), ["band", "bucket"]).where("family < g")
-    across = meet.join(here, ["band", "bucket", "family"]).join(other, ["band", "bucket", "g"]).where(near).select(
-        F.greatest("rep", "b").alias("a"), F.least("rep", "b").alias("b")).distinct()
-    across = _similar(across, sets).where(F.col("shared") * 100 >= F.col("either") * percent).select("a", "b")
+    apart = here.groupBy("band", "bucket").agg(
+        F.min("family").alias("x"), F.max("family").alias("y"), F.min("n").alias("n"), F.max("n").alias("m"),
+        F.count("*").alias("c"), F.min("rep").alias("low"), F.max("rep").alias("high"),
+        F.sum(F.xxhash64("rep").cast("decimal(38,0)")).alias("all")).where("x <> y")
+    # Two classes of too different sizes cannot link; buckets with the same
+    # classes are compared once.
+    apart = apart.where((F.col("c") > 2) | (F.col("n") * 100 >= F.col("m") * percent))
+    apart = apart.groupBy("c", "low", "high", "all").agg(F.min(F.struct("band", "bucket")).alias("at")).select(
+        "at.*", F.ceil(F.col("c") / CHUNK).cast("int").alias("chunks"))
+    across = _blocks(here.join(apart, ["band", "bucket"]), ["band", "bucket"], sets, percent)
     found = components(linked.toDF("a", "b").unionByName(inside).unionByName(across))
     # Every class of a key is in one component by now.
     own = rep.groupBy("key").agg(F.min("rep").alias("rep"))
