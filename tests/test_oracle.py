@@ -67,3 +67,15 @@ def test_queries_restore_the_callers_time_zone(spark):
         spark.conf.set(key, before)
     want = sorted(tuple(r) for r in entry.queries()["actions_per_hour"](spark, SF_SMALL).collect())
     assert got == want
+
+
+def test_ship_delay_uses_the_text_time_helpers(spark, monkeypatch):
+    """Survey operators O-50..O-52 are exercised by a query."""
+    from visitlens.plans import table_jobs
+
+    used = set()
+    for name in ("is_before", "is_after", "minus_seconds"):
+        helper = getattr(table_jobs, name)
+        monkeypatch.setattr(table_jobs, name, lambda a, b, n=name, f=helper: used.add(n) or f(a, b))
+    table_jobs.ship_delay_profile_q(spark, SF_SMALL)
+    assert used == {"is_before", "is_after", "minus_seconds"}

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from visitlens.functions.dates import (
     date_hour_key, format_date, format_date_key, format_minute_key, format_time,
-    int_or_zero, is_after, is_before, minus_seconds, parse_date_key, parse_time, seconds_between,
+    is_after, is_before, minus_seconds, parse_date_key, parse_time,
 )
 from visitlens.functions.json import json_int_field, json_objects
 from visitlens.functions.strings import (
@@ -63,20 +63,18 @@ def ship_delay_profile_q(spark, sf):
     """Per order priority: line items shipped before / after a deadline
     (order date + 60 days) and total seconds from order to shipment, all
     through the text-time helpers."""
-    # Each text is written and read once per row of the table that owns it,
-    # below the join; above it only typed times are compared.
-    through_text = lambda c: parse_time(format_time(c)).cast("timestamp_ntz")
-    ship = through_text("l_shipdate").alias("ship")
-    placed = through_text("o_orderdate").alias("placed")
-    deadline = through_text(F.timestamp_add("DAY", F.lit(SHIP_DEADLINE_DAYS), F.col("o_orderdate"))).alias("deadline")
+    # Each text is written below the join; above it the helpers read it.
+    ship = format_time("l_shipdate").alias("ship")
+    placed = format_time("o_orderdate").alias("placed")
+    deadline = format_time(F.timestamp_add("DAY", F.lit(SHIP_DEADLINE_DAYS), F.col("o_orderdate"))).alias("deadline")
     li = read_table(spark, sf, "lineitem").select("l_orderkey", ship)
     od = read_table(spark, sf, "orders").select("o_orderkey", "o_orderpriority", placed, deadline)
     j = li.join(od, li.l_orderkey == od.o_orderkey, "inner")
     flags = j.select(
         "o_orderpriority",
-        (F.col("ship") < F.col("deadline")).alias("early"),
-        (F.col("ship") > F.col("deadline")).alias("late"),
-        int_or_zero(seconds_between("placed", "ship")).alias("secs"),
+        is_before("ship", "deadline").alias("early"),
+        is_after("ship", "deadline").alias("late"),
+        minus_seconds("ship", "placed").alias("secs"),
     )
     return flags.groupBy("o_orderpriority").agg(
         F.count_if("early").alias("n_before"),
