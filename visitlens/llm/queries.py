@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from visitlens.llm import bpe, cross_polytope, html_text, language, minmax, mixing, multi_index, substring, suffix, token_files
+from visitlens.llm import bpe, columnar, cross_polytope, html_text, language, minmax, mixing, multi_index, substring, suffix, token_files
 from visitlens.llm.common import cut, table
 
 
@@ -85,6 +85,11 @@ def op10_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("row.doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op11_columnar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return columnar.highest(vectors, F.col("vec_id") % 20 == 0, k=20)
+
+
 QUERIES = {
     "op1_html": op1_html,
     "op2_cross_polytope": op2_cross_polytope,
@@ -96,6 +101,7 @@ QUERIES = {
     "op8_suffix": op8_suffix,
     "op9_mixing": op9_mixing,
     "op10_substring": op10_substring,
+    "op11_columnar": op11_columnar,
 }
 
 ORACLES: dict[str, str] = {
@@ -151,4 +157,12 @@ ORACLES: dict[str, str] = {
         SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(gone) AS BIGINT) AS n_removed,
             sha256(array_to_string(list_filter(w, lambda x, i: NOT list_contains(gone, i)), ' ')) AS kept_sha256
         FROM k""",
+    "op11_columnar": """
+        WITH e AS (SELECT vec_id, len(embedding) AS n,
+            list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+            WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(CAST(q.v AS DOUBLE[]), CAST(c.v AS DOUBLE[]))
+            AS BIGINT) AS score FROM e q JOIN e c ON q.vec_id <> c.vec_id AND q.n = c.n WHERE q.vec_id % 20 = 0),
+        r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+        SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 20""",
 }
