@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from visitlens.llm import bpe, columnar, cross_polytope, html_text, language, minmax, mixing, multi_index, substring, suffix, token_files
+from visitlens.llm import bpe, columnar, conversation, cross_polytope, html_text, language, minmax, mixing, multi_index, substring, suffix, token_files
 from visitlens.llm.common import cut, table
 
 
@@ -90,6 +90,11 @@ def op11_columnar(spark: SparkSession, sf_dir: str) -> DataFrame:
     return columnar.highest(vectors, F.col("vec_id") % 20 == 0, k=20)
 
 
+def op12_conversation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations")
+    return conversation.audit(rows, conversation.damage(rows))
+
+
 QUERIES = {
     "op1_html": op1_html,
     "op2_cross_polytope": op2_cross_polytope,
@@ -102,6 +107,7 @@ QUERIES = {
     "op9_mixing": op9_mixing,
     "op10_substring": op10_substring,
     "op11_columnar": op11_columnar,
+    "op12_conversation": op12_conversation,
 }
 
 ORACLES: dict[str, str] = {
@@ -165,4 +171,59 @@ ORACLES: dict[str, str] = {
             AS BIGINT) AS score FROM e q JOIN e c ON q.vec_id <> c.vec_id AND q.n = c.n WHERE q.vec_id % 20 = 0),
         r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
         SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 20""",
+    "op12_conversation": r"""
+        WITH RECURSIVE t AS (SELECT [0, 498536548, 997073096, 651767980, 1994146192, 1802195444, 1303535960, 1342533948,
+            3988292384, 4027552580, 3604390888, 3412177804, 2607071920, 2262029012, 2685067896, 3183342108] AS t),
+        k AS (SELECT *, coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS x
+            FROM conversations),
+        c AS (SELECT k.*, xor(4294967295, list_reduce(
+            list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(x, ''), lambda y: CAST(ord(y) AS BIGINT))),
+            lambda a, b: xor(t[1 + (xor(xor(t[1 + (xor(a, b) & 15)], a >> 4), b >> 4) & 15)],
+                xor(t[1 + (xor(a, b) & 15)], a >> 4) >> 4))) % 20 AS kind FROM k, t),
+        d AS (SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE coalesce(role, ' ') END AS role,
+            CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(coalesce(text, ' '), '[.!?]', '', 'g')
+                ELSE coalesce(text, ' ') END AS text, unnest(CASE kind WHEN 0 THEN [] WHEN 3 THEN [1, 2] ELSE [1] END) AS n FROM c),
+        o AS (SELECT *, row_number() OVER w AS i, row_number() OVER (PARTITION BY conv_id, role, text
+                ORDER BY turn NULLS FIRST, n) AS same, lag(role[1]) OVER w AS past,
+            regexp_extract(text, '([^\x20\x09-\x0D])[\x20\x09-\x0D]*$', 1) AS z FROM d
+            WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, sha256(octet_length(encode(role)) || ':' || role || text), n)),
+        f AS (SELECT *, CASE WHEN z = '' THEN 'b' WHEN same > 1 THEN 'd' WHEN z NOT IN ('.', '!', '?') THEN 't' ELSE '' END AS fault,
+            role[1] AS r FROM o),
+        m AS (SELECT conv_id, max(i) AS n FROM f GROUP BY conv_id),
+        w AS (SELECT conv_id, 0 AS i, {'c': 0, 'a': ''} AS s0, {'c': 1000000000, 'a': ''} AS s1,
+                {'c': 2, 'a': 'I'} AS s2, {'c': 4, 'a': 'II'} AS s3 FROM m
+            UNION ALL
+            SELECT conv_id, i, s0, s1, s2, least(s3, {'c': s2.c + 2, 'a': s2.a || 'I'}) FROM (
+            SELECT conv_id, i, s0, s1, least(s2, {'c': s0.c + 2, 'a': s0.a || 'I'}, {'c': s1.c + 2, 'a': s1.a || 'I'},
+                {'c': s3.c + 2, 'a': s3.a || 'I'}) AS s2, s3 FROM (
+            SELECT w.conv_id, f.i, {'c': s0.c + 3, 'a': s0.a || 'D'} AS s0,
+                least({'c': s1.c + 3, 'a': s1.a || 'D'}, CASE WHEN fault IN ('', 't') AND r = 's'
+                    THEN {'c': s0.c + CAST(fault = 't' AS INTEGER), 'a': s0.a || 'K'} END) AS s1,
+                least({'c': s2.c + 3, 'a': s2.a || 'D'}, CASE WHEN fault IN ('', 't') THEN
+                    {'c': least(s0, s1, s3).c + CAST(fault = 't' AS INTEGER) + CASE r WHEN 'u' THEN 0 ELSE 2 END,
+                     'a': least(s0, s1, s3).a || CASE r WHEN 'u' THEN 'K' ELSE 'R' END} END) AS s2,
+                least({'c': s3.c + 3, 'a': s3.a || 'D'}, CASE WHEN fault IN ('', 't') THEN
+                    {'c': s2.c + CAST(fault = 't' AS INTEGER) + CASE r WHEN 'a' THEN 0 ELSE 2 END,
+                     'a': s2.a || CASE r WHEN 'a' THEN 'K' ELSE 'R' END} END) AS s3
+            FROM w JOIN f ON f.conv_id IS NOT DISTINCT FROM w.conv_id AND f.i = w.i + 1))),
+        b AS (SELECT w.conv_id, least(s0, s3).c AS cost, least(s0, s3).a AS audit FROM w JOIN m
+            ON m.conv_id IS NOT DISTINCT FROM w.conv_id AND m.n = w.i),
+        l AS (SELECT conv_id, j, audit[j] AS e FROM (SELECT conv_id, audit, unnest(generate_series(1, len(audit))) AS j FROM b)),
+        g AS (SELECT *, sum(CAST(e <> 'I' AS INTEGER)) OVER (PARTITION BY conv_id ORDER BY j) AS i,
+            sum(CAST(e <> 'D' AS INTEGER)) OVER (PARTITION BY conv_id ORDER BY j) AS q FROM l),
+        h AS (SELECT g.*, f.role, f.text, max(CASE WHEN q = 1 AND e = 'K' AND f.r = 's' THEN 1 ELSE 0 END)
+            OVER (PARTITION BY g.conv_id) AS lead FROM g LEFT JOIN f
+            ON f.conv_id IS NOT DISTINCT FROM g.conv_id AND f.i = g.i AND g.e <> 'I' WHERE e <> 'D'),
+        y AS (SELECT conv_id, string_agg(CASE WHEN e = 'K' THEN role || ':' || text ELSE
+            CASE WHEN (q - lead) % 2 = 1 THEN 'user:' ELSE 'assistant:' END || coalesce(text, '') END, chr(10) ORDER BY j) AS z
+            FROM h GROUP BY conv_id),
+        v AS (SELECT conv_id, CAST(coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS BIGINT) AS gaps,
+            count_if(fault = 'b') AS blank, count_if(fault = 'd') AS duplicate, count_if(fault = 't') AS truncated,
+            count_if(i > 1 AND coalesce(past, '') || coalesce(r, '') NOT IN ('su', 'ua', 'au')) AS illegal FROM f GROUP BY conv_id)
+        SELECT a.conv_id, coalesce(gaps, 0) AS gaps, CAST(coalesce(blank, 0) AS BIGINT) AS blank,
+            CAST(coalesce(duplicate, 0) AS BIGINT) AS duplicate, CAST(coalesce(truncated, 0) AS BIGINT) AS truncated,
+            CAST(coalesce(illegal, 0) AS BIGINT) AS illegal, CAST(coalesce(cost, 0) AS BIGINT) AS cost,
+            coalesce(audit, '') AS audit, sha256(coalesce(z, '')) AS repaired_sha256
+        FROM (SELECT DISTINCT conv_id FROM conversations) a LEFT JOIN v ON v.conv_id IS NOT DISTINCT FROM a.conv_id
+        LEFT JOIN b ON b.conv_id IS NOT DISTINCT FROM a.conv_id LEFT JOIN y ON y.conv_id IS NOT DISTINCT FROM a.conv_id""",
 }
