@@ -58,7 +58,8 @@ _FOUND = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score",
 
 def _body(x: np.ndarray) -> bytes:
     """A matrix as bytes: single precision where that loses nothing."""
-    single = x.astype(np.float32)
+    with np.errstate(over="ignore"):
+        single = x.astype(np.float32)
     same = (single.astype(np.float64) == x).all()
     return (b"f" if same else b"d") + (single if same else np.ascontiguousarray(x)).tobytes()
 
@@ -102,7 +103,7 @@ def _pack(stripes: int):
 def _pack_queries(t: pa.Table) -> pa.Table:
     x = _matrices(t["v"].combine_chunks())
     (n, _, matrix), = x
-    least = t["least"].cast(pa.float64()).fill_null(-np.inf).to_numpy()
+    least = t["least"].cast(pa.float64(), safe=False).fill_null(-np.inf).to_numpy()
     return pa.table([[n], [t["block"][0].as_py()], [t["id"].to_numpy().tobytes()], [_body(matrix)],
                      [least.tobytes()]], schema=_ASKED)
 
