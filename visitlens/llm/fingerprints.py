@@ -53,6 +53,30 @@ def window_hash(units: np.ndarray, length: int, base: int = 0) -> np.ndarray:
     return mix64(whole)
 
 
+def hash_runs(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, other: bool = False) -> np.ndarray:
+    """Hash of the bytes from each start to its end, eight bytes a step, all
+    mixed before the next; ``other`` gives a second, independent one."""
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    eight = np.ndarray(len(data) + 1, "<u8", padded, strides=(1,))
+    odd = np.uint64(_BASES[other])
+    left = ends - starts
+    out = mix64(left.astype(np.uint64) * odd + np.uint64(1 + other))
+    at, rows = starts, np.arange(len(starts))
+    while len(rows):
+        value, n = eight[at], left[rows]
+        if other:
+            value = value * odd
+        short = n < 8
+        if short.any():
+            few = eight[at[short]] & ((np.uint64(1) << (n[short].astype(np.uint64) * np.uint64(8))) - np.uint64(1))
+            value[short] = few * odd if other else few
+        out[rows] = mix64((out[rows] ^ value) + odd)
+        left[rows] -= 8
+        more = n > 8
+        rows, at = rows[more], at[more] + 8
+    return out
+
+
 def sliding(op: Callable, x: np.ndarray, width: int) -> np.ndarray:
     """Minimum or maximum of every ``width`` successive values."""
     size = 1

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from visitlens.llm import bpe, columnar, conversation, cross_polytope, html_text, language, minmax, mixing, multi_index, substring, suffix, token_files
+from visitlens.llm import bpe, collocation, columnar, conversation, cross_polytope, html_text, language, minmax, mixing, multi_index, substring, suffix, token_files
 from visitlens.llm.common import cut, table
 
 
@@ -95,6 +95,10 @@ def op12_conversation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation.audit(rows, conversation.damage(rows))
 
 
+def op13_collocation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocation.collocations(table(spark, sf_dir, "documents"), least=10, top=2000)
+
+
 QUERIES = {
     "op1_html": op1_html,
     "op2_cross_polytope": op2_cross_polytope,
@@ -108,6 +112,7 @@ QUERIES = {
     "op10_substring": op10_substring,
     "op11_columnar": op11_columnar,
     "op12_conversation": op12_conversation,
+    "op13_collocation": op13_collocation,
 }
 
 ORACLES: dict[str, str] = {
@@ -226,4 +231,28 @@ ORACLES: dict[str, str] = {
             coalesce(audit, '') AS audit, sha256(coalesce(z, '')) AS repaired_sha256
         FROM (SELECT DISTINCT conv_id FROM conversations) a LEFT JOIN v ON v.conv_id IS NOT DISTINCT FROM a.conv_id
         LEFT JOIN b ON b.conv_id IS NOT DISTINCT FROM a.conv_id LEFT JOIN y ON y.conv_id IS NOT DISTINCT FROM a.conv_id""",
+    "op13_collocation": r"""
+        WITH d AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+        w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM d),
+        i AS (SELECT lang, w, unnest(generate_series(1, len(w))) AS i FROM w WHERE len(w) > 0),
+        g AS MATERIALIZED (SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS p, count(*) AS f FROM i, generate_series(1, 3) s(k)
+            WHERE i + k - 1 <= len(w) GROUP BY ALL),
+        n AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM g WHERE k = 1 GROUP BY lang),
+        c AS MATERIALIZED (SELECT lang, k, p, f, string_split(p, ' ') AS q FROM g WHERE k > 1 AND f >= 10),
+        v AS MATERIALIZED (SELECT lang, k, p, f AS a, h, array_to_string(q[1:h], ' ') AS x,
+            array_to_string(q[h + 1:k], ' ') AS y FROM (SELECT *, unnest(CASE k WHEN 2 THEN [1] ELSE [1, 2] END) AS h FROM c)),
+        f AS MATERIALIZED (SELECT lang, p, f FROM g WHERE f >= 10),
+        u AS (SELECT v.lang, v.k, v.p, a, e.f AS l, y.f AS r, h,
+            CAST(1000000 AS HUGEINT) * a * a // (CAST(e.f AS HUGEINT) * y.f) AS score
+            FROM v JOIN f e ON e.lang = v.lang AND e.p = v.x JOIN f y ON y.lang = v.lang AND y.p = v.y),
+        b AS (SELECT * FROM u QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, h) = 1),
+        o AS (SELECT lang, p, max(f) AS f FROM (
+            SELECT lang, array_to_string(q[1:2], ' ') AS p, f FROM c WHERE k = 3
+            UNION ALL SELECT lang, array_to_string(q[2:3], ' '), f FROM c WHERE k = 3) GROUP BY lang, p),
+        z AS (SELECT b.*, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, a DESC, b.p) AS rank
+            FROM b LEFT JOIN o ON o.lang = b.lang AND o.p = b.p WHERE o.f IS NULL OR 100 * o.f < 50 * a)
+        SELECT lang, rank, p AS phrase, a, l, r, n, CAST(score AS BIGINT) AS score FROM z JOIN n USING (lang)
+        WHERE rank <= 2000""",
 }
