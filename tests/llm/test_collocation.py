@@ -1,0 +1,110 @@
+import collections
+import random
+import re
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from visitlens.llm import collocation as C
+
+
+def plain(rows, least, top, percent=50):
+    counts = collections.defaultdict(collections.Counter)
+    total = collections.Counter()
+    lower = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    for lang, text in rows:
+        lang = "und" if lang is None else lang
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", (text or "").translate(lower)):
+            w = re.findall(r"[^\x20\x09]+", piece)
+            total[lang] += len(w)
+            for k in (1, 2, 3):
+                counts[lang].update(tuple(w[i:i + k]) for i in range(len(w) - k + 1))
+    out = []
+    for lang, f in counts.items():
+        cands = {p: a for p, a in f.items() if len(p) > 1 and a >= least}
+        ranked = []
+        for p, a in cands.items():
+            longer = max((b for q, b in cands.items() if len(q) > len(p) and p in (q[:2], q[1:])), default=0)
+            if longer and 100 * longer >= percent * a:
+                continue
+            score, k = min((1_000_000 * a * a // (f[p[:k]] * f[p[k:]]), k) for k in range(1, len(p)))
+            ranked.append((-score, -a, " ".join(p).encode(), f[p[:k]], f[p[k:]]))
+        for n, (s, a, p, x, y) in enumerate(sorted(ranked)[:top]):
+            out.append((lang, n + 1, p.decode(), -a, x, y, total[lang], -s))
+    return sorted(out)
+
+
+def odd_rows(seed=1):
+    rng = random.Random(seed)
+    words = "a b c New York city é ß 日本 x1 the THE of".split() + ["long" * 50, "\x1cq", " z"]
+    marks = [" ", "  ", "\t", " ", " ", ". ", ",", "\n", "\r\n", "; ", " \v", "! "]
+    rows = [(rng.choice(["en", "de", None, "und", "e n", ""]),
+             "".join(rng.choice(words) + rng.choice(marks) for _ in range(rng.randrange(0, 80)))) for _ in range(120)]
+    rows += [("en", "the same pair " + f"w{i}") for i in range(200)] + [("en", None), (None, None), ("fr", ""), ("fr", " .,;")]
+    rows += [("de", "immer wieder dasselbe")] * 60
+    rows += [("en", " ".join(rng.choice(words[:6]) for _ in range(4000)))]  # one piece, longer than a block below
+    return rows
+
+
+@pytest.mark.parametrize("small", [False, True])
+def test_phrases_against_plain_counts(spark, monkeypatch, small):
+    rows = odd_rows()
+    df = spark.createDataFrame(rows, "lang string, text string")
+    df = df.select("*", *[F.lit(1).alias(c) for c in ("id", "word", "f", "a", "b", "block", "n")]).repartition(4)
+    if small:  # several buckets, partitions and blocks
+        monkeypatch.setattr(C, "BUCKET_BYTES", 5000)
+        monkeypatch.setattr(C, "MERGE_BYTES", 3000)
+    least = 6
+    got = C.collocations(df, least=least, top=40, block_bytes=900 if small else C.BLOCK_BYTES)
+    got = sorted(tuple(r) for r in got.collect())
+    want = plain(rows, least, 40)
+    assert got == want and len(got) > 60
+
+
+def test_blocks_part_texts_where_pieces_end():
+    text = b"aa bb. cc dd\nee ff gg hh ii jj, kk"
+    data = np.frombuffer(text, np.uint8)
+    got = [bytes(part) for part, _, _ in C.blocks_of(data, np.array([0, len(text)]), 14)]
+    assert got == [b"aa bb. cc dd\n", b"ee ff gg hh ii jj,", b" kk"]
+    off = np.array([0, 3, 6, 6, 34])
+    assert [(bytes(p), rows.tolist()) for p, _, rows in C.blocks_of(data, off, 6)][0] == (b"aa bb.", [0, 1, 2])
+
+
+def test_trie_bursts_and_spills(monkeypatch):
+    monkeypatch.setattr(C, "RUN", 64)
+    rng = np.random.default_rng(0)
+    trie, want, runs = C.Trie(burst=64, limit=1500), collections.Counter(), []
+    for _ in range(60):
+        ids = rng.integers(-1, 40, 300)
+        ids[rng.random(300) < 0.3] = 7  # a hot word
+        fresh = rng.random(300) < 0.1
+        for pair, third, n in C.phrases(ids, fresh):
+            runs += list(trie.add(pair, third, n))
+        for k in (2, 3):
+            for i in range(300 - k + 1):
+                if (ids[i:i + k] >= 0).all() and not fresh[i + 1:i + k].any():
+                    want[tuple(ids[i:i + k].tolist())] += 1
+    assert len(trie.containers) > 8 and runs
+    assert (np.diff(trie.lows.astype(np.int64)) > 0).all()
+    runs += list(trie.drain())
+    assert len(trie) == 0
+    got = collections.Counter()
+    for run in runs:
+        keys = list(zip(run["pair"].to_pylist(), run["third"].to_pylist(), strict=True))
+        assert keys == sorted(set(keys))
+        for (pair, third), n in zip(keys, run["n"].to_pylist(), strict=True):
+            got[(pair >> 32, pair & 0xFFFFFFFF) + ((third - 1,) if third else ())] += n
+    assert got == want
+
+
+def test_scores_pass_64_bits(spark):
+    a, x, y = 9_000_000_000_000, 9_000_000_000_001, 10_000_000_000_007
+    df = spark.createDataFrame([(a, x, y)], "f long, l long, r long")
+    assert df.select(C._score("f", "l", "r")).first()[0] == 1_000_000 * a * a // (x * y)
+
+
+def test_empty_table(spark):
+    df = spark.createDataFrame([], "lang string, text string")
+    got = C.collocations(df)
+    assert got.columns == ["lang", "rank", "phrase", "a", "l", "r", "n", "score"] and got.count() == 0

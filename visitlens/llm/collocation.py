@@ -395,10 +395,10 @@ def counted(df: DataFrame, text: str = "text", lang: str = "lang", least: int =
 
 
 def collocations(df: DataFrame, text: str = "text", lang: str = "lang", least: int = LEAST, top: int = 2000,
-                 inside_percent: int = 50) -> DataFrame:
+                 inside_percent: int = 50, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """lang, rank, phrase, a, l, r, n and score of each language's ``top``
     phrases."""
-    found, words, sums = counted(df, text, lang, least)
+    found, words, sums = counted(df, text, lang, least, block_bytes)
     pairs, triples = found.where("c IS NULL"), found.where("c IS NOT NULL")
 
     def word(place: str, *more: str) -> DataFrame:
