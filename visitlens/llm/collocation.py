@@ -35,15 +35,15 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from visitlens.llm import fingerprints as fp
-from visitlens.llm.common import cut, pieces, text_bytes, utf8
+from visitlens.llm.common import cut, pieces, release, text_bytes, utf8
 
 LEAST = 10
 BLOCK_BYTES = 4 << 20
 BUCKET_BYTES = 48 << 20
-MERGE_BYTES = 8 << 20
+MERGE_BYTES = 4 << 20
 RUN = 1 << 20
 BURST = 1 << 18
-LIMIT = 5 << 20
+LIMIT = 2 << 20
 FAN = 16
 SPREAD = 64
 MILLION = 1_000_000
@@ -148,6 +148,7 @@ def _tokenised(buckets: int, block_bytes: int):
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(
                     zip(*sent, strict=True), (pa.int64(), pa.int32(), pa.binary()), strict=True)], ["block", "bucket", "body"])
                 block += 1
+            release()
     return run
 
 
@@ -341,6 +342,7 @@ def _counted(parts: int):
                 ids = np.concatenate(known)[t["word"].to_numpy()]
                 for some in phrases(ids, t["fresh"].to_numpy()):
                     yield from trie.add(*some)
+                release()
         yield from trie.drain()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -357,6 +359,8 @@ def _merged(least: int):
             every.fresh.append(unpacked(body))
         found = every.settle()
         found = found.filter(pc.greater_equal(found["n"], least))
+        del every
+        release()
         pair, third = found["pair"].to_numpy(), found["third"].to_numpy().astype(np.int64)
         return pa.table({"a": (pair >> np.uint64(32)).astype(np.int64), "b": (pair & np.uint64(0xFFFFFFFF)).astype(np.int64),
                          "c": pa.array(third - 1, mask=third == 0), "f": found["n"].cast(pa.int64())})
@@ -381,7 +385,7 @@ def counted(df: DataFrame, text: str = "text", lang: str = "lang", least: int =
     total = text_bytes(docs)
     buckets, parts = pieces(total, BUCKET_BYTES), pieces(total, MERGE_BYTES)
     blocks = cut(docs.mapInArrow(_tokenised(buckets, block_bytes), _BLOCKS))
-    numbered = cut(blocks.where("bucket >= 0").groupBy("bucket").applyInArrow(_numbered(buckets, least), _NUMBERED))
+    numbered = cut(blocks.where("bucket >= 0").repartition(buckets, "bucket").groupBy("bucket").applyInArrow(_numbered(buckets, least), _NUMBERED))
     words = numbered.where("id IS NOT NULL").select("id", "lang", "word", "f")
     sums = numbered.where("id IS NULL AND lang IS NOT NULL").groupBy("lang").agg(F.sum("f").alias("n"))
     last = (1 << 31) - 1
@@ -390,7 +394,7 @@ def counted(df: DataFrame, text: str = "text", lang: str = "lang", least: int =
     by_block = both.repartition(pieces(total, 4 * block_bytes), "block").sortWithinPartitions(
         "block", F.when(F.col("nth") < 0, last).otherwise(F.col("nth")))
     runs = by_block.mapInArrow(_counted(parts), _RUNS)
-    found = cut(runs.groupBy("part").applyInArrow(_merged(least), "a long, b long, c long, f long"))
+    found = cut(runs.repartition(parts, "part").groupBy("part").applyInArrow(_merged(least), "a long, b long, c long, f long"))
     return found, words, sums
 
 
