@@ -34,6 +34,45 @@ def test_window_hashes_tell_windows_apart():
     assert len(fp.window_hash(units[:3], 5)) == 0
 
 
+def thue_morse(n):
+    """A word of n letters and its complement: any polynomial in an odd base
+    mod 2^64 gives both one value from 1,024 letters on."""
+    bits = [bin(i).count("1") % 2 for i in range(n)]
+    return "".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)
+
+
+def test_run_hashes_tell_words_apart():
+    rng = random.Random(4)
+    words = {w for n in (1024, 2048, 4096) for w in thue_morse(n)}
+    words |= {"a" * n for n in range(1, 40)} | {"a" * n + "b" for n in range(40)} | {"", "\0", "\0\0", "ab\0"}
+    words |= {"".join(rng.choice("ab") for _ in range(rng.randrange(1, 30))) for _ in range(3000)}
+    words = sorted(words)
+    data = "".join(words).encode()
+    ends = np.cumsum([len(w) for w in words])
+    starts = ends - [len(w) for w in words]
+    for other in (False, True):
+        h = fp.hash_runs(np.frombuffer(data, np.uint8), starts, ends, other)
+        assert len(set(h.tolist())) == len(words)
+        alone = fp.hash_runs(np.frombuffer(words[-1].encode(), np.uint8), np.array([0]), np.array([len(words[-1])]), other)
+        assert alone[0] == h[-1]
+
+
+@pytest.mark.parametrize("n", [1024, 2048])
+def test_words_that_share_a_polynomial(spark, n):
+    """Two documents of 41 words that differ in one such word: every window
+    of 35 covers it, and 32 of 42 shingles are shared; two that share none."""
+    x, y = thue_morse(n)
+    rest = [f"w{i}" for i in range(40)]
+    rows = [(k, " ".join([*rest[:20], w, *rest[20:]])) for k, w in enumerate((x, y))]
+    rows += [(2, " ".join([x] * 5)), (3, " ".join([y] * 5))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert [r.n_removed for r in substring.remove_repeats(df).collect()] == [0] * 4
+    got = minmax.near_duplicates(df, percent=85).collect()
+    assert all(r.kept for r in got)
+    found = suffix.remove_earlier(df.select("doc_id", "text")).collect()
+    assert sum(r.n_removed for r in found) > 0  # strings of 50 letters do repeat
+
+
 def test_sliding():
     x = np.random.default_rng(2).integers(0, 99, 50)
     for w in (1, 2, 3, 7, 16, 50):

@@ -80,6 +80,34 @@ def test_search_of_everything_is_exact(spark):
     assert [r.vec_id for r in sorted(few, key=lambda r: r.rank)] == sorted(score, key=lambda j: (-score[j], j))
 
 
+@pytest.mark.parametrize("same", range(7))
+def test_one_id_on_all_rows(spark, same):
+    rng = np.random.default_rng(same)
+    rows = [(same * 5, rng.normal(size=8).tolist()) for _ in range(40)] + [(same * 5 + 1, [1.0] * 8)] * 2
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = M.nearest_neighbours(df, F.col("vec_id") % 5 == 0, k=20, centroids=4, share=1.0, fit_rows=4).collect()
+    assert [r.vec_id for r in got] == [same * 5 + 1] * 2
+
+
+def test_each_length_has_its_own_ranks(spark):
+    rng = np.random.default_rng(1)
+    rows = [(i, rng.normal(size=6 if i % 3 else 4).tolist()) for i in range(60)] + [(61, [2.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = M.nearest_neighbours(df, F.col("vec_id") % 5 == 0, k=3, centroids=4, share=1.0).collect()
+    for i, v in rows:
+        if i % 5 == 0:
+            best = sorted((-float(np.dot(v, w)), j) for j, w in rows if j != i and len(w) == len(v))[:3]
+            assert [r.vec_id for r in sorted(got, key=lambda r: r.rank) if r.query_id == i] == [j for _, j in best]
+
+
+def test_very_large_and_small_components(spark):
+    rows = [(0, [1e200, 2e200]), (1, [1e200, 2.01e200]), (2, [1e-200, -2e-200]), (3, [1.01e-200, -2e-200]),
+            (4, [1.0, 2.0]), (5, [5e-324, 1e-323]), (6, [2.0, -1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in C.near_duplicates(df).collect()}
+    assert got == {0: (3, 0), 1: (3, 0), 2: (1, 2), 3: (1, 2), 4: (3, 0), 5: (3, 0), 6: (0, 6)}
+
+
 def test_recall(spark):
     from cases import SF_ORACLE
     from visitlens.llm.queries import op4_multi_index

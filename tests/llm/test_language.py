@@ -62,3 +62,18 @@ def test_odd_rows(spark, odd, empty):
     assert language_network(empty) is None
     assert L.identify(empty, None).count() == 0
     assert {r.lang_pred for r in L.identify(odd, None).collect()} == {"und"}
+
+
+def test_every_label_is_learned(spark):
+    """One id on a third of the rows, and a label of one row in 2,000."""
+    rng = random.Random(3)
+    make = lambda letters: " ".join("".join(rng.choice(letters) for _ in range(5)) for _ in range(20))
+    rows = [(7, make("abc"), "aa") for _ in range(700)] + [(i, make("xyz"), "bb") for i in range(1300)]
+    rows += [(5000, make("qrs"), "zz"), (5001, "...", "none"), (None, make("abc"), "bb")]
+    df = spark.createDataFrame(rows, "key long, text string, label string")
+    net = L.fit(df, rows=200)
+    assert net.labels == ["aa", "bb", "zz"]
+    told = L.identify(df, net, key="key").select("key", "lang_pred").collect()
+    assert sum(r.lang_pred == "zz" for r in told if r.key == 5000) == 1
+    assert sum(r.lang_pred == "aa" for r in told if r.key == 7) >= 690
+    assert L.fit(df.where("1 = 0")) is None

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+_TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)
 # Words are runs of anything but the six ASCII white-space bytes.
 WORD = r"[^\x20\x09-\x0D]+"
 ROW_BYTES = 32
@@ -54,13 +56,44 @@ def pieces(total: int, each: int) -> int:
     return max(1, -(-total // each))
 
 
-def sample(df: DataFrame, key: str, rows: int, total: int) -> DataFrame:
-    """At most ``rows`` rows, chosen by a hash of ``key``: of ``total`` rows
-    first the share that holds about twice as many, so that this, and not
-    ``rows`` from each partition, is what a sorted limit brings together."""
-    share = min(1.0, 2 * rows / total) if total else 1.0
-    some = df.where(F.pmod(F.xxhash64(F.col(key), F.lit(3)), F.lit(1 << 20)) < int(share * (1 << 20)) + 1)
-    return some.orderBy(F.xxhash64(F.col(key)), F.col(key)).limit(rows)
+def sample(df: DataFrame, columns: list[str], rows: int, total: int) -> DataFrame:
+    """At most ``rows`` rows, drawn by a hash of ``columns`` and the row's
+    place in the input, so rows that repeat a key or a text are drawn one by
+    one.  Of ``total`` rows first a share is taken that holds about twice as
+    many, so that this, and not ``rows`` from each partition, is what a
+    sorted limit brings together."""
+    return _drawn(df, columns, F.lit(_share(rows, total))).orderBy("_draw").limit(rows).drop("_draw")
+
+
+def sample_each(df: DataFrame, label: str, columns: list[str], rows: int) -> DataFrame:
+    """``sample`` within each value of ``label``, which share ``rows`` alike;
+    a value with fewer rows gives them all.  The values (classes to learn,
+    not data) and their counts reach the driver."""
+    counts = {r[label]: r["count"] for r in df.groupBy(label).count().collect()}
+    if not counts:
+        return df
+    each = max(1, rows // len(counts))
+    shares = F.create_map(*[F.lit(x) for name, n in counts.items() for x in (name, _share(each, n))])
+    nth = F.row_number().over(Window.partitionBy(label).orderBy("_draw"))
+    return _drawn(df, columns, F.element_at(shares, F.col(label))).withColumn("_nth", nth).where(
+        F.col("_nth") <= each).drop("_draw", "_nth")
+
+
+def _share(rows: int, total: int) -> float:
+    return min(1.0, (2 * rows + 64) / max(total, 1))
+
+
+def _drawn(df: DataFrame, columns: list[str], share: Column) -> DataFrame:
+    drawn = df.withColumn("_draw", F.xxhash64(*columns, F.monotonically_increasing_id(), F.lit(3)))
+    return drawn.where(F.pmod("_draw", F.lit(1 << 30)) < share * (1 << 30))
+
+
+def release() -> None:
+    """Give memory that this worker has freed back to the system: workers
+    live on from task to task, and from stage to stage."""
+    pa.default_memory_pool().release_unused()
+    if _TRIM is not None:
+        _TRIM(0)
 
 
 def utf8(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from visitlens.llm.common import cut
 from visitlens.llm.graph import components, labels
-from visitlens.llm.vectors import by_length, lists
+from visitlens.llm.vectors import by_length, levelled, lists
 
 TABLES = 10
 HASHES = 2
@@ -79,7 +79,8 @@ def _coded(tables: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, rows, matrix in by_length(batch.column("v")):
-                unit = matrix / np.sqrt((matrix * matrix).sum(axis=1))[:, None]
+                level = levelled(matrix)
+                unit = level / np.sqrt((level * level).sum(axis=1))[:, None]
                 own, probe = codes(unit, tables)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("id").take(pa.array(rows)), batch.column("size").take(pa.array(rows)), lists(matrix),
@@ -96,18 +97,26 @@ def _block(least: float):
         square = lambda name, kind: np.array(t[name].combine_chunks().flatten().to_numpy(), kind).reshape(len(ids), -1)
         v, own, probe = square("v", float), square("own", np.int64), square("probe", np.int64)
         probe = probe.reshape(len(ids), own.shape[1], -1)
+        v = levelled(v)
         norm = np.sqrt((v * v).sum(axis=1))
+        unit = v / norm[:, None]
         left, right = np.flatnonzero(chunk == ci), np.flatnonzero(chunk == cj)
         links = np.zeros(len(ids), np.int64)
         a_all, b_all = [], []
         for s in range(0, len(left), 256):
             rows = left[s:s + 256]
-            cos = np.einsum("ad,bd->ab", v[rows], v[right]) / norm[rows][:, None] / norm[right][None, :]
-            a, b = np.nonzero((cos >= least) & (is_own[rows][:, None] | is_own[right][None, :]))
+            # A matrix product finds the pairs near enough, whose cosine
+            # is then taken pair by pair.
+            near = unit[rows] @ unit[right].T >= least - 1e-9
+            a, b = np.nonzero(near & (is_own[rows][:, None] | is_own[right][None, :]))
             a, b = rows[a], right[b]
             once = a < b if ci == cj else np.ones(len(a), bool)
-            a_all.append(a[once])
-            b_all.append(b[once])
+            a, b = a[once], b[once]
+            for p in range(0, len(a), 1 << 16):
+                x, y = a[p:p + (1 << 16)], b[p:p + (1 << 16)]
+                sure = np.einsum("pd,pd->p", v[x], v[y]) / norm[x] / norm[y] >= least
+                a_all.append(x[sure])
+                b_all.append(y[sure])
         a, b = np.concatenate([*a_all, np.zeros(0, np.int64)]), np.concatenate([*b_all, np.zeros(0, np.int64)])
         for s in range(0, len(a), 1 << 16):
             x, y = a[s:s + (1 << 16)], b[s:s + (1 << 16)]

@@ -371,7 +371,7 @@ def main_text(page: str | None, weights: np.ndarray) -> str:
 
 def fit(pages: DataFrame, key: str = "page_id", column: str = "html", rows: int = FIT_PAGES) -> np.ndarray:
     """Classifier weights; only ``rows`` pages reach the driver."""
-    some = sample(pages.select(F.col(key), F.col(column).alias("html")).where("html IS NOT NULL"), key, rows,
+    some = sample(pages.select(F.col(key), F.col(column).alias("html")).where("html IS NOT NULL"), [key, "html"], rows,
                   pages.count())
     x, y = [np.zeros((0, len(START)))], []
     for row in some.select(F.substring("html", 1, FIT_CHARS).alias("html")).collect():

@@ -5,8 +5,9 @@ left, one from the right, and a softmax over both states labels every byte.
 A document's probabilities are the mean over all of its bytes; the largest
 names its language.  The weights are trained in numpy by backpropagation
 through time on the driver, on windows of at most FIT_ROWS labelled
-documents (chosen by a hash of the key; of each one piece of FIT_CHARS
-characters at a hashed place).  They are a few thousand numbers and travel
+documents (each label gives as many of its rows, drawn by a hash; of each one
+piece of FIT_CHARS characters at a hashed place), so rare labels are learned
+too, and rows that repeat an id or a text are drawn one by one.  They are a few thousand numbers and travel
 with the task.
 
 Defined cases: null texts and texts without a letter are ``und`` with score
@@ -25,7 +26,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F
 
-from visitlens.llm.common import sample, utf8
+from visitlens.llm.common import release, sample_each, utf8
 
 STEPS = 64
 HIDDEN = 8
@@ -187,12 +188,13 @@ class Network:
 
 
 def fit(labelled: DataFrame, rows: int = FIT_ROWS) -> Network | None:
-    """Train on columns key, text and label; null labels, texts and keys
-    are left out.  Only ``rows`` pieces of text reach the driver."""
+    """Train on columns key, text and label; null labels and keys and texts
+    without a letter are left out.  Only ``rows`` pieces of text reach the driver."""
     at = F.pmod(F.xxhash64("key", F.lit(1)), F.greatest(F.lit(1), F.length("text") - FIT_CHARS)).cast("int") + 1
-    fine = labelled.where("label IS NOT NULL AND key IS NOT NULL")
-    pieces = sample(fine.where("text IS NOT NULL"), "key", rows, fine.count()).select("label", F.substring(F.col("text"), at, F.lit(FIT_CHARS)).alias("text"))
-    got = [r for r in pieces.collect() if _LETTER.search(r["text"])]
+    fine = labelled.where("label IS NOT NULL AND key IS NOT NULL").where(F.col("text").rlike(r"\p{L}"))
+    pieces = sample_each(fine.select("label", "key", F.substring(F.col("text"), at, F.lit(FIT_CHARS)).alias("text")),
+                         "label", ["key", "text"], rows)
+    got = pieces.select("label", "text").collect()
     if not got:
         return None
     labels = sorted({r["label"] for r in got})
@@ -218,6 +220,7 @@ def identify(df: DataFrame, network: Network | None, key: str = "doc_id", text:
                 yield pa.RecordBatch.from_arrays(
                     [*(part.column(c) for c in carried), pa.array(names, pa.string()), pa.array(score)],
                     [*carried, "lang_pred", "score"])
+            release()
 
     names = [c for c in df.columns]
     narrow = df.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)],

@@ -1,6 +1,6 @@
 """Nearest neighbours by inner product with an inverted multi-index.
 
-Vectors are cut in two halves and each half has its own codebook of
+Vectors of each length have an index of their own.  They are cut in two halves and each half has its own codebook of
 CENTROIDS centroids (k-means on a sample of at most FIT_ROWS vectors, chosen
 by a hash of their id).  Every vector is indexed in the cell of its two
 nearest centroids.  A query takes cells in the order of their summed
@@ -16,14 +16,15 @@ query crosses the network once per first centroid, with the second ones it
 visits as a bit mask.
 
 Defined cases: vectors that are null, zero or hold null or non-finite
-components, and rows without an id, take no part; nor do vectors of another
-length than the most common one; rows that repeat an id are entries of their
+components, and rows without an id, take no part; vectors of different
+lengths are never each other's neighbours; rows that repeat an id are entries of their
 own, never of a query with that id, and queries that repeat an id are asked
-once, with its first vector; fewer than k candidates are all returned.
+once for each length, with the least vector; fewer than k candidates are all returned.
 """
 
 from __future__ import annotations
 
+import functools
 import heapq
 from collections.abc import Iterator
 
@@ -31,7 +32,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from visitlens.llm.common import cut, sample
+from visitlens.llm.common import cut, pieces, sample
 from visitlens.llm.vectors import by_length, lists
 
 CENTROIDS = 64
@@ -39,6 +40,7 @@ FIT_ROWS = 16_384
 SHARE = 0.55
 ENTRIES = 8_192
 QUERIES = 4_096
+TRAVERSED = 256
 
 
 def k_means(x: np.ndarray, k: int, seed: int, rounds: int = 12) -> np.ndarray:
@@ -149,12 +151,17 @@ def nearest_neighbours(df: DataFrame, asks: Column, key: str = "vec_id", vector:
                      F.col(vector).cast("array<double>").alias("v")).where("id IS NOT NULL")
     fine = rows.where(F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
                       & F.exists("v", lambda x: x != 0))
-    common = fine.groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), "n").first()
-    if common is None:
+    lengths = fine.groupBy(F.size("v").alias("n")).count().orderBy("n").collect()
+    if not lengths:
         return spark.createDataFrame([], result)
-    dim = common["n"]
+    found = [_of_length(fine.where(F.size("v") == r.n), r.n, r["count"], k, centroids, share, fit_rows) for r in lengths]
+    return functools.reduce(DataFrame.unionByName, found)
+
+
+def _of_length(rows: DataFrame, dim: int, total: int, k: int, centroids: int, share: float, fit_rows: int) -> DataFrame:
+    spark = rows.sparkSession
     half = dim // 2
-    fitted = sample(fine.where(F.size("v") == dim), "id", fit_rows, common["count"]).select("v").toArrow()
+    fitted = sample(rows, ["id", "v"], fit_rows, total).select("v").toArrow()
     (_, _, x), = by_length(fitted["v"])
     books = [k_means(x[:, :half], centroids, 1), k_means(x[:, half:], centroids, 2)]
     index = cut(rows.mapInArrow(_assign(dim, books), "id long, asks boolean, v array<double>, u int, w int"))
@@ -163,8 +170,10 @@ def nearest_neighbours(df: DataFrame, asks: Column, key: str = "vec_id", vector:
     counts = np.zeros((len(books[0]), len(books[1])), np.int64)
     counts[cells["u"].to_numpy(), cells["w"].to_numpy()] = cells["count"].to_numpy()
     wanted = max(share * counts.sum(), k + 1)
-    asked = index.where("asks").groupBy("id").agg(F.min("v").alias("v"))
-    n_blocks = F.lit(max(1, -(-index.where("asks").count() // QUERIES)))
+    n_asked = index.where("asks").count()
+    # Few bytes, much work: the traversal is dealt by the number of queries.
+    asked = index.where("asks").groupBy("id").agg(F.min("v").alias("v")).repartition(pieces(n_asked, TRAVERSED), "id")
+    n_blocks = F.lit(pieces(n_asked, QUERIES))
     per = spark.createDataFrame([(u, max(1, -(-int(n) // ENTRIES))) for u, n in enumerate(counts.sum(axis=1))],
                                 "u int, chunks int")
     visits = asked.mapInArrow(_visits(dim, books, counts, wanted), "id long, v array<double>, u int, mask binary")

@@ -6,7 +6,8 @@ window, the one with the least hash stands for it, so equal windows have
 equal, equally placed short ones.  Only full windows whose short window
 repeats go on to the next level, where the short length is doubled; the last
 doubling (two halves that may overlap) reaches the full window, all of whose
-survivors are compared by 128-bit fingerprints of their words.  The levels
+survivors are compared by 128-bit fingerprints: two hashes of every word, each
+of whole words by mixed steps of eight bytes, joined with two bases.  The levels
 end early where no candidates survive.  Words are removed where a repeated
 window covers them; windows are judged on the input.
 
@@ -17,8 +18,6 @@ another place where its windows start; other columns pass through.
 
 from __future__ import annotations
 
-import functools
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -28,23 +27,10 @@ from visitlens.llm.common import pieces, row_bytes
 
 WINDOW = 35
 BLOCK_BYTES = 4 << 20
-_BYTE = 0x9E3779B97F4A7C15
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 
 
-@functools.lru_cache(4)
-def _powers(n: int, base: int) -> np.ndarray:
-    out = np.empty(n, np.uint64)
-    out[0] = 1
-    size = 1
-    while size < n:
-        more = min(size, n - size)
-        out[size:size + more] = out[:more] * np.uint64(pow(base, size, 1 << 64))
-        size += more
-    return out
-
-
 def word_units(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Starts, ends and hashes of the words of joined texts, and the number
     of the first word of each text (with the total at the end)."""
@@ -54,12 +40,7 @@ def word_units(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     edge[offsets] = True
     starts = np.flatnonzero(inside[1:-1] & (~inside[:-2] | edge[:-1]))
     ends = np.flatnonzero(inside[1:-1] & (~inside[2:] | edge[1:])) + 1
-    size = 1 << max(20, int(len(data)).bit_length())
-    up, down = _powers(size, _BYTE), _powers(size, pow(_BYTE, -1, 1 << 64))
-    total = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[: len(data)], out=total[1:])
-    units = fp.mix64((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64))
-    return starts, ends, units, np.searchsorted(starts, offsets)
+    return starts, ends, fp.hash_runs(data, starts, ends), np.searchsorted(starts, offsets)
 
 
 def gram_lengths(window: int) -> list[int]:
@@ -101,7 +82,8 @@ class _Block:
         for chunk, alive in zip(self.chunks, self.alive, strict=True):
             if alive.any():
                 one.append(fp.window_hash(chunk[6], self.window)[alive])
-                two.append(fp.window_hash(chunk[6], self.window, 1)[alive])
+                again = fp.hash_runs(chunk[2], chunk[4], chunk[5], True)
+                two.append(fp.window_hash(again, self.window, 1)[alive])
         h, g = np.concatenate(one), np.concatenate(two)
         order = np.lexsort((g, h))
         h, g = h[order], g[order]

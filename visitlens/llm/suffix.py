@@ -32,8 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from visitlens.llm import fingerprints as fp
-from visitlens.llm.common import pieces, text_bytes
-from visitlens.llm.substring import _powers
+from visitlens.llm.common import pieces, release, row_bytes
 
 LENGTH = 50
 GRAM = 20
@@ -42,7 +41,6 @@ PIECE_WINDOWS = 64
 BLOCK_BYTES = 4 << 20
 SORT_BYTES = 1 << 20
 _LAST = np.iinfo(np.int64).max
-_BASE = 0xA24BAED4963EE407
 
 
 def suffix_array(text: np.ndarray, depth: int | None = None) -> np.ndarray:
@@ -216,13 +214,8 @@ class _Block:
             width = np.minimum(np.repeat(ends, n) - start, PIECE_WINDOWS)
             if not len(start):
                 continue
-            power = 1 << max(20, int(len(data)).bit_length())
-            up, down = _powers(power, _BASE), _powers(power, pow(_BASE, -1, 1 << 64))
-            total = np.zeros(len(data) + 1, np.uint64)
-            np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[: len(data)], out=total[1:])
-            stop = start + width + length - 1
             v.append(low[start])
-            h.append(fp.mix64((total[stop] - total[start]) * down[start] + width.astype(np.uint64)))
+            h.append(fp.hash_runs(data, start, start + width + length - 1))
             size.append(width)
             owner.append(self.keys[row(start)])
             place.append(np.stack([np.full(len(start), i), start], 1))
@@ -426,27 +419,35 @@ def _kept(t: pa.Table, r: pa.Table, length: int, buckets: int):
 
 
 def remove_earlier(df: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH,
-                   block_bytes: int = BLOCK_BYTES, as_text: bool = False, hot: int = HOT) -> DataFrame:
+                   block_bytes: int = BLOCK_BYTES, as_text: bool = False, hot: int = HOT, with_spans: bool = True) -> DataFrame:
     """row (all columns but the text), n_bytes, n_removed, n_spans, spans
-    (from and to of the removed runs, one after another) and kept (bytes, or
-    with ``as_text`` a string without the characters that a cut parts)."""
-    blocks = pieces(text_bytes(df, text), block_bytes)
-    docs, names = fp.dealt(df, text, key, blocks)
+    (from and to of the removed runs, one after another; null where not asked
+    for) and kept (bytes, or with ``as_text`` a string without the characters
+    that a cut parts)."""
+    blocks = pieces(df.agg(F.sum(row_bytes(text))).first()[0] or 0, block_bytes)
+    docs, names = fp.dealt(df, text, key, blocks, block_bytes)
 
     def hashes(k, t):
-        return fp.sent(k[0].as_py(), 0, _Block(t, length, blocks).send_hashes())
+        out = fp.sent(k[0].as_py(), 0, _Block(t, length, blocks).send_hashes())
+        release()
+        return out
 
     def windows(k, t, r):
         block = _Block(t, length, blocks)
         block.classify(fp.bodies(r, 0))
         number = k[0].as_py()
-        return pa.concat_tables([fp.sent(number, 1, block.send_pieces()), fp.sent(number, 2, block.send_hot())])
+        out = pa.concat_tables([fp.sent(number, 1, block.send_pieces()), fp.sent(number, 2, block.send_hot())])
+        del block
+        release()
+        return out
 
     def answer_hashes(t):
         return _answer_hashes(t, hot)
 
     def answer(k, t):
-        return _answer_pieces(t, length) if k[0].as_py() == 1 else _answer_hot(t)
+        out = _answer_pieces(t, length) if k[0].as_py() == 1 else _answer_hot(t)
+        release()
+        return out
 
     carried = [f"c{i}" for i, c in enumerate(names) if c != text]
 
@@ -454,10 +455,11 @@ def remove_earlier(df: DataFrame, key: str = "doc_id", text: str = "text", lengt
         n_bytes, n_removed, n_spans, kept, spans = _kept(t, r, length, blocks)
         out = t.select(carried)
         for name, values in (("n_bytes", n_bytes), ("n_removed", n_removed), ("n_spans", n_spans),
-                             ("spans", pa.array([s.tolist() for s in spans], pa.list_(pa.int64()))),
+                             ("spans", pa.array(spans if with_spans else [None] * t.num_rows, pa.list_(pa.int64()))),
                              ("kept", pa.array([x.decode(errors="ignore") for x in kept], pa.string()) if as_text
                               else pa.array(kept, pa.binary()))):
             out = out.append_column(name, values)
+        release()
         return out
 
     first = docs.groupBy("block").applyInArrow(hashes, fp.SENT).groupBy("bucket").applyInArrow(

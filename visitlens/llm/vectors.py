@@ -25,6 +25,14 @@ def by_length(column: pa.Array) -> list[tuple[int, np.ndarray, np.ndarray]]:
     return [x for x in out if len(x[1])]
 
 
+def levelled(matrix: np.ndarray) -> np.ndarray:
+    """Rows times a power of two that brings their largest component to
+    [0.5, 1): directions stay as they are, and squares of very large or very
+    small components neither overflow nor vanish."""
+    _, exponent = np.frexp(np.abs(matrix).max(axis=1, initial=0))
+    return np.ldexp(matrix, -exponent[:, None])
+
+
 def lists(matrix: np.ndarray) -> pa.Array:
     ends = np.arange(len(matrix) + 1, dtype=np.int32) * (matrix.shape[1] if matrix.ndim == 2 else 0)
     return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(np.ascontiguousarray(matrix).ravel()))
