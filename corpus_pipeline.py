@@ -8,7 +8,7 @@ return the columns of ``documents``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from visitlens.llm import bpe, language, minmax, mixing, suffix
 from visitlens.llm.common import table
@@ -28,24 +28,34 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return told.where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SCORE)).select("row.*")
 
 
+def _node() -> Column:
+    """A number for each document, in the order of doc_id: rows that share
+    an id but hold another text are documents of their own."""
+    wide = lambda c: c.cast("decimal(38,0)")
+    texts = 1 << 60
+    return wide(F.col("doc_id").cast("long")) * F.lit(texts).cast("decimal(19,0)") + wide(
+        F.pmod(F.xxhash64("text"), F.lit(texts)))
+
+
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates, that of the smallest
-    doc_id; of rows that repeat it, the one with the smallest text.  Rows
-    without a doc_id stay."""
-    found = minmax.near_duplicates(docs, percent=SIMILAR_PERCENT)
-    kept = found.where("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
-    one = Window.partitionBy("doc_id").orderBy(F.col("text").asc_nulls_last(), "lang", "source")
-    nth = "_nth"
-    while nth in docs.columns:
-        nth += "_"
-    first = docs.join(kept, "doc_id", "left_semi").withColumn(nth, F.row_number().over(one)).where(F.col(nth) == 1)
+    doc_id.  A row is a document: of rows that share a doc_id only those with
+    one text are the same, and one of them stays.  Rows without a doc_id
+    stay."""
+    node, nth = "_node", "_nth"
+    while {node, nth} & set(docs.columns):
+        node, nth = node + "_", nth + "_"
+    known = docs.where("doc_id IS NOT NULL").withColumn(node, _node())
+    kept = minmax.near_duplicates(known, key=node, percent=SIMILAR_PERCENT).where("kept").select(node).distinct()
+    one = Window.partitionBy(node).orderBy("lang", "source")
+    first = known.join(kept, node, "left_semi").withColumn(nth, F.row_number().over(one)).where(F.col(nth) == 1)
     return first.select(docs.columns).unionByName(docs.where("doc_id IS NULL"))
 
 
 def drop_repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the strings of 50 bytes that a document with a smaller
     doc_id holds; a character that a cut parts goes whole."""
-    done = suffix.remove_earlier(docs, as_text=True)
+    done = suffix.remove_earlier(docs, as_text=True, with_spans=False)
     columns = {c: F.col(f"row.`{c}`") for c in docs.columns if c != "text"} | {"text": F.col("kept")}
     if "n_chars" in columns:
         columns["n_chars"] = F.char_length("kept").cast(dict(docs.dtypes)["n_chars"])
