@@ -61,7 +61,7 @@ def application_shaped_run(spark, sf_dir: str) -> None:
     )
     sessions.count()
     sessions.take(10)
-    kept = attach_users(sessions, users(spark, sf_dir)).filter(session_filter(params, flags=True))
+    kept = attach_users(sessions, users(spark, sf_dir)).filter(session_filter(params))
     kept.count()
     kept.take(10)
     aggr_stat(kept).collect()

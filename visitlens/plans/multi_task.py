@@ -1,29 +1,37 @@
 """Many tasks in one job: one statistics row per task.
 
 The analysed application runs one job per task.  Here a whole task table
-is matched against the log at once, on one path for every size:
-
-1. The log is cut to the union of all task ranges: ranges are merged to
-   disjoint spans first, and the scan gets exactly these (no envelope).
-2. Actions are pre-aggregated per (session, day): min / max / count are
-   combinable, and every task range is a whole number of days, so these
-   partials are all a task needs.  A hot session or day reaches its reducer
-   pre-combined.  Listed keywords and categories get numbers by a join with
-   the tasks' own (short) lists and ride along in the same aggregate as
-   bits, 64 to a column, however many there are.
-3. A second roll-up gives one row per session with its totals and its day
-   partials (at most one per day that a task asks for), and users are
-   joined once per session.
-4. Only then sessions meet the ranges, by day: a session goes to a range at
-   its first day in it, so each pair arises once.  A range that holds all of
-   a session's days takes its totals; one that cuts it folds the partials.
-   From here on rows are only counted: the shuffle carries sessions, not
-   sessions x ranges.
-5. Counters per task; a zero row per task is unioned in first, so a task
+is matched against the log at once, in one pass over it:
+
+1. The bounds of all task ranges cut the calendar into pieces; every range
+   is a whole number of pieces.  The scan gets the spans of days that any
+   task asks for.
+2. Actions are pre-aggregated per (session, piece): min / max / count are
+   combinable.  Listed keywords and categories ride along in long form, as
+   rows (session, piece, value) of the same aggregate, so neither a session
+   nor the plan grows with the number of listed values.  This is the one
+   exchange of the log before the users are joined, and both it and the
+   next carry combined rows only: dealing raw actions by session once would
+   save an exchange and lose the map-side combine that a hot session needs.
+3. Users are joined, and the combined rows are dealt by session.  Nothing
+   after this point leaves its task before it is counted.
+4. A session in one piece (nearly all) is whole in every range that holds
+   it: it becomes a cell (piece, user attributes, buckets), no row per range.
+   Only sessions that a range's bound cuts meet every task, and only listed
+   values meet the tasks that list them (posting lists, broadcast).  These
+   rows are folded per (session, task) in place.
+5. Cells and folded rows are counted where they are, so the exchange that
+   follows carries counts, never pairs of a session and a range.  Cells meet
+   the tasks without lists last.  A zero row per task is added, so a task
    with no session still gets its row (count 0, NULL ratios).
 
+Tasks are broadcast where their texts hold at most TASK_BYTES together (the
+sum is taken first); beyond it the same joins shuffle.
+
 Rows whose date text is no date are rejected here as in the single-task job
-(see sources.tables.layout_audit for their count).
+(see sources.tables.layout_audit for their count).  Tasks without a valid
+range or with a repeated id stop the job, or are left out with
+``bad_tasks="skip"`` and told by sources.tasks.rejected_tasks.
 """
 
 from __future__ import annotations
@@ -33,28 +41,29 @@ import json
 from operator import or_
 from types import SimpleNamespace
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from visitlens.functions.dates import seconds_between
 from visitlens.functions.strings import empty_to_null
 from visitlens.operators.filters import day_range_on, placed_on_a_day, raw_cut_column
-from visitlens.operators.sessions import attach_users
-from visitlens.operators.stats import STAT_COLUMNS, counter_aggs, ratio_columns
-from visitlens.sources.tasks import parse_tasks
+from visitlens.operators.stats import STAT_COLUMNS, STEP_BUCKETS, VISIT_BUCKETS, in_bucket, ratio_columns
+from visitlens.sources.tasks import parse_tasks, task_problem
 
-# Bits of one bigint.
-WORD = 64
-# Listed values of so many bytes are sent to all executors; longer lists
-# are joined by shuffle.  Either way the rows are the same.
-LISTED_BYTES = 32 * 2**20
+# Task texts of so many bytes are sent to all executors.
+TASK_BYTES = 32 * 2**20
+# So many spans at most reach the scan; beyond it the smallest gaps between
+# them are read too, and the days of the pieces decide.
+SPANS = 64
+ATTRIBUTES = ("age", "professional", "city", "sex")
+_DAY = dt.timedelta(days=1)
 
 
 def task_facts(parsed: DataFrame) -> SimpleNamespace:
     """What the plan is built from, read in one small job over the task
-    table: counts, the disjoint spans of days that any task asks for, and
-    the listed keywords and categories.  All of it is what analysts wrote
-    into tasks; none grows with the log."""
+    table: counts, bytes, the disjoint spans of days that any task asks for
+    and the bounds of the ranges (at most one a day).  None grows with the
+    log."""
     ranges = parsed.select("start_date", "end_date").where("start_date < end_date").distinct()
     before = Window.orderBy("start_date", "end_date").rowsBetween(Window.unboundedPreceding, -1)
     reach = F.max("end_date").over(before)
@@ -62,19 +71,21 @@ def task_facts(parsed: DataFrame) -> SimpleNamespace:
     upto = Window.orderBy("start_date", "end_date").rowsBetween(Window.unboundedPreceding, 0)
     spans = fresh.withColumn("span", F.sum("fresh").over(upto)).groupBy("span").agg(
         F.min("start_date").alias("lo"), F.max("end_date").alias("hi"))
+    bounds = ranges.select(F.explode(F.array("start_date", "end_date")).alias("day")).distinct()
     profile = parsed.agg(
         F.count(F.lit(1)).alias("n_tasks"), F.count_distinct("task_id").alias("n_ids"),
-        F.count_if(F.col("start_date").isNull() | F.col("end_date").isNull()).alias("n_undated"))
+        F.count_if(F.col("start_date").isNull() | F.col("end_date").isNull()).alias("n_undated"),
+        F.coalesce(F.sum(F.octet_length("task_param")), F.lit(0)).alias("n_bytes"),
+        F.count_if(F.col("keywords").isNotNull()).alias("n_kw"), F.count_if(F.col("category_ids").isNotNull()).alias("n_cat"))
     rows = (
         profile.select(F.lit("profile").alias("kind"), F.to_json(F.struct("*")).alias("v"))
         .unionByName(spans.select(F.lit("span").alias("kind"),
                                   F.concat_ws("|", F.col("lo").cast("string"), F.col("hi").cast("string")).alias("v")))
-        .unionByName(parsed.select(F.lit("kw").alias("kind"), F.explode("keywords").alias("v")).distinct())
-        .unionByName(parsed.select(F.lit("cat").alias("kind"), F.explode("category_ids").alias("v")).distinct())
+        .unionByName(bounds.select(F.lit("bound").alias("kind"), F.col("day").cast("string").alias("v")))
     ).collect()
     of = lambda kind: sorted(r.v for r in rows if r.kind == kind)
     return SimpleNamespace(
-        **json.loads(of("profile")[0]), vocab={k: of(k) for k in ("kw", "cat")},
+        **json.loads(of("profile")[0]), bounds=[dt.date.fromisoformat(v) for v in of("bound")],
         spans=[tuple(dt.date.fromisoformat(x) for x in v.split("|")) for v in of("span")])
 
 
@@ -86,159 +97,193 @@ def _balanced(conds: list[Column]) -> Column:
     return conds[0]
 
 
+def _fewer(spans, most: int = SPANS):
+    """At most ``most`` spans, the smallest gaps between them closed."""
+    gaps = sorted(range(1, len(spans)), key=lambda i: spans[i][0] - spans[i - 1][1])
+    closed = set(gaps[:max(0, len(spans) - most)])
+    out = []
+    for i, (lo, hi) in enumerate(spans):
+        if i in closed:
+            out[-1] = (out[-1][0], hi)
+        else:
+            out.append((lo, hi))
+    return out
+
+
 def _cut_log(action_log: DataFrame, spans, cut_col: str | None) -> DataFrame:
     """The log cut to the spans on the raw column, pushed to the scan, so
     row groups and partitions between them are skipped."""
     if not spans:
         return action_log.filter(F.lit(False))
     col = cut_col or raw_cut_column(action_log)
-    return action_log.filter(_balanced([day_range_on(action_log, col, lo, hi) for lo, hi in spans])
+    return action_log.filter(_balanced([day_range_on(action_log, col, lo, hi) for lo, hi in _fewer(spans)])
                              & placed_on_a_day(action_log))
 
 
-def _words(kind: str, vocab: dict) -> list[str]:
-    return [f"{kind}_{w}" for w in range(-(-len(vocab[kind]) // WORD))]
-
-
-def _bit(number: Column, word: int) -> Column:
-    """The bit of a listed value's number within one word, else 0."""
-    one = F.expr("shiftleft(1L, 0)")
-    own = (number >= word * WORD) & (number < (word + 1) * WORD)
-    return F.when(own, F.call_function("shiftleft", one, (number % WORD).cast("int"))).otherwise(F.lit(0).cast("bigint"))
-
-
-def _numbered(log: DataFrame, kind: str, value: Column, vocab: dict) -> DataFrame:
-    """The log with the number of its listed value (NULL for others)."""
-    if not vocab[kind]:
-        return log
-    listed = log.sparkSession.createDataFrame(
-        list(enumerate(vocab[kind])), f"{kind}_no int, {kind}_listed string")
-    # The list is here already, so its size is known, not estimated.
-    if sum(len(v.encode()) for v in vocab[kind]) <= LISTED_BYTES:
-        listed = F.broadcast(listed)
-    keyed = log.withColumn(f"{kind}_value", value)
-    return keyed.join(listed, F.col(f"{kind}_value") == F.col(f"{kind}_listed"), "left")
-
-
-def session_days(log: DataFrame, vocab: dict, by_user: bool = False) -> DataFrame:
-    """One row per session: user, totals, first and last day, the words of
-    listed values that it used, and ``days``, its partials by day."""
-    log = _numbered(log, "kw", empty_to_null("search_keyword"), vocab)
-    log = _numbered(log, "cat", F.col("click_category_id").cast("string"), vocab)
-    words = _words("kw", vocab) + _words("cat", vocab)
-    # by_user: key sessions by (user, session), see session_rollup
-    user_agg = [] if by_user else [F.min("user_id").alias("uid")]
+def pieces_of(spark: SparkSession, facts: SimpleNamespace) -> DataFrame:
+    """Every day that a task asks for (day) and the first day of its piece
+    (piece): at most one row a day of the calendar."""
+    ends = {hi for _, hi in facts.spans}
+    cuts = [(a, b) for a, b in zip(facts.bounds, facts.bounds[1:], strict=False) if a not in ends]
+    rows = spark.createDataFrame(cuts, "piece date, upto date")
+    return rows.select(F.explode(F.sequence("piece", F.date_sub("upto", 1))).alias("day"), "piece")
+
+
+def listed_values(tasks: DataFrame, kind: str, column: str) -> DataFrame:
+    """The posting list of a task column: value, task_id and its range."""
+    return tasks.where("start_date < end_date").select(
+        F.lit(kind).alias("kind"), F.explode(column).alias("value"), "task_id", "start_date", "end_date").distinct()
+
+
+def session_pieces(log: DataFrame, pieces: DataFrame, listed: dict[str, DataFrame], by_user: bool, small: bool) -> DataFrame:
+    """Combined rows of sessions: per piece one of kind ``all`` with user,
+    first and last time and steps, and one per listed value (``kw`` or
+    ``cat``) that was used in it."""
+    placed = log.join(F.broadcast(pieces), F.col("action_date") == F.col("day"))
+    used = [F.struct(F.lit("all").alias("kind"), F.lit("").alias("value"))]
+    for kind, value in (("kw", empty_to_null("search_keyword")), ("cat", F.col("click_category_id").cast("string"))):
+        if kind in listed:
+            values = listed[kind].select(F.col("value").alias(f"{kind}_listed")).distinct()
+            placed = placed.withColumn(f"{kind}_value", value).join(
+                F.broadcast(values) if small else values, F.col(f"{kind}_value") == F.col(f"{kind}_listed"), "left")
+            used.append(F.when(F.col(f"{kind}_listed").isNotNull(),
+                               F.struct(F.lit(kind).alias("kind"), F.col(f"{kind}_listed").alias("value"))))
     key = ["user_id", "session_id"] if by_user else ["session_id"]
-    bits = [F.bit_or(_bit(F.col(f"{k}_no"), w)).alias(f"{k}_{w}")
-            for k in ("kw", "cat") for w in range(len(_words(k, vocab)))]
-    daily = log.groupBy(*key, "action_date").agg(
-        *user_agg, F.min("action_time").alias("lo"), F.max("action_time").alias("hi"),
-        F.count(F.lit(1)).alias("steps"), *bits)
-    uid = [] if by_user else ["uid"]
-    part = F.struct(F.col("action_date").alias("day"), "lo", "hi", "steps", *uid, *words)
-    sessions = daily.groupBy(*key).agg(
-        *[F.min("uid").alias("uid") for _ in uid], F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.sum("steps").alias("steps"),
-        F.min("action_date").alias("first_day"), F.max("action_date").alias("last_day"),
-        *[F.bit_or(w).alias(w) for w in words],
-        F.sort_array(F.collect_list(part)).alias("days"))
-    if by_user:
-        return sessions
-    # A session that several users share belongs, in each range, to the
-    # smallest of them there: one row for each that can be.
-    own = F.array_distinct(F.transform("days", lambda d: d["uid"]))
-    return sessions.withColumn("user_id", F.explode(own))
-
-
-def sessions_in_ranges(sessions: DataFrame, ranges: DataFrame, words: list[str], by_user: bool) -> DataFrame:
-    """Every session in every range that holds one of its days: range, user
-    attributes, visit_length, step_length and words, without a shuffle of
-    the pairs."""
-    days = ranges.select("start_date", "end_date", F.explode(
-        F.sequence("start_date", F.date_sub("end_date", 1))).alias("day"))
-    entries = F.transform("days", lambda d, i: F.struct(
-        d["day"].alias("day"), F.when(i > 0, F.get(F.col("days"), i - 1)["day"]).alias("before")))
-    met = sessions.withColumn("entry", F.explode(entries)).select("*", "entry.day", "entry.before").drop("entry")
-    pairs = met.join(days, "day").where(F.col("before").isNull() | (F.col("before") < F.col("start_date")))
-    whole = (F.col("start_date") <= F.col("first_day")) & (F.col("last_day") < F.col("end_date"))
-    inside = F.filter("days", lambda d: (d["day"] >= F.col("start_date")) & (d["day"] < F.col("end_date")))
-    field = lambda name: F.transform(inside, lambda d: d[name])
-    zero = F.lit(0).cast("bigint")
-    folded = {"lo": F.array_min(field("lo")), "hi": F.array_max(field("hi")),
-              "steps": F.aggregate(field("steps"), zero, lambda a, x: a + x)}
-    if not by_user:
-        folded["uid"] = F.array_min(field("uid"))
-    folded |= {w: F.aggregate(field(w), zero, lambda a, x: a.bitwiseOR(x)) for w in words}
-    got = pairs.select("start_date", "end_date", "user_id", "age", "professional", "city", "sex",
-                       *[F.when(whole, F.col(n)).otherwise(x).alias(n) for n, x in folded.items()])
-    if not by_user:
-        got = got.where("uid = user_id")
-    return got.withColumn("visit_length", seconds_between("lo", "hi")).withColumnRenamed("steps", "step_length")
-
-
-def _wanted(column: str, kind: str, vocab: dict) -> list[Column]:
-    """Words of a task's list."""
-    if not vocab[kind]:
-        return []
-    known = F.array(*[F.lit(v) for v in vocab[kind]])
-    numbers = F.transform(F.coalesce(F.col(column), F.array().cast("array<string>")),
-                          lambda v: (F.array_position(known, v) - 1).cast("int"))
-
-    def bits(word: int):
-        return lambda n: _bit(n, word)
-
-    return [F.aggregate(F.transform(numbers, bits(w)), F.lit(0).cast("bigint"),
-                        lambda a, x: a.bitwiseOR(x)).alias(f"p_{kind}_{w}") for w in range(len(_words(kind, vocab)))]
-
-
-def _hit(kind: str, vocab: dict) -> Column:
-    hits = [F.col(w).bitwiseAND(F.col(f"p_{w}")) != 0 for w in _words(kind, vocab)]
-    return _balanced(hits) if hits else F.lit(False)
-
-
-def _task_conditions(vocab: dict) -> Column:
-    p = F.col
-    age = p("p_start_age").isNull() | p("p_end_age").isNull() | p("age").between(p("p_start_age"), p("p_end_age"))
-    prof = p("p_professionals").isNull() | F.array_contains(p("p_professionals"), p("professional"))
-    city = p("p_cities").isNull() | F.array_contains(p("p_cities"), p("city"))
-    sex = p("p_sex").isNull() | (p("sex") == p("p_sex"))
-    kw = p("p_keywords").isNull() | _hit("kw", vocab)
-    cat = p("p_category_ids").isNull() | _hit("cat", vocab)
-    return age & prof & city & sex & kw & cat
+    rows = placed.select("user_id", "session_id", "piece", "action_time", F.explode(F.array(*used)).alias("used")).where(
+        "used IS NOT NULL").select("user_id", "session_id", "piece", "action_time", "used.kind", "used.value")
+    whole = F.col("kind") == "all"
+    aggs = [] if by_user else [F.min("user_id").alias("uid")]
+    return rows.groupBy(*key, "piece", "kind", "value").agg(
+        *aggs, F.min(F.when(whole, F.col("action_time"))).alias("lo"), F.max(F.when(whole, F.col("action_time"))).alias("hi"),
+        F.count_if(whole).alias("steps"))
+
+
+def with_users(rows: DataFrame, users: DataFrame, by_user: bool, profession_from_city: bool) -> DataFrame:
+    """User attributes and whether the user is known.  Unknown users stay:
+    a session belongs to the smallest user in a range, known or not."""
+    prof = F.col("city") if profession_from_city else F.col("professional")
+    attrs = users.select(F.col("user_id").alias("u_id"), "age", prof.alias("professional"), "city", "sex",
+                         F.lit(True).alias("known"))
+    uid = "user_id" if by_user else "uid"
+    joined = rows.join(attrs, F.col(uid) == F.col("u_id"), "left").drop("u_id")
+    return joined.withColumn("uid", F.col(uid)) if by_user else joined
+
+
+def _wanted(p: str = "p_") -> Column:
+    """A task's conditions on the user."""
+    def c(name: str) -> Column:
+        return F.col(p + name)
+
+    age = c("start_age").isNull() | c("end_age").isNull() | F.col("age").between(c("start_age"), c("end_age"))
+    prof = c("professionals").isNull() | F.array_contains(c("professionals"), F.col("professional"))
+    city = c("cities").isNull() | F.array_contains(c("cities"), F.col("city"))
+    sex = c("sex").isNull() | (F.col("sex") == c("sex"))
+    return F.coalesce(age & prof & city & sex & F.col("known"), F.lit(False))
+
+
+def _bucket(col: str, buckets) -> Column:
+    """Number of the bucket, -1 for none."""
+    number = F.lit(-1)
+    for i, (_, lo, hi) in reversed(list(enumerate(buckets))):
+        number = F.when(in_bucket(col, lo, hi), i).otherwise(number)
+    return number
+
+
+def folded(rows: DataFrame, asked: DataFrame, key: list[str]) -> DataFrame:
+    """Sessions as cells (task_id NULL: piece and user attributes) where one
+    piece holds them, else folded per task; visit and step buckets, whether
+    the task's lists are hit, and whether the user fits (NULL in cells and
+    in rows with attributes: not decided yet).  All in place: rows are dealt
+    by session already, and stay so."""
+    session = Window.partitionBy(*key)
+    whole = F.col("kind") == "all"
+    only = {c: F.max(F.when(whole, F.col(c))).over(session) for c in ("lo", "hi", "steps", *ATTRIBUTES, "known")}
+    many = (F.count_if(whole).over(session) > 1).alias("many")
+    told = rows.select(*key, "piece", "kind", "value", "uid", "lo", "hi", "steps", *ATTRIBUTES, "known", many,
+                       *[c.alias(f"only_{n}") for n, c in only.items()])
+    met = told.join(asked, (F.col("kind") == F.col("p_kind")) & (F.col("value") == F.col("p_value"))
+                    & (F.col("piece") >= F.col("p_start_date")) & (F.col("piece") < F.col("p_end_date"))
+                    & (F.col("many") | (F.col("kind") != "all")), "left")
+    met = met.where(F.col("p_task_id").isNotNull() | (whole & ~F.col("many")))
+    # The user of a cut session in a range is the smallest there; whether it
+    # fits rides in the last bit.
+    fits = F.when(whole & F.col("many"), F.col("uid").cast("decimal(21,0)") * F.lit(2).cast("decimal(1,0)")
+                  + F.when(_wanted(), 0).otherwise(1).cast("decimal(1,0)"))
+    single = lambda c: F.when(~F.col("many"), F.col(f"only_{c}"))
+    times = {c: F.coalesce(single(c), F.when(whole, F.col(c))) for c in ("lo", "hi", "steps")}
+    rows = met.select(
+        *key, "many", F.col("p_task_id").alias("task_id"), F.when(F.col("p_task_id").isNull(), F.col("piece")).alias("cell"),
+        *[single(c).alias(c) for c in (*ATTRIBUTES, "known")], *[c.alias(n) for n, c in times.items()],
+        fits.alias("fits"), "kind")
+    one = rows.groupBy(*key, "many", "task_id", "cell", *ATTRIBUTES, "known").agg(
+        F.min("lo").alias("lo"), F.max("hi").alias("hi"),
+        F.when(F.col("many"), F.sum("steps")).otherwise(F.max("steps")).alias("step_length"), F.min("fits").alias("fits"),
+        F.max(F.col("kind") == "kw").alias("kw_hit"), F.max(F.col("kind") == "cat").alias("cat_hit"))
+    one = one.withColumn("visit_length", seconds_between("lo", "hi"))
+    return one.select(
+        "task_id", "cell", *ATTRIBUTES, "known", "kw_hit", "cat_hit",
+        F.when(F.col("many"), F.coalesce(F.pmod("fits", F.lit(2)) == 0, F.lit(False))).alias("fit"),
+        _bucket("visit_length", VISIT_BUCKETS).alias("visit"), _bucket("step_length", STEP_BUCKETS).alias("step"))
 
 
 def multi_task_stats(action_log: DataFrame, user_dim: DataFrame, tasks: DataFrame,
                      cut_col: str | None = None, by_user: bool = False,
-                     profession_from_city: bool = False) -> DataFrame:
+                     profession_from_city: bool = False, bad_tasks: str = "raise") -> DataFrame:
     """task_id, session_count and the 15 ratios, one row per task.
 
     ``cut_col`` names the raw column the date cut is stated on (default:
     ``ts``, else ``date``, else ``action_date``; see raw_cut_column).
     ``by_user`` keys sessions by (user, session) (see session_rollup).
     ``profession_from_city`` reproduces the application's profession
-    attribute (see attach_users)."""
+    attribute (see attach_users).  ``bad_tasks`` is ``raise`` or ``skip``."""
+    if bad_tasks not in ("raise", "skip"):
+        raise ValueError(f"unknown bad_tasks {bad_tasks!r}")
     parsed = parse_tasks(tasks)
+    if bad_tasks == "skip":
+        parsed = parsed.withColumn("problem", task_problem()).where("problem IS NULL").drop("problem")
     facts = task_facts(parsed)
     if facts.n_undated:
         raise ValueError(f"{facts.n_undated} task(s) without a valid startDate / endDate")
     if facts.n_ids != facts.n_tasks:
         raise LookupError(f"task ids are not unique ({facts.n_tasks} rows, {facts.n_ids} ids)")
-    vocab = facts.vocab
-    words = _words("kw", vocab) + _words("cat", vocab)
-    counter_names = ["session_count"] + [f"n_{c}" for c in STAT_COLUMNS[1:]]
-    zero_rows = parsed.select("task_id", *[F.lit(0).cast("bigint").alias(n) for n in counter_names])
+    small = facts.n_bytes <= TASK_BYTES
+    sent = F.broadcast if small else (lambda df: df)
+    listed = {}
+    if facts.n_kw:
+        listed["kw"] = listed_values(parsed, "kw", "keywords")
+    if facts.n_cat:
+        listed["cat"] = listed_values(parsed, "cat", "category_ids")
 
     log = _cut_log(action_log, facts.spans, cut_col)
-    sessions = attach_users(session_days(log, vocab, by_user), user_dim, profession_from_city,
-                            keep=[*([] if by_user else ["uid"]), "lo", "hi", "steps", "first_day", "last_day", "days",
-                                  *words])
-    task_side = parsed.where("start_date < end_date").select(
-        "task_id", "start_date", "end_date",
-        *[F.col(c).alias(f"p_{c}") for c in (
-            "start_age", "end_age", "professionals", "cities", "sex", "keywords", "category_ids")],
-        *_wanted("keywords", "kw", vocab), *_wanted("category_ids", "cat", vocab))
-    ranges = parsed.select("start_date", "end_date").where("start_date < end_date").distinct()
-    per_task = sessions_in_ranges(sessions, ranges, words, by_user).join(task_side, ["start_date", "end_date"])
-    kept = per_task.filter(_task_conditions(vocab))
-    counts = kept.groupBy("task_id").agg(*counter_aggs()).select("task_id", *counter_names).unionByName(zero_rows)
-    totals = counts.groupBy("task_id").agg(*[F.sum(n).alias(n) for n in counter_names])
+    key = ["user_id", "session_id"] if by_user else ["session_id"]
+    rows = with_users(session_pieces(log, pieces_of(action_log.sparkSession, facts), listed, by_user, small), user_dim,
+                      by_user, profession_from_city)
+    predicates = ("start_age", "end_age", "professionals", "cities", "sex")
+    dated = parsed.where("start_date < end_date")
+    asked = dated.select(F.lit("all").alias("kind"), F.lit("").alias("value"), "task_id", "start_date", "end_date", *predicates)
+    for values in listed.values():
+        asked = asked.unionByName(values, allowMissingColumns=True)
+    asked = asked.select(*[F.col(c).alias(f"p_{c}") for c in asked.columns])
+    counted = folded(rows, sent(asked), key)
+    counted = counted.groupBy(*counted.columns).agg(F.count(F.lit(1)).alias("n"))
+
+    # Cells meet every task without a list; folded rows their own.
+    needs = [F.col("keywords").isNotNull().alias("p_kw"), F.col("category_ids").isNotNull().alias("p_cat")]
+    own = dated.select("task_id", *[F.col(c).alias(f"p_{c}") for c in ("start_date", "end_date", *predicates)], *needs)
+    own = own.select("*", F.explode(F.array(F.lit(True), F.lit(False))).alias("p_cells")).where(
+        ~(F.col("p_cells") & (F.col("p_kw") | F.col("p_cat")))).withColumn("p_at", F.when(~F.col("p_cells"), F.col("task_id")))
+    at = counted.withColumnRenamed("task_id", "c_task_id").withColumn("cells", F.col("cell").isNotNull())
+    inside = ~F.col("cells") | ((F.col("cell") >= F.col("p_start_date")) & (F.col("cell") < F.col("p_end_date")))
+    met = at.join(sent(own), (F.col("cells") == F.col("p_cells"))
+                  & (F.coalesce("c_task_id", F.lit(0)) == F.coalesce("p_at", F.lit(0))) & inside)
+    hit = (~F.col("p_kw") | F.col("kw_hit")) & (~F.col("p_cat") | F.col("cat_hit"))
+    kept = met.where(hit & F.coalesce("fit", _wanted()))
+    names = ["session_count"] + [f"n_{c}" for c in STAT_COLUMNS[1:]]
+    zero = F.lit(0).cast("bigint")
+    sums = [F.col("n")] + [F.when(F.col(column) == i, F.col("n")).otherwise(zero)
+                           for column, buckets in (("visit", VISIT_BUCKETS), ("step", STEP_BUCKETS))
+                           for i in range(len(buckets))]
+    per = kept.select("task_id", *[c.alias(n) for c, n in zip(sums, names, strict=True)]).unionByName(
+        parsed.select("task_id", *[zero.alias(n) for n in names]))
+    totals = per.groupBy("task_id").agg(*[F.sum(n).alias(n) for n in names])
     return totals.select("task_id", "session_count", *ratio_columns())

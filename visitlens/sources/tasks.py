@@ -20,7 +20,7 @@ import datetime as dt
 import json
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -119,6 +119,21 @@ def parse_tasks(tasks: DataFrame) -> DataFrame:
     )
 
 
+def task_problem() -> Column:
+    """Why a parsed task cannot run, or NULL."""
+    same = F.count(F.lit(1)).over(Window.partitionBy("task_id"))
+    return (F.when(F.col("task_id").isNull(), "no task id")
+            .when(F.col("start_date").isNull() | F.col("end_date").isNull(), "no valid startDate / endDate")
+            .when(same > 1, "task id is not unique"))
+
+
+def rejected_tasks(tasks: DataFrame) -> DataFrame:
+    """task_id, task_name and reason of the tasks that cannot run; all rows
+    of a repeated id are among them, as none of them is the task meant."""
+    return parse_tasks(tasks).withColumn("reason", task_problem()).where("reason IS NOT NULL").select(
+        "task_id", "task_name", "reason")
+
+
 def load_task(tasks: DataFrame, task_id: int) -> TaskParams:
     """Read one task by id (a bounded, one-row read) and return its
     parameters.  Raises LookupError for an unknown id and ValueError when
