@@ -248,3 +248,137 @@ def test_shuffle_does_not_grow_with_the_ranges(spark):
     dealt = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
     assert any("session_id" in line for line in dealt) and any("task_id" in line for line in dealt)
     assert not any("session_id" in line and "start_date" in line for line in dealt)
+
+
+def random_log(rnd, n, sessions, days, words=("a", "b", None), categories=(1, 2, None)):
+    import datetime as dt
+
+    from conftest import action
+    return [action(f"s{rnd.randrange(sessions)}", rnd.randrange(1, 6), rnd.randrange(9000), keyword=rnd.choice(words),
+                   category=rnd.choice(categories), when=dt.datetime(2020, 1, 1, 9) + dt.timedelta(days=rnd.randrange(days)))
+            for _ in range(n)]
+
+
+def test_no_pair_of_session_and_range_is_exchanged(spark):
+    """3,000 ranges, many of which cut sessions: planned in seconds, the same
+    rows, and only (session, piece, value), session, user and counts are
+    dealt."""
+    import datetime as dt
+    import random
+    import time
+
+    from conftest import make_actions, make_users, user
+    rnd = random.Random(7)
+    rows = random_log(rnd, 400, 60, 900)
+    tasks = []
+    for t in range(3000):
+        a = dt.date(2020, 1, 1) + dt.timedelta(days=rnd.randrange(890))
+        p = {"startDate": str(a), "endDate": str(a + dt.timedelta(days=rnd.randrange(0, 400)))}
+        if t % 5 == 0:
+            p["keywords"] = rnd.choice(["a", "b", "a,b", "c"])
+        if t % 7 == 0:
+            p["categoryids"] = rnd.choice(["1", "2", "1,2", "3"])
+        tasks.append((t, "t", task_param_json(**p)))
+    log, dim = make_actions(spark, rows), make_users(spark, [user(i) for i in range(1, 5)])
+    began = time.time()
+    got = multi_task_stats(log, dim, task_table(spark, tasks))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert time.time() - began < 60
+    dealt = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert sum("session_id" in line for line in dealt) == 2
+    first, = [line for line in dealt if "session_id" in line and "piece" in line]
+    assert "value" in first
+    assert not any("start_date" in line or "end_date" in line for line in dealt)
+    assert not any("session_id" in line and "task_id" in line for line in dealt)
+    assert {r.task_id: r.session_count for r in got.collect()} == plain_stats(rows, {1, 2, 3, 4}, tasks, False)
+
+
+def plan_size(df) -> int:
+    return len(df._jdf.queryExecution().optimizedPlan().toString())
+
+
+def test_listed_values_are_rows_not_plan(spark):
+    import random
+
+    from conftest import make_actions, make_users, user
+    rnd = random.Random(3)
+    words = [f"w{i}" for i in range(100_000)]
+    rows = random_log(rnd, 300, 40, 20, words[::1000] + ["other", None], [1, 2, 99_999, None])
+    log, dim = make_actions(spark, rows), make_users(spark, [user(i) for i in range(1, 5)])
+    sizes = []
+    for n in (10, 100_000):
+        tasks = [(t, "t", task_param_json(startDate="2020-01-01", endDate=f"2020-01-{10 + t}",
+                                          keywords=",".join(words[t:n:1 + t]), categoryids=",".join(map(str, range(t, n)))))
+                 for t in range(3)]
+        got = multi_task_stats(log, dim, task_table(spark, tasks))
+        assert {r.task_id: r.session_count for r in got.collect()} == plain_stats(rows, {1, 2, 3, 4}, tasks, False)
+        sizes.append(plan_size(got))
+    # The task table itself is data in the plan; nothing else is larger.
+    assert sizes[1] < 1.2 * sizes[0] + 1000
+
+
+def test_without_broadcast_the_rows_are_the_same(spark, monkeypatch):
+    import random
+
+    from conftest import make_actions, make_users, user
+    from visitlens.plans import multi_task
+    rnd = random.Random(5)
+    rows = random_log(rnd, 200, 30, 15)
+    tasks = [(t, "t", task_param_json(startDate=f"2020-01-{1 + t:02d}", endDate=f"2020-01-{6 + t:02d}",
+                                      **({"keywords": "a,c"} if t % 2 else {}))) for t in range(6)]
+    monkeypatch.setattr(multi_task, "TASK_BYTES", 0)
+    got = multi_task_stats(make_actions(spark, rows), make_users(spark, [user(i) for i in range(1, 5)]), task_table(spark, tasks))
+    assert {r.task_id: r.session_count for r in got.collect()} == plain_stats(rows, {1, 2, 3, 4}, tasks, False)
+
+
+def test_distant_spans_are_joined_beyond_a_number():
+    import datetime as dt
+
+    from visitlens.plans.multi_task import _fewer
+    day = lambda n: dt.date(2020, 1, 1) + dt.timedelta(days=n)
+    spans = [(day(0), day(2)), (day(5), day(6)), (day(7), day(9)), (day(30), day(31))]
+    assert _fewer(spans, 4) == spans
+    assert _fewer(spans, 3) == [spans[0], (day(5), day(9)), spans[3]]
+    assert _fewer(spans, 1) == [(day(0), day(31))]
+
+
+def test_bad_tasks_are_told_and_the_others_run(spark):
+    import random
+
+    from conftest import make_actions, make_users, user
+    from visitlens.plans.multi_task import task_outcomes
+    from visitlens.sources.tasks import rejected_tasks
+    rnd = random.Random(9)
+    rows = random_log(rnd, 200, 30, 15)
+    good = [(t, "t", task_param_json(startDate=f"2020-01-{1 + t % 9:02d}", endDate=f"2020-01-{4 + t % 9:02d}")) for t in range(48)]
+    bad = [(100, "no start", task_param_json(endDate="2020-01-09")), (101, "one", good[0][2]), (101, "two", good[1][2]),
+           (102, "not a date", task_param_json(startDate="2020-02-31", endDate="soon")), (103, "no text", None),
+           (104, "broken text", "{\"startDate\": [")]
+    tasks = task_table(spark, good + bad)
+    log, dim = make_actions(spark, rows), make_users(spark, [user(i) for i in range(1, 5)])
+    with pytest.raises(ValueError):
+        multi_task_stats(log, dim, tasks)
+    stats = multi_task_stats(log, dim, tasks, bad_tasks="skip")
+    told = sorted(tuple(r) for r in rejected_tasks(tasks).select("task_id", "reason").collect())
+    undated = "no valid startDate / endDate"
+    assert told == [(100, undated), (101, "task id is not unique"), (101, "task id is not unique"), (102, undated),
+                    (103, undated), (104, undated)]
+    out = task_outcomes(stats, rejected_tasks(tasks)).collect()
+    assert {r.task_id: r.session_count for r in out if r.outcome == "done"} == plain_stats(rows, {1, 2, 3, 4}, good, False)
+    assert len(out) == 54
+    assert rejected_tasks(task_table(spark, good)).count() == 0
+
+
+def test_job_writes_rejects_beside_the_statistics(spark):
+    import tempfile
+
+    from visitlens import job
+    from visitlens.sources.tasks import TASKS_WITH_BAD_ONES
+    top = tempfile.mkdtemp(prefix="visitlens-rejects-")
+    task_table(spark, TASKS_WITH_BAD_ONES).write.parquet(f"{top}/tasks")
+    args = ["--sf-dir", SF_SMALL, "--tasks", f"{top}/tasks", "--out", f"{top}/stats"]
+    with pytest.raises(ValueError):
+        job.main(args)
+    job.main([*args, "--rejects", f"{top}/rejects"])
+    assert sorted(r.task_id for r in spark.read.parquet(f"{top}/stats").collect()) == [t[0] for t in SAMPLE_TASKS]
+    assert sorted(r.task_id for r in spark.read.parquet(f"{top}/rejects").collect()) == [90, 91, 91]

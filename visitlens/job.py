@@ -17,7 +17,7 @@ from visitlens.plans.multi_task import multi_task_stats
 from visitlens.session import build_session, cluster_conf
 from visitlens.sources import tables
 from visitlens.sources.sinks import write_stats
-from visitlens.sources.tasks import read_tasks, task_table
+from visitlens.sources.tasks import read_tasks, rejected_tasks, task_table
 
 
 def main(argv=None) -> None:
@@ -31,6 +31,8 @@ def main(argv=None) -> None:
     ap.add_argument("--hive", action="store_true")
     ap.add_argument("--input-tb", type=float, default=100.0,
                     help="approximate action-log size, sizes shuffle and scan partitions")
+    ap.add_argument("--rejects", help="write tasks that cannot run, with the reason, to this path (Parquet, "
+                                      "replaced) and run the others; without it one such task stops the job")
     ap.add_argument("--append", action="store_true", help="append instead of replacing the tasks' rows")
     ap.add_argument("--by-user", action="store_true",
                     help="key sessions by (user, session): no shuffle on user-bucketed tables")
@@ -58,10 +60,13 @@ def main(argv=None) -> None:
         log = tables.from_reference_layout(tables.catalog_table(spark, args.actions_table))
         dim = tables.catalog_table(spark, args.users_table)
     stats = multi_task_stats(log, dim, tasks, by_user=args.by_user,
-                             profession_from_city=args.profession_from_city)
+                             profession_from_city=args.profession_from_city,
+                             bad_tasks="skip" if args.rejects else "raise")
     if args.explain:
         stats.explain(mode="formatted")
         return
+    if args.rejects:
+        rejected_tasks(tasks).write.mode("overwrite").parquet(args.rejects)
     write_stats(stats, args.out, mode="append" if args.append else "replace_tasks")
 
 

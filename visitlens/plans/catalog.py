@@ -8,10 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from visitlens.plans import session_queries as sq
 from visitlens.plans import table_jobs as tj
-from visitlens.plans.multi_task import multi_task_stats
+from visitlens.plans.multi_task import multi_task_stats, task_outcomes
 from visitlens.plans.session_stat import session_aggr_stat
 from visitlens.sources.tables import actions, users
-from visitlens.sources.tasks import task_table
+from visitlens.sources.tasks import TASKS_WITH_BAD_ONES, rejected_tasks, task_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,6 +20,12 @@ def multi_task_stats_q(spark: SparkSession, sf: str) -> DataFrame:
     return multi_task_stats(actions(spark, sf, "g", "dense"), users(spark, sf), task_table(spark))
 
 
+def multi_task_outcomes_q(spark: SparkSession, sf: str) -> DataFrame:
+    tasks = task_table(spark, TASKS_WITH_BAD_ONES)
+    stats = multi_task_stats(actions(spark, sf, "g", "dense"), users(spark, sf), tasks, bad_tasks="skip")
+    return task_outcomes(stats, rejected_tasks(tasks))
+
+
 def session_aggr_stat_q(spark: SparkSession, sf: str) -> DataFrame:
     return session_aggr_stat(spark, sf)
 
@@ -27,6 +33,7 @@ def session_aggr_stat_q(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "session_aggr_stat": session_aggr_stat_q,
     "multi_task_stats": multi_task_stats_q,
+    "multi_task_outcomes": multi_task_outcomes_q,
     "session_rollup": sq.session_rollup_q,
     "session_span": sq.session_span_q,
     "session_steps": sq.session_steps_q,
@@ -51,6 +58,7 @@ QUERIES: dict[str, Query] = {
     "label_counts": sq.label_counts_q,
     "actions_in_range": sq.actions_in_range_q,
     "actions_previous_day": sq.actions_previous_day_q,
+    "actions_day_over_day": sq.actions_day_over_day_q,
     "preview_sessions": sq.preview_sessions_q,
     "actions_per_hour": tj.actions_per_hour_q,
     "actions_per_day": tj.actions_per_day_q,
@@ -63,6 +71,7 @@ QUERIES: dict[str, Query] = {
     "list_column_rollup": tj.list_column_rollup_q,
     "param_sql": tj.param_sql_q,
     "sql_action_range": tj.sql_action_range_q,
+    "view_city_sessions": tj.view_city_sessions_q,
     "product_status": tj.product_status_q,
     "json_props_rollup": tj.json_props_rollup_q,
     "text_layout_audit": tj.text_layout_audit_q,

@@ -132,7 +132,7 @@ def pieces_of(spark: SparkSession, facts: SimpleNamespace) -> DataFrame:
 def listed_values(tasks: DataFrame, kind: str, column: str) -> DataFrame:
     """The posting list of a task column: value, task_id and its range."""
     return tasks.where("start_date < end_date").select(
-        F.lit(kind).alias("kind"), F.explode(column).alias("value"), "task_id", "start_date", "end_date").distinct()
+        F.lit(kind).alias("kind"), F.explode(F.array_distinct(column)).alias("value"), "task_id", "start_date", "end_date")
 
 
 def session_pieces(log: DataFrame, pieces: DataFrame, listed: dict[str, DataFrame], by_user: bool, small: bool) -> DataFrame:
@@ -226,6 +226,13 @@ def folded(rows: DataFrame, asked: DataFrame, key: list[str]) -> DataFrame:
         _bucket("visit_length", VISIT_BUCKETS).alias("visit"), _bucket("step_length", STEP_BUCKETS).alias("step"))
 
 
+def task_outcomes(stats: DataFrame, rejected: DataFrame) -> DataFrame:
+    """task_id, outcome (``done`` or why not) and session_count of all tasks
+    of a run that leaves bad ones out."""
+    return stats.select("task_id", F.lit("done").alias("outcome"), "session_count").unionByName(
+        rejected.select("task_id", F.col("reason").alias("outcome"), F.lit(None).cast("bigint").alias("session_count")))
+
+
 def multi_task_stats(action_log: DataFrame, user_dim: DataFrame, tasks: DataFrame,
                      cut_col: str | None = None, by_user: bool = False,
                      profession_from_city: bool = False, bad_tasks: str = "raise") -> DataFrame:

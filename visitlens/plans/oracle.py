@@ -298,6 +298,16 @@ def oracle_queries() -> dict[str, str]:
     q: dict[str, str] = {}
     q["session_aggr_stat"] = session_aggr_stat_sql(1)
     q["multi_task_stats"] = multi_task_stats_sql()
+    q["multi_task_outcomes"] = (
+        f"SELECT task_id, 'done' AS outcome, session_count FROM ({multi_task_stats_sql()}) "
+        "UNION ALL SELECT * FROM (VALUES (90, 'no valid startDate / endDate', NULL::BIGINT), "
+        "(91, 'task id is not unique', NULL), (91, 'task id is not unique', NULL)) AS r(task_id, outcome, session_count)")
+    q["actions_day_over_day"] = _with(actions_cte()) + (
+        "SELECT action_date, count(*) AS n, (SELECT count(*) FROM actions b WHERE b.action_date = a.action_date - 1) AS n_before "
+        "FROM actions a GROUP BY action_date")
+    q["view_city_sessions"] = _with(actions_cte(), USERS_CTE) + (
+        "SELECT city, count(DISTINCT session_id) AS sessions, count(*) AS actions "
+        "FROM actions JOIN users USING (user_id) GROUP BY city")
     q["session_rollup"] = _session_sql(
         "SELECT session_id, user_id, start_time, end_time, visit_length, step_length FROM sessions")
     q["session_span"] = _session_sql(

@@ -8,7 +8,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from visitlens.functions.dates import format_date
+from visitlens.functions.dates import format_date, previous_day
 from visitlens.functions.numbers import safe_ratio
 from visitlens.operators.filters import (
     age_between, all_of, any_of, cut_to_days, equals, user_conditions,
@@ -206,6 +206,14 @@ def actions_previous_day_q(spark, sf):
                       format_date("action_date").alias("action_date"))
 
 
+def actions_day_over_day_q(spark, sf):
+    """Actions of each day beside those of the day before it (0 if none)."""
+    daily = actions(spark, sf).groupBy("action_date").agg(F.count(F.lit(1)).alias("n"))
+    before = daily.select(F.col("action_date").alias("day_before"), F.col("n").alias("n_before"))
+    return daily.join(before, previous_day("action_date") == F.col("day_before"), "left").select(
+        "action_date", "n", F.coalesce("n_before", F.lit(0)).alias("n_before"))
+
+
 def preview_sessions_q(spark, sf):
     """First 10 sessions by id: a repeatable preview (top-k by key)."""
     return session_rollup_q(spark, sf).orderBy("session_id").limit(10)

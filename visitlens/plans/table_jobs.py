@@ -16,7 +16,7 @@ from visitlens.functions.strings import (
     is_blank, lists_overlap, pack_fields, packed_field, set_packed_field,
     split_list, trim_one_comma, zero_fill_2,
 )
-from visitlens.sources.tables import actions, layout_audit, products, read_table
+from visitlens.sources.tables import actions, layout_audit, products, read_table, register_views
 
 # Fixed test parameters.
 SHIP_DEADLINE_DAYS = 60
@@ -171,6 +171,15 @@ def param_sql_q(spark, sf):
     )
 
 
+def view_city_sessions_q(spark, sf):
+    """SQL text over the registered views of log and users: sessions and
+    actions per city."""
+    register_views(spark, sf)
+    return spark.sql(
+        "SELECT u.city, count(DISTINCT a.session_id) AS sessions, count(*) AS actions "
+        "FROM user_visit_action a JOIN user_info u ON a.user_id = u.user_id GROUP BY u.city")
+
+
 def sql_action_range_q(spark, sf):
     """The application's SQL entry: the action log cut to a date range by
     SQL text, with the bounds bound as parameters (typed, so they reach the

@@ -84,6 +84,14 @@ SAMPLE_TASKS = (
 )
 
 
+# The sample tasks among three that cannot run.
+TASKS_WITH_BAD_ONES = SAMPLE_TASKS + (
+    (90, "no end", task_param_json(startDate="2024-01-03", sex="male")),
+    (91, "an id twice", task_param_json(startDate="2024-01-03", endDate="2024-01-28")),
+    (91, "an id twice, other days", task_param_json(startDate="2024-01-10", endDate="2024-01-12")),
+)
+
+
 def task_table(spark: SparkSession, rows=SAMPLE_TASKS) -> DataFrame:
     return spark.createDataFrame(list(rows), TASK_SCHEMA)
 
