@@ -4,6 +4,9 @@ import contextlib
 import datetime as dt
 import io
 
+import pytest
+from pyspark.sql import functions as F
+
 from conftest import SF_SMALL
 from visitlens.plans.session_stat import kept_sessions, run_session_task
 from generate import gen_actions, gen_users
@@ -109,3 +112,47 @@ def test_refresh_days_on_a_user_bucketed_log(spark):
     t = spark.table("action_log_user_refresh")
     assert t.count() == d1.count() + d2.count()
     assert "Bucketed: true" in plan_text(t.groupBy("user_id").count())
+
+
+@pytest.mark.parametrize("one_session", [False, True])
+def test_a_hot_user_is_spread_over_buckets(spark, one_session):
+    """A user with a third of the log, in many sessions or in one: no bucket
+    holds twice the median, the statistics are those of the plain log, and
+    only combined rows are exchanged."""
+    from visitlens.sources.layout import save_spread_log
+    from visitlens.sources.tables import actions, users
+    buckets = 4
+    plain = actions(spark, SF_SMALL, "day", "dense").withColumn("date", F.date_format("action_date", "yyyy-MM-dd"))
+    hot = plain.where("event_id % 2 = 0").withColumn("user_id", F.lit(7).cast("bigint")).withColumn(
+        "session_id", F.lit("hot") if one_session else F.concat(F.lit("hot"), (F.col("event_id") % 199).cast("string")))
+    log = plain.unionByName(hot)
+    name = f"action_log_spread_{int(one_session)}"
+    save_spread_log(log, name, buckets)
+    table = spark.table(name)
+    held = sorted(r["count"] for r in table.groupBy(F.pmod(F.hash("deal"), F.lit(buckets))).count().collect())
+    median = (held[1] + held[2]) / 2
+    assert len(held) == buckets and held[-1] <= 2 * median, held
+    plainly = sorted(r["count"] for r in log.groupBy(F.pmod(F.hash("user_id"), F.lit(buckets))).count().collect())
+    assert plainly[-1] > 2 * plainly[1]  # what bucketing by user would give
+    dim = users(spark, SF_SMALL)
+    p = TaskParams(dt.date(2024, 1, 3), dt.date(2024, 1, 28), keywords=("kw1", "kw2", "kw5"))
+    fast = run_session_task(table, dim, p, 1, spread=True)
+    assert fast.first() == run_session_task(log, dim, p, 1, by_user=True).first()
+    assert fast.first().session_count > 0
+    # Between the scan and the first exchange: both halves of the aggregate
+    # per bucket and the first half of the merge.
+    lines = plan_text(kept_sessions(table, dim, p, spread=True)).split("\n\n")[0].splitlines()
+    scan = next(i for i, line in enumerate(lines) if f".{name}" in line)
+    below = []
+    while "Exchange" not in lines[scan - 1]:
+        scan -= 1
+        below.append(lines[scan])
+    assert sum("HashAggregate" in line for line in below) == 3, lines
+
+
+def test_a_log_without_hot_users_is_dealt_by_user(spark):
+    from visitlens.sources.layout import spread
+    from visitlens.sources.tables import actions
+    log = actions(spark, SF_SMALL, "day", "dense")
+    assert spread(log, 1).where("deal <> user_id").count() == 0
+    assert spread(log.where("1 = 0"), 4).count() == 0

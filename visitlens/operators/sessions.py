@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 from visitlens.functions.dates import seconds_between
 
+# Bucket column of a log that is spread over buckets (sources.layout).
+DEAL = "deal"
 SESSION_COLUMNS = (
     "session_id", "user_id", "start_time", "end_time", "visit_length", "step_length",
 )
@@ -56,6 +58,7 @@ def session_rollup(
     category_ids=None,
     with_time_audit: bool = False,
     by_user: bool = False,
+    spread: bool = False,
     extra_aggs: tuple[Column, ...] = (),
 ) -> DataFrame:
     """One row per session: user, first / last action time, visit length
@@ -72,10 +75,17 @@ def session_rollup(
     a log bucketed by ``user_id`` (sources.layout) this grouping and the
     user join then need no shuffle.
 
+    ``spread=True`` reads a log bucketed by ``deal`` (sources.layout) and
+    implies ``by_user``: each bucket combines its own part of a session, and
+    a second aggregate merges the parts, one row per session and bucket.
+
     The session's user is the smallest user id seen in it (the log is
     assumed to have one user per session).  Actions with a NULL time are
     still steps but do not move the start or end.
     """
+    if spread and extra_aggs:
+        raise ValueError("extra aggregates cannot be merged")
+    by_user = by_user or spread
     aggs = [] if by_user else [F.min("user_id").alias("user_id")]
     aggs += [
         F.min("action_time").alias("start_time"),
@@ -90,7 +100,11 @@ def session_rollup(
         aggs.append(F.count_if(F.col("action_time").isNull()).alias("bad_time_rows"))
     aggs += list(extra_aggs)
     keys = ("user_id", "session_id") if by_user else ("session_id",)
-    rolled = actions.groupBy(*keys).agg(*aggs)
+    rolled = actions.groupBy(*([DEAL] if spread else []), *keys).agg(*aggs)
+    if spread:
+        merge = {"start_time": F.min, "end_time": F.max, "step_length": F.sum, "keyword_hit": F.bool_or,
+                 "category_hit": F.bool_or, "bad_time_rows": F.sum}
+        rolled = rolled.groupBy(*keys).agg(*[merge[c](c).alias(c) for c in rolled.columns if c in merge])
     return rolled.withColumn("visit_length", seconds_between("start_time", "end_time"))
 
 

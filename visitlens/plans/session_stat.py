@@ -32,23 +32,23 @@ FLAGSHIP_UNIT = "dense"
 
 def kept_sessions(action_log: DataFrame, user_dim: DataFrame, params: TaskParams,
                   cut_col: str | None = None, profession_from_city: bool = False,
-                  by_user: bool = False) -> DataFrame:
+                  by_user: bool = False, spread: bool = False) -> DataFrame:
     """Sessions of the task's date range that pass all its conditions,
     with user attributes attached.  The date cut is stated on ``cut_col``
     (default: the raw ``ts`` / ``date`` column, see raw_cut_column).
-    ``by_user``: see operators.sessions.session_rollup."""
+    ``by_user``, ``spread``: see operators.sessions.session_rollup."""
     in_range = cut_to_days(action_log, params.start_date, params.end_date, cut_col)
     sessions = session_rollup(in_range, keywords=params.keywords, category_ids=params.category_ids,
-                              by_user=by_user)
+                              by_user=by_user, spread=spread)
     joined = attach_users(sessions, user_dim, profession_from_city)
     return joined.filter(session_filter(params))
 
 
 def run_session_task(action_log: DataFrame, user_dim: DataFrame, params: TaskParams,
                      task_id: int, cut_col: str | None = None,
-                     profession_from_city: bool = False, by_user: bool = False) -> DataFrame:
+                     profession_from_city: bool = False, by_user: bool = False, spread: bool = False) -> DataFrame:
     """task_id, session_count and the 15 ratios for one task."""
-    stat = aggr_stat(kept_sessions(action_log, user_dim, params, cut_col, profession_from_city, by_user))
+    stat = aggr_stat(kept_sessions(action_log, user_dim, params, cut_col, profession_from_city, by_user, spread))
     return stat.select(F.lit(task_id).cast("bigint").alias("task_id"), *STAT_COLUMNS)
 
 

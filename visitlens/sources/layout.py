@@ -15,8 +15,14 @@ gets one file per bucket and write tasks are sized by the data, not by
 the bucket count.  ``refresh_days`` replaces only the dates it writes.
 
 One bucket of one task's range is read as one task, with no exchange that
-AQE could split: a hot session or user stays whole.  The default for logs
-with hot users is the plain layout, partitioned by date; size buckets with
+AQE could split, so in the two bucketed layouts a hot session or user stays
+whole.  ``save_spread_log`` is the layout for logs with hot users: it is
+bucketed by ``deal``, a number that is the user's id for most users, a hash of
+user and session for users with more rows than a bucket should hold, and a
+hash of the single action for sessions as large as that.  The roll-up
+(``session_rollup(spread=True)``) combines each part where it lies, without an
+exchange of actions, and merges the parts of a session in a second partial
+aggregate over what is left, one row per session and part.  Size buckets with
 ``buckets_for``.
 """
 
@@ -25,6 +31,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from visitlens.operators.sessions import DEAL
+
 
 def buckets_for(range_bytes: int, bucket_bytes: int = 2**30) -> int:
     """Buckets so that each holds about ``bucket_bytes`` of the longest
@@ -68,6 +76,33 @@ def save_users(users: DataFrame, table: str, buckets: int) -> None:
      .bucketBy(buckets, "user_id").sortBy("user_id").saveAsTable(table))
 
 
+def hot_groups(log: DataFrame, keys: list[str], buckets: int, total: int) -> DataFrame:
+    """The groups that hold more than an even bucket's rows: fewer than
+    ``buckets`` of them."""
+    return log.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") * buckets > total).select(*keys)
+
+
+def spread(log: DataFrame, buckets: int) -> DataFrame:
+    """The log with ``deal``, the number that its rows are bucketed by.
+    Counting is combined before its shuffle; both lists of hot groups are
+    shorter than ``buckets`` and are broadcast."""
+    total = log.count()
+    users = hot_groups(log, ["user_id"], buckets, total).select(F.col("user_id").alias("_user"))
+    sessions = hot_groups(log, ["user_id", "session_id"], buckets, total).select(
+        F.col("user_id").alias("_s_user"), F.col("session_id").alias("_session"))
+    told = log.join(F.broadcast(users), F.col("user_id") == F.col("_user"), "left").join(
+        F.broadcast(sessions), (F.col("user_id") == F.col("_s_user")) & F.col("session_id").eqNullSafe(F.col("_session")), "left")
+    deal = (F.when(F.col("_s_user").isNotNull(), F.xxhash64("user_id", "session_id", F.monotonically_increasing_id()))
+            .when(F.col("_user").isNotNull(), F.xxhash64("user_id", "session_id"))
+            .otherwise(F.col("user_id").cast("bigint")))
+    return told.withColumn(DEAL, deal).select(*log.columns, DEAL)
+
+
+def save_spread_log(log: DataFrame, table: str, buckets: int, partition_col: str | None = "date") -> None:
+    """save_action_log for logs with hot users or sessions."""
+    save_action_log(spread(log, buckets), table, buckets, partition_col, DEAL)
+
+
 def refresh_days(log: DataFrame, table: str, buckets: int, partition_col: str = "date",
                  bucket_col: str = "session_id") -> None:
     """Replace only the dates present in ``log`` in an existing table made
