@@ -40,20 +40,20 @@ def cluster_conf(input_bytes: int = 100 * 2**40, scan_split_bytes: int = 256 * 2
     }
 
 
-def build_session(
+def session_builder(
     master: str | None = None,
     app_name: str = "visitlens",
     shuffle_partitions: int | None = None,
     extra_conf: dict[str, str] | None = None,
     hive: bool = False,
-) -> SparkSession:
-    """Get or create a session with the defaults above.
+) -> SparkSession.Builder:
+    """A builder with the defaults above; nothing is started.
 
     ``master`` and ``shuffle_partitions`` are left to the cluster when not
     given (spark-submit decides them there); tests pass ``local[*]`` / 8.
     ``hive=True`` reads catalog tables from the Hive metastore.
     """
-    builder = SparkSession.builder.appName(app_name)
+    builder = SparkSession.Builder().appName(app_name)
     if master:
         builder = builder.master(master)
     if hive:
@@ -64,4 +64,15 @@ def build_session(
     conf.update(extra_conf or {})
     for key, value in conf.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    return builder
+
+
+def build_session(
+    master: str | None = None,
+    app_name: str = "visitlens",
+    shuffle_partitions: int | None = None,
+    extra_conf: dict[str, str] | None = None,
+    hive: bool = False,
+) -> SparkSession:
+    """Get or create a session, see session_builder."""
+    return session_builder(master, app_name, shuffle_partitions, extra_conf, hive).getOrCreate()
