@@ -125,3 +125,75 @@ def test_against_plain_reading(spark):
         lines = [" ".join(html.unescape(x).split()) for x in body.split("\0")]
         assert r.text == "\n".join(x for x in lines if x)
         assert r.n_chars == len(r.text)
+
+
+def trained(spark):
+    from cases import SF_SMALL
+    return H.fit(spark.read.parquet(f"{SF_SMALL}/pages.parquet"))
+
+
+def by_sign(page, weights):
+    """What the terminal capacities alone say."""
+    found = H.blocks(page)
+    score = np.clip(H.features(found) @ weights[:len(H.START)], -H.SCORE, H.SCORE)
+    said = [(H.ARTICLE_SAID if b.strong else H.SAID) * max(b.state, -1) + H.ID_SAID * b.hint for b in found]
+    return [s + x > 0 and b.state > -2 for b, s, x in zip(found, score, said)]
+
+
+def test_articles_keep_lists_tables_and_captions(spark):
+    weights = trained(spark)
+    links = "".join(f"<li><a href=/{i}>source {i}</a></li>" for i in range(6))
+    page = (f"<nav><a href=/>Home</a></nav><article><h1>Head</h1><p>{LONG}</p><h2>Sources</h2><ul>{links}</ul>"
+            "<table><caption>Figures</caption><tr><td>1</td><td>2</td></tr></table><figure><img src=x><figcaption>A view"
+            "</figcaption></figure><div class=share><a href=x>Share this</a></div></article><footer>Imprint</footer>")
+    want = ["Head", LONG, "Sources", *[f"source {i}" for i in range(6)], "Figures", "1", "2", "A view"]
+    assert H.main_text(page, weights).split("\n") == want
+
+
+def test_the_cut_corrects_the_sign(spark):
+    """Text without markup names: lines and unnamed parts between paragraphs,
+    and a linked one, which the classifier alone drops; a sentence and a
+    heading among links, which it alone keeps."""
+    weights = trained(spark)
+    p, links = f"<p>{LONG}</p>", "".join(f"<div><a href=/{k}>part {k}</a></div>" for k in range(4))
+    text = [f"{p}<div>Yes</div>{p}", f"{p}<div>So it went</div>{p}", f"{p}{p}<div>{LONG}</div>{p}",
+            f"{p}<p><a href=x>See how it went</a></p>{p}"]
+    for page in text:
+        found = H.blocks(f"<div>{page}</div>")
+        assert H.label(found, weights) == [True] * len(found), page
+        assert not all(by_sign(f"<div>{page}</div>", weights)), page
+    lists = [f"{links}<h4>Topics</h4>{links}",
+             "".join(f"<a href=/{k}>part {k}</a><br>" for k in range(4)) + "<p>Some words.</p><a href=/9>x</a>"]
+    for page in lists:
+        found = H.blocks(f"<div>{page}</div>")
+        assert H.label(found, weights) == [False] * len(found), page
+        assert any(by_sign(f"<div>{page}</div>", weights)), page
+
+
+def test_settled_blocks_leave_the_cut_as_it_is():
+    rng = random.Random(3)
+    for _ in range(200):
+        n = rng.randrange(1, 30)
+        source, sink = ([float(rng.randrange(8)) for _ in range(n)] for _ in range(2))
+        edges = [(i - 1, i, float(rng.randrange(4))) for i in range(1, n)]
+        edges += [(a, b, 1.0) for a, b in ((rng.randrange(n), rng.randrange(n)) for _ in range(n // 3)) if a != b]
+        assert H.min_cut(source, sink, edges) == H._max_flow([a - b for a, b in zip(source, sink)], edges)
+
+
+def test_deep_nesting_takes_seconds():
+    import time
+    began = time.time()
+    for unit, end in (("<div>word ", ""), ("<span>word ", ""), ("<div><p>word <b>", "</b>"), ("<i>a</div>", "")):
+        page = "<body>" + unit * 50_000 + end * 50_000 + f"<article><p>{LONG}</p></article>"
+        assert H.main_text(page, H.START).endswith(LONG)
+    assert time.time() - began < 60
+
+
+def test_training_reads_the_ends_of_long_pages(spark):
+    filler = f"<div>{'<p>unmarked text.</p>' * 4000}</div>"
+    pages = spark.createDataFrame([(i, filler + f"<article><p>{LONG}</p><p>{LONG}</p></article><div class=ad><p>x</p><p>y</p></div>")
+                                   for i in range(3)], "page_id long, html string")
+    weights = H.fit(pages)
+    assert not np.allclose(weights[:len(H.START)], H.START)
+    same = [spark.createDataFrame([(7, p) for _ in range(40)], "page_id long, html string") for p in (PAGE, None)]
+    assert len(H.fit(same[0], rows=4)) == len(H.START) + H.NEAR and len(H.fit(same[1])) == len(H.START) + H.NEAR

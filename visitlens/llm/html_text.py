@@ -3,17 +3,21 @@
 A page becomes a list of text blocks, cut where block-level elements begin
 or end.  A logistic classifier gives each block a probability of being
 content; its negative logarithms are the capacities of the block's edges to
-source and sink.  What the markup's names say (an article, a sidebar) adds
-SAID to them, half of what a sure classifier does, and a word of an id only
-ID_SAID, on pages with and without an article alike; only what is never text
-(a form, a menu, hidden parts) is fixed.  Neighbours in page order and blocks that share a DOM parent
-are joined by smoothness edges, stronger the closer they are in the tree.
-The maximum flow's minimum cut then parts content from boilerplate, so a
-short paragraph goes with the text around it.
-
-The classifier is trained by gradient descent on the blocks of at most
-FIT_PAGES pages (of each at most FIT_CHARS characters), labelled by what
-their markup says; blocks without such a mark are not learned from.
+source and sink.  What the markup's names say (a story, a sidebar) adds SAID
+to them, an article element ARTICLE_SAID (its linked lists and captions are
+text too), and a word of an id only ID_SAID; only what is never text (a form,
+a menu, hidden parts) is fixed.  Neighbours in page order and blocks that
+share a DOM parent are joined by smoothness edges, by their distance in the
+tree.  The maximum flow's minimum cut then parts content from boilerplate, so
+a short paragraph goes with the text around it.  Blocks whose own capacity
+outweighs all their edges are settled before, which leaves the cut the same
+and the flow short on long pages.
+
+Classifier and smoothness are learned on the same scale, log-odds: the one by
+gradient descent, the other from how often blocks at each distance agree.
+Both read whole pages, at most FIT_PAGES of them and FIT_BLOCKS blocks of
+each, evenly spread; blocks are labelled by what their markup says, those
+without such a mark are not learned from.
 
 Defined cases: null and empty pages give an empty text; broken or cut
 markup is read as browsers do (open elements end with their parent, a cut
@@ -37,10 +41,13 @@ from pyspark.sql import DataFrame, functions as F
 from visitlens.llm.common import sample
 
 FIT_PAGES = 400
-FIT_CHARS = 100_000
-SMOOTH = 1.0
+FIT_BLOCKS = 400
+SMOOTH = 1.0  # of neighbours, without training
+SMOOTH_MOST = 3.0
+NEAR = 8  # distances told apart
 SCORE = 12.0  # the largest score that counts
 SAID = 6.0
+ARTICLE_SAID = 9.0
 ID_SAID = 1.0
 SURE = 1e6
 
@@ -85,24 +92,80 @@ _WORDS = re.compile(r"[a-z]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
 
+class _Open:
+    """An element and its parent."""
+
+    __slots__ = ("depth", "hint", "parent", "state", "strong", "tag", "title")
+
+    def __init__(self, tag: str, parent: _Open | None, state: int, hint: int, strong: bool, title: bool):
+        self.tag, self.parent, self.state, self.hint, self.strong, self.title = tag, parent, state, hint, strong, title
+        self.depth = parent.depth + 1 if parent else 0
+
+
 @dataclass
 class Block:
     """A run of text and where it stands."""
 
     text: str
-    tags: tuple[str, ...]
-    node: int  # the element that holds it
-    depth: int
+    leaf: str  # the element around it that is not inline
+    place: _Open  # the element that holds it
     linked: int  # characters inside links
     state: int  # 1 the markup says content, -1 boilerplate, -2 never content, 0 nothing
+    strong: bool  # inside an article element
     hint: int = 0  # what words of an id say: 1 content, -1 boilerplate, 0 nothing
 
 
-class _Open:
-    __slots__ = ("hint", "number", "state", "tag", "title")
-
-    def __init__(self, tag: str, number: int, state: int, hint: int, title: bool):
-        self.tag, self.number, self.state, self.hint, self.title = tag, number, state, hint, title
+class _Stack:
+    """Open elements, found by tag without a walk; an element closed out of
+    turn leaves a gap."""
+
+    def __init__(self):
+        self.open = [_Open("", None, 0, 0, False, False)]
+        self.at: dict[str, list[int]] = {}
+        self.outer: list[int] = [0]  # elements that are not inline
+
+    def top(self) -> _Open:
+        while len(self.open) > 1 and self.open[-1].tag == "":
+            self.open.pop()
+        return self.open[-1]
+
+    def push(self, element: _Open) -> None:
+        self.at.setdefault(element.tag, []).append(len(self.open))
+        if element.tag not in INLINE:
+            self.outer.append(len(self.open))
+        self.open.append(element)
+
+    def last(self, *tags: str) -> int:
+        """Place of the innermost open element with one of the tags, or 0."""
+        return max((self.at[t][-1] for t in tags if self.at.get(t)), default=0)
+
+    def cut(self, k: int) -> None:
+        """Close the k-th element and all inside it."""
+        while len(self.open) > k:
+            element = self.open.pop()
+            if element.tag:
+                self.at[element.tag].pop()
+                if element.tag not in INLINE:
+                    self.outer.pop()
+
+    def drop(self, k: int) -> None:
+        """Close the k-th element, an inline one, alone."""
+        tag = self.open[k].tag
+        self.at[tag].remove(k)
+        gap = _Open("", self.open[k].parent, self.open[k].state, self.open[k].hint, self.open[k].strong, self.open[k].title)
+        self.open[k] = gap
+
+
+def apart(a: _Open, b: _Open) -> int:
+    """Steps between two elements in the tree; 0 for siblings too."""
+    steps = 0
+    while a is not b:
+        if a.depth >= b.depth:
+            a = a.parent
+        else:
+            b = b.parent
+        steps += 1
+    return max(0, steps - 2)
 
 
 def _said(tag: str, marks: str, outer: int, hint: int, sure: bool) -> tuple[int, int]:
@@ -145,35 +208,29 @@ def _said(tag: str, marks: str, outer: int, hint: int, sure: bool) -> tuple[int,
 def blocks(page: str) -> list[Block]:
     """The text blocks of a page in page order."""
     out: list[Block] = []
-    stack = [_Open("", 0, 0, 0, False)]
+    stack = _Stack()
     parts: list[str] = []
-    linked, links, count, at = 0, 0, 0, 0
+    linked, at = 0, 0
 
     def flush() -> None:
         nonlocal linked
         if parts:
             text = " ".join(html.unescape("".join(parts)).split())
             if text:
-                top = stack[-1]
+                top = stack.top()
                 state = top.state
-                if top.title and not any(o.tag in ("h1", "h2", "h3", "h4", "h5", "h6") for o in stack):
+                if top.title and not stack.last("h1", "h2", "h3", "h4", "h5", "h6"):
                     state = -2
-                out.append(Block(text, tuple(o.tag for o in stack[1:]), top.number, len(stack), linked, state, top.hint))
+                out.append(Block(text, stack.open[stack.outer[-1]].tag, top, linked, state, top.strong, top.hint))
             parts.clear()
         linked = 0
 
-    def close(k: int) -> None:
-        """Close the k-th open element and all inside it."""
-        nonlocal links
-        links -= sum(o.tag == "a" for o in stack[k:])
-        del stack[k:]
-
     while at < len(page):
         m = _TOKEN.search(page, at)
         text = page[at:m.start() if m else len(page)]
         if text:
             parts.append(text)
-            if links:
+            if stack.last("a"):
                 linked += len(text)
         if not m:
             break
@@ -184,18 +241,17 @@ def blocks(page: str) -> list[Block]:
             break  # cut inside a tag
         tag, marks = m[3].lower(), m[4]
         if m[2]:
-            k = next((k for k in range(len(stack) - 1, 0, -1) if stack[k].tag == tag), 0)
+            k = stack.last(tag)
             if tag not in INLINE:
                 flush()
                 if k:
-                    close(k)
+                    stack.cut(k)
             elif k:
                 # An inline end inside a block leaves the block open.
-                if all(o.tag in INLINE for o in stack[k:]):
-                    close(k)
+                if stack.outer[-1] < k:
+                    stack.cut(k)
                 else:
-                    links -= stack[k].tag == "a"
-                    del stack[k]
+                    stack.drop(k)
             continue
         if tag in RAW:
             end = re.compile(rf"</{tag}(?=[\s/>])[^>]*+(?:>|\Z)|\Z", re.I).search(page, at)
@@ -206,26 +262,22 @@ def blocks(page: str) -> list[Block]:
         if tag in VOID:
             continue
         if tag in ENDS_P:
-            k = next((k for k in range(len(stack) - 1, 0, -1) if stack[k].tag in ("p", "button", "table", "td")), 0)
-            if k and stack[k].tag == "p":
-                close(k)
+            k = stack.last("p", "button", "table", "td")
+            if k and stack.open[k].tag == "p":
+                stack.cut(k)
         if tag in ENDS_OWN:
             own, bound = ENDS_OWN[tag]
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].tag in bound:
+            while (k := stack.last(*own)) > stack.last(*bound):
+                stack.cut(k)
+                if tag != "tr":
                     break
-                if stack[k].tag in own:
-                    close(k)
-                    if tag != "tr":
-                        break
         if marks.endswith("/") and tag in ("svg", "path"):
             continue
-        count += 1
-        outer = stack[-1]
-        inside = any(o.tag in ("article", "main") for o in stack) if tag == "header" else False
+        outer = stack.top()
+        inside = tag == "header" and bool(stack.last("article", "main"))
         state, hint = _said(tag, marks, outer.state, outer.hint, inside)
-        stack.append(_Open(tag, count, state, hint, outer.title or tag == "header" and inside))
-        links += tag == "a"
+        strong = state == 1 and (outer.strong or tag in ("article", "main"))
+        stack.push(_Open(tag, outer, state, hint, strong, outer.title or inside))
     flush()
     return out
 
@@ -237,10 +289,10 @@ def features(page: list[Block]) -> np.ndarray:
     for i, b in enumerate(page):
         size = len(b.text)
         words = b.text.count(" ") + 1
-        last = next((t for t in reversed(b.tags) if t not in INLINE), "")
+        last = b.leaf
         rows[i] = (1.0, np.log1p(size) / 5, min(1.0, b.linked / size), np.log1p(words) / 4,
                    sum(b.text.count(c) for c in ".,;:!?") / words, b.text[-1] in ".!?…\"'", last == "p",
-                   last in ("h1", "h2", "h3", "h4", "h5", "h6"), last == "li", last in ("td", "th"), b.depth / 10,
+                   last in ("h1", "h2", "h3", "h4", "h5", "h6"), last == "li", last in ("td", "th"), min(b.place.depth + 1, 40) / 10,
                    abs(2 * i / max(1, n - 1) - 1))
     return rows
 
@@ -266,7 +318,44 @@ def min_cut(source: list[float], sink: list[float], edges: list[tuple[int, int,
     """Whether each node is on the source's side of a minimum cut; edges
     hold the same capacity both ways.  Of several cuts, the one with the
     smallest source side."""
-    n = len(source)
+    net = [a - b for a, b in zip(source, sink, strict=True)]
+    side = settled(net, edges)
+    open_ = [i for i, x in enumerate(side) if x is None]
+    if open_:
+        number = {i: k for k, i in enumerate(open_)}
+        inner = [(number[a], number[b], c) for a, b, c in edges if a in number and b in number]
+        for i, x in zip(open_, _max_flow([net[i] for i in open_], inner), strict=True):
+            side[i] = x
+    return side
+
+
+def settled(net: list[float], edges: list[tuple[int, int, float]]) -> list[bool | None]:
+    """Sides of the nodes that outweigh all their edges to open nodes; what
+    these edges cost moves into the neighbours' ``net``."""
+    near: list[dict[int, float]] = [{} for _ in net]
+    for a, b, c in edges:
+        near[a][b] = near[a].get(b, 0.0) + c
+        near[b][a] = near[b].get(a, 0.0) + c
+    side: list[bool | None] = [None] * len(net)
+    todo = deque(range(len(net)))
+    while todo:
+        i = todo.popleft()
+        if side[i] is not None:
+            continue
+        held = sum(near[i].values())
+        if net[i] <= held and -net[i] < held:
+            continue
+        side[i] = net[i] > held
+        for j, c in near[i].items():
+            del near[j][i]
+            net[j] += c if side[i] else -c
+            todo.append(j)
+    return side
+
+
+def _max_flow(net: list[float], edges: list[tuple[int, int, float]]) -> list[bool]:
+    """Nodes that the source still reaches after a maximum flow."""
+    n = len(net)
     s, t = n, n + 1
     head: list[list[int]] = [[] for _ in range(n + 2)]
     to: list[int] = []
@@ -278,12 +367,12 @@ def min_cut(source: list[float], sink: list[float], edges: list[tuple[int, int,
         to.extend((b, a))
         room.extend((there, back))
 
-    for i, (a, b) in enumerate(zip(source, sink, strict=True)):
-        # What can flow straight through a node does.
-        if a > b:
-            join(s, i, a - b, 0.0)
-        elif b > a:
-            join(i, t, b - a, 0.0)
+    for i, x in enumerate(net):
+        # What can flow straight through a node has.
+        if x > 0:
+            join(s, i, x, 0.0)
+        elif x < 0:
+            join(i, t, -x, 0.0)
     for a, b, c in edges:
         join(a, b, c, c)
     tiny = 1e-9
@@ -329,39 +418,41 @@ def min_cut(source: list[float], sink: list[float], edges: list[tuple[int, int,
                 break
 
 
+def pairs(page: list[Block]) -> list[tuple[int, int, int]]:
+    """Blocks that are joined, and their distance: neighbours in page order,
+    and successive blocks of one element (-1)."""
+    out, last = [], {}
+    for i, b in enumerate(page):
+        if i:
+            out.append((i - 1, i, min(NEAR - 1, apart(page[i - 1].place, b.place))))
+        if id(b.place) in last and last[id(b.place)] != i - 1:
+            out.append((last[id(b.place)], i, -1))
+        last[id(b.place)] = i
+    return out
+
+
 def label(page: list[Block], weights: np.ndarray) -> list[bool]:
-    """Which blocks are content."""
+    """Which blocks are content.  Behind the classifier's weights may stand
+    the smoothness of each distance."""
     if not page:
         return []
-    score = np.clip(features(page) @ weights, -SCORE, SCORE)
+    own = len(START)
+    smooth = weights[own:].tolist() or [SMOOTH / (1 + k) for k in range(NEAR)]
+    score = np.clip(features(page) @ weights[:own], -SCORE, SCORE)
     content = np.log1p(np.exp(-score))  # cost of calling it content
     boiler = np.log1p(np.exp(score))
     source, sink = [], []
     for b, c, d in zip(page, content.tolist(), boiler.tolist(), strict=True):
         if b.state == -2:
             c += SURE
-        said = SAID * max(b.state, -1) + ID_SAID * b.hint
+        said = (ARTICLE_SAID if b.strong else SAID) * max(b.state, -1) + ID_SAID * b.hint
         if said > 0:
             d += said
         else:
             c -= said
         source.append(d)
         sink.append(c)
-    edges, last = [], {}
-    for i, b in enumerate(page):
-        if i:
-            a = page[i - 1]
-            shared = 0
-            for x, y in zip(a.tags, b.tags, strict=False):
-                if x != y:
-                    break
-                shared += 1
-            apart = len(a.tags) + len(b.tags) - 2 * shared
-            edges.append((i - 1, i, SMOOTH / (1 + apart)))
-        if b.node in last and last[b.node] != i - 1:
-            edges.append((last[b.node], i, SMOOTH / 2))
-        last[b.node] = i
-    return min_cut(source, sink, edges)
+    return min_cut(source, sink, [(i, j, smooth[k] if k >= 0 else smooth[0] / 2) for i, j, k in pairs(page)])
 
 
 def main_text(page: str | None, weights: np.ndarray) -> str:
@@ -369,18 +460,45 @@ def main_text(page: str | None, weights: np.ndarray) -> str:
     return "\n".join(b.text for b, keep in zip(found, label(found, weights), strict=True) if keep)
 
 
-def fit(pages: DataFrame, key: str = "page_id", column: str = "html", rows: int = FIT_PAGES) -> np.ndarray:
-    """Classifier weights; only ``rows`` pages reach the driver."""
-    some = sample(pages.select(F.col(key), F.col(column).alias("html")).where("html IS NOT NULL"), [key, "html"], rows,
-                  pages.count())
-    x, y = [np.zeros((0, len(START)))], []
-    for row in some.select(F.substring("html", 1, FIT_CHARS).alias("html")).collect():
-        found = blocks(row["html"])
-        if found:
+def _examples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of each page features and labels of marked blocks, evenly spread over
+    it, and how many joined ones agree and differ at each distance."""
+    for batch in batches:
+        x, y, same = [], [], []
+        for page in batch.column("page").to_pylist():
+            found = blocks(page)
             own = [i for i, b in enumerate(found) if b.state]
-            x.append(features(found)[own])
-            y += [float(found[i].state > 0) for i in own]
-    return train(np.concatenate(x), np.array(y))
+            own = own[::max(1, -(-len(own) // FIT_BLOCKS))]
+            count = np.zeros((2, NEAR), np.int64)
+            for i, j, k in pairs(found):
+                if k >= 0 and found[i].state and found[j].state:
+                    count[int((found[i].state > 0) == (found[j].state > 0)), k] += 1
+            x.append(features([found[i] for i in own]).ravel() if own else np.zeros(0))
+            y.append([float(found[i].state > 0) for i in own])
+            same.append(count.ravel().tolist())
+        yield pa.RecordBatch.from_arrays([pa.array(x, pa.list_(pa.float64())), pa.array(y, pa.list_(pa.float64())),
+                                          pa.array(same, pa.list_(pa.int64()))], ["x", "y", "same"])
+
+
+def smoothness(differ: np.ndarray, agree: np.ndarray) -> np.ndarray:
+    """Log-odds that joined blocks agree, by distance; SMOOTH where nothing
+    is known."""
+    prior = np.array([SMOOTH / (1 + k) for k in range(NEAR)])
+    odds = np.log((agree + 4 * np.exp(prior)) / (differ + 4))
+    return np.clip(odds, 0.05, SMOOTH_MOST)
+
+
+def fit(pages: DataFrame, key: str = "page_id", column: str = "html", rows: int = FIT_PAGES) -> np.ndarray:
+    """Classifier weights and smoothness; of ``rows`` pages the features of
+    FIT_BLOCKS blocks at most reach the driver."""
+    some = sample(pages.select(F.col(key), F.col(column).cast("string").alias("page")).where("page IS NOT NULL"),
+                  [key, "page"], rows, pages.count())
+    x, y, same = [np.zeros((0, len(START)))], [], np.zeros((2, NEAR), np.int64)
+    for row in some.select("page").mapInArrow(_examples, "x array<double>, y array<double>, same array<long>").collect():
+        x.append(np.array(row.x).reshape(-1, len(START)))
+        y += row.y
+        same += np.array(row.same).reshape(2, NEAR)
+    return np.concatenate([train(np.concatenate(x), np.array(y)), smoothness(same[0], same[1])])
 
 
 def extract(pages: DataFrame, weights: np.ndarray, column: str = "html", into: str = "text") -> DataFrame:
