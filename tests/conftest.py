@@ -62,3 +62,18 @@ def make_users(spark, rows):
 
 def user(uid, age=30, professional="P", city="C", sex="male"):
     return (uid, f"user{uid}", f"name{uid}", age, professional, city, sex)
+
+
+def text_log(spark, day, seed=""):
+    """The events of known users as one day's log in the application's
+    layout: date and times as text, sessions of ``seed``."""
+    from pyspark.sql import functions as F
+
+    from visitlens.sources.tables import actions, users
+    log = actions(spark, SF_SMALL, "day", "raw").join(users(spark, SF_SMALL).select("user_id"), "user_id", "left_semi")
+    text = day.isoformat()
+    return log.select(
+        F.lit(text).alias("date"), "user_id", F.concat(F.lit(seed), "session_id").alias("session_id"), "page_id",
+        F.concat(F.lit(text + " "), F.date_format("action_time", "HH:mm:ss")).alias("action_time"), "search_keyword",
+        "click_category_id", "click_product_id", "order_category_ids", "order_product_ids", "pay_category_ids",
+        "pay_product_ids", "city_id")

@@ -7,11 +7,10 @@ import io
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from conftest import SF_SMALL, text_log
 from visitlens.plans.session_stat import kept_sessions, run_session_task
-from generate import gen_actions, gen_users
 from visitlens.sources.layout import save_action_log
-from visitlens.sources.tables import from_reference_layout
+from visitlens.sources.tables import actions, from_reference_layout, users
 from visitlens.sources.tasks import TaskParams
 
 
@@ -23,13 +22,13 @@ def plan_text(df) -> str:
 
 
 def test_bucketed_log_skips_the_session_shuffle(spark):
-    raw = gen_actions(spark, SF_SMALL, day=dt.date(2024, 1, 15)).unionByName(
-        gen_actions(spark, SF_SMALL, day=dt.date(2024, 1, 16), seed="second day"))
+    raw = text_log(spark, day=dt.date(2024, 1, 15)).unionByName(
+        text_log(spark, day=dt.date(2024, 1, 16), seed="second day"))
     save_action_log(raw, "action_log_bucketed", buckets=8)
     bucketed = from_reference_layout(spark.table("action_log_bucketed"))
     plain = from_reference_layout(raw)
-    dim = gen_users(spark, SF_SMALL)
-    p = TaskParams(dt.date(2024, 1, 16), dt.date(2024, 1, 17), keywords=("火锅", "温泉"))
+    dim = users(spark, SF_SMALL)
+    p = TaskParams(dt.date(2024, 1, 16), dt.date(2024, 1, 17), keywords=("kw1", "kw4"))
     a = run_session_task(bucketed, dim, p, 1).first()
     b = run_session_task(plain, dim, p, 1).first()
     assert a == b and a.session_count > 0
@@ -40,10 +39,10 @@ def test_bucketed_log_skips_the_session_shuffle(spark):
 
 def test_refresh_days_replaces_only_written_dates(spark):
     from visitlens.sources.layout import refresh_days
-    d1 = gen_actions(spark, SF_SMALL, day=dt.date(2024, 2, 1), seed="a")
-    d2 = gen_actions(spark, SF_SMALL, day=dt.date(2024, 2, 2), seed="b")
+    d1 = text_log(spark, day=dt.date(2024, 2, 1), seed="a")
+    d2 = text_log(spark, day=dt.date(2024, 2, 2), seed="b")
     save_action_log(d1.unionByName(d2), "action_log_refresh", buckets=4)
-    again = gen_actions(spark, SF_SMALL, day=dt.date(2024, 2, 2), seed="c")
+    again = text_log(spark, day=dt.date(2024, 2, 2), seed="c")
     refresh_days(again, "action_log_refresh", buckets=4)
     t = spark.table("action_log_refresh")
     assert t.filter("date = '2024-02-01'").count() == d1.count()
@@ -57,12 +56,12 @@ def test_refresh_days_replaces_only_written_dates(spark):
 
 def test_user_bucketed_log_and_users_need_no_shuffle(spark):
     from visitlens.sources.layout import save_users
-    raw = gen_actions(spark, SF_SMALL, day=dt.date(2024, 3, 1), seed="u")
+    raw = text_log(spark, day=dt.date(2024, 3, 1), seed="u")
     save_action_log(raw, "action_log_by_user", buckets=8, bucket_col="user_id")
-    save_users(gen_users(spark, SF_SMALL), "users_by_user", buckets=8)
+    save_users(users(spark, SF_SMALL), "users_by_user", buckets=8)
     log = from_reference_layout(spark.table("action_log_by_user"))
     dim = spark.table("users_by_user")
-    p = TaskParams(dt.date(2024, 3, 1), dt.date(2024, 3, 2), keywords=("火锅",), sex="female")
+    p = TaskParams(dt.date(2024, 3, 1), dt.date(2024, 3, 2), keywords=("kw1",), sex="female")
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # show the bucketed sort-merge join
     try:
@@ -71,7 +70,7 @@ def test_user_bucketed_log_and_users_need_no_shuffle(spark):
         got = fast.first()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
-    want = run_session_task(from_reference_layout(raw), gen_users(spark, SF_SMALL), p, 1).first()
+    want = run_session_task(from_reference_layout(raw), users(spark, SF_SMALL), p, 1).first()
     assert got == want and got.session_count > 0
     assert "SortMergeJoin" in text
     assert "hashpartitioning(" not in text  # neither the roll-up nor the join shuffles
@@ -81,12 +80,12 @@ def test_many_tasks_on_user_bucketed_tables(spark):
     from visitlens.plans.multi_task import multi_task_stats
     from visitlens.sources.layout import save_users
     from visitlens.sources.tasks import task_param_json, task_table
-    raw = gen_actions(spark, SF_SMALL, day=dt.date(2024, 3, 5), seed="m").unionByName(
-        gen_actions(spark, SF_SMALL, day=dt.date(2024, 3, 6), seed="n"))
+    raw = text_log(spark, day=dt.date(2024, 3, 5), seed="m").unionByName(
+        text_log(spark, day=dt.date(2024, 3, 6), seed="n"))
     save_action_log(raw, "action_log_by_user_2", buckets=8, bucket_col="user_id")
-    save_users(gen_users(spark, SF_SMALL), "users_by_user_2", buckets=8)
+    save_users(users(spark, SF_SMALL), "users_by_user_2", buckets=8)
     tasks = task_table(spark, [
-        (1, "a", task_param_json(startDate="2024-03-05", endDate="2024-03-07", keywords="温泉")),
+        (1, "a", task_param_json(startDate="2024-03-05", endDate="2024-03-07", keywords="kw2")),
         (2, "b", task_param_json(startDate="2024-03-06", endDate="2024-03-07", sex="male")),
     ])
     log = from_reference_layout(spark.table("action_log_by_user_2"))
@@ -98,16 +97,16 @@ def test_many_tasks_on_user_bucketed_tables(spark):
         got = sorted(fast.collect())
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
-    want = sorted(multi_task_stats(from_reference_layout(raw), gen_users(spark, SF_SMALL), tasks).collect())
+    want = sorted(multi_task_stats(from_reference_layout(raw), users(spark, SF_SMALL), tasks).collect())
     assert got == want and got[0].session_count > 0
     assert "hashpartitioning(user_id" not in text and "hashpartitioning(session_id" not in text
 
 
 def test_refresh_days_on_a_user_bucketed_log(spark):
     from visitlens.sources.layout import refresh_days
-    d1 = gen_actions(spark, SF_SMALL, day=dt.date(2024, 4, 1), seed="p")
+    d1 = text_log(spark, day=dt.date(2024, 4, 1), seed="p")
     save_action_log(d1, "action_log_user_refresh", buckets=4, bucket_col="user_id")
-    d2 = gen_actions(spark, SF_SMALL, day=dt.date(2024, 4, 2), seed="q")
+    d2 = text_log(spark, day=dt.date(2024, 4, 2), seed="q")
     refresh_days(d2, "action_log_user_refresh", buckets=4, bucket_col="user_id")
     t = spark.table("action_log_user_refresh")
     assert t.count() == d1.count() + d2.count()
@@ -120,7 +119,6 @@ def test_a_hot_user_is_spread_over_buckets(spark, one_session):
     holds twice the median, the statistics are those of the plain log, and
     only combined rows are exchanged."""
     from visitlens.sources.layout import save_spread_log
-    from visitlens.sources.tables import actions, users
     buckets = 4
     plain = actions(spark, SF_SMALL, "day", "dense").withColumn("date", F.date_format("action_date", "yyyy-MM-dd"))
     hot = plain.where("event_id % 2 = 0").withColumn("user_id", F.lit(7).cast("bigint")).withColumn(
@@ -152,7 +150,6 @@ def test_a_hot_user_is_spread_over_buckets(spark, one_session):
 
 def test_a_log_without_hot_users_is_dealt_by_user(spark):
     from visitlens.sources.layout import spread
-    from visitlens.sources.tables import actions
     log = actions(spark, SF_SMALL, "day", "dense")
     assert spread(log, 1).where("deal <> user_id").count() == 0
     assert spread(log.where("1 = 0"), 4).count() == 0

@@ -141,20 +141,19 @@ def test_task_params_parse_lists_and_blanks(spark):
     assert p.category_ids == ("3", "14")
 
 
-def test_generated_log_in_application_layout_runs_end_to_end(spark):
-    """Generated mock data (text dates and times) through the adapter."""
+def test_log_in_application_layout_runs_end_to_end(spark):
+    """Text dates and times through the adapter."""
     from pyspark.sql import functions as F
 
-    from conftest import SF_SMALL
-    from generate import gen_actions, gen_users
-    from visitlens.sources.tables import from_reference_layout
+    from conftest import SF_SMALL, text_log
+    from visitlens.sources.tables import from_reference_layout, users
 
-    log = from_reference_layout(gen_actions(spark, SF_SMALL, day=dt.date(2024, 1, 15)))
-    dim = gen_users(spark, SF_SMALL)
+    log = from_reference_layout(text_log(spark, dt.date(2024, 1, 15)))
+    dim = users(spark, SF_SMALL)
     p = TaskParams(dt.date(2024, 1, 15), dt.date(2024, 1, 16))
     r = run_session_task(log, dim, p, 1).first()
     n_sessions = log.select("session_id").distinct().count()
-    assert r.session_count == n_sessions  # generated user ids all exist
+    assert r.session_count == n_sessions  # of known users only
     steps = [r[f"step_{name}"] for name, _l, _h in STEP_BUCKETS]
     assert abs(sum(steps) - 1.0) <= 0.005 * len(steps)  # every session is in one step bucket
     assert log.filter(F.col("action_time").isNull()).count() == 0
@@ -217,21 +216,20 @@ def test_application_layout_cuts_on_date_text_at_the_scan(spark):
     import contextlib
     import io
 
-    from conftest import SF_SMALL
-    from generate import gen_actions, gen_users
-    from visitlens.sources.tables import from_reference_layout
+    from conftest import SF_SMALL, text_log
+    from visitlens.sources.tables import from_reference_layout, users
     import tempfile
     path = tempfile.mkdtemp(prefix="visitlens-app-log-") + "/log"
-    gen_actions(spark, SF_SMALL, day=dt.date(2024, 1, 15)).write.parquet(path)
+    text_log(spark, dt.date(2024, 1, 15)).write.parquet(path)
     log = from_reference_layout(spark.read.parquet(path))
     p = TaskParams(dt.date(2024, 1, 15), dt.date(2024, 1, 16))
-    stat = run_session_task(log, gen_users(spark, SF_SMALL), p, 1)
+    stat = run_session_task(log, users(spark, SF_SMALL), p, 1)
     buf = io.StringIO()
     with contextlib.redirect_stdout(buf):
         stat.explain(mode="formatted")
     assert "GreaterThanOrEqual(date,2024-01-15)" in buf.getvalue()
     assert stat.first().session_count == log.select("session_id").distinct().count()
-    empty = run_session_task(log, gen_users(spark, SF_SMALL), TaskParams(dt.date(2024, 1, 16), dt.date(2024, 1, 17)), 1)
+    empty = run_session_task(log, users(spark, SF_SMALL), TaskParams(dt.date(2024, 1, 16), dt.date(2024, 1, 17)), 1)
     assert empty.first().session_count == 0
 
 
