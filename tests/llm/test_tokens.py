@@ -70,6 +70,10 @@ def test_file_round_trip_and_checkpoints():
     whole = read.block(0)
     for mark in range(read.blocks[0][1]):
         assert (read.block(0, mark) == whole[mark * T.CHECK_ROWS * T.LANES:]).all()
+    every = np.concatenate(docs)
+    for a, b in ((0, 0), (0, 5), (step - 3, step + 3), (T.LANES * T.CHECK_ROWS + 1, T.LANES * T.CHECK_ROWS + 9),
+                 (2 * step - 700, len(every)), (0, len(every)), (len(every), len(every) + 5)):
+        assert (read.part(a, b) == every[a:b]).all(), (a, b)
     assert list(T.TokenFile(T.file_image([], [])).documents()) == []
     one = T.TokenFile(T.file_image([1], [np.full(70_000, 7, np.uint32)]))
     assert (next(one.documents())[2] == 7).all()
@@ -112,6 +116,24 @@ def test_files_of_odd_rows(spark, odd, empty, byte_tokenizer):
     assert T.read_files(spark, none).count() == 0
 
 
+def test_one_id_on_many_rows(spark, byte_tokenizer):
+    """Rows of one id, most of them equal, lie in several files; a second
+    run writes the same."""
+    rows = [(7, f"word {i % 5} and more words") for i in range(4000)] + [(i, "x") for i in range(20)] + [(None, "y")] * 300
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    runs = []
+    for name in ("one", "two"):
+        target = T.new_target(spark, name)
+        T.write_files(df, target, byte_tokenizer, end_id=2, file_text_bytes=9000)
+        files = spark.read.parquet(target)
+        assert files.count() >= 8 and files.agg({"n_docs": "max"}).first()[0] < 1600
+        got = sorted(tuple(r) for r in T.read_files(spark, target).select("start", "doc_id", "n_tokens", "ids").collect())
+        assert len(got) == len(rows) and [r[0] for r in got] == [sum(x[2] for x in got[:k]) for k in range(len(got))]
+        assert [r[1] for r in got] == [None] * 300 + list(range(7)) + [7] * 4001 + list(range(8, 20))
+        runs.append([tuple(r[1:]) for r in got])
+    assert runs[0] == runs[1]
+
+
 def test_queries_against_library(spark, word_tokenizer, byte_tokenizer):
     import hashlib
 

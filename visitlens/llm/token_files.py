@@ -20,8 +20,10 @@ binary, with its range and counts beside it): Spark's writer commits them
 and any executor reads any of them back.
 
 Defined cases: null and empty texts have the end id alone; a null doc_id
-sorts first; rows that repeat a doc_id are written one after another; no
-rows give no files.
+sorts first; rows that repeat a doc_id are written one after another, in the
+order of a hash of their text, and may lie in several files; no rows give no
+files.  Reading files whole starts every block at its head; the checkpoints
+are for readers that want a part (TokenFile.part).
 """
 
 from __future__ import annotations
@@ -162,6 +164,19 @@ class TokenFile:
             raise ValueError(f"checksum of block {k} differs")
         return got
 
+    def part(self, start: int, stop: int) -> np.ndarray:
+        """Ids from ``start`` to ``stop`` of the file, decoded from the last
+        checkpoint before ``start`` in each block that they lie in."""
+        out, at = [np.zeros(0, np.uint32)], 0
+        for k, (n, marks, *_) in enumerate(self.blocks):
+            a, b = max(start - at, 0), min(stop - at, n)
+            if a < b:
+                mark = min(marks - 1, a // (LANES * CHECK_ROWS))
+                skip = mark * CHECK_ROWS * LANES
+                out.append(self.block(k, mark)[a - skip:b - skip])
+            at += n
+        return np.concatenate(out)
+
     def documents(self) -> Iterator[tuple[int | None, int, np.ndarray]]:
         """doc_id, place in the file, and ids, block after block."""
         held, blocks, place = np.zeros(0, np.uint32), iter(range(len(self.blocks))), 0
@@ -257,8 +272,12 @@ def write_files(docs: DataFrame, target: str, tokenizer: str, end_id: int, key:
     FILE_IDS ids is written as several files."""
     narrow = docs.select(F.col(key).cast("long").alias("key"), F.col(text).cast("string").alias("text"))
     n = pieces(text_bytes(narrow), file_text_bytes)
-    ordered = narrow.repartitionByRange(n, F.col("key").asc_nulls_first()).sortWithinPartitions(
-        F.col("key").asc_nulls_first()).withColumn("part", F.spark_partition_id())
+    # Rows that share a key, or all they hold, are told apart by hash and by
+    # place, so a range may end between them.
+    by = [F.col("key").asc_nulls_first(), F.xxhash64("text"), F.monotonically_increasing_id()]
+    told = narrow.withColumns({"_h": by[1], "_n": by[2]})
+    ordered = told.repartitionByRange(n, by[0], "_h", "_n").sortWithinPartitions(by[0], "_h", "_n").drop(
+        "_h", "_n").withColumn("part", F.spark_partition_id())
     names = ["part", "seq", "n_docs", "n_ids", "image"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
