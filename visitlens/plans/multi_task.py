@@ -36,7 +36,6 @@ range or with a repeated id stop the job, or are left out with
 
 from __future__ import annotations
 
-import datetime as dt
 import json
 from operator import or_
 from types import SimpleNamespace
@@ -56,37 +55,33 @@ TASK_BYTES = 32 * 2**20
 # them are read too, and the days of the pieces decide.
 SPANS = 64
 ATTRIBUTES = ("age", "professional", "city", "sex")
-_DAY = dt.timedelta(days=1)
 
 
 def task_facts(parsed: DataFrame) -> SimpleNamespace:
     """What the plan is built from, read in one small job over the task
-    table: counts, bytes, the disjoint spans of days that any task asks for
-    and the bounds of the ranges (at most one a day).  None grows with the
-    log."""
-    ranges = parsed.select("start_date", "end_date").where("start_date < end_date").distinct()
-    before = Window.orderBy("start_date", "end_date").rowsBetween(Window.unboundedPreceding, -1)
-    reach = F.max("end_date").over(before)
-    fresh = ranges.withColumn("fresh", F.when(F.col("start_date") <= reach, 0).otherwise(1))
-    upto = Window.orderBy("start_date", "end_date").rowsBetween(Window.unboundedPreceding, 0)
-    spans = fresh.withColumn("span", F.sum("fresh").over(upto)).groupBy("span").agg(
-        F.min("start_date").alias("lo"), F.max("end_date").alias("hi"))
-    bounds = ranges.select(F.explode(F.array("start_date", "end_date")).alias("day")).distinct()
+    table: counts, bytes, the bounds of the ranges and the disjoint spans of
+    days that any task asks for.  At most one row a day of the calendar
+    reaches the driver; none grows with the log."""
+    step = lambda day, n: F.struct(F.col(day).alias("day"), F.lit(n).cast("bigint").alias("n"))
+    steps = parsed.where("start_date < end_date").select(
+        F.inline(F.array(step("start_date", 1), step("end_date", -1)))).groupBy("day").agg(F.sum("n").alias("n"))
     profile = parsed.agg(
         F.count(F.lit(1)).alias("n_tasks"), F.count_distinct("task_id").alias("n_ids"),
         F.count_if(F.col("start_date").isNull() | F.col("end_date").isNull()).alias("n_undated"),
         F.coalesce(F.sum(F.octet_length("task_param")), F.lit(0)).alias("n_bytes"),
         F.count_if(F.col("keywords").isNotNull()).alias("n_kw"), F.count_if(F.col("category_ids").isNotNull()).alias("n_cat"))
-    rows = (
-        profile.select(F.lit("profile").alias("kind"), F.to_json(F.struct("*")).alias("v"))
-        .unionByName(spans.select(F.lit("span").alias("kind"),
-                                  F.concat_ws("|", F.col("lo").cast("string"), F.col("hi").cast("string")).alias("v")))
-        .unionByName(bounds.select(F.lit("bound").alias("kind"), F.col("day").cast("string").alias("v")))
-    ).collect()
-    of = lambda kind: sorted(r.v for r in rows if r.kind == kind)
-    return SimpleNamespace(
-        **json.loads(of("profile")[0]), bounds=[dt.date.fromisoformat(v) for v in of("bound")],
-        spans=[tuple(dt.date.fromisoformat(x) for x in v.split("|")) for v in of("span")])
+    rows = profile.select(F.lit(None).cast("date").alias("day"), F.to_json(F.struct("*")).alias("v")).unionByName(
+        steps.select("day", F.col("n").cast("string").alias("v"))).collect()
+    bounds = sorted((r.day, int(r.v)) for r in rows if r.day is not None)
+    spans, open_, began = [], 0, None
+    for day, n in bounds:
+        if not open_:
+            began = day
+        open_ += n
+        if not open_:
+            spans.append((began, day))
+    facts = next(json.loads(r.v) for r in rows if r.day is None)
+    return SimpleNamespace(**facts, bounds=[day for day, _ in bounds], spans=spans)
 
 
 def _balanced(conds: list[Column]) -> Column:
