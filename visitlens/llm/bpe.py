@@ -35,6 +35,8 @@ import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, functions as F
 
+from visitlens.llm.common import KEPT
+
 WORD_MEMORY = 400_000
 MEMORY_CHARS = 64
 SLICE_BYTES = 1 << 20
@@ -205,6 +207,9 @@ def codec(path: str) -> BpeCodec:
     return BpeCodec(path)
 
 
+KEPT.append(codec.cache_clear)
+
+
 def slices(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
     """Parts of a batch of about SLICE_BYTES of text."""
     sizes = pc.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import ctypes
 import tempfile
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -88,9 +89,16 @@ def _drawn(df: DataFrame, columns: list[str], share: Column) -> DataFrame:
     return drawn.where(F.pmod("_draw", F.lit(1 << 30)) < share * (1 << 30))
 
 
+# What other operators keep in a worker between its tasks.
+KEPT: list[Callable[[], None]] = []
+
+
 def release() -> None:
-    """Give memory that this worker has freed back to the system: workers
-    live on from task to task, and from stage to stage."""
+    """Drop what operators have kept in this worker and give freed memory
+    back to the system: workers live on from task to task, and from one
+    operator's stage to another's."""
+    for clear in KEPT:
+        clear()
     pa.default_memory_pool().release_unused()
     if _TRIM is not None:
         _TRIM(0)

@@ -148,13 +148,13 @@ def cover(starts: np.ndarray, window: int, n: int) -> np.ndarray:
     return np.cumsum(step[:n]) > 0
 
 
-def chunks(texts: pa.ChunkedArray) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """(first row, last row + 1, bytes, offsets) of runs of about
-    CHUNK_BYTES; a longer document is a run of its own."""
+def chunks(texts: pa.ChunkedArray, size: int = CHUNK_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(first row, last row + 1, bytes, offsets) of runs of about ``size``
+    bytes; a longer document is a run of its own."""
     data, off = utf8(texts)
     a, n = 0, len(off) - 1
     while a < n:
-        b = max(a + 1, int(np.searchsorted(off, off[a] + CHUNK_BYTES, "right")) - 1)
+        b = max(a + 1, int(np.searchsorted(off, off[a] + size, "right")) - 1)
         yield a, b, data[off[a]:off[b]], off[a:b + 1] - off[a]
         a = b
 

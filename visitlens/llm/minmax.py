@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from visitlens.llm import fingerprints as fp
-from visitlens.llm.common import cut
+from visitlens.llm.common import cut, release
 from visitlens.llm.graph import components, labels
 from visitlens.llm.substring import word_units
 
@@ -113,6 +113,7 @@ def _describe(permutations: int, band: int):
                      pa.array(prints[:, 1]), pa.ListArray.from_arrays(ends, pa.array(keys[full].ravel()))],
                     ["key", "n", "p1", "p2", "bands"])
                 at += len(n)
+        release()
     return run
 
 

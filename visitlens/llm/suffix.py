@@ -39,6 +39,7 @@ GRAM = 20
 HOT = 256
 PIECE_WINDOWS = 64
 BLOCK_BYTES = 4 << 20
+CHUNK_BYTES = 1 << 18
 SORT_BYTES = 1 << 20
 _LAST = np.iinfo(np.int64).max
 
@@ -154,7 +155,7 @@ class _Block:
     def __init__(self, table: pa.Table, length: int, buckets: int):
         self.length, self.buckets = length, buckets
         self.keys = table["num"].combine_chunks().fill_null(_LAST).to_numpy(zero_copy_only=False).astype(np.int64)
-        self.chunks = list(fp.chunks(table["txt"]))
+        self.chunks = list(fp.chunks(table["txt"], CHUNK_BYTES))
         gram = min(GRAM, length)
         self.least, counts, found = [], [], []
         for a, b, data, off in self.chunks:

@@ -38,7 +38,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from visitlens.llm.common import pieces, shared_dir, text_bytes
+from visitlens.llm.common import KEPT, pieces, shared_dir, text_bytes
 
 LANES = 512
 CHECK_ROWS = 128
@@ -264,6 +264,9 @@ def words(path: str) -> Words:
     return Words(path)
 
 
+KEPT.append(words.cache_clear)
+
+
 def write_files(docs: DataFrame, target: str, tokenizer: str, end_id: int, key: str = "doc_id",
                 text: str = "text", file_text_bytes: int = FILE_TEXT_BYTES) -> None:
     """Encode the texts and write files in ascending order of ``key``.
