@@ -427,6 +427,8 @@ def remove_earlier(df: DataFrame, key: str = "doc_id", text: str = "text", lengt
     that a cut parts)."""
     blocks = pieces(df.agg(F.sum(row_bytes(text))).first()[0] or 0, block_bytes)
     docs, names = fp.dealt(df, text, key, blocks, block_bytes)
+    # As many tasks as blocks, whatever the session's number.
+    docs = docs.repartition(blocks, "block")
 
     def hashes(k, t):
         out = fp.sent(k[0].as_py(), 0, _Block(t, length, blocks).send_hashes())
