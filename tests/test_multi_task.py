@@ -382,3 +382,32 @@ def test_job_writes_rejects_beside_the_statistics(spark):
     job.main([*args, "--rejects", f"{top}/rejects"])
     assert sorted(r.task_id for r in spark.read.parquet(f"{top}/stats").collect()) == [t[0] for t in SAMPLE_TASKS]
     assert sorted(r.task_id for r in spark.read.parquet(f"{top}/rejects").collect()) == [90, 91, 91]
+
+
+@pytest.mark.parametrize("by_user", [False, True])
+def test_users_that_stand_several_times_repeat_their_sessions(spark, by_user):
+    """As a join does, also where users share a session: each time that the
+    smallest user of a range stands in the dimension and fits counts."""
+    import random
+
+    from conftest import make_actions, make_users, user
+    rnd = random.Random(4)
+    rows = random_log(rnd, 150, 25, 12)
+    dim = [user(1), user(2, sex="female"), user(2, age=50), user(2, age=60), user(4), user(4, sex="female"), user(5, age=11)]
+    tasks = [(t, "t", task_param_json(startDate=f"2020-01-{1 + t % 7:02d}", endDate=f"2020-01-{5 + t:02d}",
+                                      **({"sex": "female"} if t % 2 else {}), **({"keywords": "a"} if t % 3 == 0 else {}),
+                                      **({"startAge": "20", "endAge": "55"} if t % 4 == 0 else {}))) for t in range(8)]
+    want = {}
+    for tid, _n, text in tasks:
+        import json
+        p = {k: v[0] for k, v in json.loads(text).items()}
+        sessions = {}
+        for r in rows:
+            if p["startDate"] <= str(r[1]) < p["endDate"]:
+                sessions.setdefault((r[2], r[3]) if by_user else r[3], []).append(r)
+        want[tid] = sum(
+            sum(u[0] == min(r[2] for r in rs) and u[6] == p.get("sex", u[6])
+                and int(p.get("startAge", 0)) <= u[3] <= int(p.get("endAge", 99)) for u in dim)
+            for rs in sessions.values() if "keywords" not in p or p["keywords"] in {r[5] for r in rs})
+    got = multi_task_stats(make_actions(spark, rows), make_users(spark, dim), task_table(spark, tasks), by_user=by_user)
+    assert {r.task_id: r.session_count for r in got.collect()} == want and sum(want.values()) > 20

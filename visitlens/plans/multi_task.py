@@ -155,13 +155,29 @@ def session_pieces(log: DataFrame, pieces: DataFrame, listed: dict[str, DataFram
 
 def with_users(rows: DataFrame, users: DataFrame, by_user: bool, profession_from_city: bool) -> DataFrame:
     """User attributes and whether the user is known.  Unknown users stay:
-    a session belongs to the smallest user in a range, known or not."""
+    a session belongs to the smallest user in a range, known or not.  A user
+    that the dimension holds several times repeats its sessions, as a join
+    does: every time is a ``copy`` of the session, and what a copy lacks (the
+    parts of other users, listed values) it gets from the first."""
     prof = F.col("city") if profession_from_city else F.col("professional")
+    same = Window.partitionBy("u_id")
     attrs = users.select(F.col("user_id").alias("u_id"), "age", prof.alias("professional"), "city", "sex",
                          F.lit(True).alias("known"))
+    attrs = attrs.withColumns({"copy": F.row_number().over(same.orderBy(*ATTRIBUTES)),
+                               "copies": F.count(F.lit(1)).over(same).cast("int")})
     uid = "user_id" if by_user else "uid"
     joined = rows.join(attrs, F.col(uid) == F.col("u_id"), "left").drop("u_id")
-    return joined.withColumn("uid", F.col(uid)) if by_user else joined
+    if by_user:
+        joined = joined.withColumn("uid", F.col(uid))
+    session = Window.partitionBy(*(["user_id", "session_id"] if by_user else ["session_id"]))
+    most = F.max(F.coalesce("copies", F.lit(1))).over(session)
+    told = joined.withColumns({"copy": F.coalesce("copy", F.lit(1)), "copies": F.coalesce("copies", F.lit(1)), "most": most})
+    whole, first = F.col("kind") == "all", F.col("copy") == 1
+    lacking = F.when(first & (F.col("most") > F.col("copies")), F.sequence(F.col("copies") + 1, "most")).otherwise(F.array())
+    to = F.when(whole, F.concat(F.array("copy"), lacking)).when(first, F.sequence(F.lit(1), "most")).otherwise(F.array())
+    dealt = told.withColumn("to", F.explode(to.cast("array<int>")))
+    return dealt.withColumns({"known": F.col("known") & (F.col("to") <= F.col("copies")), "copy": F.col("to")}).drop(
+        "copies", "most", "to")
 
 
 def _wanted(p: str = "p_") -> Column:
@@ -257,7 +273,7 @@ def multi_task_stats(action_log: DataFrame, user_dim: DataFrame, tasks: DataFram
         listed["cat"] = listed_values(parsed, "cat", "category_ids")
 
     log = _cut_log(action_log, facts.spans, cut_col)
-    key = ["user_id", "session_id"] if by_user else ["session_id"]
+    key = ["user_id", "session_id", "copy"] if by_user else ["session_id", "copy"]
     rows = with_users(session_pieces(log, pieces_of(action_log.sparkSession, facts), listed, by_user, small), user_dim,
                       by_user, profession_from_city)
     predicates = ("start_age", "end_age", "professionals", "cities", "sex")
