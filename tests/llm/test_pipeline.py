@@ -73,3 +73,26 @@ def test_run_is_repeatable(spark):
     assert one == two and len(one) > 100
     assert P.ORACLE_SQL is None and len(P.STAGES) == 5
     random.seed(0)
+
+
+def test_run_on_empty_and_null_only_tables(spark, tmp_path):
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    tables = {"empty": [], "nulls": [(i, None, None, None, None) for i in range(5)] + [(None, None, "en", "a", 0)],
+              "blank": [(1, "", "en", "a", 0), (1, "  ", "en", "a", 2), (2, "?!", None, None, 2)]}
+    for name, rows in tables.items():
+        folder = f"{tmp_path}/{name}"
+        spark.createDataFrame(rows, schema).write.parquet(f"{folder}/documents.parquet")
+        got = P.run(spark, folder)
+        assert got.columns == ["doc_id", "source", "n_tokens", "token_ids", "decoded_sha256"]
+        assert got.count() == 0  # texts without a letter are in no language
+
+
+def test_texts_that_share_an_id_stay(spark):
+    rng = random.Random(2)
+    text = lambda: " ".join(f"w{rng.randrange(9999)}" for _ in range(60))
+    a, b, c = text(), text(), text()
+    rows = [(5, a), (5, b), (5, b), (7, a), (7, c), (9, c + " more"), (-3, b + " end"), (None, a), (None, a)]
+    docs = spark.createDataFrame([(d, t, "en", "s", len(t)) for d, t in rows],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    kept = sorted(((r.doc_id is None, r.doc_id or 0), r.text) for r in P.drop_near_duplicates(spark, docs, SF_SMALL).collect())
+    assert kept == sorted([((False, 5), a), ((False, -3), b + " end"), ((False, 7), c), ((True, 0), a), ((True, 0), a)])

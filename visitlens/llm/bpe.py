@@ -35,9 +35,9 @@ import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, functions as F
 
-from visitlens.llm.common import KEPT
+from visitlens.llm.common import KEPT, trim
 
-WORD_MEMORY = 400_000
+WORD_MEMORY = 150_000
 MEMORY_CHARS = 64
 SLICE_BYTES = 1 << 20
 _END = ""  # end of a word inside this module; no byte symbol
@@ -234,6 +234,7 @@ def encode_texts(df: DataFrame, path: str, key: str = "doc_id", text: str = "tex
                 if decode:
                     columns.append(pa.array([own.decode(x).decode() for x in ids], pa.string()))
                 yield pa.RecordBatch.from_arrays(columns, ["key", "token_ids", "decoded"][: len(columns)])
+            trim()
 
     kind = dict(df.dtypes)[key]
     narrow = df.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))

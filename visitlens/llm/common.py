@@ -99,6 +99,11 @@ def release() -> None:
     operator's stage to another's."""
     for clear in KEPT:
         clear()
+    trim()
+
+
+def trim() -> None:
+    """Give freed memory back to the system."""
     pa.default_memory_pool().release_unused()
     if _TRIM is not None:
         _TRIM(0)
