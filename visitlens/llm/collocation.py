@@ -38,12 +38,12 @@ from visitlens.llm import fingerprints as fp
 from visitlens.llm.common import cut, pieces, release, text_bytes, utf8
 
 LEAST = 10
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
 BUCKET_BYTES = 48 << 20
 MERGE_BYTES = 4 << 20
 RUN = 1 << 20
 BURST = 1 << 18
-LIMIT = 2 << 20
+LIMIT = 1 << 20
 FAN = 16
 SPREAD = 64
 MILLION = 1_000_000
