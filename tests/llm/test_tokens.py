@@ -57,6 +57,38 @@ def test_words_of_the_library(byte_tokenizer):
         assert ids.tolist() == library.encode(t, add_special_tokens=False).ids, t
 
 
+def test_parts_are_the_matches_of_the_pattern():
+    """Texts of clear characters are cut as the library cuts them."""
+    from tokenizers import pre_tokenizers
+
+    pattern = pre_tokenizers.ByteLevel(add_prefix_space=False)
+    rng = random.Random(11)
+    some = ["a", "The", " ", "  ", "\n", "\t", "\r\n", "é", "ß", "ɏ", "12", "!?", ".", "'", "''", "'s", "'t", "'re", "'ve", "'ll",
+            "'LL", "'m", "'d", "l", "e", " and", "\x0b"]
+    texts = ["".join(rng.choice(some) for _ in range(rng.randrange(25))) for _ in range(3000)]
+    data, off = T.utf8(T.pa.array(texts))
+    starts, other = T.parts_of(data, off)
+    assert not len(other)
+    expected = []
+    for t, a in zip(texts, off.tolist()):
+        expected += [a + len(t[:place].encode()) for _, (place, _) in pattern.pre_tokenize_str(t)]
+    assert starts.tolist() == expected
+
+
+def test_library_gets_each_part_once(byte_tokenizer):
+    """Words that differ only by marks, line ends or their place in the
+    text cost the library one new part."""
+    library, own, asked = Tokenizer.from_file(byte_tokenizer), T.Words(byte_tokenizer), []
+    plain = own.plain.encode_batch_fast
+    own.plain = type("Counting", (), {"encode_batch_fast": staticmethod(
+        lambda texts, **kw: asked.extend(w for t in texts for w in t.split()) or plain(texts, **kw))})()
+    texts = ["the wxqzzk. wxqzzk, wxqzzk! wxqzzk\n the (wxqzzk) wxqzzk's", "the wxqzzk", "", "wxqzzk wxqzzk…  wxqzzk"]
+    for _ in range(2):
+        for t, ids in zip(texts, own(texts), strict=True):
+            assert ids.tolist() == library.encode(t, add_special_tokens=False).ids
+    assert sorted(asked) == sorted(set(asked)) and sum("wxqzzk" in w for w in asked) == 2
+
+
 def test_file_round_trip_and_checkpoints():
     rng = np.random.default_rng(9)
     step = T.LANES * T.BLOCK_ROWS

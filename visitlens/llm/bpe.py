@@ -210,10 +210,10 @@ def codec(path: str) -> BpeCodec:
 KEPT.append(codec.cache_clear)
 
 
-def slices(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
-    """Parts of a batch of about SLICE_BYTES of text."""
+def slices(batch: pa.RecordBatch, column: str, each: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch of about ``each`` bytes of text."""
     sizes = pc.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
-    group = (np.cumsum(sizes) - sizes) // SLICE_BYTES
+    group = (np.cumsum(sizes) - sizes) // each
     cuts = np.flatnonzero(np.diff(group, prepend=-1)) if len(sizes) else []
     for a, b in zip(cuts, [*cuts[1:], len(sizes)], strict=True):
         yield batch.slice(a, b - a)

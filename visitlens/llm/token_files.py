@@ -28,6 +28,7 @@ are for readers that want a part (TokenFile.part).
 
 from __future__ import annotations
 
+import codecs
 import functools
 import struct
 import uuid
@@ -36,9 +37,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from visitlens.llm.common import KEPT, pieces, shared_dir, text_bytes
+from visitlens.llm.bpe import byte_symbols, slices
+from visitlens.llm.common import KEPT, pieces, shared_dir, text_bytes, trim, utf8
 
 LANES = 512
 CHECK_ROWS = 128
@@ -48,6 +51,8 @@ LOW = np.uint64(1 << 31)
 FILE_TEXT_BYTES = 8 << 20
 FILE_IDS = 4 << 20
 WORD_MEMORY = 400_000
+PART_ROWS, WORD_ROWS = 50, 1000
+SLICE_BYTES = 4 << 20
 BROADCAST_FILES = 500_000
 _HEAD = struct.Struct("<4sIIIQ")
 
@@ -76,13 +81,15 @@ def encode_block(index: np.ndarray, freq: np.ndarray, first: np.ndarray) -> tupl
     state = np.full(LANES, LOW, np.uint64)
     words: list[np.ndarray] = []
     marks: list[tuple[int, np.ndarray]] = []
+    each, add = freq[full], first[full]
+    most, step = each << np.uint64(47), np.uint64(1 << BITS) - each
     for r in range(rows - 1, -1, -1):
-        f, c = freq[full[r]], first[full[r]]
-        over = state >= f << np.uint64(47)
-        words.append(state[over].astype(np.uint32))
-        state[over] >>= np.uint64(32)
-        q, m = np.divmod(state, f)
-        state = (q << np.uint64(BITS)) + m + c
+        over = np.flatnonzero(state >= most[r])
+        out = state[over]
+        words.append(out.astype(np.uint32))
+        state[over] = out >> np.uint64(32)
+        # (state // f << BITS) + state % f + first
+        state = state + state // each[r] * step[r] + add[r]
         if r % CHECK_ROWS == 0:
             marks.append((len(words), state.copy()))
     sizes = np.cumsum([len(w) for w in words]) if words else np.zeros(1, np.int64)
@@ -116,9 +123,13 @@ def file_image(doc_ids: list[int | None], ids: list[np.ndarray]) -> bytes:
     wide, first = freq.astype(np.uint64), (np.cumsum(freq) - freq).astype(np.uint64)
     heads, bodies, place = [], [], 0
     step = LANES * BLOCK_ROWS
+    small = len(symbols) and symbols[-1] < 1 << 20
+    if small:
+        number = np.zeros(int(symbols[-1]) + 1, np.int64)
+        number[symbols] = np.arange(len(symbols))
     for a in range(0, len(flat), step):
         own = flat[a:a + step]
-        at, states, words = encode_block(np.searchsorted(symbols, own), wide, first)
+        at, states, words = encode_block(number[own] if small else np.searchsorted(symbols, own), wide, first)
         body = b"".join(struct.pack("<I", p) + s.tobytes() for p, s in zip(at, states, strict=True)) + words.tobytes()
         heads.append(struct.pack("<IIIIQ", len(own), len(at), len(words), zlib.crc32(own.tobytes()), place))
         bodies.append(body)
@@ -191,69 +202,174 @@ class TokenFile:
             place += int(n)
 
 
+# Classes of bytes in the byte-level pattern, where these are beyond doubt:
+# Latin letters (up to U+024F), digits, ASCII punctuation, ASCII white space.
+_LETTER, _DIGIT, _MARK, _WHITE, _OTHER = range(5)
+_KIND = np.full(256, _OTHER, np.uint8)
+_KIND[0x21:0x7F] = _MARK
+_KIND[[*b"0123456789"]] = _DIGIT
+_KIND[[*range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0xC0), *range(0xC3, 0xCA)]] = _LETTER
+_KIND[[0x20, *range(0x09, 0x0E)]] = _WHITE
+
+
+def parts_of(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the parts of texts begin, and which of these hold a character
+    of another class.
+
+    Parts are the matches of the byte-level pattern; those of the other kind
+    reach from a space, or the head of a text, to the next space."""
+    n = len(data)
+    head = np.zeros(n + 1, bool)
+    head[off] = True
+    kind = _KIND[data]
+    at = np.flatnonzero(data[:-1] == 0xC3)
+    kind[at[(data[at + 1] == 0x97) | (data[at + 1] == 0xB7)]] = _OTHER
+    at = np.flatnonzero(data[:-1] == 0xC9)
+    kind[at[data[at + 1] >= 0x90]] = _OTHER
+    cut = head[:-1].copy()
+    cut[1:] |= kind[1:] != kind[:-1]
+    # The last of several white-space characters stands apart; a space goes
+    # with what follows it.
+    white = kind == _WHITE
+    turn = np.flatnonzero(white[:-1] & ~white[1:] & ~head[1:-1]) + 1
+    cut[turn] = data[turn - 1] != 0x20
+    cut[turn - 1] = True
+    # 's 't 'm 'd 're 've 'll, where a match begins at the apostrophe
+    at = np.flatnonzero(data == 0x27)
+    at = at[cut[at]]
+    ends = np.concatenate([data, np.zeros(2, np.uint8)])
+    ends[off[(off > 0) & (off < n)]] |= 0x80  # no suffix reaches into the next text
+    one, two = ends[at + 1], ends[at + 2]
+    single = np.isin(one, [*b"stmd"])
+    double = ((one == 0x72) | (one == 0x76)) & (two == 0x65) | (one == 0x6C) & (two == 0x6C)
+    for found, size in ((single, 2), (double, 3)):
+        cut[at[found] + 1] = False
+        stop = at[found] + size
+        cut[stop[stop < n]] = True
+    other = np.flatnonzero(kind == _OTHER)
+    if len(other):
+        begins = np.flatnonzero((data == 0x20) | head[:-1])
+        nth = np.unique(np.searchsorted(begins, other, "right") - 1)
+        a, b = begins[nth], np.append(begins, n)[nth + 1]
+        inside = np.zeros(n + 1, np.int8)
+        inside[a] += 1
+        inside[b] -= 1
+        cut &= np.cumsum(inside[:-1], dtype=np.int8) == 0
+        cut[a] = True
+        cut[b[b < n]] = True
+    starts = np.flatnonzero(cut)
+    return starts, np.unique(np.searchsorted(starts, other, "right") - 1)
+
+
 class Words:
-    """Ids of whole texts by the tokenizers library, word by word.
+    """Ids of whole texts by the tokenizers library, part by part.
+
+    The byte-level pattern is matched by classes of bytes.  Every different
+    part of a batch is looked up once; new ones go to the library, spelled
+    by its symbols, behind a plain white-space cut.  Words with characters
+    of other classes go to it as they are: the pattern always ends a match
+    before a space that stands between two other characters than white
+    space.  Texts where other white space meets such a cut, or with the
+    special tokens' strings, go whole to the library.
 
-    The byte-level pattern always ends a match before a space that stands
-    between two other characters than white space, so a text cut there has
-    the ids of its parts.  Texts where white space meets the cut, or with
-    the special tokens' strings, go whole to the library.  New parts go to
-    it joined, and its ids are parted again by the bytes that they stand
-    for.  What a part gives is kept, in two generations of bounded size."""
+    New parts go joined, and the ids are parted again by the bytes that they
+    stand for.  What a part gives is kept, in two generations of bounded
+    size."""
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
-        self.own = Tokenizer.from_file(path)
+        self.own, self.plain = Tokenizer.from_file(path), Tokenizer.from_file(path)
+        self.plain.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        # No text holds the byte 0xFF: it stands for the gap between parts.
+        self.symbols = "".join(byte_symbols()[:-1]) + " "
         self.special = [t.content for t in self.own.get_added_tokens_decoder().values()]
         vocab = self.own.get_vocab()
         self.size = np.zeros(max(vocab.values()) + 1, np.int64)
         for token, i in vocab.items():
             self.size[i] = len(token)  # one symbol per byte
-        self.young: dict[str, bytes | None] = {}
-        self.old: dict[str, bytes | None] = {}
+        self.young: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.own.encode(text, add_special_tokens=False).ids, np.uint32).tobytes()
 
-    def _learn(self, words: list[str]) -> None:
-        """Ids of words with a space in front; None for those that don't
-        stand alone."""
-        plain = []
-        for w in words:
-            if not w or w[0].isspace() or w[-1].isspace():
-                self.young[w] = None
-            else:
-                plain.append(w)
-        for a in range(0, len(plain), 1000):
-            some = plain[a:a + 1000]
-            found = self.own.encode_batch_fast([" " + " ".join(some)], add_special_tokens=False)[0].ids
-            ids = np.array(found, np.uint32)
-            ends = np.cumsum([1 + len(w.encode()) for w in some])
+    def _learn(self, tokenizer, rows: list[bytes], texts: list[str], each: int) -> None:
+        """Ids of the rows, which stand in texts, ``each`` in one."""
+        for a in range(0, len(texts), 64):
+            some = rows[a * each:(a + 64) * each]
+            got = tokenizer.encode_batch_fast(texts[a:a + 64], add_special_tokens=False)
+            ids = np.array([i for e in got for i in e.ids], np.uint32)
+            ends = np.cumsum(list(map(len, some)))
             cuts = (4 * np.searchsorted(np.cumsum(self.size[ids]), ends, "left") + 4).tolist()
             data, at = ids.tobytes(), 0
-            for w, to in zip(some, cuts, strict=True):
-                self.young[w] = data[at:to]
+            for row, to in zip(some, cuts, strict=True):
+                self.young[row] = data[at:to]
                 at = to
 
-    def __call__(self, texts: list[str]) -> list[np.ndarray]:
+    def _learn_parts(self, parts: list[bytes]) -> None:
+        texts = [codecs.charmap_decode(b"\xff".join(parts[a:a + PART_ROWS]), "strict", self.symbols)[0]
+                 for a in range(0, len(parts), PART_ROWS)]
+        self._learn(self.plain, parts, texts, PART_ROWS)
+
+    def _learn_words(self, words: list[bytes]) -> None:
+        """Empty for those that don't stand alone."""
+        led = []
+        for word in words:
+            text = word.decode()
+            if text[-1].isspace() or text[0] == " " and text[1].isspace():
+                self.young[word] = b""
+            elif text[0] == " ":
+                led.append(word)
+            else:
+                self.young[word] = self._whole(text)
+        self._learn(self.own, led, [b"".join(led[a:a + WORD_ROWS]).decode() for a in range(0, len(led), WORD_ROWS)],
+                    WORD_ROWS)
+
+    def __call__(self, texts: list[str] | pa.Array) -> list[np.ndarray]:
+        column = pa.array(texts, pa.string()) if isinstance(texts, list) else texts
+        data, off = utf8(column)
+        if not len(data):
+            return [np.zeros(0, np.uint32)] * len(column)
+        whole = np.zeros(len(column), bool)
+        for s in self.special:
+            whole |= pc.match_substring(column, s).fill_null(False).to_numpy(zero_copy_only=False)
+        starts, other = parts_of(data, off)
+        coded = pa.Array.from_buffers(pa.large_binary(), len(starts), [
+            None, pa.py_buffer(np.append(starts, len(data)).astype(np.int64)),
+            pa.py_buffer(np.ascontiguousarray(data))]).dictionary_encode()
+        words, nth = coded.dictionary.to_numpy(zero_copy_only=False).tolist(), coded.indices.to_numpy()
         if len(self.young) >= WORD_MEMORY:
             self.old, self.young = self.young, {}
-        cut = [None if any(s in t for s in self.special) else t.split(" ") for t in texts]
-        fresh = set().union(*(p[1:] for p in cut if p)) - self.young.keys()
-        known = fresh & self.old.keys()
-        self.young.update((w, self.old[w]) for w in known)
-        self._learn(sorted(fresh - known))
-        get, out = self.young.__getitem__, []
-        for text, parts in zip(texts, cut, strict=True):
-            try:
-                if parts is None or parts[0][-1:].isspace():
-                    raise TypeError
-                data = self._whole(parts[0]) + b"".join(map(get, parts[1:]))
-            except TypeError:  # a part that does not stand alone
-                data = self._whole(text)
-            out.append(np.frombuffer(data, np.uint32))
-        return out
+        found = list(map(self.young.get, words))
+        missing = [i for i, f in enumerate(found) if f is None]
+        if missing:
+            odd, fresh = set(np.unique(nth[other]).tolist()), []
+            for i in missing:
+                known = self.old.get(words[i])
+                if known is None:
+                    fresh.append(i)
+                else:
+                    self.young[words[i]] = known
+            self._learn_parts([words[i] for i in fresh if i not in odd])
+            self._learn_words([words[i] for i in fresh if i in odd])
+            for i in missing:
+                found[i] = self.young[words[i]]
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        first = np.searchsorted(starts, off)
+        if not sizes.all():
+            before = np.concatenate([[0], np.cumsum(sizes[nth] == 0)])
+            whole |= before[first[1:]] > before[first[:-1]]
+        # The ids of all parts, gathered from those of the different ones.
+        blob = np.frombuffer(b"".join(found), np.uint32)
+        n = sizes[nth]
+        before = np.concatenate([[0], np.cumsum(n)])
+        place = np.repeat((np.cumsum(sizes) - sizes)[nth] - before[:-1], n)
+        place += np.arange(len(place))
+        ids = blob[place]
+        cuts = before[first].tolist()
+        return [np.frombuffer(self._whole(column[i].as_py()), np.uint32) if odd else ids[a:b]
+                for i, (odd, a, b) in enumerate(zip(whole.tolist(), cuts[:-1], cuts[1:], strict=True))]
 
 
 @functools.lru_cache(2)
@@ -293,16 +409,16 @@ def write_files(docs: DataFrame, target: str, tokenizer: str, end_id: int, key:
             return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(row, kinds, strict=True)], names)
 
         for batch in batches:
-            for a in range(0, len(batch), 256):
-                some = batch.slice(a, 256)
+            for some in slices(batch, "text", SLICE_BYTES):
                 part = some.column("part")[0].as_py()
                 keys += some.column("key").to_pylist()
-                got = [np.append(x, np.uint32(end_id)) for x in tokens([t or "" for t in some.column("text").to_pylist()])]
+                got = [np.append(x, np.uint32(end_id)) for x in tokens(some.column("text"))]
                 ids += got
                 size += sum(map(len, got))
                 if size >= FILE_IDS:
                     yield image()
                     keys, ids, size, seq = [], [], 0, seq + 1
+                trim()
         if keys:
             yield image()
 
