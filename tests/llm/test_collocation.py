@@ -98,6 +98,47 @@ def test_trie_bursts_and_spills(monkeypatch):
     assert got == want
 
 
+def test_packed_columns_come_back():
+    rng = np.random.default_rng(3)
+    for rows in (0, 1, 2, 300, 70_000):
+        big = rng.integers(0, 1 << 63, rows, np.uint64) * np.uint64(2)
+        words = C.pa.array([b"w" * int(k) for k in rng.integers(0, 5, rows + 2)], C.pa.large_binary()).slice(1, rows)
+        small, fresh = rng.integers(0, 300, rows), rng.random(rows) < 0.5
+        t = C.unpacked(C.packed(big=big, words=words, small=small, fresh=fresh), big=np.uint64, words=bytes, small=np.int64, fresh=bool)
+        assert t["words"].to_pylist() == words.to_pylist() and t["big"].type == C.pa.uint64()
+        assert (t["big"].to_numpy() == big).all() and (t["small"].to_numpy() == small).all()
+        assert (t["fresh"].to_numpy() == fresh).all()
+
+
+def test_a_task_writes_few_rows_a_part():
+    """However many subtrees are spilled: rows do not grow with their
+    number, and a row of few phrases is small."""
+    rng = np.random.default_rng(4)
+    parts, want, tables = 50, collections.Counter(), []
+    for _ in range(40):
+        pair = np.sort(rng.integers(0, 1 << 18, 500, np.uint64) << np.uint64(24))
+        third, n = rng.integers(0, 3, 500, np.uint64) * np.uint64((1 << 31) + 5), rng.integers(1, 4, 500)
+        tables.append(C.pa.table({"pair": pair, "third": third, "n": n}))
+        for p, t, k in zip(pair.tolist(), third.tolist(), n.tolist()):
+            want[p, t] += k
+    batches = list(C._runs(iter(tables), parts))
+    rows = [r for b in batches for r in b.to_pylist()]
+    assert len(rows) == parts and sum(len(r["body"]) for r in rows) < 9 * 40 * 500
+    several = [r for b in C._runs(iter(tables), parts, held=4000) for r in b.to_pylist()]
+    assert len(several) == 5 * parts
+    for some in (rows, several):
+        got, place = collections.Counter(), {}
+        for r in some:
+            t = C.run_of(r["body"])
+            keys = list(zip(t["pair"].to_pylist(), t["third"].to_pylist(), strict=True))
+            assert keys == sorted(set(keys))
+            for key, k in zip(keys, t["n"].to_pylist(), strict=True):
+                got[key] += k
+                assert place.setdefault(key, r["part"]) == r["part"]
+        assert got == want
+    assert not list(C._runs(iter([]), parts)) and not list(C._runs(iter([tables[0].slice(0, 0)]), parts))
+
+
 def test_scores_pass_64_bits(spark):
     a, x, y = 9_000_000_000_000, 9_000_000_000_001, 10_000_000_000_007
     df = spark.createDataFrame([(a, x, y)], "f long, l long, r long")

@@ -13,8 +13,9 @@
    and second words, in order of the range.  A container that grows beyond
    BURST is split by prefix; when the trie as a whole is beyond LIMIT, whole
    containers are spilled, the largest first, as sorted runs.
-4. Runs are dealt by prefix to partitions and merged there; a prefix of two
-   words has SPREAD places by its third, so a hot pair has no task to itself.
+4. Runs are dealt by prefix to partitions, some HELD phrases at once, and
+   merged there; a prefix of two words has SPREAD places by its third, so a
+   hot pair has no task to itself.
 5. The phrases that are frequent, few by now, are joined with the counts of
    their parts and ranked.
 
@@ -27,6 +28,7 @@ block; an empty table gives no rows; extra columns play no part.
 
 from __future__ import annotations
 
+import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -44,6 +46,7 @@ MERGE_BYTES = 4 << 20
 RUN = 1 << 20
 BURST = 1 << 18
 LIMIT = 1 << 20
+HELD = 1 << 21
 FAN = 16
 SPREAD = 64
 MILLION = 1_000_000
@@ -54,18 +57,52 @@ _GAP = _END.copy()
 _GAP[[0x20, 0x09]] = True
 
 
-def packed(**columns) -> bytes:
-    """Columns as compressed Arrow data."""
-    batch = pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c) for c in columns.values()],
-                                       names=list(columns))
-    sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
-        out.write_batch(batch)
-    return sink.getvalue().to_pybytes()
+_ZSTD = pa.Codec("zstd")
 
 
-def unpacked(body: bytes) -> pa.Table:
-    return pa.ipc.open_stream(body).read_all()
+def _planes(values: np.ndarray) -> bytes:
+    """Whole numbers from 0 on, in as few bytes as the largest takes: the
+    width, then all first bytes, all second bytes and so on."""
+    most = int(values.max(initial=0))
+    width = next(w for w in (1, 2, 4, 8) if most < 1 << 8 * w)
+    return bytes([width]) + np.ascontiguousarray(values.astype(f"<u{width}").view(np.uint8).reshape(-1, width).T).tobytes()
+
+
+def packed(**columns: np.ndarray | pa.Array) -> bytes:
+    """Columns of whole numbers from 0 on, or of bytes, compressed together.
+    The reader knows their names: tasks times partitions of these are
+    written, so each has a few bytes besides its values."""
+    parts = []
+    for c in columns.values():
+        if isinstance(c, pa.Array):
+            data, a, b = _bytes_of(c)
+            parts += [_planes(b - a), data[a[0]:b[-1]].tobytes() if len(a) else b""]
+        else:
+            parts.append(_planes(c))
+    raw = b"".join(parts)
+    rows = len(next(iter(columns.values())))
+    return struct.pack("<II", rows, len(raw)) + _ZSTD.compress(raw, asbytes=True)
+
+
+def unpacked(body: bytes, **columns: type) -> pa.Table:
+    """The columns of a packed body, of the types named; ``bytes`` for
+    bytes."""
+    rows, size = struct.unpack_from("<II", body)
+    raw = np.frombuffer(_ZSTD.decompress(body[8:], size, asbytes=True), np.uint8)
+    at, out = 0, {}
+    for name, kind in columns.items():
+        width = int(raw[at])
+        planes = raw[at + 1:at + 1 + width * rows].reshape(width, rows)
+        values = np.ascontiguousarray(planes.T).view(f"<u{width}").ravel()
+        at += 1 + width * rows
+        if kind is bytes:
+            off = np.concatenate([[0], np.cumsum(values, dtype=np.int64)])
+            data = raw[at:at + int(off[-1])]
+            at += len(data)
+            out[name] = pa.Array.from_buffers(pa.large_binary(), rows, [None, pa.py_buffer(off), pa.py_buffer(data)])
+        else:
+            out[name] = pa.array(values.astype(kind))
+    return pa.table(out)
 
 
 # Step 1: words.
@@ -160,14 +197,16 @@ _NUMBERED = "block long, bucket int, body binary, id long, lang string, word str
 def _numbered(buckets: int, least: int):
     def run(t: pa.Table) -> pa.Table:
         bucket = t["bucket"][0].as_py()
-        sent = [unpacked(b) for b in t["body"].to_pylist()]
+        sent = [unpacked(b, word=bytes, n=np.int64) for b in t["body"].to_pylist()]
         every = pa.concat_tables(sent)
         coded = every["word"].combine_chunks().dictionary_encode()
         total = np.zeros(len(coded.dictionary), np.int64)
         np.add.at(total, coded.indices.to_numpy(), every["n"].to_numpy())
-        # In the order of the words: the same numbers in a repeated task.
+        # By falling count, so frequent words have small numbers, then by
+        # word: the same numbers in a repeated task.
         order = pc.sort_indices(coded.dictionary).to_numpy()
         often = order[total[order] >= least]
+        often = often[np.argsort(-total[often], kind="stable")]
         number = np.full(len(total), -1, np.int64)
         number[often] = bucket + buckets * np.arange(len(often))
         if len(often) and number[often[-1]] >= 1 << 32:
@@ -179,7 +218,7 @@ def _numbered(buckets: int, least: int):
         sums: dict[bytes, int] = {}
         for (lang, _), n in zip(split, total.tolist(), strict=True):
             sums[lang] = sums.get(lang, 0) + n
-        rows = [{"block": b, "bucket": bucket, "body": packed(id=answer[e - s.num_rows:e])}
+        rows = [{"block": b, "bucket": bucket, "body": packed(id=answer[e - s.num_rows:e] + 1)}
                 for b, e, s in zip(t["block"].to_pylist(), ends, sent, strict=True)]
         rows += [{"id": int(number[i]), "lang": split[i][0].decode(), "word": split[i][1].decode(), "f": int(total[i])}
                  for i in often]
@@ -311,18 +350,44 @@ def phrases(ids: np.ndarray, fresh: np.ndarray) -> Iterator[tuple[np.ndarray, np
 _RUNS = "part int, body binary"
 
 
-def _runs(tables: Iterator[pa.Table], parts: int) -> Iterator[pa.RecordBatch]:
-    """A subtree's run, parted by prefix: each part stays sorted."""
-    for t in tables:
+def _runs(tables: Iterator[pa.Table], parts: int, held: int = HELD) -> Iterator[pa.RecordBatch]:
+    """The subtrees' runs, parted by prefix: each part stays sorted.  About
+    ``held`` phrases are dealt at once, so a task writes a row or few for each
+    part, however many subtrees it spills."""
+    waiting: list[pa.Table] = []
+
+    def dealt() -> pa.RecordBatch:
+        t = pa.concat_tables(waiting)
+        waiting.clear()
         pair, third, n = (t[x].to_numpy() for x in ("pair", "third", "n"))
         to = fp.mix64(pair * np.uint64(SPREAD) + third % np.uint64(SPREAD)) % np.uint64(parts)
-        order = np.argsort(to, kind="stable")
+        order = np.lexsort((third, pair, to))
         to, pair, third, n = to[order], pair[order], third[order], n[order]
+        # A phrase of several subtrees is counted together.
+        own = np.flatnonzero(np.concatenate([[True], (pair[1:] != pair[:-1]) | (third[1:] != third[:-1])]))
+        to, pair, third, n = to[own], pair[own], third[own], np.add.reduceat(n, own)
         firsts = np.flatnonzero(np.concatenate([[True], to[1:] != to[:-1]]))
-        rows = [(int(to[a]), packed(pair=pair[a:b], third=third[a:b], n=n[a:b]))
+        low, one = pair & np.uint64(0xFFFFFFFF), pair >> np.uint64(32)
+        step = np.diff(one, prepend=np.uint64(0))
+        step[firsts] = one[firsts]
+        rows = [packed(step=step[a:b], low=low[a:b], third=third[a:b], n=n[a:b])
                 for a, b in zip(firsts, np.append(firsts[1:], len(to)), strict=True)]
-        yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()),
-                                          pa.array([r[1] for r in rows], pa.binary())], ["part", "body"])
+        return pa.RecordBatch.from_arrays([pa.array(to[firsts].astype(np.int32)), pa.array(rows, pa.binary())],
+                                          ["part", "body"])
+
+    for t in tables:
+        waiting.append(t)
+        if sum(w.num_rows for w in waiting) >= held:
+            yield dealt()
+    if any(w.num_rows for w in waiting):
+        yield dealt()
+
+
+def run_of(body: bytes) -> pa.Table:
+    """pair, third and n of a part of a run."""
+    t = unpacked(body, step=np.uint64, low=np.uint64, third=np.uint64, n=np.int64)
+    pair = np.cumsum(t["step"].to_numpy(), dtype=np.uint64) << np.uint64(32) | t["low"].to_numpy()
+    return pa.table({"pair": pair, "third": t["third"], "n": t["n"]})
 
 
 def _counted(parts: int):
@@ -335,10 +400,10 @@ def _counted(parts: int):
                                     batch.column("body"), strict=True):
                 if b != block:
                     block, known = b, []
-                t = unpacked(body.as_py())
                 if nth >= 0:
-                    known.append(t["id"].to_numpy())
+                    known.append(unpacked(body.as_py(), id=np.int64)["id"].to_numpy() - 1)
                     continue
+                t = unpacked(body.as_py(), word=np.int64, fresh=bool)
                 ids = np.concatenate(known)[t["word"].to_numpy()]
                 for some in phrases(ids, t["fresh"].to_numpy()):
                     yield from trie.add(*some)
@@ -356,7 +421,7 @@ def _merged(least: int):
     def run(t: pa.Table) -> pa.Table:
         every = Container()
         for body in t["body"].to_pylist():
-            every.fresh.append(unpacked(body))
+            every.fresh.append(run_of(body))
         found = every.settle()
         found = found.filter(pc.greater_equal(found["n"], least))
         del every
