@@ -41,7 +41,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from visitlens.llm.bpe import byte_symbols, slices
-from visitlens.llm.common import KEPT, pieces, shared_dir, text_bytes, trim, utf8
+from visitlens.llm.common import KEPT, pieces, shared_dir, text_bytes, utf8
 
 LANES = 512
 CHECK_ROWS = 128
@@ -418,7 +418,6 @@ def write_files(docs: DataFrame, target: str, tokenizer: str, end_id: int, key:
                 if size >= FILE_IDS:
                     yield image()
                     keys, ids, size, seq = [], [], 0, seq + 1
-                trim()
         if keys:
             yield image()
 
