@@ -174,7 +174,7 @@ def param_sql_q(spark, sf):
 def view_city_sessions_q(spark, sf):
     """SQL text over the registered views of log and users: sessions and
     actions per city."""
-    register_views(spark, sf)
+    register_views(spark, sf, names=("user_visit_action", "user_info"))
     return spark.sql(
         "SELECT u.city, count(DISTINCT a.session_id) AS sessions, count(*) AS actions "
         "FROM user_visit_action a JOIN user_info u ON a.user_id = u.user_id GROUP BY u.city")

@@ -163,9 +163,15 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def register_views(spark: SparkSession, sf_dir: str, grain: str = "g", unit: str = "raw") -> None:
-    """Register ``user_visit_action``, ``user_info`` and ``product_info``
-    as temporary views over the test tables (for SQL entry points)."""
-    actions(spark, sf_dir, grain, unit).createOrReplaceTempView("user_visit_action")
-    users(spark, sf_dir).createOrReplaceTempView("user_info")
-    products(spark, sf_dir).createOrReplaceTempView("product_info")
+VIEWS = ("user_visit_action", "user_info", "product_info")
+
+
+def register_views(spark: SparkSession, sf_dir: str, grain: str = "g", unit: str = "raw",
+                   names: tuple[str, ...] = VIEWS) -> None:
+    """Register ``user_visit_action``, ``user_info`` and ``product_info``,
+    or those of them in ``names``, as temporary views over the test tables
+    (for SQL entry points)."""
+    frames = {"user_visit_action": lambda: actions(spark, sf_dir, grain, unit), "user_info": lambda: users(spark, sf_dir),
+              "product_info": lambda: products(spark, sf_dir)}
+    for name in names:
+        frames[name]().createOrReplaceTempView(name)
